@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.functions.vectors import center_format, doubles
+from driftline.functions.vectors import center_format, double_rows, doubles
 from driftline.operators.cluster import cf_vectors, nearest_center
 from driftline.operators.order import sliding_batches
 
@@ -55,7 +55,7 @@ def update(
     spark = df.sparkSession
     old = spark.range(len(centers)).select(
         F.col("id").cast("int").alias("idx"),
-        F.get(F.array(*[doubles(c) for c in centers]), F.col("id").cast("int")).alias("old"),
+        F.get(double_rows(centers), F.col("id").cast("int")).alias("old"),
         (F.get(doubles(counts), F.col("id").cast("int")) * alpha).alias("decayed"),
     )
     sums = cf_vectors(nearest_center(df, centers, features), "idx", features).select(

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.bounds import hoeffding_bound, std_dev
-from driftline.functions.vectors import dot, doubles
+from driftline.functions.vectors import dot, double_rows, doubles
 from driftline.operators.linear import normal_stats, solve_normal
 from driftline.operators.order import BUCKET_ROWS, running
 from driftline.session import cut_lineage
@@ -218,8 +218,8 @@ class RuleModel:
         rows = []
         for r in self.rules:
             mean = self.offset + (r.sy / r.n if r.n > 0 else 0.0)
-            rows.append(doubles(r.linear if r.linear is not None else [mean] + [0.0] * self.params.attrs))
-        return F.array(*rows)
+            rows.append(r.linear if r.linear is not None else [mean] + [0.0] * self.params.attrs)
+        return double_rows(rows)
 
     def _linear(self, features: Column, i: Column) -> Column:
         w = F.get(self._weights(), i)
