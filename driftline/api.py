@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -33,14 +34,28 @@ INTERVAL = 1_000
 class Learned:
     """Result of a learner over a table.
 
-    ``predictions``: rows marked for prediction with their inputs and ``prediction``.  ``curve``: metrics every
-    ``interval`` labelled rows.  ``model``: the final model.
+    ``predictions``: rows marked for prediction with their inputs and ``prediction``.  ``model``: the final model.
+    ``pairs``: (seq, truth, pred) of labelled rows, the input of the learning curve.
     """
 
     predictions: DataFrame
     model: object
-    curve: DataFrame | None = None
-    measurements: DataFrame | None = None
+    pairs: DataFrame | None = None
+    interval: int = INTERVAL
+    n_classes: int | None = None
+
+    @functools.cached_property
+    def curve(self) -> DataFrame:
+        """Cumulative metrics every ``interval`` labelled rows."""
+        numbered = with_seq(self.pairs, "seq", "pos")
+        if self.n_classes is None:
+            return learning_curve_regression(numbered, self.interval, seq="pos")
+        return learning_curve(numbered, self.n_classes, self.interval, seq="pos")
+
+    @property
+    def measurements(self) -> DataFrame:
+        """The classification curve with one row per measurement."""
+        return measurements_long(self.curve, self.n_classes)
 
 
 def _order_columns(df: DataFrame, order_by: str | Sequence[str]) -> None:
@@ -93,10 +108,7 @@ def hoeffding_classifier(
         outcome = test_then_train(prepared, TreeModel.empty(params), "label_idx", {"label": "label_idx"})
     inputs = [*numeric, *nominal_names]
     asked = decode(outcome.predictions, "pred", prepared.labels, label, "prediction")
-    curve = learning_curve(with_seq(outcome.pairs, "seq", "pos"), n_classes, interval, seq="pos")
-    return Learned(
-        asked.select("seq", *inputs, "prediction"), outcome.model, curve, measurements_long(curve, n_classes)
-    )
+    return Learned(asked.select("seq", *inputs, "prediction"), outcome.model, outcome.pairs, interval, n_classes)
 
 
 def rules_regressor(
@@ -126,8 +138,7 @@ def rules_regressor(
         prepared = prepare_regression(df, features, target, order_by, max_instances, first_batch, growth)
         outcome = test_then_train(prepared, RuleModel.empty(params), target, {"target": target})
     asked = outcome.predictions.select("seq", *features, F.col("pred").alias("prediction"))
-    curve = learning_curve_regression(with_seq(outcome.pairs, "seq", "pos"), interval, seq="pos")
-    return Learned(asked, outcome.model, curve)
+    return Learned(asked, outcome.model, outcome.pairs, interval)
 
 
 def microcluster_kmeans(

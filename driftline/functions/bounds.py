@@ -1,26 +1,14 @@
-"""Statistical column expressions: Hoeffding bound, entropy parts, normal distribution, SDR."""
+"""Statistical expressions as SQL text (Hoeffding bound, normal distribution) and normal quantiles."""
 
 from __future__ import annotations
 
 import math
 import statistics
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def hoeffding_bound(value_range: Column | float, delta: float, n: Column) -> Column:
-    r = value_range if isinstance(value_range, Column) else F.lit(float(value_range))
-    return F.sqrt(r * r * math.log(1.0 / delta) / (2.0 * n))
-
-
-def n_log2_n(n: Column) -> Column:
-    """n·log2(n) with the limit 0 at n = 0.  Entropy of counts is log2(N) − Σ n·log2(n) / N."""
-    return F.when(n > 0, n * F.log2(n)).otherwise(F.lit(0.0))
-
-
-def entropy(total: Column, sum_n_log2_n: Column) -> Column:
-    return F.when(total > 0, F.log2(total) - sum_n_log2_n / total).otherwise(F.lit(0.0))
+def hoeffding_bound_sql(value_range: float, delta: float, n: str) -> str:
+    """SQL text of √(R² ln(1/δ) / 2n)."""
+    return f"sqrt({value_range**2 * math.log(1.0 / delta)!r}D / (2 * {n}))"
 
 
 # Rational approximation of the error function, absolute error below 1.5e-7
@@ -29,19 +17,14 @@ ERF_P = 0.3275911
 ERF_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
 
 
-def normal_cdf(z: Column) -> Column:
-    x = F.abs(z) / math.sqrt(2.0)
-    t = 1.0 / (1.0 + ERF_P * x)
-    poly = F.lit(0.0)
+def normal_cdf_sql(z: str) -> str:
+    """SQL text of the standard normal distribution function."""
+    t = f"(1D / (1D + {ERF_P / math.sqrt(2.0)!r}D * abs({z})))"
+    poly = "0D"
     for a in reversed(ERF_A):
-        poly = (poly + a) * t
-    erf = 1.0 - poly * F.exp(-(x * x))
-    return F.when(z >= 0, (1.0 + erf) / 2.0).otherwise((1.0 - erf) / 2.0)
-
-
-def std_dev(n: Column, s: Column, ss: Column) -> Column:
-    """Population standard deviation from count, sum and sum of squares; 0 for an empty group."""
-    return F.when(n > 0, F.sqrt(F.greatest(F.lit(0.0), ss / n - (s / n) * (s / n)))).otherwise(F.lit(0.0))
+        poly = f"(({poly} + {a!r}D) * {t})"
+    tail = f"({poly} * exp(-({z} * {z}) / 2D) / 2D)"
+    return f"(CASE WHEN {z} >= 0 THEN 1D - {tail} ELSE {tail} END)"
 
 
 def z_value(confidence: float) -> float:

@@ -27,21 +27,21 @@ def vectorize(columns: Sequence[str], on_null: str = "error") -> Column:
     return F.array(*[item(c) for c in columns])
 
 
-def _double_text(v: float) -> str:
+def double_text(v: float) -> str:
     v = float(v)
     return f"{v!r}D" if math.isfinite(v) else f"double('{v}')"
 
 
 def doubles(values: Sequence[float]) -> Column:
     """Literal ``array<double>``; constant folding turns it into one array object per task."""
-    return F.expr(f"array({', '.join(_double_text(v) for v in values)})") if len(values) else F.expr(
+    return F.expr(f"array({', '.join(double_text(v) for v in values)})") if len(values) else F.expr(
         "cast(array() as array<double>)"
     )
 
 
 def double_rows(rows: Sequence[Sequence[float]]) -> Column:
     """Literal ``array<array<double>>``."""
-    inner = ("array(" + ", ".join(_double_text(v) for v in r) + ")" for r in rows)
+    inner = ("array(" + ", ".join(double_text(v) for v in r) + ")" for r in rows)
     return F.expr(f"array({', '.join(inner)})")
 
 

@@ -19,16 +19,18 @@ OVERFLOW_MODES = ("error", "first", "skip")
 HOT_ENTRIES = 1_000
 
 
-def value_counts(df: DataFrame, columns: Sequence[str], seq: str = "seq", exclude: str | None = None) -> DataFrame:
-    """Distinct (attr, value) with first position and row count."""
+def value_counts(
+    df: DataFrame, columns: Sequence[str], seq: str = "seq", exclude: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Distinct (attr, value) with first position and row count; ``exclude`` names one value to leave out per column."""
     if len(columns) == 1:
         stacked = df.select(seq, F.lit(columns[0]).alias("attr"), F.col(columns[0]).cast("string").alias("value"))
     else:
         pairs = F.array(*[F.struct(F.lit(c).alias("attr"), F.col(c).cast("string").alias("value")) for c in columns])
         stacked = df.select(seq, F.inline(pairs))
     kept = F.col("value").isNotNull()
-    if exclude is not None:
-        kept = kept & (F.col("value") != exclude)
+    for attr, value in (exclude or {}).items():
+        kept = kept & ~((F.col("attr") == attr) & (F.col("value") == value))
     return (
         stacked.filter(kept)
         .groupBy("attr", "value")
@@ -49,15 +51,15 @@ def number_entries(counts: DataFrame) -> DataFrame:
 
 
 def first_seen_dictionary(
-    df: DataFrame, columns: str | Sequence[str], seq: str = "seq", exclude: str | None = None
+    df: DataFrame, columns: str | Sequence[str], seq: str = "seq", exclude: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """One dictionary per column, indexed by first appearance.  ``exclude`` drops the predict marker."""
+    """One dictionary per column, indexed by first appearance.  ``seq`` may be any column that follows the order."""
     columns = [columns] if isinstance(columns, str) else list(columns)
     return number_entries(cut_lineage(value_counts(df, columns, seq, exclude)))
 
 
 def label_dictionary(df: DataFrame, label: str, seq: str = "seq") -> DataFrame:
-    return first_seen_dictionary(df, label, seq, exclude=PREDICT_LABEL)
+    return first_seen_dictionary(df, label, seq, exclude={label: PREDICT_LABEL})
 
 
 def extend_dictionary(old: DataFrame, new_counts: DataFrame) -> DataFrame:

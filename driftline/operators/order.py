@@ -34,8 +34,8 @@ def bucket_of(keys: Sequence[str], bounds: Sequence[tuple]) -> Column:
     )
 
 
-def order_buckets(df: DataFrame, keys: Sequence[str], buckets: int) -> tuple[list[tuple], list[int]]:
-    """Lower bounds of buckets 1.. and the number of rows before each bucket.
+def order_buckets(df: DataFrame, keys: Sequence[str], buckets: int) -> tuple[list[tuple], list[int], int]:
+    """Lower bounds of buckets 1.., the number of rows before each bucket, and the total.
 
     One range shuffle of the key columns alone; one row per bucket reaches the driver.  Equal keys always share a
     range partition, so the counts hold for any later pass that splits the rows at the same bounds.
@@ -53,25 +53,37 @@ def order_buckets(df: DataFrame, keys: Sequence[str], buckets: int) -> tuple[lis
     for r in rows:
         before.append(total)
         total += r["n"]
-    return bounds, before or [0]
+    return bounds, before or [0], total
 
 
-def with_seq(df: DataFrame, order_by: str | Sequence[str], name: str = "seq", buckets: int | None = None) -> DataFrame:
-    """Number rows 1, 2, 3, ... in the order of ``order_by``.
+def order_keys(order_by: str | Sequence[str]) -> list[str]:
+    return [order_by] if isinstance(order_by, str) else list(order_by)
 
-    Pass as many key columns as make the order unique; they also decide how finely a hot first key can be split.
-    The input must be stable (a table, not a random sample), since it is read twice: keys only, then the rows.
-    """
-    keys = [order_by] if isinstance(order_by, str) else list(order_by)
+
+def number_rows(
+    df: DataFrame, order_by: str | Sequence[str], name: str = "seq", buckets: int | None = None
+) -> tuple[DataFrame, int]:
+    """The rows numbered 1, 2, 3, ... in the order of ``order_by``, and how many there are."""
+    keys = order_keys(order_by)
     buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds, before = order_buckets(df, keys, buckets)
-    offsets = F.array(*[F.lit(int(b)).cast("bigint") for b in before])
+    bounds, before, total = order_buckets(df, keys, buckets)
+    offsets = F.expr(f"array({', '.join(f'{b}L' for b in before)})")
     window = Window.partitionBy("__bucket").orderBy(*keys)
-    return (
+    numbered = (
         df.withColumn("__bucket", bucket_of(keys, bounds))
         .withColumn(name, F.row_number().over(window) + F.get(offsets, F.col("__bucket")))
         .drop("__bucket")
     )
+    return numbered, total
+
+
+def with_seq(df: DataFrame, order_by: str | Sequence[str], name: str = "seq", buckets: int | None = None) -> DataFrame:
+    """Number rows 1, 2, 3, ... in the order of ``order_by``.
+
+    Pass as many key columns as make the order unique; they also decide how finely a hot first key can be split.
+    The input must be stable (a table, not a random sample), since it is read twice: keys only, then the rows.
+    """
+    return number_rows(df, order_by, name, buckets)[0]
 
 
 def limit_instances(df: DataFrame, n: int, order_by: str | Sequence[str] | None = None, seq: str = "seq") -> DataFrame:
@@ -84,7 +96,7 @@ def limit_instances(df: DataFrame, n: int, order_by: str | Sequence[str] | None
         return df.filter(F.col(seq) <= n)
     if order_by is None:
         raise ValueError("limit_instances needs a sequence column or order_by")
-    keys = [order_by] if isinstance(order_by, str) else list(order_by)
+    keys = order_keys(order_by)
     if n <= TOP_N_ROWS:
         return df.orderBy(*keys).limit(n)
     return with_seq(df, keys, seq).filter(F.col(seq) <= n).drop(seq)

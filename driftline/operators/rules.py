@@ -12,10 +12,10 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.functions.bounds import hoeffding_bound, std_dev
+from driftline.functions.bounds import hoeffding_bound_sql
 from driftline.functions.vectors import dot, double_rows, doubles
 from driftline.operators.linear import normal_stats, solve_normal
 from driftline.operators.order import BUCKET_ROWS, running
@@ -56,21 +56,25 @@ def target_stats(
     )
 
 
+def _sd(n: str, s: str, ss: str) -> str:
+    return f"CASE WHEN {n} > 0 THEN sqrt(greatest(0D, ({ss}) / ({n}) - pow(({s}) / ({n}), 2))) ELSE 0D END"
+
+
 def sdr_table(stats: DataFrame, keys: Sequence[str] = ("rule", "attr")) -> DataFrame:
     """Standard-deviation reduction of splitting after each bin: prefix sums over the bins of one attribute."""
-    whole = Window.partitionBy(*keys)
-    upto = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    table = stats
-    for c in ("n", "sy", "syy"):
-        table = table.withColumn(f"{c}_l", F.sum(c).over(upto)).withColumn(f"{c}_t", F.sum(c).over(whole))
-    n, nl = F.col("n_t"), F.col("n_l")
-    nr = n - nl
-    left = std_dev(nl, F.col("sy_l"), F.col("syy_l"))
-    right = std_dev(nr, F.col("sy_t") - F.col("sy_l"), F.col("syy_t") - F.col("syy_l"))
-    return table.filter(nr > 0).select(
-        *keys, "bin", n.alias("n"), nl.alias("n_left"), F.col("sy_l").alias("sy_left"), F.col("syy_l").alias("syy_left"),
-        F.col("sy_t").alias("sy"), F.col("syy_t").alias("syy"), left.alias("sd_left"), right.alias("sd_right"),
-        (std_dev(n, F.col("sy_t"), F.col("syy_t")) - nl / n * left - nr / n * right).alias("sdr"),
+    k = ", ".join(keys)
+    upto = f"(PARTITION BY {k} ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    sums = stats.selectExpr(
+        *keys, "bin",
+        *[f"sum({c}) OVER {upto} AS {c}_left" for c in ("n", "sy", "syy")],
+        *[f"sum({c}) OVER (PARTITION BY {k}) AS {c}" for c in ("n", "sy", "syy")],
+    )
+    sides = sums.filter("n > n_left").selectExpr(
+        "*", f"{_sd('n_left', 'sy_left', 'syy_left')} AS sd_left",
+        f"{_sd('n - n_left', 'sy - sy_left', 'syy - syy_left')} AS sd_right",
+    )
+    return sides.selectExpr(
+        "*", f"{_sd('n', 'sy', 'syy')} - n_left / n * sd_left - (n - n_left) / n * sd_right AS sdr"
     )
 
 
@@ -78,16 +82,19 @@ def best_splits(
     sdr: DataFrame, keys: Sequence[str] = ("rule",), delta: float = 1e-7, tie: float = 0.05
 ) -> DataFrame:
     """Best attribute per rule with ratio second/best SDR; expand if ratio + ε < 1 or ε < tie."""
-    in_attr = Window.partitionBy(*keys, "attr").orderBy(F.col("sdr").desc(), F.col("bin"))
-    per_attr = sdr.withColumn("__r", F.row_number().over(in_attr)).filter(F.col("__r") == 1).drop("__r")
-    w = Window.partitionBy(*keys).orderBy(F.col("sdr").desc(), F.col("attr"))
-    ranked = per_attr.withColumns(
-        {"__r": F.row_number().over(w), "sdr2": F.coalesce(F.lead("sdr").over(w), F.lit(0.0))}
+    k = ", ".join(keys)
+    pick = f"row_number() OVER (PARTITION BY {k}, attr ORDER BY sdr DESC, bin)"
+    w = f"(PARTITION BY {k} ORDER BY sdr DESC, attr)"
+    return (
+        sdr.selectExpr("*", f"{pick} AS pick")
+        .filter("pick = 1")
+        .drop("pick")
+        .selectExpr("*", f"row_number() OVER {w} AS pick", f"coalesce(lead(sdr) OVER {w}, 0D) AS sdr2")
+        .filter("pick = 1 AND sdr > 0")
+        .drop("pick")
+        .selectExpr("*", "greatest(0D, sdr2) / sdr AS ratio", f"{hoeffding_bound_sql(1.0, delta, 'n')} AS epsilon")
+        .selectExpr("*", f"(ratio + epsilon < 1 OR epsilon < {tie!r}D) AS expand")
     )
-    best = ranked.filter(F.col("__r") == 1).drop("__r").filter(F.col("sdr") > 0)
-    best = best.withColumn("ratio", F.greatest(F.lit(0.0), F.col("sdr2")) / F.col("sdr"))
-    best = best.withColumn("epsilon", hoeffding_bound(1.0, delta, F.col("n")))
-    return best.withColumn("expand", (F.col("ratio") + F.col("epsilon") < 1.0) | (F.col("epsilon") < tie))
 
 
 def page_hinkley(

@@ -11,17 +11,19 @@ import dataclasses
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.functions.bounds import entropy, hoeffding_bound, n_log2_n, normal_cdf
-from driftline.functions.vectors import double_rows, doubles, ints
+from driftline.functions.bounds import hoeffding_bound_sql, normal_cdf_sql
+from driftline.functions.vectors import double_text, doubles
 from driftline.session import cut_lineage
 
 LEAF, NUMERIC, NOMINAL = 0, 1, 2
 NO_VALUE = -1
 
 STATS_KEYS = ("member", "leaf", "attr", "value", "label")
+_CELLS = "array<struct<value:int,label:int,n:double>>"
+_SIDES = "array<struct<label:int,left:double,n:double>>"
 
 
 # ---------------------------------------------------------------- sufficient statistics
@@ -89,18 +91,29 @@ def nominal_gain(stats: DataFrame, keys: Sequence[str] = ("leaf", "attr")) -> Da
     """Information gain of a multiway split per (keys) from counts ``n`` per (keys, value, label).
 
     The gain is the mutual information of value and label, Σ n_vc (log n_vc + log N − log n_v − log n_c) / N, so one
-    pass over the cells with three window totals is enough.
+    pass over the cells with three window totals is enough.  ``cells`` lists (value, label, n).
     """
-    cells = stats.filter(F.col("n") > 0)
-    for name, extra in (("__nv", ["value"]), ("__nc", ["label"]), ("__N", [])):
-        cells = cells.withColumn(name, F.sum("n").over(Window.partitionBy(*keys, *extra)))
-    bits = F.log2("n") + F.log2("__N") - F.log2("__nv") - F.log2("__nc")
+    k = ", ".join(keys)
+    cells = stats.filter("n > 0").selectExpr(
+        *keys, "value", "label", "n",
+        f"sum(n) OVER (PARTITION BY {k}, value) AS nv",
+        f"sum(n) OVER (PARTITION BY {k}, label) AS nc",
+        f"sum(n) OVER (PARTITION BY {k}) AS total",
+    )
     return cells.groupBy(*keys).agg(
         F.sum("n").alias("n"),
-        F.greatest(F.lit(0.0), F.sum(F.col("n") * bits) / F.sum("n")).alias("gain"),
+        F.expr("greatest(0D, sum(n * (log2(n) + log2(total) - log2(nv) - log2(nc))) / sum(n))").alias("gain"),
+        F.expr("collect_list(named_struct('value', value, 'label', label, 'n', n))").alias("cells"),
     )
 
 
+_LEFT_MASS = f"""CASE
+    WHEN threshold < lo THEN 0D
+    WHEN threshold >= hi THEN n
+    WHEN sd <= 0 THEN CASE WHEN mean <= threshold THEN n ELSE 0D END
+    ELSE n * {normal_cdf_sql('((threshold - mean) / sd)')} END"""
+
+
 def numeric_gains(
     stats: DataFrame, keys: Sequence[str] = ("leaf", "attr"), candidates: int = 10
 ) -> DataFrame:
@@ -108,46 +121,40 @@ def numeric_gains(
 
     Thresholds are equally spaced strictly inside (lo, hi).  ``sides`` lists (label, left, n) per candidate.
     """
-    keys = list(keys)
-    whole = Window.partitionBy(*keys)
-    n, lo, hi, thr = (F.col(c) for c in ("n", "lo", "hi", "threshold"))
-    mean = F.col("s") / n
-    sd = F.sqrt(F.greatest(F.lit(0.0), F.col("q") / n - mean * mean))
-    left = (
-        F.when(thr < lo, 0.0)
-        .when(thr >= hi, n)
-        .when(sd <= 0, F.when(mean <= thr, n).otherwise(0.0))
-        .otherwise(n * normal_cdf((thr - mean) / sd))
-    )
-    grid = F.transform(
-        F.sequence(F.lit(1), F.lit(candidates)),
-        lambda i: F.col("glo") + (F.col("ghi") - F.col("glo")) * i / (candidates + 1.0),
-    )
+    k = ", ".join(keys)
     spread = (
-        stats.filter(n > 0)
-        .withColumns({"glo": F.min("lo").over(whole), "ghi": F.max("hi").over(whole)})
-        .filter(F.col("ghi") > F.col("glo"))
-        .withColumn("threshold", F.explode(grid))
-        .withColumn("left", left)
-        .withColumn("right", n - F.col("left"))
+        stats.filter("n > 0")
+        .selectExpr(
+            *keys, "label", "n", "lo", "hi", "s / n AS mean",
+            "sqrt(greatest(0D, q / n - (s / n) * (s / n))) AS sd",
+            f"min(lo) OVER (PARTITION BY {k}) AS glo",
+            f"max(hi) OVER (PARTITION BY {k}) AS ghi",
+        )
+        .filter("ghi > glo")
+        .selectExpr(
+            "*",
+            f"explode(transform(sequence(1, {candidates}), i -> glo + (ghi - glo) * i / {candidates + 1}D)) AS threshold",
+        )
+        .selectExpr(*keys, "label", "n", "threshold", f"{_LEFT_MASS} AS left")
     )
     per = spread.groupBy(*keys, "threshold").agg(
         F.sum("n").alias("n"),
         F.sum("left").alias("nl"),
-        F.sum("right").alias("nr"),
-        F.sum(n_log2_n(n)).alias("lc"),
-        F.sum(n_log2_n(F.col("left"))).alias("ll"),
-        F.sum(n_log2_n(F.col("right"))).alias("lr"),
-        F.collect_list(F.struct("label", "left", "n")).alias("sides"),
+        F.expr("sum(n - left)").alias("nr"),
+        F.expr("sum(n * log2(n))").alias("lc"),
+        F.expr("sum(CASE WHEN left > 0 THEN left * log2(left) ELSE 0D END)").alias("ll"),
+        F.expr("sum(CASE WHEN n - left > 0 THEN (n - left) * log2(n - left) ELSE 0D END)").alias("lr"),
+        F.expr("collect_list(named_struct('label', label, 'left', left, 'n', n))").alias("sides"),
     )
-    inner = F.col("nl") * entropy(F.col("nl"), F.col("ll")) + F.col("nr") * entropy(F.col("nr"), F.col("lr"))
-    return per.select(*keys, "threshold", "n", (entropy(n, F.col("lc")) - inner / n).alias("gain"), "sides")
+    # N·H of counts n_c is N·log2 N − Σ n_c·log2 n_c.
+    inner = "CASE WHEN nl > 0 THEN nl * log2(nl) - ll ELSE 0D END + CASE WHEN nr > 0 THEN nr * log2(nr) - lr ELSE 0D END"
+    return per.selectExpr(*keys, "threshold", "n", f"(n * log2(n) - lc - ({inner})) / n AS gain", "sides")
 
 
 def split_decision(
     gains: DataFrame,
     keys: Sequence[str] = ("leaf",),
-    n_classes: int | Column = 2,
+    n_classes: int = 2,
     delta: float = 1e-7,
     tie: float = 0.05,
 ) -> DataFrame:
@@ -156,15 +163,16 @@ def split_decision(
     "No split" counts as a candidate with gain 0.  ``split`` = gain difference above the Hoeffding bound, or the bound
     below the tie threshold.
     """
-    w = Window.partitionBy(*keys).orderBy(F.col("gain").desc(), F.col("attr"))
-    ranked = gains.withColumn("__rank", F.row_number().over(w)).withColumn(
-        "gain2", F.greatest(F.lit(0.0), F.coalesce(F.lead("gain").over(w), F.lit(0.0)))
+    w = f"(PARTITION BY {', '.join(keys)} ORDER BY gain DESC, attr)"
+    return (
+        gains.selectExpr(
+            "*", f"row_number() OVER {w} AS rank_", f"greatest(0D, coalesce(lead(gain) OVER {w}, 0D)) AS gain2",
+            f"{hoeffding_bound_sql(math.log2(max(2, n_classes)), delta, 'n')} AS epsilon",
+        )
+        .filter("rank_ = 1")
+        .drop("rank_")
+        .withColumn("split", F.expr(f"gain > 0 AND (gain - gain2 > epsilon OR epsilon < {tie!r}D)"))
     )
-    classes = n_classes if isinstance(n_classes, Column) else F.lit(float(n_classes))
-    eps = hoeffding_bound(F.log2(F.greatest(F.lit(2.0), classes)), delta, F.col("n"))
-    best = ranked.filter(F.col("__rank") == 1).drop("__rank").withColumn("epsilon", eps)
-    wins = (F.col("gain") - F.col("gain2") > F.col("epsilon")) | (F.col("epsilon") < tie)
-    return best.withColumn("split", (F.col("gain") > 0) & wins)
 
 
 # ---------------------------------------------------------------- model
@@ -223,55 +231,62 @@ class TreeModel:
 
     # ---- routing and scoring
 
-    def route(self, features: Column, member: Column) -> Column:
-        """Node index reached by a row in the given member's tree.  A nominal value without a child stays put."""
-        trees = self.trees
-        depth = max(n.depth for t in trees for n in t)
-        if depth == 0:
-            return F.lit(0)
-
-        def table(field: str, make) -> Column:
-            return F.get(F.array(*[make([getattr(n, field) for n in t]) for t in trees]), member)
-
-        kind, attr = table("kind", ints), table("attr", ints)
-        threshold, first, width = table("threshold", doubles), table("first_child", ints), table("n_children", ints)
-
-        def step(node: Column, _: Column) -> Column:
-            x = F.get(features, F.get(attr, node))
-            k = F.get(kind, node)
-            numeric = F.get(first, node) + F.when(x <= F.get(threshold, node), 0).otherwise(1)
-            known = (x >= 0) & (x < F.get(width, node))
-            nominal = F.when(known, F.get(first, node) + x.cast("int")).otherwise(node)
-            return F.when(k == LEAF, node).when(k == NUMERIC, numeric).otherwise(nominal)
+    def _with_tree(self, df: DataFrame) -> DataFrame:
+        """Node arrays of all members as one literal column; the optimizer folds it into the expressions using it."""
 
-        return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)
+        def table(text) -> str:
+            return "array(" + ", ".join(f"array({', '.join(text(n) for n in t)})" for t in self.trees) + ")"
 
-    def votes(self, features: Column) -> Column:
-        """Class votes.  One tree: the class counts of the leaf; several: the sum of normalised leaf counts."""
-
-        def table(t: list[Node], normalise: bool) -> Column:
-            totals = [sum(n.counts) if normalise else 1.0 for n in t]
-            return double_rows([[c / s if s > 0 else 0.0 for c in n.counts] for n, s in zip(t, totals)])
+        return df.withColumn(
+            "__tree",
+            F.expr(
+                f"named_struct('attr', {table(lambda n: str(n.attr))}, "
+                f"'threshold', {table(lambda n: double_text(n.threshold))}, "
+                f"'child', {table(lambda n: str(n.first_child))}, "
+                f"'width', {table(lambda n: str(n.n_children if n.kind == NOMINAL else 0))})"
+            ),
+        )
 
-        if self.params.members == 1:
-            return F.get(table(self.trees[0], False), self.route(features, F.lit(0)))
-        tables = F.array(*[table(t, True) for t in self.trees])
-        zero = doubles([0.0] * self.params.n_classes)
-        members = F.sequence(F.lit(0), F.lit(self.params.members - 1))
-        return F.aggregate(
-            members,
-            zero,
-            lambda acc, m: F.zip_with(acc, F.get(F.get(tables, m), self.route(features, m)), lambda a, b: a + b),
+    def _walk(self, features: str, member: str) -> str:
+        """SQL text: node reached from the root.  A nominal value without a child stays at its node."""
+        depth = max(n.depth for t in self.trees for n in t)
+        if depth == 0:
+            return "0"
+        attr, threshold, child, width = (
+            f"get(get(__tree.{c}, {member}), node)" for c in ("attr", "threshold", "child", "width")
         )
+        x = f"get({features}, {attr})"
+        return f"""aggregate(sequence(1, {depth}), 0, (node, i) -> CASE
+            WHEN {child} < 0 THEN node
+            WHEN {width} = 0 THEN {child} + if({x} <= {threshold}, 0, 1)
+            WHEN {x} >= 0 AND {x} < {width} THEN {child} + cast({x} AS int)
+            ELSE node END)"""
+
+    def route(self, df: DataFrame, features: str = "features", member: str = "0", out: str = "leaf") -> DataFrame:
+        """Node index reached by every row in the tree of ``member`` (a column name or number)."""
+        return self._with_tree(df).withColumn(out, F.expr(self._walk(features, member))).drop("__tree")
 
     def score(self, df: DataFrame, features: str = "features", out: str = "pred") -> DataFrame:
-        """Predicted class index; ties and an untrained model give the lowest index."""
+        """Predicted class index; ties and an untrained model give the lowest index.
+
+        One tree: the majority class of the leaf.  Several: the largest sum of the members' class shares.
+        """
         if self.params.members == 1:
-            majority = ints([n.majority() for n in self.trees[0]])
-            return df.withColumn(out, F.get(majority, self.route(F.col(features), F.lit(0))))
-        votes = F.col("__votes")
-        best = (F.array_position(votes, F.array_max(votes)) - 1).cast("int")
-        return df.withColumn("__votes", self.votes(F.col(features))).withColumn(out, best).drop("__votes")
+            majority = ", ".join(str(n.majority()) for n in self.trees[0])
+            routed = self._with_tree(df).withColumn(out, F.expr(f"get(array({majority}), {self._walk(features, '0')})"))
+            return routed.drop("__tree")
+        shares = []
+        for t in self.trees:
+            totals = [sum(n.counts) or 1.0 for n in t]
+            shares.append("array(" + ", ".join(
+                "array(" + ", ".join(double_text(c / s) for c in n.counts) + ")" for n, s in zip(t, totals)
+            ) + ")")
+        votes = f"""aggregate(sequence(0, {self.params.members - 1}), array_repeat(0D, {self.params.n_classes}),
+            (acc, m) -> zip_with(acc, get(get(array({', '.join(shares)}), m), {self._walk(features, 'm')}),
+            (a, b) -> a + b))"""
+        voted = self._with_tree(df).withColumn("__votes", F.expr(votes))
+        best = F.expr("cast(array_position(__votes, array_max(__votes)) - 1 AS int)")
+        return voted.withColumn(out, best).drop("__votes", "__tree")
 
     # ---- learning
 
@@ -288,7 +303,7 @@ class TreeModel:
             rows = with_members(rows, p.members, "seq", p.seed)
         else:
             rows = rows.withColumn("member", F.lit(0)).withColumn("weight", F.lit(1.0))
-        rows = rows.withColumn("leaf", self.route(F.col("features"), F.col("member")))
+        rows = self.route(rows, member="member")
         parts = [] if self.stats is None else [self.stats]
         keys = ("member", "leaf", "label")
         if p.numeric:
@@ -345,24 +360,19 @@ class TreeModel:
         keys = ["member", "leaf", "attr"]
         # One exchange by leaf; every grouping and window below refines it.
         tested = stats.filter(_in_nodes(due)).repartition("member", "leaf")
-        none = F.lit(None)
         options = []
         if p.numeric:
-            gains = numeric_gains(tested.filter(F.col("value") == NO_VALUE), keys, p.candidates)
-            top = Window.partitionBy(*keys).orderBy(F.col("gain").desc(), F.col("threshold"))
+            top = "row_number() OVER (PARTITION BY member, leaf, attr ORDER BY gain DESC, threshold)"
             options.append(
-                gains.withColumn("__r", F.row_number().over(top)).filter(F.col("__r") == 1).select(
-                    *keys, "n", "gain", F.col("threshold"), "sides",
-                    none.cast("array<struct<value:int,label:int,n:double>>").alias("children"),
-                )
+                numeric_gains(tested.filter(f"value = {NO_VALUE}"), keys, p.candidates)
+                .selectExpr("*", f"{top} AS pick")
+                .filter("pick = 1")
+                .selectExpr(*keys, "n", "gain", "threshold", "sides", f"cast(NULL AS {_CELLS}) AS cells")
             )
         if p.cardinalities:
-            nominal = tested.filter(F.col("value") != NO_VALUE)
-            cells = nominal.groupBy(*keys).agg(F.collect_list(F.struct("value", "label", "n")).alias("children"))
             options.append(
-                nominal_gain(nominal, keys).join(cells, keys).select(
-                    *keys, "n", "gain", none.cast("double").alias("threshold"),
-                    none.cast("array<struct<label:int,left:double,n:double>>").alias("sides"), "children",
+                nominal_gain(tested.filter(f"value <> {NO_VALUE}"), keys).selectExpr(
+                    *keys, "n", "gain", "cast(NULL AS double) AS threshold", f"cast(NULL AS {_SIDES}) AS sides", "cells"
                 )
             )
         union = options[0] if len(options) == 1 else options[0].unionByName(options[1])
@@ -382,7 +392,7 @@ class TreeModel:
                 children[0][s["label"]] += s["left"]
                 children[1][s["label"]] += s["n"] - s["left"]
         else:
-            for c in r["children"]:
+            for c in r["cells"]:
                 if 0 <= c["value"] < width:
                     children[c["value"]][c["label"]] += c["n"]
         node.kind = NUMERIC if numeric else NOMINAL

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftline.functions.vectors import vectorize
-from driftline.operators.encode import encode_label, encode_nominal, first_seen_dictionary, label_dictionary
-from driftline.operators.order import batch_starts, limit_instances, with_batch, with_seq
-from driftline.schema import PREDICT, TRAIN, role_of_label, role_of_target
+from driftline.operators.encode import encode_label, encode_nominal, first_seen_dictionary
+from driftline.operators.order import batch_starts, limit_instances, number_rows, order_keys, with_batch
+from driftline.schema import PREDICT, PREDICT_LABEL, TRAIN, role_of_label, role_of_target
 from driftline.session import fresh_path, stored
 
 FIRST_BATCH = 1_000
@@ -20,7 +20,10 @@ GROWTH = 2.0
 
 @dataclasses.dataclass
 class Prepared:
-    """Rows with seq, features, label or target, role and batch_id, stored in folders by batch."""
+    """Rows with seq, features, label or target, role and batch_id, stored in folders by batch.
+
+    ``labels`` holds the dictionaries of the label and the nominal columns.
+    """
 
     rows: DataFrame
     n_batches: int
@@ -32,10 +35,10 @@ class Prepared:
 
 
 def _numbered(df: DataFrame, order_by: str | Sequence[str], max_instances: int) -> tuple[DataFrame, int]:
-    total = df.count()
+    numbered, total = number_rows(df, order_by)
     if max_instances >= 0:
         total = min(total, max_instances)
-    return limit_instances(with_seq(df, order_by), max_instances), total
+    return limit_instances(numbered, max_instances), total
 
 
 def prepare_classification(
@@ -51,17 +54,24 @@ def prepare_classification(
     growth: float = GROWTH,
 ) -> Prepared:
     numbered, total = _numbered(df, order_by, max_instances)
-    labels = label_dictionary(numbered, label)
-    rows = encode_label(numbered, label, labels, n_classes, overflow, "label_idx")
+    # First appearance only needs the order keys, so without a limit the dictionaries come from one scan of the raw
+    # table, with no row shuffle.
+    if max_instances < 0:
+        keys = order_keys(order_by)
+        source = df.withColumn("seq", F.col(keys[0]) if len(keys) == 1 else F.struct(*keys))
+    else:
+        source = numbered
+    dictionary = first_seen_dictionary(source, [label, *nominal], exclude={label: PREDICT_LABEL})
+    rows = encode_label(numbered, label, dictionary, n_classes, overflow, "label_idx")
     if nominal:
-        rows = encode_nominal(rows, nominal, first_seen_dictionary(numbered, nominal))
+        rows = encode_nominal(rows, nominal, dictionary)
     rows = (
         rows.withColumn("features", vectorize([*numeric, *[f"{c}_idx" for c in nominal]]))
         .withColumn("role", role_of_label(label))
         .drop(*[f"{c}_idx" for c in nominal])
     )
     starts = batch_starts(total, first_batch, growth)
-    return Prepared(stored(with_batch(rows, starts), "prepared", "batch_id"), len(starts), labels)
+    return Prepared(stored(with_batch(rows, starts), "prepared", "batch_id"), len(starts), dictionary)
 
 
 def prepare_regression(

@@ -55,7 +55,7 @@ def ht_route_depth1(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     model = TreeModel(TreeParams(4, (), 3), [tree])
     rows = lineitem_vectors(spark, sf_dir)
-    routed = model.score(rows.withColumn("leaf", model.route(F.col("features"), F.lit(0))))
+    routed = model.score(model.route(rows))
     return routed.groupBy("leaf", "pred", "label").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -110,7 +110,7 @@ class ClassifierStream(_Learner):
 
     def _learn(self, rows: DataFrame, batch_id: int, prior) -> dict:
         model = self.model(batch_id)
-        labels = self._dictionary("labels", value_counts(rows, [self.label], exclude=PREDICT_LABEL), batch_id, prior)
+        labels = self._dictionary("labels", value_counts(rows, [self.label], exclude={self.label: PREDICT_LABEL}), batch_id, prior)
         coded = encode_label(rows, self.label, labels, self.n_classes, self.overflow, "label_idx")
         names = list(self.nominal)
         if names:
