@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from driftline.operators.cluster import ClusterModel, ClusterParams, centers_row
 from driftline.operators.encode import OVERFLOW_MODES, decode
 from driftline.operators.evaluate import learning_curve, learning_curve_regression, measurements_long
-from driftline.operators.order import with_seq
+from driftline.operators.order import order_keys, with_seq
 from driftline.operators.rules import RuleModel, RuleParams
 from driftline.operators.tree import TreeModel, TreeParams
 from driftline.plans.prequential import (
@@ -58,8 +58,15 @@ class Learned:
         return measurements_long(self.curve, self.n_classes)
 
 
+# Columns the learners add to the rows.
+RESERVED = ("features", "role", "batch_id", "pred", "label_idx", "prediction")
+
+
 def _order_columns(df: DataFrame, order_by: str | Sequence[str]) -> None:
-    require_columns(df, [order_by] if isinstance(order_by, str) else list(order_by), (), "order")
+    require_columns(df, order_keys(order_by), (), "order")
+    taken = [c for c in RESERVED if c in df.columns]
+    if taken:
+        raise ValueError(f"column names reserved by the learner: {taken}")
 
 
 def hoeffding_classifier(
@@ -158,8 +165,10 @@ def microcluster_kmeans(
         require_columns(df, [features], (T.ArrayType,), "features")
     else:
         require_numeric(df, features)
-    _order_columns(df, order_by)
-    prepared = prepare_clustering(df, features, order_by, max_instances, first_batch, growth)
+    require_columns(df, order_keys(order_by), (), "order")
+    columns = [features] if isinstance(features, str) else list(features)
+    rows = df.select(*dict.fromkeys([*order_keys(order_by), *columns]))
+    prepared = prepare_clustering(rows, features, order_by, max_instances, first_batch, growth)
     model = ClusterModel(ClusterParams(k=k, **cluster_options))
     for _, batch in prepared.batches():
         model = model.learn(batch)
