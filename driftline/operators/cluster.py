@@ -242,7 +242,8 @@ def local_kernels(
                 new = _shrink(_stack(new, (np.ones(len(x)), x, x * x, t, t * t)), m, seed)
         if known is not None:
             hit = np.flatnonzero(known[0] > 0)
-            yield _cf_frame(tuple(v[hit] for v in known)).assign(idx=hit)
+            if len(hit):
+                yield _cf_frame(tuple(v[hit] for v in known)).assign(idx=hit)
         if new is not None:
             yield _cf_frame(new).assign(idx=NEW)
 
@@ -314,10 +315,10 @@ class ClusterModel:
             n, ls, *_ = self._arrays()
             centers, radii = ls / n[:, None], self.radii()
         local = cut_lineage(local_kernels(df, p.m, features, seq, centers, radii, p.seed))
-        span = local.agg(F.max("part").alias("p"), F.max("stt").alias("t")).first()
-        if span["p"] is None:
+        last_part = local.agg(F.max("part")).first()[0]
+        if last_part is None:
             return self
-        fresh = reduce_kernels(local.filter(F.col("idx") == NEW).drop("idx"), p.m, span["p"] + 1, seed=p.seed)
+        fresh = reduce_kernels(local.filter(F.col("idx") == NEW).drop("idx"), p.m, last_part + 1, seed=p.seed)
         new = [(r["n"], r["ls"], r["ss"], r["st"], r["stt"]) for r in fresh.collect()]
         have = self._arrays() if self.kernels else None
         if have is not None:

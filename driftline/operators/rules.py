@@ -70,18 +70,20 @@ def sdr_table(stats: DataFrame, keys: Sequence[str] = ("rule", "attr")) -> DataF
         *[f"sum({c}) OVER (PARTITION BY {k}) AS {c}" for c in ("n", "sy", "syy")],
     )
     sides = sums.filter("n > n_left").selectExpr(
-        "*", f"{_sd('n_left', 'sy_left', 'syy_left')} AS sd_left",
+        "*", f"{_sd('n', 'sy', 'syy')} AS sd", f"{_sd('n_left', 'sy_left', 'syy_left')} AS sd_left",
         f"{_sd('n - n_left', 'sy - sy_left', 'syy - syy_left')} AS sd_right",
     )
-    return sides.selectExpr(
-        "*", f"{_sd('n', 'sy', 'syy')} - n_left / n * sd_left - (n - n_left) / n * sd_right AS sdr"
-    )
+    return sides.selectExpr("*", "sd - n_left / n * sd_left - (n - n_left) / n * sd_right AS sdr")
 
 
 def best_splits(
     sdr: DataFrame, keys: Sequence[str] = ("rule",), delta: float = 1e-7, tie: float = 0.05
 ) -> DataFrame:
-    """Best attribute per rule with ratio second/best SDR; expand if ratio + ε < 1 or ε < tie."""
+    """Best attribute per rule with ratio second/best SDR; expand if ratio + ε < 1, or ε < tie.
+
+    "No split" is a candidate too: before the tie, the relative reduction sdr / sd itself has to exceed ε, which keeps
+    rules over pure noise from growing.
+    """
     k = ", ".join(keys)
     pick = f"row_number() OVER (PARTITION BY {k}, attr ORDER BY sdr DESC, bin)"
     w = f"(PARTITION BY {k} ORDER BY sdr DESC, attr)"
@@ -93,7 +95,7 @@ def best_splits(
         .filter("pick = 1 AND sdr > 0")
         .drop("pick")
         .selectExpr("*", "greatest(0D, sdr2) / sdr AS ratio", f"{hoeffding_bound_sql(1.0, delta, 'n')} AS epsilon")
-        .selectExpr("*", f"(ratio + epsilon < 1 OR epsilon < {tie!r}D) AS expand")
+        .selectExpr("*", f"((ratio + epsilon < 1 AND sdr / sd > epsilon) OR epsilon < {tie!r}D) AS expand")
     )
 
 

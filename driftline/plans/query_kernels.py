@@ -338,7 +338,7 @@ _SDR = f"""{_BINS},
 w AS (SELECT *, sum(n) OVER o AS nl, sum(sy) OVER o AS sl, sum(syy) OVER o AS ql, sum(n) OVER a AS nt,
              sum(sy) OVER a AS st, sum(syy) OVER a AS qt FROM t
       WINDOW o AS (PARTITION BY rule, attr ORDER BY bin), a AS (PARTITION BY rule, attr)),
-sd AS (SELECT rule, attr, bin, CAST(nl AS BIGINT) AS n_left, nt,
+sd AS (SELECT rule, attr, bin, CAST(nl AS BIGINT) AS n_left, nt, sqrt(greatest(0, qt / nt - (st / nt) * (st / nt))) AS sd,
               sqrt(greatest(0, qt / nt - (st / nt) * (st / nt)))
               - nl / nt * sqrt(greatest(0, ql / nl - (sl / nl) * (sl / nl)))
               - (nt - nl) / nt * sqrt(greatest(0, (qt - ql) / (nt - nl) - ((st - sl) / (nt - nl)) * ((st - sl) / (nt - nl))))
@@ -402,7 +402,7 @@ ORACLES = {
                        sqrt({math.log(1e7)!r}e0 / (2 * nt)) AS eps FROM best
                 WINDOW o AS (PARTITION BY rule ORDER BY sdr DESC, attr))
         SELECT rule, attr, bin, round(sdr, 4) AS sdr, round(greatest(0, sdr2) / sdr, 6) AS ratio,
-        round(eps, 6) AS epsilon, greatest(0, sdr2) / sdr + eps < 1 OR eps < 0.05 AS expand
+        round(eps, 6) AS epsilon, (greatest(0, sdr2) / sdr + eps < 1 AND sdr / sd > eps) OR eps < 0.05 AS expand
         FROM two WHERE rn = 1 AND sdr > 0""",
     "page_hinkley": """WITH a AS (SELECT event_type, event_id AS seq, value, avg(value) OVER (PARTITION BY event_type
             ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS mean FROM events),
