@@ -112,8 +112,8 @@ def hoeffding_classifier(
         prepared = prepare_classification(
             df, numeric, nominal_names, label, n_classes, order_by, max_instances, overflow, first_batch, growth
         )
-        outcome = test_then_train(prepared, TreeModel.empty(params), "label_idx", {"label": "label_idx"})
-    inputs = [*numeric, *nominal_names]
+        inputs = [*numeric, *nominal_names]
+        outcome = test_then_train(prepared, TreeModel.empty(params), "label_idx", inputs, {"label": "label_idx"})
     asked = decode(outcome.predictions, "pred", prepared.labels, label, "prediction")
     return Learned(asked.select("seq", *inputs, "prediction"), outcome.model, outcome.pairs, interval, n_classes)
 
@@ -143,7 +143,7 @@ def rules_regressor(
     params = RuleParams(attrs=len(features), **rule_options)
     with shuffle_partitions(df.sparkSession, parallelism):
         prepared = prepare_regression(df, features, target, order_by, max_instances, first_batch, growth)
-        outcome = test_then_train(prepared, RuleModel.empty(params), target, {"target": target})
+        outcome = test_then_train(prepared, RuleModel.empty(params), target, list(features), {"target": target})
     asked = outcome.predictions.select("seq", *features, F.col("pred").alias("prediction"))
     return Learned(asked, outcome.model, outcome.pairs, interval)
 
@@ -170,6 +170,6 @@ def microcluster_kmeans(
     rows = df.select(*dict.fromkeys([*order_keys(order_by), *columns]))
     prepared = prepare_clustering(rows, features, order_by, max_instances, first_batch, growth)
     model = ClusterModel(ClusterParams(k=k, **cluster_options))
-    for _, batch in prepared.batches():
-        model = model.learn(batch)
+    for span, batch in prepared.batches():
+        model = model.learn(batch, span=span)
     return Learned(centers_row(df.sparkSession, model.centers(), k), model)

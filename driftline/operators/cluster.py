@@ -307,7 +307,9 @@ class ClusterModel:
             out[single] = np.where(np.isfinite(nearest_other), nearest_other, 0.0)
         return out
 
-    def learn(self, df: DataFrame, features: str = "features", seq: str = "seq") -> ClusterModel:
+    def learn(
+        self, df: DataFrame, features: str = "features", seq: str = "seq", span: tuple[int, int] | None = None
+    ) -> ClusterModel:
         """Kernels after one micro-batch: one pass over the rows, then merges of bounded groups."""
         p = self.params
         centers = radii = None

@@ -153,7 +153,7 @@ class RuleParams:
     tie: float = 0.05
     ph_alpha: float = 0.005
     ph_lambda: float = 35.0
-    drift_block: int = 100
+    drift_blocks: int = 100
     max_rules: int = 200
 
     def __post_init__(self):
@@ -245,8 +245,10 @@ class RuleModel:
 
     # ---- learning
 
-    def learn(self, df: DataFrame, features: str = "features", target: str = "target", seq: str = "seq") -> RuleModel:
-        """Model after the training rows of one micro-batch."""
+    def learn(
+        self, df: DataFrame, features: str = "features", target: str = "target", seq: str = "seq", span: tuple[int, int] | None = None
+    ) -> RuleModel:
+        """Model after the training rows of one micro-batch; ``span`` is its range of ``seq``, if known."""
         p = self.params
         rows = df.select(
             F.col(seq).alias("seq"), F.col(features).alias("features"), F.col(target).cast("double").alias("target")
@@ -258,7 +260,7 @@ class RuleModel:
         covered = rows.withColumn("pos", F.explode(model.coverage(F.col("features")))).withColumn(
             "rule", F.get(ids, F.col("pos"))
         )
-        model._track_errors(covered)
+        model._track_errors(covered, span)
         fresh = target_stats(covered, model.lows, model.highs, p.bins, ("rule",), offset=model.offset)
         alive = F.col("rule").isin([r.rule for r in model.rules])
         parts = fresh if model.stats is None else fresh.unionByName(model.stats)
@@ -285,23 +287,23 @@ class RuleModel:
         self.offset, self.scale = float(r["y"]), float(r["sd"]) or 1.0
         return True
 
-    def _track_errors(self, covered: DataFrame) -> None:
+    def _track_errors(self, covered: DataFrame, span: tuple[int, int] | None) -> None:
         """Prequential errors of both heads, and the drift test on block means of the scaled error.
 
-        The test runs on at most rows / drift_block sums per rule; a rule whose error drifts up is dropped.
+        The test runs on at most ``drift_blocks`` sums per rule; a rule whose error drifts up is dropped.
         """
         p, x = self.params, F.col("features")
         y, pos = F.col("target"), F.col("pos")
         if all(r.n == 0 for r in self.rules):
             return
-        span = covered.agg(F.min("seq").alias("a"), F.max("seq").alias("b")).first()
-        if span["a"] is None:
+        first, last = span or covered.agg(F.min("seq"), F.max("seq")).first()
+        if first is None:
             return
-        width = max(1, math.ceil((span["b"] - span["a"] + 1) / p.drift_block))
+        width = max(1, math.ceil((last - first + 1) / p.drift_blocks))
         errors = (
             covered.select(
                 "rule",
-                F.floor((F.col("seq") - F.lit(span["a"])) / width).alias("block"),
+                F.floor((F.col("seq") - F.lit(first)) / width).alias("block"),
                 F.abs(y - F.get(self._means(), pos)).alias("em"),
                 F.abs(y - self._linear(x, pos)).alias("el"),
             )

@@ -290,7 +290,9 @@ class TreeModel:
 
     # ---- learning
 
-    def learn(self, df: DataFrame, features: str = "features", label: str = "label", seq: str = "seq") -> TreeModel:
+    def learn(
+        self, df: DataFrame, features: str = "features", label: str = "label", seq: str = "seq", span: tuple[int, int] | None = None
+    ) -> TreeModel:
         """Model after the labelled rows of one micro-batch (label index >= 0)."""
         p = self.params
         rows = df.filter(F.col(label) >= 0).select(
@@ -466,20 +468,17 @@ def _poisson_limits() -> list[float]:
 POISSON_LIMITS = _poisson_limits()
 
 
-def bagging_weight(seq: Column, member: Column, seed: int) -> Column:
-    """Poisson(1) weight from the md5 of "seq:member:seed": the same on every replay and every engine."""
-    text = F.concat_ws(":", seq.cast("string"), member.cast("string"), F.lit(str(seed)))
-    u = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") / F.lit(2.0**32)
-    return F.aggregate(doubles(POISSON_LIMITS), F.lit(0), lambda k, limit: k + F.when(u >= limit, 1).otherwise(0))
-
-
 def with_members(df: DataFrame, members: int, seq: str = "seq", seed: int = 1) -> DataFrame:
-    """Each row once per member with a positive weight."""
-    return (
-        df.withColumn("member", F.explode(F.sequence(F.lit(0), F.lit(members - 1))))
-        .withColumn("weight", bagging_weight(F.col(seq), F.col("member"), seed).cast("double"))
-        .filter(F.col("weight") > 0)
+    """Each row once per member with a positive Poisson(1) ``weight``.
+
+    The draw is the md5 of "seq:member:seed", so it is the same on every replay and on every engine.
+    """
+    drawn = df.withColumn("member", F.explode(F.sequence(F.lit(0), F.lit(members - 1)))).withColumn(
+        "__u", F.expr(f"cast(conv(substr(md5(concat_ws(':', {seq}, member, '{seed}')), 1, 8), 16, 10) AS bigint) / {2.0**32!r}D")
     )
+    steps = " ".join(f"WHEN __u < {limit!r}D THEN {k}D" for k, limit in enumerate(POISSON_LIMITS))
+    kept = drawn.filter(f"__u >= {POISSON_LIMITS[0]!r}D")
+    return kept.withColumn("weight", F.expr(f"CASE {steps} ELSE {len(POISSON_LIMITS)}D END")).drop("__u")
 
 
 def majority_vote(votes: DataFrame, keys: Sequence[str], pred: str = "pred", out: str = "vote") -> DataFrame:

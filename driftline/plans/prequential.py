@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import itertools
 from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -26,12 +27,14 @@ class Prepared:
     """
 
     rows: DataFrame
-    n_batches: int
+    starts: list[int]
+    total: int
     labels: DataFrame | None = None
 
-    def batches(self) -> Iterator[tuple[int, DataFrame]]:
-        for b in range(self.n_batches):
-            yield b, self.rows.filter(F.col("batch_id") == b)
+    def batches(self) -> Iterator[tuple[tuple[int, int], DataFrame]]:
+        """First and last sequence number of every micro-batch, with its rows."""
+        for b, (first, following) in enumerate(itertools.pairwise([*self.starts, self.total + 1])):
+            yield (first, following - 1), self.rows.filter(F.col("batch_id") == b)
 
 
 def _numbered(df: DataFrame, order_by: str | Sequence[str], max_instances: int) -> tuple[DataFrame, int]:
@@ -71,7 +74,7 @@ def prepare_classification(
         .drop(*[f"{c}_idx" for c in nominal])
     )
     starts = batch_starts(total, first_batch, growth)
-    return Prepared(stored(with_batch(rows, starts), "prepared", "batch_id"), len(starts), dictionary)
+    return Prepared(stored(with_batch(rows, starts), "prepared", "batch_id"), starts, total, dictionary)
 
 
 def prepare_regression(
@@ -86,7 +89,7 @@ def prepare_regression(
     numbered, total = _numbered(df, order_by, max_instances)
     rows = numbered.withColumn("features", vectorize(features)).withColumn("role", role_of_target(target))
     starts = batch_starts(total, first_batch, growth)
-    return Prepared(stored(with_batch(rows, starts), "prepared", "batch_id"), len(starts))
+    return Prepared(stored(with_batch(rows, starts), "prepared", "batch_id"), starts, total)
 
 
 def prepare_clustering(
@@ -102,7 +105,7 @@ def prepare_clustering(
     vector = F.col(features).cast("array<double>") if isinstance(features, str) else vectorize(features)
     starts = batch_starts(total, first_batch, growth)
     rows = numbered.select("seq", vector.alias("features"))
-    return Prepared(stored(with_batch(rows, starts), "prepared", "batch_id"), len(starts))
+    return Prepared(stored(with_batch(rows, starts), "prepared", "batch_id"), starts, total)
 
 
 @dataclasses.dataclass
@@ -114,21 +117,26 @@ class Outcome:
     pairs: DataFrame
 
 
-def test_then_train(prepared: Prepared, model, truth: str, learn_args: Mapping[str, str]) -> Outcome:
-    """Batch b is scored with the model of batch b − 1.  Every pass reads one folder of the prepared table."""
+def test_then_train(
+    prepared: Prepared, model, truth: str, inputs: Sequence[str], learn_args: Mapping[str, str]
+) -> Outcome:
+    """Batch b is scored with the model of batch b − 1, written once, and then learned from.
+
+    Every pass reads one folder of the prepared table.  The written rows are split by role, and only rows that ask for
+    a prediction carry their inputs.
+    """
     spark = prepared.rows.sparkSession
     out = fresh_path(spark, "outcome")
-    pairs_schema = predictions_schema = None
-    for b, batch in prepared.batches():
-        scored = model.score(batch)
-        pairs = scored.filter(F.col("role") == TRAIN).select("seq", F.col(truth).alias("truth"), "pred")
-        asked = scored.filter(F.col("role") == PREDICT).drop("batch_id")
-        pairs_schema, predictions_schema = pairs.schema, asked.schema
-        pairs.write.parquet(f"{out}/pairs/batch_id={b}")
-        asked.write.parquet(f"{out}/predictions/batch_id={b}")
-        model = model.learn(batch.filter(F.col("role") == TRAIN), **learn_args)
-
-    def table(name: str, schema) -> DataFrame:
-        return spark.read.schema(schema.add("batch_id", "integer")).parquet(f"{out}/{name}")
-
-    return Outcome(model, table("predictions", predictions_schema), table("pairs", pairs_schema))
+    is_predict = F.col("role") == PREDICT
+    schema = None
+    for b, ((first, last), batch) in enumerate(prepared.batches()):
+        scored = model.score(batch).select(
+            "seq", F.col(truth).alias("truth"), "pred",
+            *[F.when(is_predict, F.col(c)).alias(f"in_{i}") for i, c in enumerate(inputs)], "role",
+        )
+        schema = scored.schema
+        scored.write.partitionBy("role").parquet(f"{out}/batch_id={b}")
+        model = model.learn(batch.filter(F.col("role") == TRAIN), span=(first, last), **learn_args)
+    done = spark.read.schema(schema.add("batch_id", "integer")).parquet(out)
+    asked = done.filter(is_predict).select("seq", *[F.col(f"in_{i}").alias(c) for i, c in enumerate(inputs)], "pred")
+    return Outcome(model, asked, done.filter(F.col("role") == TRAIN).select("seq", "truth", "pred"))

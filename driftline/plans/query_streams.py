@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from driftline.functions.vectors import vectorize
 from driftline.operators.evaluate import class_counts, confusion, learning_curve, measurements_long, precision_recall
 from driftline.operators.linear import normal_stats, solve_normal
-from driftline.operators.order import with_seq
+from driftline.operators.order import number_rows, with_batch, with_seq
 from driftline.operators.tree import numeric_stats
 from driftline.plans.query_kernels import ORACLES as KERNEL_ORACLES
 from driftline.plans.query_metrics import no_nan
@@ -23,7 +26,7 @@ from driftline.plans.tables import (
     table,
 )
 from driftline.schema import predict_target
-from driftline.session import fresh_path
+from driftline.session import fresh_path, stored
 from driftline.sources.replay import stream_csv, stream_parquet
 from driftline.sources.sinks import insert_into, write_curve_csv
 from driftline.streaming.incremental import (
@@ -40,22 +43,23 @@ from driftline.streaming.learners import ClassifierStream, ClusterStream, Regres
 ARRIVALS = 4
 
 
-def arrivals(df: DataFrame, order_by: str, name: str, fmt: str = "parquet") -> tuple[str, DataFrame]:
-    """Write ``df`` as files that arrive one after the other in order, and return the folder with the schema."""
+def arrive(
+    df: DataFrame,
+    order_by: str,
+    name: str,
+    run: Callable[[DataFrame], StreamingQuery],
+    fmt: str = "parquet",
+) -> None:
+    """Let the rows arrive in four parts, in order, and let the stream catch up after each part."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    ranges = with_seq(df, order_by)
-    total_rows = df.count()
-    step = -(-total_rows // ARRIVALS)
+    numbered, total_rows = number_rows(df, order_by)
+    starts = [1 + i * total_rows // ARRIVALS for i in range(ARRIVALS)]
+    parts_ = stored(with_batch(numbered, starts, name="arrival").drop("seq"), name, "arrival")
     for i in range(ARRIVALS):
-        part = ranges.filter((F.col("seq") > i * step) & (F.col("seq") <= (i + 1) * step)).drop("seq")
-        part.coalesce(1).write.mode("append").format(fmt).save(path)
-    return path, df
-
-
-def _stream(df: DataFrame, order_by: str, name: str) -> DataFrame:
-    path, rows = arrivals(df, order_by, name)
-    return stream_parquet(df.sparkSession, path, rows.schema, files_per_trigger=1)
+        parts_.filter(F.col("arrival") == i).drop("arrival").write.mode("append").format(fmt).save(path)
+        reader = stream_csv if fmt == "csv" else stream_parquet
+        run(reader(spark, path, df.schema)).awaitTermination()
 
 
 def stream_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,10 +73,8 @@ def stream_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_csv_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", "value", "event_type")
-    path, _ = arrivals(rows, "event_id", "csv", "csv")
-    stream = stream_csv(spark, path, rows.schema, files_per_trigger=1)
     out = fresh_path(spark, "csvout")
-    insert_into(stream, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    arrive(rows, "event_id", "csv", lambda stream: insert_into(stream, f"{out}/rows", f"{out}/checkpoint"), "csv")
     return spark.read.schema(rows.schema).parquet(f"{out}/rows")
 
 
@@ -84,7 +86,7 @@ def _event_pairs_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_path(spark, "confusion")
-    accumulate(_stream(_event_pairs_rows(spark, sf_dir), "event_id", "pairs"), confusion, out).awaitTermination()
+    arrive(_event_pairs_rows(spark, sf_dir), "event_id", "pairs", lambda stream: accumulate(stream, confusion, out))
     merged = total(spark, out, ["truth", "pred"], n="sum", weight="sum")
     counts = precision_recall(class_counts(merged))
     return counts.select("cls", "support", "tp", no_nan("precision"), no_nan("recall"), no_nan("f1"))
@@ -94,7 +96,7 @@ def stream_curve_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learning curve written to CSV after the run, and read back."""
     out = fresh_path(spark, "curve")
     rows = _event_pairs_rows(spark, sf_dir)
-    accumulate(_stream(rows, "event_id", "pairs"), lambda b: b, out).awaitTermination()
+    arrive(rows, "event_id", "pairs", lambda stream: accumulate(stream, lambda b: b, out))
     curve = learning_curve(with_seq(parts(spark, out).select("event_id", "truth", "pred"), "event_id"), 5, 1000)
     write_curve_csv(measurements_long(curve, 5), f"{out}/csv", 0, completed=True)
     schema = "point bigint, final_partial boolean, ordinal int, measurement string, value double, completed boolean"
@@ -109,10 +111,14 @@ def stream_numeric_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", *columns, index_in("l_returnflag", ("A", "N", "R")).alias("label"),
         index_in("l_linestatus", ("F", "O")).alias("leaf"),
     )
-    stream = _stream(rows, "l_orderkey", "lineitem").withColumn("l_extendedprice", F.col("l_extendedprice") / 1000.0)
     out = fresh_path(spark, "stats")
-    vectors = stream.select("leaf", "label", vectorize(columns).alias("features"))
-    accumulate(vectors, lambda b: numeric_stats(b, 4), out).awaitTermination()
+
+    def run(stream: DataFrame) -> StreamingQuery:
+        priced = stream.withColumn("l_extendedprice", F.col("l_extendedprice") / 1000.0)
+        vectors = priced.select("leaf", "label", vectorize(columns).alias("features"))
+        return accumulate(vectors, lambda b: numeric_stats(b, 4), out)
+
+    arrive(rows, "l_orderkey", "lineitem", run)
     merged = total(spark, out, ["leaf", "label", "attr"], n="sum", s="sum", q="sum", lo="min", hi="max")
     return merged.select(
         "leaf", "label", "attr", F.col("n").cast("bigint").alias("n"), F.round(F.col("s") / F.col("n"), 6).alias("mean"),
@@ -123,17 +129,21 @@ def stream_numeric_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", "event_type", F.col("user_id").cast("string").alias("user"))
     out = fresh_path(spark, "dictionary")
-    dictionary_stream(_stream(rows, "event_id", "events"), ["event_type", "user"], "event_id", out).awaitTermination()
+    arrive(rows, "event_id", "events", lambda s: dictionary_stream(s, ["event_type", "user"], "event_id", out))
     return latest_dictionary(spark, out).select("attr", "value", "idx", "first_seq", "n_rows")
 
 
 def stream_linreg(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_discount", "l_extendedprice")
-    stream = _stream(rows, "l_orderkey", "lineitem").select(
-        vectorize(["l_quantity", "l_discount"]).alias("features"), (F.col("l_extendedprice") / 1000.0).alias("target")
-    )
     out = fresh_path(spark, "linreg")
-    accumulate(stream, lambda b: normal_stats(b, 2), out).awaitTermination()
+
+    def run(stream: DataFrame) -> StreamingQuery:
+        vectors = stream.select(
+            vectorize(["l_quantity", "l_discount"]).alias("features"), (F.col("l_extendedprice") / 1000.0).alias("target")
+        )
+        return accumulate(vectors, lambda b: normal_stats(b, 2), out)
+
+    arrive(rows, "l_orderkey", "lineitem", run)
     w = solve_normal([(r["i"], r["j"], r["v"]) for r in total(spark, out, ["i", "j"], v="sum").collect()], 2)
     return spark.createDataFrame([(i, round(v, 4)) for i, v in enumerate(w)], "i int, w double")
 
@@ -141,8 +151,8 @@ def stream_linreg(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = embedding_rows(spark, sf_dir)
     out = fresh_path(spark, "kmeans")
-    stream = _stream(rows, "vec_id", "embeddings")
-    kmeans_stream(stream, class_centers(rows), out, alpha=0.9).awaitTermination()
+    centers = class_centers(rows)
+    arrive(rows, "vec_id", "embeddings", lambda stream: kmeans_stream(stream, centers, out, alpha=0.9))
     return latest_centers(spark, out).select("idx", F.round("n", 4).alias("n"), F.size("center").alias("dims"))
 
 
@@ -153,7 +163,7 @@ def stream_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     learner = ClassifierStream(
         spark, fresh_path(spark, "classifier"), "event_id", numeric=["value", "hour", "user"], label="label", n_classes=5
     )
-    learner.start(_stream(rows, "event_id", "events")).awaitTermination()
+    arrive(rows, "event_id", "events", learner.start)
     return learner.outputs("predictions").select("seq", "value", "hour", "user", "prediction")
 
 
@@ -166,14 +176,14 @@ def stream_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     learner = RegressorStream(
         spark, fresh_path(spark, "regressor"), "p_partkey", features=["size", "part"], target="price"
     )
-    learner.start(_stream(rows, "p_partkey", "part")).awaitTermination()
+    arrive(rows, "p_partkey", "part", learner.start)
     return learner.outputs("predictions").select("seq", "size", "part", "prediction")
 
 
 def stream_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     learner = ClusterStream(spark, fresh_path(spark, "clusters"), "vec_id", features="embedding", k=3)
-    learner.start(_stream(rows, "vec_id", "embeddings")).awaitTermination()
+    arrive(rows, "vec_id", "embeddings", learner.start)
     return learner.outputs("centers")
 
 
