@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions.vectors import nan_ratio
 from driftline.operators.order import BUCKET_ROWS, running, with_previous
+from driftline.session import cut_lineage
 
 # Names and order of the measurements of one evaluation record.
 INSTANCES = "evaluation instances"
@@ -202,7 +203,8 @@ def learning_curve(
     per_point = flagged.groupBy(F.ceil(F.col("seq") / F.lit(every)).cast("bigint").alias("step")).agg(*aggs)
     renamed = per_point.select("step", "rows", *[F.col(c).alias(f"p_{c}") for c in counters])
     sums = {c: ("sum", f"p_{c}") for c in counters if c != "rows"} | {"so_far": ("sum", "p_rows")}
-    curve = running(renamed, sums, "step", span=POINT_SPAN)
+    # Points are few: storing them keeps the pass over all rows from running once per branch below.
+    curve = running(cut_lineage(renamed), sums, "step", span=POINT_SPAN)
 
     n = F.col("w_all")
     p0 = F.col("w_hit") / n
@@ -300,7 +302,7 @@ def learning_curve_regression(
         F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(f"p_{c}") for c in names]
     )
     curve = running(
-        per_point, {c: ("sum", f"p_{c}") for c in names} | {"so_far": ("sum", "rows")}, "step", span=POINT_SPAN
+        cut_lineage(per_point), {c: ("sum", f"p_{c}") for c in names} | {"so_far": ("sum", "rows")}, "step", span=POINT_SPAN
     )
     return curve.select(
         F.col("so_far").alias("point"), (F.col("rows") < every).alias("final_partial"),

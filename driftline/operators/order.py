@@ -6,6 +6,7 @@ handled by its own task, and only one small row per bucket crosses bucket border
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Mapping, Sequence
 
@@ -14,6 +15,10 @@ from pyspark.sql import functions as F
 
 BUCKET_ROWS = 1_000_000
 TOP_N_ROWS = 100_000
+# Order buckets per shuffle partition: several, so that hashing bucket numbers to tasks evens out.
+BUCKETS_PER_PARTITION = 4
+# A bucket this many times the mean, and larger than BUCKET_ROWS, means that the order keys hold a hot tie.
+HOT_FACTOR = 8
 
 
 def bucket_of(keys: Sequence[str], bounds: Sequence[tuple]) -> Column:
@@ -22,7 +27,10 @@ def bucket_of(keys: Sequence[str], bounds: Sequence[tuple]) -> Column:
         return F.lit(0)
     if len(keys) == 1:
         key = F.col(keys[0])
-        table = F.array(*[F.lit(b[0]) for b in bounds])
+        if all(type(b[0]) is int for b in bounds):
+            table = F.expr(f"array({', '.join(f'{b[0]}L' for b in bounds)})")
+        else:
+            table = F.array(*[F.lit(b[0]) for b in bounds])
     else:
         key = F.struct(*[F.col(k) for k in keys])
         table = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, b)]) for b in bounds])
@@ -65,16 +73,21 @@ def number_rows(
 ) -> tuple[DataFrame, int]:
     """The rows numbered 1, 2, 3, ... in the order of ``order_by``, and how many there are."""
     keys = order_keys(order_by)
-    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or BUCKETS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = df.columns
     bounds, before, total = order_buckets(df, keys, buckets)
+    largest = max(b - a for a, b in itertools.pairwise([*before, total]))
+    if largest > max(BUCKET_ROWS, HOT_FACTOR * total / buckets):
+        # Tied rows have no order of their own; a hash of the row splits them, the same way on every replay.
+        df = df.withColumn("__tie", F.xxhash64(*columns))
+        keys = [*keys, "__tie"]
+        bounds, before, total = order_buckets(df, keys, buckets)
     offsets = F.expr(f"array({', '.join(f'{b}L' for b in before)})")
     window = Window.partitionBy("__bucket").orderBy(*keys)
-    numbered = (
-        df.withColumn("__bucket", bucket_of(keys, bounds))
-        .withColumn(name, F.row_number().over(window) + F.get(offsets, F.col("__bucket")))
-        .drop("__bucket")
+    numbered = df.withColumn("__bucket", bucket_of(keys, bounds)).withColumn(
+        name, F.row_number().over(window) + F.get(offsets, F.col("__bucket"))
     )
-    return numbered, total
+    return numbered.drop("__bucket", "__tie"), total
 
 
 def with_seq(df: DataFrame, order_by: str | Sequence[str], name: str = "seq", buckets: int | None = None) -> DataFrame:
@@ -121,6 +134,10 @@ def with_previous(
     )
 
 
+def with_block(df: DataFrame, position: str = "seq", span: int = BUCKET_ROWS, name: str = "__block") -> DataFrame:
+    return df.withColumn(name, F.floor(F.col(position) / F.lit(span)))
+
+
 _RUNNING = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
 
 
@@ -131,32 +148,35 @@ def running(
     keys: Sequence[str] = (),
     span: int = BUCKET_ROWS,
     exclusive: Sequence[str] = (),
+    block: str | None = None,
 ) -> DataFrame:
     """Running aggregates in order of ``position`` within ``keys``; ``specs`` maps output to (function, column).
 
     Two levels: running values inside blocks of ``span`` positions, plus the running totals of the blocks before.
     A single key may hold any share of the rows, because its blocks are spread over tasks.  Outputs named in
-    ``exclusive`` leave the current row out.
+    ``exclusive`` leave the current row out.  Several passes can share one shuffle: name an existing ``block`` column
+    (see :func:`with_block`), which is then kept.
     """
     keys = list(keys)
-    block = [*keys, "__block"]
-    rows = df.withColumn("__block", F.floor(F.col(position) / F.lit(span)))
-    inner = Window.partitionBy(*block).orderBy(position)
+    at = block or "__block"
+    rows = df if block else with_block(df, position, span, at)
+    blocks = [*keys, at]
+    inner = Window.partitionBy(*blocks).orderBy(position)
     upto = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = inner.rowsBetween(Window.unboundedPreceding, -1)
 
     local = rows.withColumns(
         {out: _RUNNING[fn](c).over(before if out in exclusive else upto) for out, (fn, c) in specs.items()}
     )
-    totals = rows.groupBy(*block).agg(*[_RUNNING[fn](c).alias(f"__t_{out}") for out, (fn, c) in specs.items()])
-    across = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(*blocks).agg(*[_RUNNING[fn](c).alias(f"__t_{out}") for out, (fn, c) in specs.items()])
+    across = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
     merge = {"count": F.sum}
     carried = totals.select(
-        *block,
+        *blocks,
         *[merge.get(fn, _RUNNING[fn])(f"__t_{out}").over(across).alias(f"__c_{out}") for out, (fn, _) in specs.items()],
     )
 
-    joined = local.join(carried, block)
+    joined = local.join(carried, blocks)
     result = {}
     for out, (fn, _) in specs.items():
         here, earlier = F.col(out), F.col(f"__c_{out}")
@@ -164,7 +184,7 @@ def running(
             result[out] = F.coalesce(here + earlier, here, earlier)
         else:
             result[out] = (F.least if fn == "min" else F.greatest)(here, earlier)
-    return joined.withColumns(result).drop("__block", *[f"__c_{out}" for out in specs])
+    return joined.withColumns(result).drop(*([] if block else [at]), *[f"__c_{out}" for out in specs])
 
 
 def batch_starts(total: int, first: int, growth: float) -> list[int]:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from driftline.functions.bounds import hoeffding_bound_sql
 from driftline.functions.vectors import dot, double_rows, doubles
 from driftline.operators.linear import normal_stats, solve_normal
-from driftline.operators.order import BUCKET_ROWS, running
+from driftline.operators.order import BUCKET_ROWS, running, with_block
 from driftline.session import cut_lineage
 
 STATS_KEYS = ("rule", "attr", "bin")
@@ -113,11 +113,12 @@ def page_hinkley(
     m_t sums e_i − mean_i − α with the mean of the first i values.  Three running passes over the same (key, block)
     partitioning, so a key of any size is spread over tasks.
     """
-    base = df.select(*keys, position, F.col(value).cast("double").alias("__e"))
-    first = running(base, {"__s": ("sum", "__e"), "__k": ("count", "__e")}, position, keys, span)
+    base = with_block(df.select(*keys, position, F.col(value).cast("double").alias("__e")), position, span)
+    share = {"position": position, "keys": keys, "block": "__block"}
+    first = running(base, {"__s": ("sum", "__e"), "__k": ("count", "__e")}, **share)
     terms = first.withColumn("__term", F.col("__e") - F.col("__s") / F.col("__k") - alpha).drop("__s", "__k")
-    sums = running(terms, {"m": ("sum", "__term")}, position, keys, span)
-    least = running(sums, {"m_min": ("min", "m")}, position, keys, span)
+    sums = running(terms, {"m": ("sum", "__term")}, **share)
+    least = running(sums, {"m_min": ("min", "m")}, **share)
     return least.select(
         *keys, position, F.col("__e").alias(value), "m", "m_min",
         (F.col("m") - F.col("m_min") > threshold).alias("alarm"),

@@ -40,6 +40,15 @@ def test_with_seq_on_strings_nulls_and_few_rows(spark, buckets):
     assert got == [None, "a", "b", "c"]
 
 
+def test_hot_ties_are_split_by_the_row_itself(spark, monkeypatch):
+    monkeypatch.setattr("driftline.operators.order.BUCKET_ROWS", 50)
+    df = spark.range(2000).select(F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id")).alias("k"), "id")
+    rows = with_seq(df, "k", buckets=64).orderBy("seq").collect()
+    assert [r.seq for r in rows] == list(range(1, 2001))
+    assert [r.k for r in rows] == sorted(r.k for r in rows) and len({r.id for r in rows}) == 2000
+    assert rows[0].asDict().keys() == {"k", "id", "seq"}
+
+
 def test_with_seq_of_an_empty_table(spark):
     assert with_seq(spark.range(0), "id").count() == 0
 
