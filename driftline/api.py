@@ -1,4 +1,4 @@
-"""The three learners as calls on a DataFrame.  Parameters are checked against ``df.schema`` before any job starts."""
+"""The learners as calls on a DataFrame.  Parameters are checked against ``df.schema`` before any job starts."""
 
 from __future__ import annotations
 
@@ -10,10 +10,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftline.functions.vectors import vectorize
 from driftline.operators.cluster import ClusterModel, ClusterParams, centers_row
 from driftline.operators.encode import OVERFLOW_MODES, decode
 from driftline.operators.evaluate import learning_curve, learning_curve_regression, measurements_long
-from driftline.operators.order import order_keys, with_seq
+from driftline.operators.kmeans_stream import (
+    INCREMENTAL,
+    INDEPENDENT,
+    SLIDING,
+    batch_kmeans,
+    batch_output,
+    update,
+)
+from driftline.operators.kmeans_stream import output as kmeans_output
+from driftline.operators.linear import confidence_interval
+from driftline.operators.order import batch_starts, number_rows, order_keys, with_batch, with_seq
 from driftline.operators.rules import RuleModel, RuleParams
 from driftline.operators.tree import TreeModel, TreeParams
 from driftline.plans.prequential import (
@@ -25,7 +36,7 @@ from driftline.plans.prequential import (
     test_then_train,
 )
 from driftline.schema import parse_cardinalities, require_columns, require_int, require_numeric
-from driftline.session import shuffle_partitions
+from driftline.session import cut_lineage, fresh_path, shuffle_partitions, stored
 
 INTERVAL = 1_000
 
@@ -59,7 +70,7 @@ class Learned:
 
 
 # Columns the learners add to the rows.
-RESERVED = ("features", "role", "batch_id", "pred", "label_idx", "prediction")
+RESERVED = ("features", "role", "stderr", "batch_id", "pred", "label_idx", "prediction")
 
 
 def _order_columns(df: DataFrame, order_by: str | Sequence[str]) -> None:
@@ -173,3 +184,69 @@ def microcluster_kmeans(
     for span, batch in prepared.batches():
         model = model.learn(batch, span=span)
     return Learned(centers_row(df.sparkSession, model.centers(), k), model)
+
+
+def streaming_kmeans(
+    df: DataFrame,
+    features: Sequence[str],
+    k: int,
+    order_by: str | Sequence[str],
+    learn_type: int = INDEPENDENT,
+    window_shift: int = 0,
+    batch_size: int = 1000,
+    num_iterations: int = 10,
+    alpha: float = 1.0,
+    ci: float = 0.95,
+    growth: float = GROWTH,
+) -> tuple[DataFrame, DataFrame]:
+    """Streaming k-means over a table: all inputs + ``stderr`` + ``center0 .. center{k-1}``, and the error interval.
+
+    ``learn_type`` 0 clusters each batch of ``batch_size`` rows on its own, 1 does so for batches that advance by
+    ``window_shift``, 2 keeps one model that starts with the first batch and decays old rows by ``alpha`` per batch
+    (batches then grow by ``growth``).  ``stderr`` is the distance to the nearest centre.
+    """
+    require_int("k", k, 2)
+    require_int("batch_size", batch_size, 1)
+    require_int("num_iterations", num_iterations, 1)
+    if learn_type == SLIDING:
+        require_int("window_shift", window_shift, 1)
+        if window_shift > batch_size:
+            raise ValueError("window_shift: required at most batch_size, so that every row is in a batch")
+    elif learn_type not in (INDEPENDENT, INCREMENTAL):
+        raise ValueError(f"learn_type: required 0, 1 or 2 but found {learn_type}")
+    require_numeric(df, features)
+    _order_columns(df, order_by)
+    numbered, total = number_rows(df, order_by)
+    rows = numbered.withColumn("features", vectorize(features))
+    if learn_type == INCREMENTAL:
+        rows = _incremental_kmeans(rows, total, k, batch_size, num_iterations, alpha, growth)
+    else:
+        rows = stored(rows, "kmeans")
+        shift = window_shift if learn_type == SLIDING else batch_size
+        fits = cut_lineage(batch_kmeans(rows, k, learn_type, window_shift, batch_size, num_iterations))
+        rows = batch_output(rows, fits, k, batch_size, shift)
+    result = rows.drop("features", "batch_id")
+    return result, confidence_interval(result, "stderr", ci)
+
+
+def _incremental_kmeans(
+    rows: DataFrame, total: int, k: int, batch_size: int, iterations: int, alpha: float, growth: float
+) -> DataFrame:
+    """One decayed model: batch b is scored with the centres after batch b; every batch is read from its own folder."""
+    spark = rows.sparkSession
+    starts = batch_starts(total, batch_size, growth)
+    table = stored(with_batch(rows, starts), "kmeans", "batch_id")
+    out = fresh_path(spark, "kmeans-output")
+    schema = None
+    centers = counts = None
+    for b in range(len(starts)):
+        batch = table.filter(F.col("batch_id") == b)
+        if centers is None:
+            first = batch_kmeans(batch, k, INDEPENDENT, 0, batch_size, iterations).first()
+            centers, counts = [list(c) for c in first["centers"]], [0.0] * len(first["centers"])
+        state = sorted(update(batch, centers, counts, alpha).collect(), key=lambda r: r["idx"])
+        centers, counts = [list(r["center"]) for r in state], [r["n"] for r in state]
+        scored = kmeans_output(batch.drop("batch_id"), centers)
+        schema = scored.schema
+        scored.write.parquet(f"{out}/batch_id={b}")
+    return spark.read.schema(schema.add("batch_id", "integer")).parquet(out)

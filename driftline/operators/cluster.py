@@ -146,7 +146,7 @@ def cluster_ssq(
 # ---------------------------------------------------------------- micro-clusters
 
 
-def _lloyd(points: np.ndarray, weights: np.ndarray, k: int, seed: int, iterations: int) -> np.ndarray:
+def weighted_kmeans(points: np.ndarray, weights: np.ndarray, k: int, seed: int, iterations: int) -> np.ndarray:
     """Weighted k-means labels for a small set of points, with k-means++ style seeding."""
     rng = np.random.default_rng(seed)
     k = min(k, len(points))
@@ -177,7 +177,7 @@ def _shrink(cf: tuple, m: int, seed: int) -> tuple:
     n, ls, ss, st, stt = cf
     if len(n) <= m:
         return cf
-    labels = _lloyd(ls / n[:, None], n, m, seed, 3)
+    labels = weighted_kmeans(ls / n[:, None], n, m, seed, 3)
     _, labels = np.unique(labels, return_inverse=True)
     size = labels.max() + 1
 
@@ -356,7 +356,7 @@ def macro_kmeans(kernels: Sequence[tuple], k: int, seed: int = 1, iterations: in
     """
     n = np.array([r[0] for r in kernels], dtype=np.float64)
     points = np.array([r[1] for r in kernels], dtype=np.float64) / n[:, None]
-    labels = _lloyd(points, n, k, seed, iterations)
+    labels = weighted_kmeans(points, n, k, seed, iterations)
     centers = [np.average(points[labels == c], axis=0, weights=n[labels == c]).tolist() for c in np.unique(labels)]
     return sorted(centers)
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftline.functions.vectors import center_format, double_rows, doubles
-from driftline.operators.cluster import cf_vectors, nearest_center
+from driftline.operators.cluster import cf_vectors, nearest_center, weighted_kmeans
 from driftline.operators.order import sliding_batches
 
 # Learn types: each batch on its own, overlapping batches, or one model with decay.
@@ -24,6 +26,60 @@ def learn_batches(df: DataFrame, learn_type: int, window_shift: int, batch_size:
     return sliding_batches(df, batch_size, shift, seq)
 
 
+def first_batch_of(seq: Column, size: int, shift: int) -> Column:
+    """Number of the first batch that covers a row; the batch in which the row is new."""
+    return F.greatest(F.lit(0), F.ceil((seq - size) / F.lit(shift))).cast("bigint")
+
+
+def batch_kmeans(
+    df: DataFrame,
+    k: int,
+    learn_type: int = INDEPENDENT,
+    window_shift: int = 0,
+    batch_size: int = 1000,
+    iterations: int = 10,
+    features: str = "features",
+    seq: str = "seq",
+    seed: int = 1,
+) -> DataFrame:
+    """k-means on every independent or sliding batch: (batch, n, centers).
+
+    A batch never holds more than ``batch_size`` rows, so one task per batch is bounded and all batches run in parallel.
+    """
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("seq")
+        x = np.stack(pdf["features"].to_numpy()).astype(np.float64)
+        labels = weighted_kmeans(x, np.ones(len(x)), k, seed, iterations)
+        centers = sorted(x[labels == c].mean(axis=0).tolist() for c in np.unique(labels))
+        return pd.DataFrame({"batch": [pdf["batch"].iloc[0]], "n": [len(x)], "centers": [centers]})
+
+    rows = learn_batches(df, learn_type, window_shift, batch_size, seq)
+    rows = rows.select("batch", F.col(seq).alias("seq"), F.col(features).cast("array<double>").alias("features"))
+    return rows.groupBy("batch").applyInPandas(fit, "batch bigint, n bigint, centers array<array<double>>")
+
+
+def batch_output(
+    df: DataFrame,
+    fits: DataFrame,
+    k: int,
+    size: int,
+    shift: int,
+    features: str = "features",
+    seq: str = "seq",
+    error: str = "stderr",
+) -> DataFrame:
+    """Every row once, with the centres of the batch it is new in and its distance to the nearest of them.
+
+    Rows join their batch on a key that holds at most ``size`` rows, so no key can be hot.
+    """
+    keyed = df.withColumn("__batch", first_batch_of(F.col(seq), size, shift))
+    joined = keyed.join(fits.select(F.col("batch").alias("__batch"), "centers"), "__batch")
+    nearest_sq = f"array_min(transform(centers, c -> aggregate(zip_with(c, {features}, (a, b) -> (a - b) * (a - b)), 0D, (s, v) -> s + v)))"
+    texts = {f"center{i}": center_format(F.get("centers", F.lit(i))) for i in range(k)}
+    return joined.withColumn(error, F.sqrt(F.expr(nearest_sq))).withColumns(texts).drop("__batch", "centers")
+
+
 def batch_totals(
     df: DataFrame, size: int, shift: int, sums: Sequence[str], seq: str = "seq", keys: Sequence[str] = ()
 ) -> DataFrame:

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from driftline.functions.bounds import z_value
 from driftline.functions.vectors import dot, doubles
+from driftline.operators.kmeans_stream import INCREMENTAL, INDEPENDENT, learn_batches
+from driftline.operators.order import running
+from driftline.session import cut_lineage
 
 
 # Up to this many attributes the moments are one wide aggregate; beyond it each task adds up ZᵀZ of its Arrow batches.
@@ -78,6 +81,35 @@ def fit(df: DataFrame, attrs: int, features: str = "features", target: str = "ta
     return solve_normal([(r["i"], r["j"], r["v"]) for r in normal_stats(df, attrs, features, target).collect()], attrs)
 
 
+def batch_fits(
+    df: DataFrame,
+    attrs: int,
+    learn_type: int = INDEPENDENT,
+    window_shift: int = 0,
+    batch_size: int = 1000,
+    features: str = "features",
+    target: str = "target",
+    seq: str = "seq",
+) -> DataFrame:
+    """Least-squares weights after every batch: (batch, n, weights), for independent, sliding or cumulative batches.
+
+    Moments add up per batch with map-side combine; cumulative fits are running sums of those moments, so no step waits
+    for a driver loop.  Only (attrs + 2)(attrs + 3)/2 cells per batch meet in one task.
+    """
+    batched = learn_batches(df, learn_type, window_shift, batch_size, seq)
+    cells = normal_stats(batched, attrs, features, target, keys=["batch"])
+    if learn_type == INCREMENTAL:
+        cells = running(cut_lineage(cells), {"total": ("sum", "v")}, "batch", ["i", "j"], span=10_000)
+        cells = cells.select("batch", "i", "j", F.col("total").alias("v"))
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        weights = solve_normal(zip(pdf["i"], pdf["j"], pdf["v"]), attrs)
+        n = pdf.loc[(pdf["i"] == 0) & (pdf["j"] == 0), "v"].iloc[0]
+        return pd.DataFrame({"batch": [pdf["batch"].iloc[0]], "n": [int(n)], "weights": [weights]})
+
+    return cells.groupBy("batch").applyInPandas(solve, "batch bigint, n bigint, weights array<double>")
+
+
 def predict(df: DataFrame, weights: Sequence[float], features: str = "features", out: str = "pred") -> DataFrame:
     return df.withColumn(out, F.lit(float(weights[0])) + dot(doubles(weights[1:]), F.col(features)))
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from driftline.functions.bounds import ERF_A, ERF_P
 from driftline.functions.vectors import argmax_votes, vectorize
 from driftline.operators.cluster import cf_vectors, cluster_ssq, lloyd_step, merge_cf, nearest_center, radius
-from driftline.operators.kmeans_stream import output, update
-from driftline.operators.linear import fit, normal_stats, sgd_step
+from driftline.operators.kmeans_stream import INCREMENTAL, SLIDING, output, update
+from driftline.operators.linear import batch_fits, fit, normal_stats, sgd_step
+from driftline.operators.order import with_seq
 from driftline.operators.rules import (
     Rule,
     RuleModel,
@@ -276,7 +277,30 @@ def linreg_sgd_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sgd_step(_linear_rows(spark, sf_dir), SGD_WEIGHTS, SGD_RATE).select("i", F.round("w", 6).alias("w"))
 
 
+def _part_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey", vectorize(["o_custkey"]).alias("features"), (F.col("o_totalprice") / 1000.0).alias("target")
+    )
+    return with_seq(rows, "o_orderkey")
+
+
+def _weights_long(fits: DataFrame) -> DataFrame:
+    return fits.select(
+        "batch", "n", F.round(F.get("weights", F.lit(0)), 4).alias("w0"), F.round(F.get("weights", F.lit(1)), 6).alias("w1")
+    )
+
+
+def linreg_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _weights_long(batch_fits(_part_line(spark, sf_dir), 1, SLIDING, 500, 1000))
+
+
+def linreg_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _weights_long(batch_fits(_part_line(spark, sf_dir), 1, INCREMENTAL, 0, 1000))
+
+
 QUERIES = {
+    "linreg_batches": linreg_batches,
+    "linreg_cumulative": linreg_cumulative,
     "ht_route_depth1": ht_route_depth1,
     "ht_numeric_stats": ht_numeric_stats,
     "ht_nominal_stats": ht_nominal_stats,
@@ -352,7 +376,18 @@ _W0, _W1, _W2 = (f"({v!r}e0)" for v in SGD_WEIGHTS)
 
 _HOEFFDING3 = f"sqrt(power(log2(3), 2) * {math.log(1e7)!r}e0 / (2 * n))"
 
+_FITS = """o AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS seq, CAST(o_custkey AS DOUBLE) AS x,
+             o_totalprice / 1000.0 AS y FROM orders)
+"""
+
 ORACLES = {
+    "linreg_batches": f"""WITH {_FITS}, g AS (SELECT b AS batch, x, y FROM o, LATERAL (SELECT unnest(range(greatest(0,
+            CAST(floor((seq - 1 - 1000) / 500.0) AS BIGINT) + 1), CAST(floor((seq - 1) / 500.0) AS BIGINT) + 1)) AS b))
+        SELECT batch, count(*) AS n, round(regr_intercept(y, x), 4) AS w0, round(regr_slope(y, x), 6) AS w1
+        FROM g GROUP BY batch""",
+    "linreg_cumulative": f"""WITH {_FITS}, b AS (SELECT DISTINCT (seq - 1) // 1000 AS batch FROM o)
+        SELECT batch, count(*) AS n, round(regr_intercept(y, x), 4) AS w0, round(regr_slope(y, x), 6) AS w1
+        FROM b JOIN o ON (seq - 1) // 1000 <= batch GROUP BY batch""",
     "ht_route_depth1": f"""WITH {SQL_LINEITEM} SELECT CAST(CASE WHEN f0 <= 25 THEN 1 ELSE 2 END AS INTEGER) AS leaf,
         CAST(CASE WHEN f0 <= 25 THEN 0 ELSE 1 END AS INTEGER) AS pred, CAST(label AS INTEGER) AS label, count(*) AS n
         FROM l GROUP BY 1, 2, 3""",

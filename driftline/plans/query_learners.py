@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.api import Learned, hoeffding_classifier, microcluster_kmeans, rules_regressor
+from driftline.api import Learned, hoeffding_classifier, microcluster_kmeans, rules_regressor, streaming_kmeans
 from driftline.plans.tables import embedding_rows, marked_events, table
 from driftline.operators.cluster import centers_row, cluster_ssq
 from driftline.schema import predict_target
@@ -99,7 +99,28 @@ def cluster_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centers_row(spark, learned.model.centers(), 4)
 
 
+def _kmeans_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
+        "event_id", "value", F.hour("ts").cast("double").alias("hour"), F.col("user_id").cast("double").alias("user")
+    )
+
+
+def kmeans_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streaming_kmeans(_kmeans_rows(spark, sf_dir), ["value", "hour", "user"], 2, "event_id", 0, 0, 1000)[0]
+
+
+def kmeans_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streaming_kmeans(_kmeans_rows(spark, sf_dir), ["value", "hour", "user"], 2, "event_id", 1, 500, 1000)[0]
+
+
+def kmeans_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streaming_kmeans(_kmeans_rows(spark, sf_dir), ["value", "hour", "user"], 2, "event_id", 2, alpha=0.9)[0]
+
+
 QUERIES = {
+    "kmeans_batches": kmeans_batches,
+    "kmeans_sliding": kmeans_sliding,
+    "kmeans_incremental": kmeans_incremental,
     "ht_train_nodes": ht_train_nodes,
     "ht_predict": ht_predict,
     "ht_prequential": ht_prequential,

@@ -103,3 +103,26 @@ def test_output_keeps_inputs(spark):
     df = spark.createDataFrame([(1.0, [3.0, 4.0])], "x double, features array<double>")
     row = output(df, [[0.0, 0.0], [9.0, 9.0]]).first()
     assert (row.x, row.stderr, row.center0, row.center1) == (1.0, 5.0, "[0.0,0.0]", "[9.0,9.0]")
+
+
+@pytest.mark.parametrize("learn_type,shift", [(0, 0), (1, 50), (2, 0)])
+def test_streaming_kmeans_returns_every_row_once(spark, learn_type, shift):
+    df = groups(spark, 450).select("seq", *[F.get("features", F.lit(i)).alias(f"x{i}") for i in range(2)])
+    df = df.withColumnRenamed("seq", "k").withColumn("tag", F.lit("t"))
+    out, interval = driftline.streaming_kmeans(df, ["x0", "x1"], 3, "k", learn_type, shift, 100, 10, 0.9, 0.95)
+    rows = out.orderBy("k").collect()
+    assert [r.k for r in rows] == list(range(1, 451))
+    assert set(out.columns) == {"k", "seq", "x0", "x1", "tag", "stderr", "center0", "center1", "center2"}
+    for r in rows:
+        centers = np.array([[float(v) for v in r[f"center{i}"].strip("[]").split(",")] for i in range(3)])
+        assert r.stderr == pytest.approx(np.sqrt(((centers - [r.x0, r.x1]) ** 2).sum(axis=1)).min())
+        assert r.stderr < 8
+    ci = interval.first()
+    assert ci.n == 450 and ci.low < ci.mean < ci.high
+
+
+def test_streaming_kmeans_parameters(spark):
+    df = spark.createDataFrame([(1, 1.0)], "k long, x double")
+    for args in ({"learn_type": 3}, {"learn_type": 1, "window_shift": 0}, {"learn_type": 1, "window_shift": 2000}, {"batch_size": 0}):
+        with pytest.raises(ValueError):
+            driftline.streaming_kmeans(df, ["x"], 2, "k", **args)

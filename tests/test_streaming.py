@@ -154,3 +154,16 @@ def test_cluster_stream(spark):
 
 def test_empty_store(spark):
     assert ModelStore(spark, fresh_path(spark, "none")).latest_before() is None
+
+
+def test_summary_and_processing_time_trigger(spark):
+    from driftline.streaming.progress import summary
+
+    path, out = fresh_path(spark, "in"), fresh_path(spark, "timed")
+    add_file(spark, path, [(1, "a"), (2, "b")], "k long, v string")
+    stream = stream_parquet(spark, path, spark.createDataFrame([], "k long, v string").schema)
+    query = insert_into(stream, out + "/rows", out + "/checkpoint", {"processingTime": "100 milliseconds"})
+    query.processAllAvailable()
+    got = summary(query)
+    query.stop()
+    assert (got["instances"], got["batches"]) == (2, 1) and got["seconds"] > 0
