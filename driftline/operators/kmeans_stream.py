@@ -128,6 +128,6 @@ def output(
 ) -> DataFrame:
     """All input columns, the distance to the nearest centre, and the formatted centres."""
     scored = nearest_center(df, centers, features, "__idx", "__d2").withColumn(error, F.sqrt("__d2"))
-    for i, c in enumerate(centers):
-        scored = scored.withColumn(f"center{i}", center_format(doubles(c)))
-    return scored.drop("__idx", "__d2")
+    # The texts are the same for every row, so they are formatted once and not per row.
+    texts = df.sparkSession.range(1).select(*[center_format(doubles(c)) for c in centers]).first()
+    return scored.withColumns({f"center{i}": F.lit(t) for i, t in enumerate(texts)}).drop("__idx", "__d2")

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.api import Learned, hoeffding_classifier, microcluster_kmeans, rules_regressor, streaming_kmeans
-from driftline.plans.tables import embedding_rows, marked_events, table
 from driftline.operators.cluster import centers_row, cluster_ssq
+from driftline.plans.tables import SQL_MARKED, embedding_rows, marked_events, table
 from driftline.schema import predict_target
 
 
@@ -38,6 +38,19 @@ def ht_bagged_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, sf_dir, bagging=3).predictions
 
 
+# A grace period no table reaches: the model stays a single leaf or rule, so its predictions have a SQL counterpart.
+NEVER = 1e18
+
+
+def ht_majority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test-then-train of a tree that never splits: the majority class of the micro-batches before."""
+    return _classified(spark, sf_dir, grace=NEVER).predictions.select("seq", "value", "prediction")
+
+
+def ht_majority_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(spark, sf_dir, grace=NEVER).pairs.select("seq", "truth", "pred")
+
+
 def ht_mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numeric and nominal attributes of documents against their quality label."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"))
@@ -71,6 +84,17 @@ def amr_predict_unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _regressed(spark, sf_dir, ordered=False, head="mean").predictions
 
 
+def amr_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test-then-train of the default rule alone: the mean target of the micro-batches before."""
+    learned = _regressed(spark, sf_dir, grace=NEVER, head="mean")
+    return learned.predictions.select("seq", "size", F.round("prediction", 6).alias("prediction"))
+
+
+def amr_mean_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learned = _regressed(spark, sf_dir, grace=NEVER, head="mean")
+    return learned.pairs.select("seq", "truth", F.round("pred", 6).alias("pred"))
+
+
 def amr_prequential(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _regressed(spark, sf_dir).curve
 
@@ -125,13 +149,44 @@ QUERIES = {
     "ht_predict": ht_predict,
     "ht_prequential": ht_prequential,
     "ht_bagged_predict": ht_bagged_predict,
+    "ht_majority": ht_majority,
+    "ht_majority_pairs": ht_majority_pairs,
     "ht_mixed_documents": ht_mixed_documents,
     "amr_rules": amr_rules,
     "amr_predict": amr_predict,
     "amr_predict_unordered": amr_predict_unordered,
+    "amr_mean": amr_mean,
+    "amr_mean_pairs": amr_mean_pairs,
     "amr_prequential": amr_prequential,
     "cluster_centers": cluster_centers,
     "kmeans_macro": kmeans_macro,
     "cluster_lineitem": cluster_lineitem,
 }
-ORACLES: dict[str, str] = {}
+# Micro-batch k starts after 1000 · (2^k − 1) rows.
+_DOUBLING = "b AS (SELECT k, 1000 * (CAST(pow(2, k) AS BIGINT) - 1) AS before FROM (SELECT unnest(range(0, 30)) AS k))"
+_BATCH_OF = "CAST(floor(log2((seq - 1) // 1000 + 1)) AS BIGINT)"
+
+MAJORITY = """
+d AS (SELECT label, row_number() OVER (ORDER BY min(seq)) - 1 AS idx FROM e WHERE label <> '?' GROUP BY label),
+c AS (SELECT k, idx, count(*) AS n FROM b JOIN (SELECT seq, idx FROM e JOIN d USING (label)) ON seq <= before GROUP BY 1, 2),
+m AS (SELECT k, idx FROM c QUALIFY row_number() OVER (PARTITION BY k ORDER BY n DESC, idx) = 1)
+"""
+_MEAN = f"""
+p AS (SELECT row_number() OVER (ORDER BY p_partkey) AS seq, CAST(p_size AS DOUBLE) AS size, p_retailprice AS y,
+             p_partkey % 50 = 0 AS asked FROM part),
+{_DOUBLING},
+m AS (SELECT k, avg(y) AS mean FROM b JOIN p ON seq <= before WHERE NOT asked GROUP BY k)
+"""
+
+ORACLES: dict[str, str] = {
+    "ht_majority": f"""WITH {SQL_MARKED}, {_DOUBLING}, {MAJORITY}
+        SELECT seq, value, d.label AS prediction FROM e LEFT JOIN m ON m.k = {_BATCH_OF}
+        JOIN d ON d.idx = coalesce(m.idx, 0) WHERE e.label = '?'""",
+    "ht_majority_pairs": f"""WITH {SQL_MARKED}, {_DOUBLING}, {MAJORITY}
+        SELECT seq, CAST(d.idx AS INTEGER) AS truth, CAST(coalesce(m.idx, 0) AS INTEGER) AS pred
+        FROM e JOIN d USING (label) LEFT JOIN m ON m.k = {_BATCH_OF}""",
+    "amr_mean": f"""WITH {_MEAN} SELECT seq, size, round(coalesce(mean, 0), 6) AS prediction
+        FROM p LEFT JOIN m ON m.k = {_BATCH_OF} WHERE asked""",
+    "amr_mean_pairs": f"""WITH {_MEAN} SELECT seq, y AS truth, round(coalesce(mean, 0), 6) AS pred
+        FROM p LEFT JOIN m ON m.k = {_BATCH_OF} WHERE NOT asked""",
+}

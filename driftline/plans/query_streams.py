@@ -14,6 +14,7 @@ from driftline.operators.linear import normal_stats, solve_normal
 from driftline.operators.order import number_rows, with_batch, with_seq
 from driftline.operators.tree import numeric_stats
 from driftline.plans.query_kernels import ORACLES as KERNEL_ORACLES
+from driftline.plans.query_learners import MAJORITY, NEVER
 from driftline.plans.query_metrics import no_nan
 from driftline.plans.tables import (
     EVENT_TYPES,
@@ -167,6 +168,17 @@ def stream_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learner.outputs("predictions").select("seq", "value", "hour", "user", "prediction")
 
 
+def stream_majority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed test-then-train of a tree that never splits: the majority class of the arrivals before."""
+    rows = marked_events(spark, sf_dir).select("event_id", "value", "label")
+    learner = ClassifierStream(
+        spark, fresh_path(spark, "majority"), "event_id", numeric=["value"], label="label", n_classes=5,
+        options={"grace": NEVER},
+    )
+    arrive(rows, "event_id", "events", learner.start)
+    return learner.outputs("pairs").select("seq", "truth", "pred")
+
+
 def stream_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = F.when(F.col("p_partkey") % 50 == 0, predict_target()).otherwise(F.col("p_retailprice"))
     rows = table(spark, sf_dir, "part").select(
@@ -197,6 +209,7 @@ QUERIES = {
     "stream_linreg": stream_linreg,
     "stream_kmeans": stream_kmeans,
     "stream_classifier": stream_classifier,
+    "stream_majority": stream_majority,
     "stream_regressor": stream_regressor,
     "stream_clusters": stream_clusters,
 }
@@ -221,6 +234,11 @@ def _oracles() -> dict[str, str]:
             g AS (SELECT attr, value, min(seq) AS first_seq, count(*) AS n_rows FROM s GROUP BY 1, 2)
             SELECT attr, value, CAST(row_number() OVER (PARTITION BY attr ORDER BY first_seq) - 1 AS INTEGER) AS idx,
             first_seq, n_rows FROM g""",
+        "stream_majority": f"""WITH {SQL_MARKED},
+            n AS (SELECT count(*) AS n FROM events),
+            b AS (SELECT k, k * n // {ARRIVALS} AS before FROM n, (SELECT unnest(range(0, {ARRIVALS})) AS k)), {MAJORITY}
+            SELECT seq, CAST(d.idx AS INTEGER) AS truth, CAST(coalesce(m.idx, 0) AS INTEGER) AS pred
+            FROM e JOIN d USING (label) LEFT JOIN m ON m.k = (SELECT max(b.k) FROM b WHERE b.before < e.seq)""",
         "stream_linreg": KERNEL_ORACLES["linreg_fit"],
     }
 
