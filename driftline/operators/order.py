@@ -12,28 +12,62 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from driftline.functions.vectors import double_text
 
 BUCKET_ROWS = 1_000_000
 TOP_N_ROWS = 100_000
 # Order buckets per shuffle partition: several, so that hashing bucket numbers to tasks evens out.
-BUCKETS_PER_PARTITION = 4
+BUCKETS_PER_PARTITION = 2
 # A bucket this many times the mean, and larger than BUCKET_ROWS, means that the order keys hold a hot tie.
 HOT_FACTOR = 8
 
 
-def bucket_of(keys: Sequence[str], bounds: Sequence[tuple]) -> Column:
-    """Number of bounds that are <= the row's key: a binary search over a literal array."""
+def _comparable(df: DataFrame, name: str) -> Column:
+    """The key in a form with the same order whose values can be written as literals."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(name)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name).cast("bigint")
+    if isinstance(kind, T.IntegralType):
+        return F.col(name).cast("bigint")
+    if isinstance(kind, T.BooleanType):
+        return F.col(name).cast("int").cast("bigint")
+    if isinstance(kind, T.FloatType):
+        return F.col(name).cast("double")
+    return F.col(name)
+
+
+def _literal(value, kind: str) -> str:
+    """SQL text of a key value of the given type."""
+    if value is None:
+        return f"cast(NULL AS {kind})"
+    if kind == "bigint":
+        return f"{value}L"
+    if kind == "double":
+        return double_text(value)
+    if isinstance(value, (bytes, bytearray)):
+        return f"X'{value.hex()}'"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'" if kind == "string" else f"cast('{text}' AS {kind})"
+
+
+def bucket_of(keys: Sequence[Column], bounds: Sequence[tuple], kinds: Sequence[str] = ("bigint",)) -> Column:
+    """Number of bounds that are <= the row's key: a binary search over a literal array.
+
+    ``kinds`` are the SQL types of the keys.
+    """
     if not bounds:
         return F.lit(0)
+    key = keys[0] if len(keys) == 1 else F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
+    texts = [[_literal(v, kind) for v, kind in zip(b, kinds)] for b in bounds]
     if len(keys) == 1:
-        key = F.col(keys[0])
-        if all(type(b[0]) is int for b in bounds):
-            table = F.expr(f"array({', '.join(f'{b[0]}L' for b in bounds)})")
-        else:
-            table = F.array(*[F.lit(b[0]) for b in bounds])
+        rows = [row[0] for row in texts]
     else:
-        key = F.struct(*[F.col(k) for k in keys])
-        table = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, b)]) for b in bounds])
+        rows = ["named_struct(" + ", ".join(f"'k{i}', {t}" for i, t in enumerate(row)) + ")" for row in texts]
+    table = F.expr(f"array({', '.join(rows)})")
     steps = [1 << i for i in reversed(range(max(1, math.ceil(math.log2(len(bounds) + 1)))))]
     return F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
@@ -48,8 +82,9 @@ def order_buckets(df: DataFrame, keys: Sequence[str], buckets: int) -> tuple[lis
     One range shuffle of the key columns alone; one row per bucket reaches the driver.  Equal keys always share a
     range partition, so the counts hold for any later pass that splits the rows at the same bounds.
     """
-    ranged = df.select(*keys).repartitionByRange(buckets, *keys)
-    low = F.min(keys[0]) if len(keys) == 1 else F.min(F.struct(*keys))
+    names = [f"k{i}" for i in range(len(keys))]
+    ranged = df.select(*[_comparable(df, k).alias(n) for k, n in zip(keys, names)]).repartitionByRange(buckets, *names)
+    low = F.min(names[0]) if len(keys) == 1 else F.min(F.struct(*names))
     rows = (
         ranged.groupBy(F.spark_partition_id().alias("part"))
         .agg(low.alias("low"), F.count(F.lit(1)).alias("n"))
@@ -84,7 +119,9 @@ def number_rows(
         bounds, before, total = order_buckets(df, keys, buckets)
     offsets = F.expr(f"array({', '.join(f'{b}L' for b in before)})")
     window = Window.partitionBy("__bucket").orderBy(*keys)
-    numbered = df.withColumn("__bucket", bucket_of(keys, bounds)).withColumn(
+    forms = [_comparable(df, k) for k in keys]
+    kinds = [f.dataType.simpleString() for f in df.select(*forms).schema.fields]
+    numbered = df.withColumn("__bucket", bucket_of(forms, bounds, kinds)).withColumn(
         name, F.row_number().over(window) + F.get(offsets, F.col("__bucket"))
     )
     return numbered.drop("__bucket", "__tie"), total
@@ -203,7 +240,7 @@ def batch_starts(total: int, first: int, growth: float) -> list[int]:
 
 
 def with_batch(df: DataFrame, starts: Sequence[int], seq: str = "seq", name: str = "batch_id") -> DataFrame:
-    return df.withColumn(name, bucket_of([seq], [(int(s),) for s in starts[1:]]).cast("int"))
+    return df.withColumn(name, bucket_of([F.col(seq).cast("bigint")], [(int(s),) for s in starts[1:]]).cast("int"))
 
 
 def sliding_batches(df: DataFrame, size: int, shift: int, seq: str = "seq", name: str = "batch") -> DataFrame:

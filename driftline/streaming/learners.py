@@ -122,7 +122,8 @@ class ClassifierStream(_Learner):
         write_batch(asked.select("seq", *self.numeric, *names, "prediction"), f"{self.path}/predictions", batch_id)
         pairs = scored.filter(F.col("role") == TRAIN).select("seq", F.col("label_idx").alias("truth"), "pred")
         write_batch(pairs, f"{self.path}/pairs", batch_id)
-        write_batch(confusion(pairs), f"{self.path}/confusion", batch_id)
+        written = self.spark.read.schema(pairs.schema).parquet(f"{self.path}/pairs/batch_id={batch_id}")
+        write_batch(confusion(written), f"{self.path}/confusion", batch_id)
         model = model.learn(coded, label="label_idx")
         trained = model.stats is not None
         if trained:

@@ -40,6 +40,20 @@ def test_with_seq_on_strings_nulls_and_few_rows(spark, buckets):
     assert got == [None, "a", "b", "c"]
 
 
+@pytest.mark.parametrize(
+    "key",
+    ["timestamp_millis(id * 1000 + 7)", "date_add(date'2024-01-01', cast(id AS int))", "cast(id AS decimal(10,2))",
+     "id / 7.0D", "cast(id / 7.0D AS float)", "concat('it''s \\\\ ', lpad(cast(id AS string), 4, '0'))", "id % 2 = 1"],
+)
+def test_with_seq_on_every_key_type(spark, key):
+    df = spark.range(100).selectExpr(f"{key} AS k", "id")
+    rows = with_seq(df, ["k", "id"], buckets=9).collect()
+    want = [r.id for r in df.orderBy("k", "id").collect()]
+    assert [r.id for r in sorted(rows, key=lambda r: r.seq)] == want
+    if "%" not in key:
+        assert {r.id: r.seq for r in with_seq(df, "k", buckets=9).collect()} == {i: n for n, i in enumerate(want, 1)}
+
+
 def test_hot_ties_are_split_by_the_row_itself(spark, monkeypatch):
     monkeypatch.setattr("driftline.operators.order.BUCKET_ROWS", 50)
     df = spark.range(2000).select(F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id")).alias("k"), "id")
@@ -56,7 +70,7 @@ def test_with_seq_of_an_empty_table(spark):
 def test_bucket_of_is_a_binary_search(spark):
     for n in (1, 2, 3, 7, 8, 9):
         bounds = [(10 * i,) for i in range(n)]
-        got = {r.id: r.b for r in spark.range(-5, 100).withColumn("b", bucket_of(["id"], bounds)).collect()}
+        got = {r.id: r.b for r in spark.range(-5, 100).withColumn("b", bucket_of([F.col("id")], bounds)).collect()}
         assert got == {v: sum(b[0] <= v for b in bounds) for v in range(-5, 100)}
 
 
