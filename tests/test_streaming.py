@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from driftline.operators.tree import numeric_stats
 from driftline.session import fresh_path
