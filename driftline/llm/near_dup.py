@@ -7,9 +7,9 @@ with a probability equal to their weighted Jaccard similarity, and a document co
 k ln k darts, not shingles times coordinates.
 
 Equal word sequences are one node from the start, so copies cost nothing later.  In a bucket of the banded join every
-node is compared with the bucket's smallest node only; after the components of those links are known, the pairs of a
-bucket that are still in different components are compared too.  Nothing is capped: no link is lost, and a group of
-many near copies costs one comparison per member and bucket, not all pairs.
+node is first compared with one hub only.  Once the components of those links are known, the pairs of a bucket that are
+still in different components are compared too, chunk by chunk.  Nothing is capped and no link is lost, and near copies
+of one text cost one comparison per member and bucket; only the members that are no near copy of the hub cost more.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,7 @@ COORDINATES = BANDS * ROWS
 # Darts expected per document: the coordinates left empty number e^-2 on average; such documents are thrown again.
 DARTS = COORDINATES * (math.log(COORDINATES) + 2.0)
 WEIGHTS = ("set", "damped", "count")
+CHUNK_ROWS = 2_000  # nodes of a bucket that are compared at once
 _DOC_SHIFT = np.uint64(44)
 
 
@@ -139,11 +140,10 @@ def _nodes(w: Words, texts: list[bytes | None]) -> list[int]:
 
 
 def prepare(docs: DataFrame, text: str, weights: str) -> DataFrame:
-    """The rows, stored once with a row number, their node, number of weighted shingles and band keys."""
+    """The rows, stored once with a row number, their node and band keys."""
     added = T.StructType(
         [
             T.StructField("__node", T.LongType()),
-            T.StructField("__size", T.LongType()),
             T.StructField("__bands", T.ArrayType(T.LongType())),
         ]
     )
@@ -163,44 +163,90 @@ def prepare(docs: DataFrame, text: str, weights: str) -> DataFrame:
             flat = pa.array(keys[size > 0].ravel())
             offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32))
             columns = [batch.column(c) for c in keep]
-            columns += [pa.array(_nodes(w, texts), pa.int64()), pa.array(size), pa.ListArray.from_arrays(offsets, flat)]
+            columns += [pa.array(_nodes(w, texts), pa.int64()), pa.ListArray.from_arrays(offsets, flat)]
             yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
 
     return stored(rows.mapInArrow(run, schema), "near-rows")
 
 
 def shingle_sets(rows: DataFrame, text: str, weights: str) -> DataFrame:
-    """``node`` and the sorted ``set`` of its shingles; a shingle of weight n stands for n elements."""
-    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("set", T.ArrayType(T.LongType()))])
+    """``node`` and the ``set`` of its shingles as 32-bit numbers; a shingle of weight n stands for n elements."""
+    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("set", T.ArrayType(T.IntegerType()))])
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in batches(stream, "__bytes"):
             doc, shingle, count = shingle_counts(words_of(texts))
             weight = weigh(count, weights)
             unit_of = np.arange(int(weight.sum())) - np.repeat(np.cumsum(weight) - weight, weight)
-            flat = np.repeat(shingle, weight) + (unit_of.astype(np.uint64) << _DOC_SHIFT)
+            flat = mix(np.repeat(shingle, weight) + (unit_of.astype(np.uint64) << _DOC_SHIFT)).astype(np.uint32)
             ends = np.cumsum(np.bincount(np.repeat(doc, weight), minlength=len(texts)))
             offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32))
-            sets = pa.ListArray.from_arrays(offsets, pa.array(flat.view(np.int64)))
+            sets = pa.ListArray.from_arrays(offsets, pa.array(flat.view(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("__node"), sets], ["node", "set"])
 
     return rows.select("__node", F.col(text).cast("binary").alias("__bytes")).mapInArrow(run, schema)
 
 
-def verified(pairs: DataFrame, rows: DataFrame, first_row: DataFrame, text: str, weights: str, threshold: float) -> DataFrame:
-    """Those of the node pairs (a, b) whose weighted Jaccard similarity reaches the threshold, stored."""
-    pairs = stored(pairs, "near-pairs")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("__node")).distinct()
-    texts = rows.select("__row", "__node", text).join(nodes.join(first_row, "__node").select("__row"), "__row", "left_semi")
-    sets = stored(shingle_sets(texts, text, weights), "near-sets")
-    joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b"
-    )
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    similar = joined.select("a", "b", shared.alias("i"), (F.size("set_a") + F.size("set_b")).alias("n")).filter(
-        F.col("i") >= F.lit(threshold) * (F.col("n") - F.col("i")) - F.lit(1e-9)
+def _similar(x: str, y: str, threshold: float) -> Column:
+    """Jaccard similarity of two sets reaches the threshold; the sizes alone rule out many pairs."""
+    small, big = F.least(F.size(x), F.size(y)), F.greatest(F.size(x), F.size(y))
+    shared = F.size(F.array_intersect(x, y))
+    total = F.size(x) + F.size(y)
+    return (small >= F.lit(threshold) * big - F.lit(1e-9)) & (shared >= F.lit(threshold) * (total - shared) - F.lit(1e-9))
+
+
+def _open_links(placed: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links between nodes of one bucket in different components, from ``placed`` (bucket, node, part).
+
+    At least one end lies outside the bucket's largest component, so only those outside are compared with all.  Both
+    sides of a bucket are cut to chunks of about CHUNK_ROWS nodes; every pair of chunks is a group of its own.
+    """
+    sizes = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
+    tops = sizes.groupBy("bucket").agg(F.sum("n").alias("m"), F.max(F.struct("n", "part")).alias("top"))
+    tops = tops.filter(F.col("m") > F.col("top.n")).select(
+        "bucket", F.col("top.part").alias("top"),
+        F.ceil(F.col("m") / F.lit(CHUNK_ROWS)).alias("chunks"), F.ceil((F.col("m") - F.col("top.n")) / F.lit(CHUNK_ROWS)).alias("strays"),
     )
-    return stored(similar.select("a", "b"), "near-links")
+    rows = stored(placed.join(tops, "bucket").join(sets, "node"), "near-open-sets")
+
+    def dealt(n: str, of: str) -> tuple[Column, Column]:
+        return F.pmod(F.xxhash64("node"), F.col(n)), F.sequence(F.lit(0).cast("bigint"), F.col(of) - 1)
+
+    own, other = dealt("strays", "chunks")
+    left = rows.filter("part != top").select("bucket", own.alias("x"), F.explode(other).alias("y"), "node", "part", "set")
+    own, other = dealt("chunks", "strays")
+    right = rows.select("bucket", F.explode(other).alias("x"), own.alias("y"), "node", "part", "set")
+
+    def links(strays: pa.Table, members: pa.Table) -> pa.Table:
+        return pa.table(dict(zip(("a", "b"), cross_links(strays, members, threshold))))
+
+    keys = ("bucket", "x", "y")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(links, "a bigint, b bigint").distinct()
+
+
+def cross_links(strays: pa.Table, members: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (smaller node, larger node) of a stray and a member in different components that are similar enough."""
+    found: list[np.ndarray] = [np.zeros((0, 2), dtype=np.int64)]
+    if strays.num_rows and members.num_rows:
+        sets = members.column("set").combine_chunks()
+        node, part = members.column("node").to_numpy(), members.column("part").to_numpy()
+        size = np.asarray(sets.value_lengths())
+        flat = sets.flatten().to_numpy()
+        names, number = np.unique(flat, return_inverse=True)
+        ends = np.concatenate(([0], np.cumsum(size)))
+        marked = np.zeros(len(names) + 1, dtype=np.int64)
+        for x, p, own in zip(*(strays.column(c).to_pylist() for c in ("node", "part")), strays.column("set").combine_chunks()):
+            mine = own.values.to_numpy()
+            at = np.minimum(np.searchsorted(names, mine), len(names) - 1)
+            at = at[names[at] == mine]
+            marked[at] = 1
+            counted = np.concatenate(([0], np.cumsum(marked[number])))
+            shared = counted[ends[1:]] - counted[ends[:-1]]
+            marked[at] = 0
+            good = (shared >= threshold * (size + len(mine) - shared) - 1e-9) & (part != p)
+            found.append(np.stack([np.minimum(node[good], x), np.maximum(node[good], x)], axis=1))
+    pairs = np.concatenate(found)
+    return pairs[:, 0], pairs[:, 1]
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -233,29 +279,28 @@ def _classes(docs: DataFrame, text: str, doc_id: str, weights: str, threshold: f
         rows.groupBy("__node").agg(F.min("__row").alias("__row"), F.count(F.lit(1)).alias("n"), F.min(leader).alias("leader")),
         "near-nodes",
     )
-    members = stored(
-        rows.select("__node", "__size", F.explode("__bands").alias("bucket"))
-        .groupBy("bucket", F.col("__node").alias("node"))
-        .agg(F.max("__size").alias("size")),
-        "near-members",
-    )
-    crowded = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-    buckets = stored(members.join(crowded.drop("m"), "bucket"), "near-buckets")
-    star = stored(buckets.filter("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "star")
-    links = verified(star, rows, first_row, text, weights, threshold)
+    members = stored(rows.select(F.explode("__bands").alias("bucket"), F.col("__node").alias("node")).distinct(), "near-members")
+    crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    buckets = stored(members.join(crowded, "bucket"), "near-buckets")
+    # The hub of a bucket is the node whose buckets hold most nodes: among near copies, the one the others derive from.
+    reach = buckets.groupBy("node").agg(F.sum("m").alias("reach"))
+    hubs = buckets.join(reach, "node").groupBy("bucket").agg(F.max(F.struct("reach", "node"))["node"].alias("hub"))
+    star = buckets.join(hubs, "bucket").filter("node != hub")
+    star = stored(star.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct(), "star")
+
+    # Shingles of the nodes that share a bucket with others, from one row of each node.
+    crowd = reach.select(F.col("node").alias("__node")).join(first_row, "__node").select("__row")
+    sets = stored(shingle_sets(rows.select("__row", "__node", text).join(crowd, "__row", "left_semi"), text, weights), "near-sets")
+    pairs = star.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+    links = stored(pairs.filter(_similar("set_a", "set_b", threshold)).select("a", "b"), "near-links")
     parts = components(links)
 
-    # Pairs of a bucket in different components: a link is still possible there, and nowhere else.
+    # Where a bucket holds different components a link is still possible, unless its only pair was just looked at.
     placed = stored(
-        buckets.join(parts, "node", "left").select("bucket", "node", "size", F.coalesce("part", "node").alias("part")), "near-open"
+        buckets.filter("m > 2").join(parts, "node", "left").select("bucket", "node", F.coalesce("part", "node").alias("part")),
+        "near-open",
     )
-    mixed = placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p != q").select("bucket")
-    left = placed.join(mixed, "bucket").toDF("bucket", "a", "size_a", "part_a")
-    right = placed.toDF("bucket", "b", "size_b", "part_b")
-    fits = F.least("size_a", "size_b") >= F.lit(threshold) * F.greatest("size_a", "size_b") - F.lit(1e-9)
-    rest = left.join(right, "bucket").filter((F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & fits)
-    rest = rest.select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
-    more = verified(rest, rows, first_row, text, weights, threshold)
+    more = stored(_open_links(placed, sets, threshold), "near-links")
     if more.limit(1).count():
         parts = components(links.union(more))
 
@@ -284,7 +329,7 @@ def near_duplicates(
     """
     docs = docs.drop("class_id", "class_size", "kept")
     rows, found = _classes(docs, text, doc_id, weights, threshold)
-    joined = rows.drop("__size", "__bands").join(found, "__node")
+    joined = rows.drop("__bands").join(found, "__node")
     return joined.select(*docs.columns, "class_id", "class_size", (F.col("__row") == F.col("__kept")).alias("kept"))
 
 
