@@ -21,8 +21,8 @@ from driftline.llm.sampling import labelled_sample
 from driftline.llm.words import Words, batches, mix, slices, words_of
 
 # Bounds of the labelled sample used for fitting, in documents of each label.
-TOXIC_DOCS = 2_000
-CLEAN_DOCS = 6_000
+TOXIC_DOCS = 1_000
+CLEAN_DOCS = 3_000
 # Word beginnings used as features, in bytes; 0 is the whole word.
 BEGINNINGS = (0, 4, 5, 6, 7)
 # A feature marks toxic words from this likelihood-ratio statistic (chi-squared, 1 degree; 25 is p = 6e-7) and share on.
@@ -50,14 +50,10 @@ SCORES = T.StructType(
 _SPAN_TYPE = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
 
 
-def features_of(words: Words) -> list[np.ndarray]:
-    """For each kind of feature, a 64-bit hash for each word."""
-    found = []
-    for k in BEGINNINGS:
-        end = words.end if not k else np.minimum(words.end, words.start + k)
-        part = Words(words.buf, words.start, end, words.first, words.at)
-        found.append(mix(part.hashes() + np.uint64(k + 1)))
-    return found
+def feature(words: Words, k: int) -> np.ndarray:
+    """A 64-bit hash of the first ``k`` bytes of each word, or of the whole word if k is 0."""
+    end = words.end if not k else np.minimum(words.end, words.start + k)
+    return mix(Words(words.buf, words.start, end, words.first, words.at).hashes() + np.uint64(k + 1))
 
 
 @dataclass
@@ -100,8 +96,8 @@ class Model:
         """Log potential of the toxic state against the clean one, for each word."""
         total = np.full(len(words.start), self.bias)
         padded = np.concatenate((self.weights, [0.0]))
-        for h in features_of(words):
-            total += padded[self.index(h)]
+        for k in BEGINNINGS:
+            total += padded[self.index(feature(words, k))]
         return np.clip(total, -60.0, 60.0)
 
 
@@ -216,35 +212,27 @@ def _segment(counts: np.ndarray) -> np.ndarray:
     return np.repeat(base, n_blocks) + inside * BLOCK
 
 
-def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 60, seed: int = 5) -> Model:
-    """Fit the chain and the link.  ``prior`` is the share of toxic documents among all labelled ones."""
-    toxic = np.asarray(toxic, dtype=bool)
-    empty = Model(np.zeros(0, np.uint64), np.zeros(0), -4.0, np.zeros((2, 2)), np.array([np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)), 0.0, 0.0]))
-    if not toxic.any() or toxic.all():
-        return empty
-    keys, docs, words_at, contexts, counts = [], [], [], [], []
-    done_words = 0
+def _telling(texts: list[bytes], toxic: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Features of one kind that tell toxic from clean texts: their hashes, which of them mark toxic words, and where
+    they occur (word number in all texts, position among the hashes)."""
+    keys, docs, contexts, at = [], [], [], []
+    base = 0
     for a, b in slices(texts):
         w = words_of(texts[a:b])
-        d = w.docs() + a
         whole = w.hashes()
-        around = mix(whole + np.roll(whole, 1) * np.uint64(3) + np.roll(whole, -1) * np.uint64(5))
-        size = w.end - w.start
-        for k, h in zip(BEGINNINGS, features_of(w)):
-            longer = np.flatnonzero(size > k)  # a short word is its own beginning
-            keys.append(h[longer])
-            docs.append(d[longer])
-            contexts.append(around[longer])
-            words_at.append(longer + done_words)
-        done_words += len(w.start)
-        counts.append(w.counts)
-    key, doc, at = np.concatenate(keys), np.concatenate(docs), np.concatenate(words_at)
-    counts = np.concatenate(counts)
+        longer = np.flatnonzero(w.end - w.start > k)  # a short word is its own beginning
+        keys.append(feature(w, k)[longer])
+        docs.append((w.docs()[longer] + a).astype(np.int32))
+        contexts.append(mix(whole + np.roll(whole, 1) * np.uint64(3) + np.roll(whole, -1) * np.uint64(5))[longer])
+        at.append((longer + base).astype(np.int32))
+        base += len(w.start)
+    key, doc, around, at = (np.concatenate(x) for x in (keys, docs, contexts, at))
+    del keys, docs, contexts
     names, which = np.unique(key, return_inverse=True)
-    # Frequent enough to matter: rarer features cannot reach KNOWN_G2 or MARK_G2.
+    # Rarer features cannot reach KNOWN_G2.
     common = np.bincount(which, minlength=len(names)) >= 4
     held = common[which]
-    key, doc, at, around = key[held], doc[held], at[held], np.concatenate(contexts)[held]
+    doc, around, at = doc[held], around[held], at[held]
     names, which = names[common], (np.cumsum(common) - 1)[which[held]]
 
     def distinct(what: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -252,22 +240,45 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 60, se
         return np.bincount(which[of][pairs], minlength=len(names)).astype(float)
 
     # Copies of one text would count as many documents: on the toxic side a feature counts once for each context too.
-    bad = toxic[doc]
+    bad = np.flatnonzero(toxic[doc])
     doc_hash = mix(doc.astype(np.uint64) + np.uint64(1))
-    n_t = np.minimum(distinct(doc_hash, np.flatnonzero(bad)), distinct(around, np.flatnonzero(bad)))
-    n_c = distinct(doc_hash, np.flatnonzero(~bad))
-    big_t, big_c = float(toxic.sum()), float((~toxic).sum())
+    n_t = np.minimum(distinct(doc_hash, bad), distinct(around, bad))
+    n_c = distinct(doc_hash, np.flatnonzero(~toxic[doc]))
     # Likelihood ratio of "the feature's documents are toxic as often as all".
-    share = big_t / (big_t + big_c)
+    share = toxic.mean()
     n = n_t + n_c
     with np.errstate(divide="ignore", invalid="ignore"):
         g2 = 2 * (np.where(n_t > 0, n_t * np.log(n_t / (n * share)), 0.0) + np.where(n_c > 0, n_c * np.log(n_c / (n * (1 - share))), 0.0))
     mark = (g2 >= MARK_G2) & (n_t / np.maximum(n, 1.0) >= MARK_SHARE)
-    if not mark.any():
-        return empty
     used = np.flatnonzero(mark | (g2 >= KNOWN_G2))
     column = np.full(len(names), -1)
     column[used] = np.arange(len(used))
+    told = column[which] >= 0
+    return names[used], mark[used], at[told], column[which[told]]
+
+
+def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 60, seed: int = 5) -> Model:
+    """Fit the chain and the link.  ``prior`` is the share of toxic documents among all labelled ones."""
+    toxic = np.asarray(toxic, dtype=bool)
+    empty = Model(np.zeros(0, np.uint64), np.zeros(0), -4.0, np.zeros((2, 2)), np.array([np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)), 0.0, 0.0]))
+    if not toxic.any() or toxic.all():
+        return empty
+    counts = np.concatenate([words_of(texts[a:b]).counts for a, b in slices(texts)])
+    done_words = int(counts.sum())
+    names, marks, uses_word, uses_name = [], [], [], []
+    for k in BEGINNINGS:  # one kind after the other: the driver holds the features of one kind at a time
+        own, marked, at, which = _telling(texts, toxic, k)
+        uses_name.append(which + sum(len(x) for x in names))
+        names.append(own)
+        marks.append(marked)
+        uses_word.append(at)
+    names, mark, at, which = (np.concatenate(x) for x in (names, marks, uses_word, uses_name))
+    if not mark.any():
+        return empty
+    # Keys in ascending order, for Model.index.
+    order = np.argsort(names)
+    names, mark, which = names[order], mark[order], np.argsort(order)[which]
+    big_t, big_c = float(toxic.sum()), float((~toxic).sum())
     tag = np.zeros(done_words, dtype=bool)
     tag[at[mark[which]]] = True
     word_doc = np.repeat(np.arange(len(texts)), counts)
@@ -287,11 +298,11 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 60, se
     row = np.repeat(np.arange(len(picked)), lengths)
     place = np.full(done_words, -1)
     place[chosen] = np.arange(len(chosen))
-    uses = (place[at] >= 0) & (column[which] >= 0)
-    token, feat = place[at[uses]], column[which[uses]]
+    trained = place[at] >= 0
+    token, feat = place[at[trained]], which[trained]
     y = tag[chosen]
 
-    theta = np.concatenate((np.zeros(len(used)), [-4.0], np.zeros(4)))
+    theta = np.concatenate((np.zeros(len(names)), [-4.0], np.zeros(4)))
     moment, speed = np.zeros_like(theta), np.zeros_like(theta)
     follows = np.flatnonzero(slot > 0)
     pair = y[follows - 1] * 2 + y[follows]
@@ -299,7 +310,7 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 60, se
     live = np.zeros((BLOCK, len(picked)), dtype=bool)
     live[slot, row] = True
     for it in range(steps):
-        weight, bias, trans = theta[: len(used)], theta[-5], theta[-4:].reshape(2, 2)
+        weight, bias, trans = theta[: len(names)], theta[-5], theta[-4:].reshape(2, 2)
         emit = np.clip(np.bincount(token, weights=weight[feat], minlength=len(chosen)) + bias, -30, 30)
         e = np.ones((BLOCK, len(picked)))
         e[slot, row] = np.exp(emit)
@@ -322,12 +333,12 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 60, se
             beta[s - 1] = np.where(live[s], up / up.sum(0), 1.0)
         both = alpha * beta
         p = (both[:, 1] / both.sum(1))[slot, row]
-        grad = np.concatenate((np.bincount(feat, weights=(y - p)[token], minlength=len(used)), [(y - p).sum()], seen - expect))
-        grad -= 0.5 * theta * np.concatenate((np.ones(len(used)), [0.0], np.ones(4)))
+        grad = np.concatenate((np.bincount(feat, weights=(y - p)[token], minlength=len(names)), [(y - p).sum()], seen - expect))
+        grad -= 0.5 * theta * np.concatenate((np.ones(len(names)), [0.0], np.ones(4)))
         moment = 0.9 * moment + 0.1 * grad
         speed = 0.99 * speed + 0.01 * grad**2
         theta = theta + 0.2 * (moment / (1 - 0.9 ** (it + 1))) / (np.sqrt(speed / (1 - 0.99 ** (it + 1))) + 1e-8)
-    model = Model(names[used], theta[: len(used)], float(theta[-5]), theta[-4:].reshape(2, 2), empty.link)
+    model = Model(names, theta[: len(names)], float(theta[-5]), theta[-4:].reshape(2, 2), empty.link)
 
     inputs = []
     for a, b in slices(texts):
@@ -348,10 +359,10 @@ def learn(labelled: DataFrame, text: str, label: str, key: str) -> Model:
     total = known.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("t")).first()
     if not total["n"]:
         return fit([], np.zeros(0, bool), 0.0)
-    rows = []
+    by_text: dict[bytes, int] = {}
     for value, most in ((1, TOXIC_DOCS), (0, CLEAN_DOCS)):
-        rows += labelled_sample(known.filter(F.col(label) == value), text, label, key, most).collect()
-    by_text = {bytes(r["text"]): int(r["label"]) for r in rows}
+        for r in labelled_sample(known.filter(F.col(label) == value), text, label, key, most).toLocalIterator():
+            by_text[bytes(r["text"])] = int(r["label"])
     texts = sorted(by_text)
     return fit(texts, np.array([by_text[t] for t in texts], dtype=bool), float(total["t"]) / total["n"])
 
