@@ -17,8 +17,7 @@ SHARDS = 16
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain, learned from the labelled ones outside the held-out fold, does not call toxic."""
     ship_package(spark)
-    labels = queries.toxic_labels(docs, queries.table(spark, sf_dir, "labels"))
-    model = toxicity.learn(labels, "text", "toxic", "doc_id")
+    model = toxicity.learn(docs, queries.toxic_labels(spark, sf_dir))
     return toxicity.score(docs, model).filter("predicted = 0").select(*docs.columns)
 
 

@@ -92,15 +92,14 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-def toxic_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled documents outside the held-out fold."""
-    learned = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter(crc_of_id() % 5 != 0)
-    return docs.select("doc_id", "text").join(learned, "doc_id")
+def toxic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels outside the held-out fold."""
+    return table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(crc_of_id() % 5 != 0)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = toxicity.learn(toxic_labels(docs, table(spark, sf_dir, "labels")), "text", "toxic", "doc_id")
+    model = toxicity.learn(docs, toxic_labels(spark, sf_dir))
     scored = toxicity.score(docs, model)
     return scored.select(
         "doc_id", F.coalesce(crc_of_id() % 5 == 0, F.lit(False)).alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans")

@@ -13,11 +13,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.llm.sampling import labelled_sample
+from driftline.llm.sampling import MAX_SAMPLE_BYTES, labelled_sample
 from driftline.llm.words import Words, batches, mix, slices, words_of
 
 # Bounds of the labelled sample used for fitting, in documents of each label.
@@ -349,22 +349,35 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 60, se
     return model
 
 
-def learn(labelled: DataFrame, text: str, label: str, key: str) -> Model:
-    """Fit on a bounded sample of ``labelled``: at most TOXIC_DOCS and CLEAN_DOCS rows reach the driver.
+def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id") -> Model:
+    """Fit on a bounded sample: at most TOXIC_DOCS and CLEAN_DOCS rows reach the driver.
 
-    The share of toxic documents is counted over all labelled rows.  Without examples of both labels the model gives
-    every text that share (0 if there are no labels at all).
+    ``labels`` holds ``key`` and ``label`` (1 or 0; other values and nulls are no labels).  The share of toxic documents
+    is counted over all labelled rows.  The sample is drawn by the hash of the key from keys alone, so the texts of the
+    other documents are not moved.  Without examples of both labels the model gives every text that share (0 if there
+    are no labels at all).
     """
-    known = labelled.filter(F.col(label).isin(0, 1))
-    total = known.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("t")).first()
-    if not total["n"]:
+    known = labels.select(F.col(key).alias("__key"), F.col(label).cast("int").alias("__label")).filter(F.col("__label").isin(0, 1))
+    # Keys and sizes only: what is shuffled is some bytes a document.
+    keys = docs.select(F.col(key).alias("__key"), F.octet_length(text).alias("__size")).join(known, "__key")
+    share = keys.agg(F.count(F.lit(1)).alias("n"), F.sum("__label").alias("t")).first()
+    if not share["n"]:
         return fit([], np.zeros(0, bool), 0.0)
+    usable = keys.filter((F.col("__size") > 0) & (F.col("__size") <= MAX_SAMPLE_BYTES))
     by_text: dict[bytes, int] = {}
     for value, most in ((1, TOXIC_DOCS), (0, CLEAN_DOCS)):
-        for r in labelled_sample(known.filter(F.col(label) == value), text, label, key, most).toLocalIterator():
-            by_text[bytes(r["text"])] = int(r["label"])
+        first = Window.orderBy("h", "__key")
+        own = usable.filter(F.col("__label") == value).select("__key", "__label", F.xxhash64("__key", F.lit(17)).alias("h")).distinct()
+        # A cut by hash leaves about four times the sample for the ranking, however many labels there are.
+        held = share["t"] if value else share["n"] - share["t"]
+        own = own.filter(F.pmod("h", F.lit(1_000_000)) < F.lit(min(1_000_000, 4_000_000 * most // max(held, 1) + 1)))
+        chosen = own.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= most).select(F.col("__key").alias(key), "__label")
+        # At most ``most`` keys; keys that repeat are ranked again with their texts.
+        rows = labelled_sample(docs.select(key, text).join(F.broadcast(chosen), key), text, "__label", key, most)
+        for r in rows.toLocalIterator():
+            by_text[bytes(r["text"])] = value
     texts = sorted(by_text)
-    return fit(texts, np.array([by_text[t] for t in texts], dtype=bool), float(total["t"]) / total["n"])
+    return fit(texts, np.array([by_text[t] for t in texts], dtype=bool), float(share["t"]) / share["n"])
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
