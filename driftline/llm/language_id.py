@@ -43,9 +43,15 @@ RESULT = T.StructType(
 
 def learn(labelled: DataFrame, text: str, lang: str, key: str) -> dict[str, bytes]:
     """A dictionary for each language, the most frequent first, from at most TEXTS_PER_LANGUAGE texts of it."""
-    rows = labelled_sample(labelled, text, lang, key, TEXTS_PER_LANGUAGE).collect()
     known = labelled.filter(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("label")).count().collect()
     order = {r["label"]: (-r["count"], r["label"]) for r in known}
+    # A cut by hash leaves about four times the sample of a language for the ranking, however many texts it has.
+    share = F.lit(0)
+    for r in known:
+        most = min(1_000_000, 4_000_000 * TEXTS_PER_LANGUAGE // r["count"] + 1)
+        share = F.when(F.col(lang) == r["label"], F.lit(most)).otherwise(share)
+    near = labelled.filter(F.pmod(F.xxhash64(F.col(key), F.lit(29)), F.lit(1_000_000)) < share)
+    rows = labelled_sample(near, text, lang, key, TEXTS_PER_LANGUAGE).collect()
     by_lang: dict[str, set[bytes]] = {}
     for r in rows:
         by_lang.setdefault(r["label"], set()).add(letters(bytes(r["text"])))
