@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 # One slice of work: bounds the memory of a task however long an Arrow batch is (a longer text is a slice of its own).
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
