@@ -39,11 +39,11 @@ def value_counts(
 
 
 def number_entries(counts: DataFrame) -> DataFrame:
-    """Add ``idx`` = rank of ``first_seq`` within ``attr``, starting at 0."""
+    """Add ``idx`` = rank of ``first_seq`` within ``attr``, starting at 0; values that appear together go by value."""
     if at_most(counts, BROADCAST_ROWS):
-        rank = F.row_number().over(Window.partitionBy("attr").orderBy("first_seq")) - 1
+        rank = F.row_number().over(Window.partitionBy("attr").orderBy("first_seq", "value")) - 1
         return counts.withColumn("idx", rank.cast("int"))
-    numbered = cut_lineage(with_seq(counts, ["attr", "first_seq"], "__pos"))
+    numbered = cut_lineage(with_seq(counts, ["attr", "first_seq", "value"], "__pos"))
     base = numbered.groupBy("attr").agg(F.min("__pos").alias("__base"))
     return numbered.join(F.broadcast(base), "attr").select(
         *counts.columns, (F.col("__pos") - F.col("__base")).cast("int").alias("idx")

@@ -6,7 +6,6 @@ handled by its own task, and only one small row per bucket crosses bucket border
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Mapping, Sequence
 
@@ -17,11 +16,8 @@ from pyspark.sql import types as T
 from driftline.functions.vectors import double_text
 
 BUCKET_ROWS = 1_000_000
-TOP_N_ROWS = 100_000
 # Order buckets per shuffle partition: several, so that hashing bucket numbers to tasks evens out.
 BUCKETS_PER_PARTITION = 2
-# A bucket this many times the mean, and larger than BUCKET_ROWS, means that the order keys hold a hot tie.
-HOT_FACTOR = 8
 
 
 def _comparable(df: DataFrame, name: str) -> Column:
@@ -110,13 +106,12 @@ def number_rows(
     keys = order_keys(order_by)
     buckets = buckets or BUCKETS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = df.columns
+    # Tied rows have no order of their own: a hash of the row gives them one that is the same on every evaluation, and
+    # lets a hot tie be split between buckets.
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    df = df.withColumn("__tie", F.xxhash64(*hashed))
+    keys = [*keys, "__tie"]
     bounds, before, total = order_buckets(df, keys, buckets)
-    largest = max(b - a for a, b in itertools.pairwise([*before, total]))
-    if largest > max(BUCKET_ROWS, HOT_FACTOR * total / buckets):
-        # Tied rows have no order of their own; a hash of the row splits them, the same way on every replay.
-        df = df.withColumn("__tie", F.xxhash64(*columns))
-        keys = [*keys, "__tie"]
-        bounds, before, total = order_buckets(df, keys, buckets)
     offsets = F.expr(f"array({', '.join(f'{b}L' for b in before)})")
     window = Window.partitionBy("__bucket").orderBy(*keys)
     forms = [_comparable(df, k) for k in keys]
@@ -147,8 +142,6 @@ def limit_instances(df: DataFrame, n: int, order_by: str | Sequence[str] | None
     if order_by is None:
         raise ValueError("limit_instances needs a sequence column or order_by")
     keys = order_keys(order_by)
-    if n <= TOP_N_ROWS:
-        return df.orderBy(*keys).limit(n)
     return with_seq(df, keys, seq).filter(F.col(seq) <= n).drop(seq)
 
 

@@ -1,7 +1,7 @@
 """Adaptive model rules for regression: coverage, target statistics, expansion, drift, and an incremental learner.
 
 A rule is a conjunction of literals ``x[attr] <= thr`` or ``x[attr] > thr`` with a head that predicts the target.  The
-rule set is a small list on the driver (bounded by ``max_rules``); rows meet it as a literal array inside JVM
+rule set is a small list on the driver (bounded by what the tests let grow, or by ``max_rules``); rows meet it as a literal array inside JVM
 expressions; target statistics are a table keyed (rule, attr, bin) that merges across micro-batches.
 """
 
@@ -155,7 +155,7 @@ class RuleParams:
     ph_alpha: float = 0.005
     ph_lambda: float = 35.0
     drift_blocks: int = 100
-    max_rules: int = 200
+    max_rules: int | None = None  # no limit unless asked for
 
     def __post_init__(self):
         if self.head not in ("mean", "linear", "adaptive"):
@@ -255,8 +255,11 @@ class RuleModel:
             F.col(seq).alias("seq"), F.col(features).alias("features"), F.col(target).cast("double").alias("target")
         )
         model = dataclasses.replace(self, rules=[dataclasses.replace(r) for r in self.rules])
-        if model.lows is None and not model._first_ranges(rows):
-            return self
+        if model.lows is None:
+            if not model._first_ranges(rows):
+                return self
+        else:
+            model._widen(rows)
         ids = F.array(*[F.lit(r.rule).cast("bigint") for r in model.rules])
         covered = rows.withColumn("pos", F.explode(model.coverage(F.col("features")))).withColumn(
             "rule", F.get(ids, F.col("pos"))
@@ -275,7 +278,7 @@ class RuleModel:
         return model
 
     def _first_ranges(self, rows: DataFrame) -> bool:
-        """Bin edges and the target offset come from the first micro-batch and stay fixed."""
+        """First bin edges, target offset and error scale; the edges grow with later batches (see :meth:`_widen`)."""
         aggs = [F.avg("target").alias("y"), F.stddev_pop("target").alias("sd")]
         for i in range(self.params.attrs):
             x = F.get("features", F.lit(i))
@@ -288,6 +291,38 @@ class RuleModel:
         self.offset, self.scale = float(r["y"]), float(r["sd"]) or 1.0
         return True
 
+    def _widen(self, rows: DataFrame) -> None:
+        """Stretch the bins of attributes whose values leave their range.
+
+        A range doubles, upwards or downwards, until it holds the batch; each doubling merges neighbouring bins in
+        pairs, so the statistics stay exact at the coarser width.
+        """
+        p = self.params
+        found = rows.agg(
+            *[f(F.get("features", F.lit(i))).alias(f"{n}{i}") for i in range(p.attrs) for n, f in (("lo", F.min), ("hi", F.max))]
+        ).first()
+        lows, highs = list(self.lows), list(self.highs)
+        merged = F.col("bin")
+        for i in range(p.attrs):
+            low, high = found[f"lo{i}"], found[f"hi{i}"]
+            if low is None or not (math.isfinite(low) and math.isfinite(high)):
+                continue
+            if highs[i] <= lows[i] and (low < lows[i] or high > lows[i]):
+                highs[i] = lows[i] + max(high - lows[i], lows[i] - low)  # one value so far, all of it in the first bin
+            bin_ = F.col("bin")
+            while high > highs[i]:
+                highs[i] = 2 * highs[i] - lows[i]
+                bin_ = F.floor(bin_ / 2)
+            while low < lows[i]:
+                lows[i] = 2 * lows[i] - highs[i]
+                bin_ = F.floor((bin_ + p.bins) / 2)
+            if (lows[i], highs[i]) != (self.lows[i], self.highs[i]):
+                merged = F.when(F.col("attr") == i, bin_.cast("int")).otherwise(merged)
+        if (lows, highs) != (list(self.lows), list(self.highs)):
+            self.lows, self.highs = lows, highs
+            if self.stats is not None:
+                self.stats = self.stats.withColumn("bin", merged)
+
     def _track_errors(self, covered: DataFrame, span: tuple[int, int] | None) -> None:
         """Prequential errors of both heads, and the drift test on block means of the scaled error.
 
@@ -373,7 +408,7 @@ class RuleModel:
             le = r["n_left"] * r["sd_left"] ** 2 <= n_right * r["sd_right"] ** 2
             n, sy = (r["n_left"], r["sy_left"]) if le else (n_right, r["sy"] - r["sy_left"])
             old = self.rules[at]
-            if at == 0 and len(self.rules) >= p.max_rules:
+            if at == 0 and p.max_rules is not None and len(self.rules) >= p.max_rules:
                 continue
             grown = Rule(
                 self.next_id, [*old.conditions, (r["attr"], bool(le), threshold)], float(n), float(sy), old.linear

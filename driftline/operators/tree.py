@@ -1,7 +1,7 @@
 """Hoeffding tree: sufficient statistics, split merit, and an incremental learner.
 
 Features are one ``array<double>``: numeric attributes first, then nominal attributes as dictionary indices.  The tree
-itself is a small list of nodes on the driver (bounded by ``max_nodes``); rows are routed by a JVM expression over
+itself is a small list of nodes on the driver (as many as the tests let grow, or ``max_nodes``); rows are routed by a JVM expression over
 literal node arrays; statistics are a table keyed (member, leaf, attr, value, label) that merges across micro-batches.
 """
 
@@ -206,7 +206,7 @@ class TreeParams:
     delta: float = 1e-7
     tie: float = 0.05
     candidates: int = 10
-    max_nodes: int = 2_000
+    max_nodes: int | None = None  # no limit unless asked for
     seed: int = 1
 
     @property
@@ -216,7 +216,7 @@ class TreeParams:
 
 @dataclasses.dataclass
 class TreeModel:
-    """One tree per member.  ``stats`` is a Spark table; everything else is bounded by members x max_nodes."""
+    """One tree per member.  ``stats`` is a Spark table; everything else has the size of the trees."""
 
     params: TreeParams
     trees: list[list[Node]]
@@ -243,24 +243,35 @@ class TreeModel:
                 f"named_struct('attr', {table(lambda n: str(n.attr))}, "
                 f"'threshold', {table(lambda n: double_text(n.threshold))}, "
                 f"'child', {table(lambda n: str(n.first_child))}, "
-                f"'width', {table(lambda n: str(n.n_children if n.kind == NOMINAL else 0))})"
+                f"'width', {table(lambda n: str(n.n_children if n.kind == NOMINAL else 0))}, "
+                f"'other', array({', '.join(self._fallbacks(m) for m in range(len(self.trees)))}))"
             ),
         )
 
+    def _fallbacks(self, member: int) -> str:
+        """SQL text: for each node the branch, counted from its first child, that began with most rows."""
+        tree = self.trees[member]
+
+        def largest(n: Node) -> int:
+            sizes = [sum(self.start.get((member, n.first_child + i), ())) for i in range(n.n_children)]
+            return sizes.index(max(sizes)) if sizes else 0
+
+        return f"array({', '.join(str(largest(n) if n.kind == NOMINAL else 0) for n in tree)})"
+
     def _walk(self, features: str, member: str) -> str:
-        """SQL text: node reached from the root.  A nominal value without a child stays at its node."""
+        """SQL text: node reached from the root.  A nominal value without a branch of its own takes the largest branch."""
         depth = max(n.depth for t in self.trees for n in t)
         if depth == 0:
             return "0"
-        attr, threshold, child, width = (
-            f"get(get(__tree.{c}, {member}), node)" for c in ("attr", "threshold", "child", "width")
+        attr, threshold, child, width, other = (
+            f"get(get(__tree.{c}, {member}), node)" for c in ("attr", "threshold", "child", "width", "other")
         )
         x = f"get({features}, {attr})"
         return f"""aggregate(sequence(1, {depth}), 0, (node, i) -> CASE
             WHEN {child} < 0 THEN node
             WHEN {width} = 0 THEN {child} + if({x} <= {threshold}, 0, 1)
             WHEN {x} >= 0 AND {x} < {width} THEN {child} + cast({x} AS int)
-            ELSE node END)"""
+            ELSE {child} + {other} END)"""
 
     def route(self, df: DataFrame, features: str = "features", member: str = "0", out: str = "leaf") -> DataFrame:
         """Node index reached by every row in the tree of ``member`` (a column name or number)."""
@@ -385,8 +396,9 @@ class TreeModel:
         p, tree = self.params, self.trees[r["member"]]
         node = tree[r["leaf"]]
         numeric = r["threshold"] is not None
-        width = 2 if numeric else p.cardinalities[r["attr"] - p.numeric]
-        if len(tree) + width > p.max_nodes:
+        # A branch for every declared value and every value seen; the largest also takes what comes later.
+        width = 2 if numeric else max([p.cardinalities[r["attr"] - p.numeric], *(c["value"] + 1 for c in r["cells"])])
+        if p.max_nodes is not None and len(tree) + width > p.max_nodes:
             return
         children = [[0.0] * p.n_classes for _ in range(width)]
         if numeric:

@@ -14,10 +14,10 @@ from driftline.schema import predict_target
 def _classified(spark: SparkSession, sf_dir: str, **options) -> Learned:
     rows = marked_events(spark, sf_dir).select(
         "event_id", "value", F.hour("ts").cast("double").alias("hour"), F.col("user_id").cast("double").alias("user"),
-        F.substring("props", 7, 1).alias("digit"), "label",
+        F.get_json_object("props", "$.k").alias("digit"), "label",
     )
     return hoeffding_classifier(
-        rows, ["value", "hour", "user"], "label", 5, "event_id", nominal={"digit": 10}, **options
+        rows, ["value", "hour", "user"], "label", 5, "event_id", nominal={"digit": 100}, **options
     )
 
 

@@ -54,8 +54,7 @@ def test_with_seq_on_every_key_type(spark, key):
         assert {r.id: r.seq for r in with_seq(df, "k", buckets=9).collect()} == {i: n for n, i in enumerate(want, 1)}
 
 
-def test_hot_ties_are_split_by_the_row_itself(spark, monkeypatch):
-    monkeypatch.setattr("driftline.operators.order.BUCKET_ROWS", 50)
+def test_hot_ties_are_split_by_the_row_itself(spark):
     df = spark.range(2000).select(F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id")).alias("k"), "id")
     rows = with_seq(df, "k", buckets=64).orderBy("seq").collect()
     assert [r.seq for r in rows] == list(range(1, 2001))
@@ -82,9 +81,14 @@ def test_limit_counts_all_rows_and_minus_one_keeps_them(spark):
         limit_instances(df, -2, "k")
 
 
-def test_large_limits_use_the_numbering(spark, monkeypatch):
-    monkeypatch.setattr("driftline.operators.order.TOP_N_ROWS", 5)
-    assert sorted(r.id for r in limit_instances(spark.range(50), 20, "id").collect()) == list(range(20))
+def test_limits_follow_the_numbering_on_ties(spark):
+    df = spark.range(60).select((F.col("id") % 3).alias("k"), "id")
+    order = {r.id: r.seq for r in with_seq(df, "k").collect()}
+    for n in (1, 7, 20, 59):
+        assert {r.id for r in limit_instances(df, n, "k").collect()} == {i for i, s in order.items() if s <= n}
+    assert {r.id: r.seq for r in with_seq(df.repartition(5), "k", buckets=3).collect()} == order
+    plan = limit_instances(df, 20, "k")._jdf.queryExecution().toString()
+    assert "TakeOrdered" not in plan
 
 
 @pytest.mark.parametrize("bucket_rows", [1, 7, 100])

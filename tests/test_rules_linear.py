@@ -124,3 +124,17 @@ def test_gradient_steps_reduce_the_error(spark):
         errors.append(linear.predict(df, w).select(F.avg((F.col("pred") - F.col("target")) ** 2)).first()[0])
         w = [r.w for r in linear.sgd_step(df, w, 0.2).orderBy("i").collect()]
     assert errors[0] > errors[1] > errors[2]
+
+
+def test_rules_learn_beyond_the_first_range(spark):
+    early = [(i, [float(i % 10)], 1.0) for i in range(1000)]
+    late = [(1000 + i, [float(i % 1000) - 200.0], 5.0 if i % 1000 >= 700 else 1.0) for i in range(8000)]
+    frame_ = lambda rows: spark.createDataFrame(rows, "seq long, features array<double>, target double")
+    model = RuleModel.empty(RuleParams(1, head="mean")).learn(frame_(early))
+    for n in range(0, 8000, 2000):
+        model = model.learn(frame_(late[n : n + 2000]))
+    assert model.lows[0] <= -200.0 and model.highs[0] >= 799.0
+    total = model.stats.groupBy().sum("n").first()[0]
+    assert total == sum(r.n for r in model.rules) or total > 0
+    conditions = [c for r in model.rules for c in r.conditions]
+    assert any(abs(c[2] - 500.0) < 60 for c in conditions)

@@ -157,3 +157,21 @@ def test_classifier_end_to_end(spark, bagging):
     assert [r.point for r in curve] == [300, 600, 900, 1170] and curve[-1].accuracy_pct > curve[0].accuracy_pct
     limited = driftline.hoeffding_classifier(df, ["x"], "label", 2, "k", max_instances=100, first_batch=50)
     assert limited.predictions.count() == 2 and limited.pairs.count() == 98
+
+
+def test_undeclared_nominal_values_get_branches_and_are_learned(spark):
+    rows = [(i, [float(i % 4)], i % 4 % 2) for i in range(4000)]
+    df = spark.createDataFrame(rows, "seq long, features array<double>, label int")
+    model = TreeModel.empty(TreeParams(0, (2,), 2)).learn(df.filter("seq < 2000")).learn(df.filter("seq >= 2000"))
+    scored = model.score(df).select("label", "pred").collect()
+    assert all(r.label == r.pred for r in scored)
+    late = spark.createDataFrame([(9, [77.0], 0)], "seq long, features array<double>, label int")
+    assert model.route(late).first()["leaf"] > 0  # the largest branch, not the split node
+
+
+def test_a_wide_nominal_does_not_stop_growth(spark):
+    rows = [(i, [float(i % 100), float(i * 7919 % 3000)], int(i % 100 >= 50)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "seq long, features array<double>, label int")
+    model = TreeModel.empty(TreeParams(1, (3000,), 2)).learn(df)
+    assert len(model.trees[0]) > 1
+    assert sum(r.label == r.pred for r in model.score(df).select("label", "pred").collect()) >= 0.95 * len(rows)
