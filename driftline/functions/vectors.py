@@ -45,12 +45,6 @@ def double_rows(rows: Sequence[Sequence[float]]) -> Column:
     return F.expr(f"array({', '.join(inner)})")
 
 
-def ints(values: Sequence[int]) -> Column:
-    return F.expr(f"array({', '.join(str(int(v)) for v in values)})") if len(values) else F.expr(
-        "cast(array() as array<int>)"
-    )
-
-
 def argmax_votes(votes: str | Column) -> Column:
     """Index of the largest vote; ties go to the lowest index and an empty vote list gives 0."""
     v = _col(votes)
@@ -63,11 +57,6 @@ def center_format(vector: str | Column) -> Column:
     return F.concat(F.lit("["), F.array_join(text, ","), F.lit("]"))
 
 
-def squared_distance(a: str | Column, b: str | Column) -> Column:
-    diff = F.zip_with(_col(a), _col(b), lambda x, y: (x - y) * (x - y))
-    return F.aggregate(diff, F.lit(0.0), lambda acc, x: acc + x)
-
-
 def dot(a: str | Column, b: str | Column) -> Column:
     prod = F.zip_with(_col(a), _col(b), lambda x, y: x * y)
     return F.aggregate(prod, F.lit(0.0), lambda acc, x: acc + x)

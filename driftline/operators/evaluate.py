@@ -22,13 +22,6 @@ OVERALL_NAMES = (
     "Kappa Temporal Statistic (percent)",
 )
 CLASS_NAMES = ("support", "precision", "recall", "f1-score")
-REGRESSION_NAMES = (
-    "classified instances",
-    "mean absolute error",
-    "root mean squared error",
-    "relative mean absolute error",
-    "relative root mean squared error",
-)
 
 POINT_SPAN = 10_000
 
