@@ -6,6 +6,8 @@ derives from confusion counts (K x K rows) or from 3 K counters per learning-cur
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,9 +125,11 @@ def overall(counts: DataFrame) -> DataFrame:
     )
 
 
-def no_change_flag(df: DataFrame, truth: str = "truth", seq: str = "seq", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Flag rows whose truth equals the truth before; class 0 stands before the first row."""
-    seen = with_previous(df, truth, "__previous", 0, seq, bucket_rows)
+def no_change_flag(
+    df: DataFrame, truth: str = "truth", seq: str = "seq", bucket_rows: int = BUCKET_ROWS, before: int = 0
+) -> DataFrame:
+    """Flag rows whose truth equals the truth before; class ``before`` stands before the first row."""
+    seen = with_previous(df, truth, "__previous", before, seq, bucket_rows)
     return seen.withColumn("no_change", (F.col("__previous") == F.col(truth)).cast("int")).drop("__previous")
 
 
@@ -144,61 +148,44 @@ def temporal_kappa(
     return sums.select("instances", "no_change", F.when(n > 0, value).otherwise(0.0).alias("kappa_temporal_pct"))
 
 
-def learning_curve(
-    df: DataFrame,
-    n_classes: int,
-    every: int = 1000,
-    truth: str = "truth",
-    pred: str = "pred",
-    seq: str = "seq",
-    weight: str | None = None,
-    bucket_rows: int = BUCKET_ROWS,
-) -> DataFrame:
-    """Cumulative metrics after every ``every`` labelled rows.
+def counter_names(n_classes: int, weighted: bool = False) -> list[str]:
+    """Counters that a learning-curve point needs; all of them add up over rows."""
+    per_class = ["sup", "tp", "prd", *(["wt", "wp"] if weighted else [])]
+    return ["w_all", "w_hit", "w_same", *[f"{name}{c}" for c in range(n_classes) for name in per_class]]
 
-    ``df`` holds labelled rows numbered 1..N.  One row per point: ``point`` (labelled rows so far), ``final_partial``,
-    the four overall metrics and one array of ``n_classes`` records.  Rows are aggregated per point first; the running
-    sums then work on points only.
+
+def curve_steps(flagged: DataFrame, n_classes: int, step: Column, weighted: bool = False) -> DataFrame:
+    """Counters per step of a learning curve, from rows (truth, pred, w, no_change): ``step``, ``rows``, counters.
+
+    Rows whose weight is not above 0 count as labelled rows but add no weight, as in :func:`confusion`.
     """
-    if every < 1 or n_classes < 1:
-        raise ValueError(f"required every >= 1 and n_classes >= 1 but found {every} and {n_classes}")
-    flagged = no_change_flag(
-        df.select(
-            F.col(seq).alias("seq"),
-            F.col(truth).alias("truth"),
-            F.col(pred).alias("pred"),
-            (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"),
-        ),
-        "truth",
-        "seq",
-        bucket_rows,
-    )
+    rows = flagged.withColumn("w", F.when(F.col("w") > 0, F.col("w")).otherwise(F.lit(0.0)))
     hit = F.col("truth") == F.col("pred")
 
-    def total(condition: Column, value: str) -> Column:
-        return F.sum(F.when(condition, F.col(value)).otherwise(F.lit(0.0)))
+    def total(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col("w")).otherwise(F.lit(0.0)))
 
-    weighted = weight is not None
-    aggs = [
-        F.count(F.lit(1)).alias("rows"),
-        F.sum("w").alias("w_all"),
-        total(hit, "w").alias("w_hit"),
-        F.sum(F.col("no_change") * F.col("w")).alias("w_same"),
-    ]
-    counters = ["rows", "w_all", "w_hit", "w_same"]
+    found = {"w_all": F.sum("w"), "w_hit": total(hit), "w_same": F.sum(F.col("no_change") * F.col("w"))}
     for c in range(n_classes):
         t, p = F.col("truth") == c, F.col("pred") == c
-        parts = {f"sup{c}": F.count_if(t), f"tp{c}": F.count_if(t & p), f"prd{c}": F.count_if(p)}
+        found |= {f"sup{c}": F.count_if(t), f"tp{c}": F.count_if(t & p), f"prd{c}": F.count_if(p)}
         if weighted:
-            parts |= {f"wt{c}": total(t, "w"), f"wp{c}": total(p, "w")}
-        aggs += [v.alias(k) for k, v in parts.items()]
-        counters += list(parts)
-    per_point = flagged.groupBy(F.ceil(F.col("seq") / F.lit(every)).cast("bigint").alias("step")).agg(*aggs)
-    renamed = per_point.select("step", "rows", *[F.col(c).alias(f"p_{c}") for c in counters])
-    sums = {c: ("sum", f"p_{c}") for c in counters if c != "rows"} | {"so_far": ("sum", "p_rows")}
-    # Points are few: storing them keeps the pass over all rows from running once per branch below.
-    curve = running(cut_lineage(renamed), sums, "step", span=POINT_SPAN)
+            found |= {f"wt{c}": total(t), f"wp{c}": total(p)}
+    names = counter_names(n_classes, weighted)
+    return rows.groupBy(step.cast("bigint").alias("step")).agg(
+        F.count(F.lit(1)).alias("rows"), *[found[n].cast("double").alias(n) for n in names]
+    )
 
+
+def running_steps(steps: DataFrame, counters: Sequence[str]) -> DataFrame:
+    """Counters of all steps so far (same names), with ``rows`` of the step itself and ``so_far``."""
+    renamed = steps.select("step", "rows", *[F.col(c).alias(f"p_{c}") for c in counters])
+    sums = {c: ("sum", f"p_{c}") for c in counters} | {"so_far": ("sum", "rows")}
+    return running(renamed, sums, "step", span=POINT_SPAN).drop(*[f"p_{c}" for c in counters])
+
+
+def curve_points(sums: DataFrame, n_classes: int, every: int, weighted: bool = False) -> DataFrame:
+    """Metrics of each point, from the counters of :func:`running_steps`."""
     n = F.col("w_all")
     p0 = F.col("w_hit") / n
     row_w = [F.col(f"wp{c}") if weighted else F.col(f"prd{c}") for c in range(n_classes)]
@@ -207,19 +194,19 @@ def learning_curve(
     same = F.col("w_same") / n
     records = []
     for c in range(n_classes):
-        tp = F.col(f"tp{c}").cast("double")
+        tp = F.col(f"tp{c}")
         precision = nan_ratio(tp, F.col(f"prd{c}"))
         recall = nan_ratio(tp, F.col(f"sup{c}"))
         records.append(
             F.struct(
                 F.lit(c).alias("cls"),
-                F.col(f"sup{c}").alias("support"),
+                F.col(f"sup{c}").cast("bigint").alias("support"),
                 precision.alias("precision"),
                 recall.alias("recall"),
                 nan_ratio(2.0 * precision * recall, precision + recall).alias("f1"),
             )
         )
-    return curve.select(
+    return sums.select(
         F.col("so_far").cast("bigint").alias("point"),
         (F.col("rows") < every).alias("final_partial"),
         n.alias("instances"),
@@ -230,6 +217,38 @@ def learning_curve(
     )
 
 
+def learning_curve(
+    df: DataFrame,
+    n_classes: int,
+    every: int = 1000,
+    truth: str = "truth",
+    pred: str = "pred",
+    seq: str = "seq",
+    weight: str | None = None,
+    bucket_rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """Cumulative metrics after every ``every`` labelled rows.
+
+    ``df`` holds labelled rows numbered 1..N.  One row per point: ``point`` (labelled rows so far), ``final_partial``,
+    the four overall metrics and one array of ``n_classes`` records.  Rows are aggregated per point first; the running
+    sums then work on points only.
+    """
+    if every < 1 or n_classes < 1:
+        raise ValueError(f"required every >= 1 and n_classes >= 1 but found {every} and {n_classes}")
+    rows = df.select(
+        F.col(seq).alias("seq"),
+        F.col(truth).alias("truth"),
+        F.col(pred).alias("pred"),
+        (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"),
+    )
+    weighted = weight is not None
+    flagged = no_change_flag(rows, "truth", "seq", bucket_rows)
+    steps = curve_steps(flagged, n_classes, F.ceil(F.col("seq") / F.lit(every)), weighted)
+    # Points are few: storing them keeps the pass over all rows from running once per branch below.
+    sums = running_steps(cut_lineage(steps), counter_names(n_classes, weighted))
+    return curve_points(sums, n_classes, every, weighted)
+
+
 def measurements_long(curve: DataFrame, n_classes: int) -> DataFrame:
     """One row per measurement in the fixed order: instances, the overall four, then each class metric by class."""
     values = [(INSTANCES, F.col("point").cast("double"))]
@@ -248,13 +267,24 @@ def measurements_long(curve: DataFrame, n_classes: int) -> DataFrame:
     return curve.select("point", "final_partial", F.inline(records))
 
 
-def _regression_errors(df: DataFrame, truth: str, pred: str, seq: str, bucket_rows: int) -> DataFrame:
-    """Errors of the model and of the running-mean predictor (mean of the targets before; 0 at the start)."""
+ERRORS = ("ae", "se", "ae0", "se0")
+
+
+def regression_errors(
+    df: DataFrame, truth: str = "truth", pred: str = "pred", seq: str = "seq", bucket_rows: int = BUCKET_ROWS,
+    before: tuple[float, int] = (0.0, 0),
+) -> DataFrame:
+    """Errors of the model and of the running-mean predictor (mean of the targets before; 0 at the start).
+
+    ``before``: sum and number of the targets that came ahead of these rows.
+    """
     base = df.select(
         F.col(seq).alias("seq"), F.col(truth).cast("double").alias("y"), F.col(pred).cast("double").alias("p")
     )
     seen = running(base, {"s": ("sum", "y"), "k": ("count", "y")}, "seq", span=bucket_rows, exclusive=("s", "k"))
-    mean = F.when(F.col("k") > 0, F.col("s") / F.col("k")).otherwise(F.lit(0.0))
+    s = F.coalesce(F.col("s"), F.lit(0.0)) + F.lit(float(before[0]))
+    k = F.coalesce(F.col("k"), F.lit(0)) + F.lit(int(before[1]))
+    mean = F.when(k > 0, s / k).otherwise(F.lit(0.0))
     return seen.select(
         "seq",
         F.abs(F.col("y") - F.col("p")).alias("ae"),
@@ -276,11 +306,26 @@ def _regression_metrics(n: Column) -> list[Column]:
 def regression_metrics(
     df: DataFrame, truth: str = "truth", pred: str = "pred", seq: str = "seq", bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
-    errors = _regression_errors(df, truth, pred, seq, bucket_rows)
-    sums = errors.agg(F.count(F.lit(1)).alias("instances"), *[F.sum(c).alias(c) for c in ("ae", "se", "ae0", "se0")])
+    errors = regression_errors(df, truth, pred, seq, bucket_rows)
+    sums = errors.agg(F.count(F.lit(1)).alias("instances"), *[F.sum(c).alias(c) for c in ERRORS])
     return sums.filter(F.col("instances") > 0).select("instances", *_regression_metrics(F.col("instances")))
 
 
+def error_steps(errors: DataFrame, step: Column) -> DataFrame:
+    """Error sums per step of a learning curve, from the rows of :func:`regression_errors`."""
+    return errors.groupBy(step.cast("bigint").alias("step")).agg(
+        F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(c) for c in ERRORS]
+    )
+
+
+def error_points(sums: DataFrame, every: int) -> DataFrame:
+    """Metrics of each point, from the sums of :func:`running_steps`."""
+    return sums.select(
+        F.col("so_far").cast("bigint").alias("point"), (F.col("rows") < every).alias("final_partial"),
+        *_regression_metrics(F.col("so_far")),
+    )
+
+
 def learning_curve_regression(
     df: DataFrame,
     every: int = 1000,
@@ -289,15 +334,6 @@ def learning_curve_regression(
     seq: str = "seq",
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    errors = _regression_errors(df, truth, pred, seq, bucket_rows)
-    names = ("ae", "se", "ae0", "se0")
-    per_point = errors.groupBy(F.ceil(F.col("seq") / F.lit(every)).cast("bigint").alias("step")).agg(
-        F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(f"p_{c}") for c in names]
-    )
-    curve = running(
-        cut_lineage(per_point), {c: ("sum", f"p_{c}") for c in names} | {"so_far": ("sum", "rows")}, "step", span=POINT_SPAN
-    )
-    return curve.select(
-        F.col("so_far").alias("point"), (F.col("rows") < every).alias("final_partial"),
-        *_regression_metrics(F.col("so_far")),
-    )
+    errors = regression_errors(df, truth, pred, seq, bucket_rows)
+    steps = error_steps(errors, F.ceil(F.col("seq") / F.lit(every)))
+    return error_points(running_steps(cut_lineage(steps), ERRORS), every)
