@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from driftline.functions.vectors import vectorize
-from driftline.operators.evaluate import class_counts, confusion, learning_curve, measurements_long, precision_recall
+from driftline.operators.evaluate import class_counts, confusion, precision_recall
 from driftline.operators.linear import normal_stats, solve_normal
-from driftline.operators.order import number_rows, with_batch, with_seq
+from driftline.operators.order import number_rows, with_batch
 from driftline.operators.tree import numeric_stats
 from driftline.plans.query_kernels import ORACLES as KERNEL_ORACLES
 from driftline.plans.query_learners import MAJORITY, NEVER
-from driftline.plans.query_metrics import no_nan
+from driftline.plans.query_metrics import EVERY, no_nan
 from driftline.plans.tables import (
     EVENT_TYPES,
     SQL_EVENT_PAIRS,
@@ -24,22 +24,24 @@ from driftline.plans.tables import (
     embedding_rows,
     index_in,
     marked_events,
+    order_targets,
     table,
 )
 from driftline.schema import predict_target
 from driftline.session import fresh_path, stored
 from driftline.sources.replay import stream_csv, stream_parquet
-from driftline.sources.sinks import insert_into, write_curve_csv
+from driftline.sources.sinks import insert_into, read_curve_csv
+from driftline.streaming.curves import StreamCurve, evaluation_stream
 from driftline.streaming.incremental import (
     accumulate,
     dictionary_stream,
     kmeans_stream,
     latest_centers,
     latest_dictionary,
-    parts,
     total,
 )
 from driftline.streaming.learners import ClassifierStream, ClusterStream, RegressorStream
+from driftline.streaming.store import ModelStore
 
 ARRIVALS = 4
 
@@ -93,18 +95,40 @@ def stream_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("cls", "support", "tp", no_nan("precision"), no_nan("recall"), no_nan("f1"))
 
 
-def stream_curve_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Learning curve written to CSV after the run, and read back."""
+LONG_SCHEMA = "point bigint, final_partial boolean, ordinal int, measurement string, value double"
+
+
+def _streamed_curve(rows: DataFrame, order_by: str, n_classes: int | None) -> StreamCurve:
+    """Evaluate rows that arrive in parts, and end the run."""
+    spark = rows.sparkSession
     out = fresh_path(spark, "curve")
-    rows = _event_pairs_rows(spark, sf_dir)
-    arrive(rows, "event_id", "pairs", lambda stream: accumulate(stream, lambda b: b, out))
-    curve = learning_curve(with_seq(parts(spark, out).select("event_id", "truth", "pred"), "event_id"), 5, 1000)
-    write_curve_csv(measurements_long(curve, 5), f"{out}/csv", 0, completed=True)
-    schema = "point bigint, final_partial boolean, ordinal int, measurement string, value double, completed boolean"
-    back = spark.read.schema(schema).option("header", True).csv(f"{out}/csv/batch_id=0")
+    curve = StreamCurve(spark, out, ModelStore(spark, f"{out}/model"), n_classes, EVERY)
+    arrive(rows, order_by, "pairs", lambda s: evaluation_stream(s.withColumnRenamed(order_by, "seq"), curve))
+    curve.finish()
+    return curve
+
+
+def stream_curve_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learning curve written to CSV point by point during the run, and read back."""
+    curve = _streamed_curve(_event_pairs_rows(spark, sf_dir), "event_id", 5)
+    back = read_curve_csv(spark, curve.path, LONG_SCHEMA)
     return back.select("point", "ordinal", "measurement", no_nan("value"))
 
 
+def stream_learning_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = _streamed_curve(_event_pairs_rows(spark, sf_dir), "event_id", 5).points()
+    return points.select(
+        "point", "final_partial", "instances", no_nan("accuracy_pct"), no_nan("kappa_pct"), no_nan("kappa_temporal_pct")
+    )
+
+
+def stream_learning_curve_reg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = _streamed_curve(order_targets(spark, sf_dir), "o_orderkey", None).points()
+    return points.select(
+        "point", "final_partial", *[F.round(c, 4).alias(c) for c in ("mae", "rmse", "relative_mae", "relative_rmse")]
+    )
+
+
 def stream_numeric_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of lineitem over micro-batches; equal to those of one batch."""
     columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -204,6 +228,8 @@ QUERIES = {
     "stream_csv_replay": stream_csv_replay,
     "stream_confusion": stream_confusion,
     "stream_curve_csv": stream_curve_csv,
+    "stream_learning_curve": stream_learning_curve,
+    "stream_learning_curve_reg": stream_learning_curve_reg,
     "stream_numeric_stats": stream_numeric_stats,
     "stream_dictionary": stream_dictionary,
     "stream_linreg": stream_linreg,
@@ -227,6 +253,8 @@ def _oracles() -> dict[str, str]:
             SELECT CAST(cls AS INTEGER) AS cls, support, tp, round(p, 6) AS "precision", round(r, 6) AS recall,
             round(2 * p * r / nullif(p + r, 0), 6) AS f1 FROM f""",
         "stream_curve_csv": METRIC_ORACLES["measurements_long"],
+        "stream_learning_curve": METRIC_ORACLES["learning_curve"],
+        "stream_learning_curve_reg": METRIC_ORACLES["learning_curve_reg"],
         "stream_numeric_stats": KERNEL_ORACLES["ht_numeric_stats"],
         "stream_dictionary": f"""WITH {SQL_MARKED},
             s AS (SELECT unnest(['event_type', 'user']) AS attr, unnest([event_type, CAST(user_id AS VARCHAR)]) AS value,

@@ -70,13 +70,17 @@ def lineitem_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """seq, o_totalprice and a fixed guess for every order."""
-    rows = table(spark, sf_dir, "orders").select(
+def order_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """o_orderkey, o_totalprice and a fixed guess for every order."""
+    return table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_totalprice").alias("truth"),
         (F.lit(200000.0) + (F.col("o_custkey") % 100) * 1000.0).alias("pred"),
     )
-    return with_seq(rows, "o_orderkey").drop("o_orderkey")
+
+
+def order_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with ``seq``, the number of the order, instead of its key."""
+    return with_seq(order_targets(spark, sf_dir), "o_orderkey").drop("o_orderkey")
 
 
 # SQL counterparts of the shapes above.

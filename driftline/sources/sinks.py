@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -35,6 +35,19 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def write_curve_csv(measurements: DataFrame, path: str, batch_id: int, completed: bool = False) -> None:
-    """Learning-curve CSV with a header; the last write of a run carries ``completed`` = true."""
+    """Lines of one micro-batch under ``path``/curve_csv; the header line, once per run, is in ``path``/curve_header.
+
+    ``completed`` is true in the lines of the write that ends a run, which also leaves an empty ``curve_completed`` table.
+    """
+    spark = measurements.sparkSession
     rows = measurements.withColumn("completed", F.lit(completed))
-    rows.write.mode("overwrite").option("header", True).csv(f"{path}/batch_id={batch_id}")
+    rows.write.mode("overwrite").csv(f"{path}/curve_csv/batch_id={batch_id}")
+    header = spark.range(1).select(F.lit(",".join(rows.columns)).alias("value"))
+    header.write.mode("ignore").text(f"{path}/curve_header")
+    if completed:
+        header.limit(0).write.mode("overwrite").text(f"{path}/curve_completed")
+
+
+def read_curve_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All lines that :func:`write_curve_csv` has written under ``path``; ``schema`` is that of the measurements."""
+    return spark.read.schema(f"{schema}, completed boolean, batch_id int").csv(f"{path}/curve_csv")

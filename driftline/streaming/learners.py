@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import dataclasses
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from driftline.operators.tree import NODE_SCHEMA, STATS_SCHEMA, TreeModel, TreeP
 from driftline.schema import PREDICT, PREDICT_LABEL, TRAIN, role_of_label, role_of_target
 from driftline.session import cut_lineage
 from driftline.sources.sinks import callback, write_batch
+from driftline.streaming.curves import StreamCurve
 from driftline.streaming.store import ModelStore
 
 DICTIONARY_SCHEMA = "attr string, value string, first_seq bigint, n_rows bigint, idx int"
@@ -37,16 +39,27 @@ class _Learner:
     path: str
     order_by: str | Sequence[str]
     max_instances: int = -1
+    interval: int = 1000
 
     @property
     def store(self) -> ModelStore:
         return ModelStore(self.spark, f"{self.path}/model")
 
+    @property
+    def curve(self) -> StreamCurve:
+        """Cumulative metrics every ``interval`` labelled rows; ``curve.finish()`` adds the last, partial point."""
+        return StreamCurve(self.spark, self.path, self.store, getattr(self, "n_classes", None), self.interval)
+
+    def summary(self) -> dict:
+        """Rows, micro-batches with data and seconds spent in them, over the whole run and its restarts."""
+        found = self.store.latest_before()
+        return found[1]["run"] if found else {"instances": 0, "batches": 0, "seconds": 0.0}
+
     def start(self, stream: DataFrame, trigger: dict | None = None) -> StreamingQuery:
         return callback(stream, lambda batch_id, rows: self.step(rows, batch_id), f"{self.path}/checkpoint", trigger)
 
     def outputs(self, name: str) -> DataFrame:
-        """Output rows of all batches so far: ``predictions``, ``pairs``, ``confusion`` or ``centers``."""
+        """Output rows of all batches so far: ``predictions``, ``pairs``, ``confusion``, ``curve`` or ``centers``."""
         return self.spark.read.parquet(f"{self.path}/{name}")
 
     def _number(self, rows: DataFrame, seen: int) -> DataFrame:
@@ -54,6 +67,7 @@ class _Learner:
         return limit_instances(numbered, self.max_instances)
 
     def step(self, rows: DataFrame, batch_id: int) -> None:
+        started = time.monotonic()
         prior = self.store.latest_before(batch_id)
         rows = rows.persist()
         try:
@@ -61,10 +75,18 @@ class _Learner:
             if count:
                 seen = prior[1]["seen"] if prior else 0
                 meta = self._learn(self._number(rows, seen), batch_id, prior)
-                self.store.commit(batch_id, {**meta, "seen": seen + count})
+                run = prior[1]["run"] if prior else {"instances": 0, "batches": 0, "seconds": 0.0}
+                spent = run["seconds"] + time.monotonic() - started
+                run = {"instances": seen + count, "batches": run["batches"] + 1, "seconds": spent}
+                self.store.commit(batch_id, {**meta, "seen": seen + count, "run": run})
         finally:
             rows.unpersist()
 
+    def _stored(self, name: str, rows: DataFrame, batch_id: int) -> DataFrame:
+        """Rows of this micro-batch as a table of its version, so that what follows does not compute them again."""
+        self.store.write(name, batch_id, rows)
+        return self.store.read(name, batch_id, rows.schema)
+
     def _learn(self, rows: DataFrame, batch_id: int, prior: tuple[int, dict] | None) -> dict:
         raise NotImplementedError
 
@@ -117,19 +139,21 @@ class ClassifierStream(_Learner):
             values = self._dictionary("nominals", value_counts(rows, names), batch_id, prior)
             coded = encode_nominal(coded, names, values)
         coded = coded.withColumn("features", vectorize([*self.numeric, *[f"{c}_idx" for c in names]]))
-        scored = model.score(coded.withColumn("role", role_of_label(self.label)))
+        coded = coded.select("seq", *self.numeric, *names, self.label, "label_idx", "features")
+        scored = self._stored("scored", model.score(coded.withColumn("role", role_of_label(self.label))), batch_id)
         asked = decode(scored.filter(F.col("role") == PREDICT), "pred", labels, self.label, "prediction")
         write_batch(asked.select("seq", *self.numeric, *names, "prediction"), f"{self.path}/predictions", batch_id)
         pairs = scored.filter(F.col("role") == TRAIN).select("seq", F.col("label_idx").alias("truth"), "pred")
         write_batch(pairs, f"{self.path}/pairs", batch_id)
         written = self.spark.read.schema(pairs.schema).parquet(f"{self.path}/pairs/batch_id={batch_id}")
         write_batch(confusion(written), f"{self.path}/confusion", batch_id)
-        model = model.learn(coded, label="label_idx")
+        curve = self.curve.add(written, batch_id, prior)
+        model = model.learn(scored.drop("pred", "role"), label="label_idx")
         trained = model.stats is not None
         if trained:
             self.store.write("nodes", batch_id, model.nodes(self.spark))
             self.store.write("stats", batch_id, model.stats)
-        return {"trained": trained, "offsets": model.offsets}
+        return {"trained": trained, "offsets": model.offsets, "curve": curve}
 
 
 @dataclasses.dataclass
@@ -158,7 +182,8 @@ class RegressorStream(_Learner):
     def _learn(self, rows: DataFrame, batch_id: int, prior) -> dict:
         model = self.model(batch_id)
         coded = rows.withColumn("features", vectorize(self.features)).withColumn("role", role_of_target(self.target))
-        scored = model.score(coded)
+        coded = coded.select("seq", *self.features, self.target, "features", "role")
+        scored = self._stored("scored", model.score(coded), batch_id)
         asked = scored.filter(F.col("role") == PREDICT)
         write_batch(
             asked.select("seq", *self.features, F.col("pred").alias("prediction")), f"{self.path}/predictions", batch_id
@@ -166,7 +191,9 @@ class RegressorStream(_Learner):
         train = F.col("role") == TRAIN
         pairs = scored.filter(train).select("seq", F.col(self.target).alias("truth"), "pred")
         write_batch(pairs, f"{self.path}/pairs", batch_id)
-        model = model.learn(coded.filter(train), target=self.target)
+        written = self.spark.read.schema(pairs.schema).parquet(f"{self.path}/pairs/batch_id={batch_id}")
+        curve = self.curve.add(written, batch_id, prior)
+        model = model.learn(scored.filter(train).drop("pred"), target=self.target)
         trained = model.stats is not None
         if trained:
             self.store.write("rules", batch_id, model.table(self.spark))
@@ -175,7 +202,7 @@ class RegressorStream(_Learner):
                 self.store.write("moments", batch_id, model.moments)
         return {
             "trained": trained, "moments": model.moments is not None, "next_id": model.next_id, "lows": model.lows,
-            "highs": model.highs, "offset": model.offset, "scale": model.scale,
+            "highs": model.highs, "offset": model.offset, "scale": model.scale, "curve": curve,
         }
 
 
