@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.functions.vectors import vectorize
-from driftline.operators.cluster import ClusterModel, ClusterParams, centers_row
+from driftline.operators.cluster import ClusterModel, ClusterParams, centers_row, centers_table
 from driftline.operators.encode import OVERFLOW_MODES, decode
 from driftline.operators.evaluate import learning_curve, learning_curve_regression, measurements_long
 from driftline.operators.kmeans_stream import (
@@ -20,10 +20,11 @@ from driftline.operators.kmeans_stream import (
     SLIDING,
     batch_kmeans,
     batch_output,
+    batch_shift,
     update,
 )
 from driftline.operators.kmeans_stream import output as kmeans_output
-from driftline.operators.linear import confidence_interval
+from driftline.operators.linear import batch_fits, batch_predict, confidence_interval, predict, sgd_step
 from driftline.operators.order import batch_starts, number_rows, order_keys, with_batch, with_seq
 from driftline.operators.rules import RuleModel, RuleParams
 from driftline.operators.tree import TreeModel, TreeParams
@@ -35,7 +36,7 @@ from driftline.plans.prequential import (
     prepare_regression,
     test_then_train,
 )
-from driftline.schema import parse_cardinalities, require_columns, require_int, require_numeric
+from driftline.schema import known_target, parse_cardinalities, require_columns, require_int, require_numeric
 from driftline.session import cut_lineage, fresh_path, shuffle_partitions, stored
 
 INTERVAL = 1_000
@@ -167,10 +168,18 @@ def microcluster_kmeans(
     max_instances: int = -1,
     first_batch: int = FIRST_BATCH,
     growth: float = GROWTH,
+    emit_every: int = 0,
     **cluster_options,
 ) -> Learned:
-    """Micro-clusters with a k-means macro step.  ``predictions`` is one row ``center0 .. center{k-1}``."""
+    """Micro-clusters with a k-means macro step.  ``predictions`` is one row ``center0 .. center{k-1}``.
+
+    With ``emit_every`` rows are learned in batches of that size, and ``predictions`` holds a row of centres for each of
+    them, with the rows learned so far as ``point``.
+    """
     require_int("k", k, 2)
+    require_int("emit_every", emit_every, 0)
+    if emit_every:
+        first_batch, growth = emit_every, 1.0
     require_int("max_instances", max_instances, -1)
     if isinstance(features, str):
         require_columns(df, [features], (T.ArrayType,), "features")
@@ -181,8 +190,13 @@ def microcluster_kmeans(
     rows = df.select(*dict.fromkeys([*order_keys(order_by), *columns]))
     prepared = prepare_clustering(rows, features, order_by, max_instances, first_batch, growth)
     model = ClusterModel(ClusterParams(k=k, **cluster_options))
+    emitted = []
     for span, batch in prepared.batches():
         model = model.learn(batch, span=span)
+        if emit_every:
+            emitted.append((span[1], model.centers()))
+    if emitted:
+        return Learned(centers_table(df.sparkSession, emitted, k), model)
     return Learned(centers_row(df.sparkSession, model.centers(), k), model)
 
 
@@ -229,6 +243,67 @@ def streaming_kmeans(
     return result, confidence_interval(result, "stderr", ci)
 
 
+def streaming_linear(
+    df: DataFrame,
+    features: Sequence[str],
+    target: str,
+    order_by: str | Sequence[str],
+    learn_type: int = INDEPENDENT,
+    window_shift: int = 0,
+    batch_size: int = 1000,
+    num_iterations: int = 10,
+    alpha: float = 0.1,
+    ci: float = 0.95,
+    growth: float = GROWTH,
+) -> tuple[DataFrame, DataFrame]:
+    """Streaming linear regression over a table: all inputs + ``prediction`` + ``stderr``, and the error interval.
+
+    ``learn_type`` 0 fits least squares on each batch of ``batch_size`` rows, 1 on batches that advance by
+    ``window_shift``; a row is predicted by the batch it is new in.  2 keeps one model: a batch is predicted with the
+    weights before it, followed by ``num_iterations`` gradient steps of rate ``alpha`` (batches then grow by ``growth``;
+    features should be of a similar scale).  ``stderr`` is |target − prediction|.  Rows whose target is null, NaN or
+    the mark for prediction are predicted only.
+    """
+    require_int("batch_size", batch_size, 1)
+    require_int("num_iterations", num_iterations, 1)
+    shift = batch_shift(learn_type, window_shift, batch_size)
+    require_numeric(df, [*features, target])
+    _order_columns(df, order_by)
+    numbered, total = number_rows(df, order_by)
+    rows = numbered.withColumn("features", vectorize(features)).withColumn("__y", known_target(target))
+    if learn_type == INCREMENTAL:
+        scored = _gradient_batches(rows, total, len(features), batch_size, num_iterations, alpha, growth)
+    else:
+        rows = stored(rows, "linear")
+        known = rows.filter("__y IS NOT NULL")
+        fits = cut_lineage(batch_fits(known, len(features), learn_type, window_shift, batch_size, target="__y"))
+        scored = batch_predict(rows, fits, batch_size, shift, target="__y")
+    result = scored.drop("features", "batch_id", "__y")
+    return result, confidence_interval(result, "stderr", ci)
+
+
+def _gradient_batches(
+    rows: DataFrame, total: int, attrs: int, batch_size: int, iterations: int, alpha: float, growth: float
+) -> DataFrame:
+    """Batch b predicted with the weights after batch b − 1; every batch is read from its own folder."""
+    spark = rows.sparkSession
+    starts = batch_starts(total, batch_size, growth)
+    table = stored(with_batch(rows, starts), "linear", "batch_id")
+    out = fresh_path(spark, "linear-output")
+    weights = [0.0] * (attrs + 1)
+    schema = None
+    for b in range(len(starts)):
+        batch = table.filter(F.col("batch_id") == b)
+        scored = predict(batch.drop("batch_id"), weights, out="prediction")
+        scored = scored.withColumn("stderr", F.abs(F.col("__y") - F.col("prediction")))
+        schema = scored.schema
+        scored.write.parquet(f"{out}/batch_id={b}")
+        for _ in range(iterations):
+            steps = {r["i"]: r["w"] for r in sgd_step(batch.filter("__y IS NOT NULL"), weights, alpha, target="__y").collect()}
+            weights = [steps.get(i, w) for i, w in enumerate(weights)]
+    return spark.read.schema(schema.add("batch_id", "integer")).parquet(out)
+
+
 def _incremental_kmeans(
     rows: DataFrame, total: int, k: int, batch_size: int, iterations: int, alpha: float, growth: float
 ) -> DataFrame:

@@ -368,3 +368,13 @@ def centers_row(spark, centers: Sequence[Sequence[float]], k: int) -> DataFrame:
         for i in range(k)
     ]
     return spark.range(1).select(*cols)
+
+
+def centers_table(spark, emitted: Sequence[tuple[int, Sequence[Sequence[float]]]], k: int) -> DataFrame:
+    """One such row for every (point, centres), with its ``point``."""
+    rows = [(int(p), [[float(v) for v in c] for c in centers]) for p, centers in emitted]
+    table = spark.createDataFrame(rows, "point bigint, centers array<array<double>>")
+    texts = [
+        F.when(F.size("centers") > i, center_format(F.get("centers", F.lit(i)))).alias(f"center{i}") for i in range(k)
+    ]
+    return table.select("point", *texts)

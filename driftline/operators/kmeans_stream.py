@@ -18,12 +18,20 @@ from driftline.operators.order import sliding_batches
 INDEPENDENT, SLIDING, INCREMENTAL = 0, 1, 2
 
 
-def learn_batches(df: DataFrame, learn_type: int, window_shift: int, batch_size: int, seq: str = "seq") -> DataFrame:
-    """Rows with the batches they train, by learn type."""
+def batch_shift(learn_type: int, window_shift: int, batch_size: int) -> int:
+    """Positions between the starts of two batches."""
     if learn_type not in (INDEPENDENT, SLIDING, INCREMENTAL):
         raise ValueError(f"learn_type: required 0, 1 or 2 but found {learn_type}")
-    shift = window_shift if learn_type == SLIDING else batch_size
-    return sliding_batches(df, batch_size, shift, seq)
+    if learn_type != SLIDING:
+        return batch_size
+    if not 1 <= window_shift <= batch_size:
+        raise ValueError(f"window_shift: required 1 to {batch_size}, so that every row is in a batch, but found {window_shift}")
+    return window_shift
+
+
+def learn_batches(df: DataFrame, learn_type: int, window_shift: int, batch_size: int, seq: str = "seq") -> DataFrame:
+    """Rows with the batches they train, by learn type."""
+    return sliding_batches(df, batch_size, batch_shift(learn_type, window_shift, batch_size), seq)
 
 
 def first_batch_of(seq: Column, size: int, shift: int) -> Column:
@@ -41,10 +49,12 @@ def batch_kmeans(
     features: str = "features",
     seq: str = "seq",
     seed: int = 1,
+    batches: tuple[int, int] | None = None,
 ) -> DataFrame:
     """k-means on every independent or sliding batch: (batch, n, centers).
 
     A batch never holds more than ``batch_size`` rows, so one task per batch is bounded and all batches run in parallel.
+    ``batches`` (first, last) leaves out the batches outside that range.
     """
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -55,6 +65,8 @@ def batch_kmeans(
         return pd.DataFrame({"batch": [pdf["batch"].iloc[0]], "n": [len(x)], "centers": [centers]})
 
     rows = learn_batches(df, learn_type, window_shift, batch_size, seq)
+    if batches is not None:
+        rows = rows.filter(F.col("batch").between(*batches))
     rows = rows.select("batch", F.col(seq).alias("seq"), F.col(features).cast("array<double>").alias("features"))
     return rows.groupBy("batch").applyInPandas(fit, "batch bigint, n bigint, centers array<array<double>>")
 

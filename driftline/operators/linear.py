@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -11,8 +12,8 @@ from pyspark.sql import functions as F
 
 from driftline.functions.bounds import z_value
 from driftline.functions.vectors import dot, doubles
-from driftline.operators.kmeans_stream import INCREMENTAL, INDEPENDENT, learn_batches
-from driftline.operators.order import running
+from driftline.operators.kmeans_stream import INCREMENTAL, INDEPENDENT, batch_shift, first_batch_of
+from driftline.operators.order import running, sliding_batches
 from driftline.session import cut_lineage
 
 
@@ -90,14 +91,23 @@ def batch_fits(
     features: str = "features",
     target: str = "target",
     seq: str = "seq",
+    batches: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Least-squares weights after every batch: (batch, n, weights), for independent, sliding or cumulative batches.
 
-    Moments add up per batch with map-side combine; cumulative fits are running sums of those moments, so no step waits
-    for a driver loop.  Only (attrs + 2)(attrs + 3)/2 cells per batch meet in one task.
+    Moments add up once per pane of gcd(batch_size, window_shift) positions, with map-side combine; only panes are
+    repeated for overlapping batches.  Cumulative fits are running sums of those moments, so no step waits for a driver
+    loop.  Only (attrs + 2)(attrs + 3)/2 cells per batch meet in one task.  ``batches`` (first, last) leaves out the
+    batches outside that range.
     """
-    batched = learn_batches(df, learn_type, window_shift, batch_size, seq)
-    cells = normal_stats(batched, attrs, features, target, keys=["batch"])
+    shift = batch_shift(learn_type, window_shift, batch_size)
+    pane = math.gcd(batch_size, shift)
+    paned = df.withColumn("__pane", F.floor((F.col(seq) - 1) / F.lit(pane)))
+    panes = normal_stats(paned, attrs, features, target, keys=["__pane"]).withColumn("__pos", F.col("__pane") + 1)
+    spread = sliding_batches(panes, batch_size // pane, shift // pane, "__pos")
+    if batches is not None:
+        spread = spread.filter(F.col("batch").between(*batches))
+    cells = spread.groupBy("batch", "i", "j").agg(F.sum("v").alias("v"))
     if learn_type == INCREMENTAL:
         cells = running(cut_lineage(cells), {"total": ("sum", "v")}, "batch", ["i", "j"], span=10_000)
         cells = cells.select("batch", "i", "j", F.col("total").alias("v"))
@@ -114,6 +124,20 @@ def predict(df: DataFrame, weights: Sequence[float], features: str = "features",
     return df.withColumn(out, F.lit(float(weights[0])) + dot(doubles(weights[1:]), F.col(features)))
 
 
+def batch_predict(
+    df: DataFrame, fits: DataFrame, size: int, shift: int, features: str = "features", target: str = "target", seq: str = "seq"
+) -> DataFrame:
+    """Rows with ``prediction`` by the weights of the batch they are new in, and ``stderr`` = |target − prediction|.
+
+    A batch is the key of the join and holds at most ``size`` rows, so no key can be hot.
+    """
+    keyed = df.withColumn("__batch", first_batch_of(F.col(seq), size, shift))
+    joined = keyed.join(fits.select(F.col("batch").alias("__batch"), "weights"), "__batch", "left")
+    slopes = F.slice("weights", 2, F.size(F.col(features)))
+    scored = joined.withColumn("prediction", F.get("weights", F.lit(0)) + dot(slopes, F.col(features)))
+    return scored.withColumn("stderr", F.abs(F.col(target) - F.col("prediction"))).drop("__batch", "weights")
+
+
 def sgd_gradient(
     df: DataFrame, weights: Sequence[float], features: str = "features", target: str = "target"
 ) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.functions.vectors import double_text
+from driftline.session import cut_lineage
 
 BUCKET_ROWS = 1_000_000
 # Order buckets per shuffle partition: several, so that hashing bucket numbers to tasks evens out.
@@ -179,13 +180,15 @@ def running(
     span: int = BUCKET_ROWS,
     exclusive: Sequence[str] = (),
     block: str | None = None,
+    settle: bool = False,
 ) -> DataFrame:
     """Running aggregates in order of ``position`` within ``keys``; ``specs`` maps output to (function, column).
 
     Two levels: running values inside blocks of ``span`` positions, plus the running totals of the blocks before.
     A single key may hold any share of the rows, because its blocks are spread over tasks.  Outputs named in
     ``exclusive`` leave the current row out.  Several passes can share one shuffle: name an existing ``block`` column
-    (see :func:`with_block`), which is then kept.
+    (see :func:`with_block`), which is then kept.  ``settle`` checkpoints the totals carried between blocks, one small
+    row per block, so that a pass stacked on this one does not plan the passes below it twice.
     """
     keys = list(keys)
     at = block or "__block"
@@ -206,6 +209,8 @@ def running(
         *[merge.get(fn, _RUNNING[fn])(f"__t_{out}").over(across).alias(f"__c_{out}") for out, (fn, _) in specs.items()],
     )
 
+    if settle:
+        carried = cut_lineage(carried)
     joined = local.join(carried, blocks)
     result = {}
     for out, (fn, _) in specs.items():

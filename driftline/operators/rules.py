@@ -107,20 +107,23 @@ def page_hinkley(
     alpha: float = 0.005,
     threshold: float = 35.0,
     span: int = BUCKET_ROWS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Page–Hinkley test per key along ``position``: adds ``m``, ``m_min`` and ``alarm`` to every row.
 
-    m_t sums e_i − mean_i − α with the mean of the first i values.  Three running passes over the same (key, block)
-    partitioning, so a key of any size is spread over tasks.
+    m_t sums e_i − mean_i − α with the mean of the first i values.  The rows are dealt by (key, block) once and
+    checkpointed in that layout; the three running passes read them there and exchange only one total per block, so a
+    key of any size is spread over tasks.  ``position`` has to be dense (see :func:`with_seq`) for blocks to fill.
     """
-    base = with_block(df.select(*keys, position, F.col(value).cast("double").alias("__e")), position, span)
-    share = {"position": position, "keys": keys, "block": "__block"}
+    base = with_block(df.select(*keys, position, *carry, F.col(value).cast("double").alias("__e")), position, span)
+    base = cut_lineage(base.repartition(*keys, "__block"))
+    share = {"position": position, "keys": keys, "block": "__block", "settle": True}
     first = running(base, {"__s": ("sum", "__e"), "__k": ("count", "__e")}, **share)
     terms = first.withColumn("__term", F.col("__e") - F.col("__s") / F.col("__k") - alpha).drop("__s", "__k")
     sums = running(terms, {"m": ("sum", "__term")}, **share)
     least = running(sums, {"m_min": ("min", "m")}, **share)
     return least.select(
-        *keys, position, F.col("__e").alias(value), "m", "m_min",
+        *keys, position, *carry, F.col("__e").alias(value), "m", "m_min",
         (F.col("m") - F.col("m_min") > threshold).alias("alarm"),
     )
 

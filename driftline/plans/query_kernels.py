@@ -173,8 +173,9 @@ def amr_split_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_hinkley_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select("event_type", F.col("event_id").alias("seq"), "value")
-    ph = page_hinkley(rows, "value", ["event_type"], "seq", 0.005, 2000.0)
+    events = table(spark, sf_dir, "events").select("event_type", F.col("event_id").alias("seq"), "value")
+    rows = with_seq(events, "seq", "position")
+    ph = page_hinkley(rows, "value", ["event_type"], "position", 0.005, 2000.0, carry=["seq"])
     return ph.select("event_type", "seq", F.round("m", 4).alias("m"), F.round("m_min", 4).alias("m_min"), "alarm")
 
 

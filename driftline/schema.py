@@ -69,6 +69,12 @@ def role_of_target(target: str | Column) -> Column:
     return F.when(col.cast("double").cast("string") == PREDICT_TARGET_TEXT, PREDICT).otherwise(TRAIN)
 
 
+def known_target(target: str) -> Column:
+    """The target as a double; null where it is missing, NaN or marked for prediction."""
+    y = F.col(target).cast("double")
+    return F.when((role_of_target(target) == TRAIN) & ~F.isnan(y), y)
+
+
 def predict_target() -> Column:
     """The negative-zero literal that marks a regression row for prediction."""
     return F.lit("-0.0").cast("double")

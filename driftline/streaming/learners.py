@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from driftline.functions.vectors import vectorize
-from driftline.operators.cluster import CF_SCHEMA, ClusterModel, ClusterParams, centers_row
+from driftline.operators.cluster import CF_SCHEMA, ClusterModel, ClusterParams, centers_row, centers_table
 from driftline.operators.encode import decode, encode_label, encode_nominal, extend_dictionary, number_entries, value_counts
 from driftline.operators.evaluate import confusion
 from driftline.operators.order import limit_instances, with_seq
@@ -208,11 +208,15 @@ class RegressorStream(_Learner):
 
 @dataclasses.dataclass
 class ClusterStream(_Learner):
-    """Micro-clusters over a stream; every micro-batch emits one row of k centres."""
+    """Micro-clusters over a stream; every micro-batch emits one row of k centres.
+
+    With ``emit_every`` a row of centres, with its ``point``, follows every ``emit_every`` arrivals instead.
+    """
 
     features: Sequence[str] | str = ()
     k: int = 2
     options: dict = dataclasses.field(default_factory=dict)
+    emit_every: int = 0
 
     def model(self, before: int | None = None) -> ClusterModel:
         params = ClusterParams(k=self.k, **self.options)
@@ -224,7 +228,24 @@ class ClusterStream(_Learner):
     def _learn(self, rows: DataFrame, batch_id: int, prior) -> dict:
         single = isinstance(self.features, str)
         vector = F.col(self.features).cast("array<double>") if single else vectorize(self.features)
-        model = self.model(batch_id).learn(rows.select("seq", vector.alias("features")))
+        model, rows = self.model(batch_id), rows.select("seq", vector.alias("features"))
+        if self.emit_every:
+            return self._emit(model, self._stored("arrived", rows, batch_id), batch_id)
+        model = model.learn(rows)
         self.store.write("kernels", batch_id, model.table(self.spark))
         write_batch(centers_row(self.spark, model.centers(), self.k), f"{self.path}/centers", batch_id)
         return {}
+
+    def _emit(self, model: ClusterModel, rows: DataFrame, batch_id: int) -> dict:
+        """Learn the rows up to each emission point in turn."""
+        first, last = rows.agg(F.min("seq"), F.max("seq")).first()
+        emitted = []
+        while first is not None and first <= last:
+            upto = min(last, -(-first // self.emit_every) * self.emit_every)
+            model = model.learn(rows.filter(F.col("seq").between(first, upto)))
+            if upto % self.emit_every == 0:
+                emitted.append((upto, model.centers()))
+            first = upto + 1
+        self.store.write("kernels", batch_id, model.table(self.spark))
+        write_batch(centers_table(self.spark, emitted, self.k), f"{self.path}/centers", batch_id)
+        return {}
