@@ -31,6 +31,7 @@ from driftline.schema import predict_target
 from driftline.session import fresh_path, stored
 from driftline.sources.replay import stream_csv, stream_parquet
 from driftline.sources.sinks import insert_into, read_curve_csv
+from driftline.streaming.batch_learners import KMeansStream, LinearStream
 from driftline.streaming.curves import StreamCurve, evaluation_stream
 from driftline.streaming.incremental import (
     accumulate,
@@ -44,6 +45,7 @@ from driftline.streaming.learners import ClassifierStream, ClusterStream, Regres
 from driftline.streaming.store import ModelStore
 
 ARRIVALS = 4
+SGD_STEPS, SGD_RATE = 2, 0.25
 
 
 def arrive(
@@ -178,7 +180,34 @@ def stream_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_path(spark, "kmeans")
     centers = class_centers(rows)
     arrive(rows, "vec_id", "embeddings", lambda stream: kmeans_stream(stream, centers, out, alpha=0.9))
-    return latest_centers(spark, out).select("idx", F.round("n", 4).alias("n"), F.size("center").alias("dims"))
+    state = latest_centers(spark, out).select("idx", "n", F.posexplode("center").alias("dim", "value"))
+    return state.select("idx", "dim", F.round("n", 4).alias("n"), F.round("value", 4).alias("value"))
+
+
+def stream_kmeans_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding with its distance to the nearest centre after its arrival."""
+    rows = embedding_rows(spark, sf_dir).select("vec_id", "label", "features")
+    learner = KMeansStream(
+        spark, fresh_path(spark, "kmeans"), "vec_id", features="features", learn_type=2, alpha=0.9, centers=class_centers(rows)
+    )
+    arrive(rows, "vec_id", "embeddings", learner.start)
+    return learner.outputs("rows").select("vec_id", F.round("stderr", 4).alias("stderr"))
+
+
+def stream_linreg_sgd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test-then-train of a line by gradient steps: every part is predicted with the weights before its arrival."""
+    rows = table(spark, sf_dir, "part").select(
+        "p_partkey", (F.col("p_size") / 50.0).alias("size"), (F.col("p_partkey") % 100 / 100.0).alias("key"),
+        (F.col("p_retailprice") / 1000.0).alias("price"),
+    )
+    learner = LinearStream(
+        spark, fresh_path(spark, "linreg"), "p_partkey", features=["size", "key"], target="price", learn_type=2,
+        num_iterations=SGD_STEPS, alpha=SGD_RATE,
+    )
+    arrive(rows, "p_partkey", "part", learner.start)
+    return learner.outputs("rows").select(
+        "p_partkey", F.round("prediction", 6).alias("prediction"), F.round("stderr", 6).alias("stderr")
+    )
 
 
 def stream_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,6 +263,8 @@ QUERIES = {
     "stream_dictionary": stream_dictionary,
     "stream_linreg": stream_linreg,
     "stream_kmeans": stream_kmeans,
+    "stream_kmeans_rows": stream_kmeans_rows,
+    "stream_linreg_sgd": stream_linreg_sgd,
     "stream_classifier": stream_classifier,
     "stream_majority": stream_majority,
     "stream_regressor": stream_regressor,
@@ -241,6 +272,50 @@ QUERIES = {
 }
 
 
+def _sql_kmeans() -> str:
+    """Decayed centre updates over the arrivals, unrolled: centres c0 (class means), c1, ... and distances d0, d1, ..."""
+    steps = [
+        """r AS (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS seq, count(*) OVER () AS n, embedding FROM embeddings)""",
+        f"""x AS MATERIALIZED (SELECT vec_id, label, generate_subscripts(embedding, 1) - 1 AS i, CAST(unnest(embedding) AS DOUBLE) AS v,
+            (SELECT max(k) FROM (SELECT unnest(range({ARRIVALS})) AS k) WHERE k * n // {ARRIVALS} < seq) AS part FROM r)""",
+        """c0 AS MATERIALIZED (SELECT dense_rank() OVER (ORDER BY label) - 1 AS idx, i, avg(v) AS v, 0.0::DOUBLE AS n
+            FROM x GROUP BY label, i)""",
+    ]
+    for s in range(ARRIVALS):
+        steps += [
+            f"""a{s} AS MATERIALIZED (SELECT vec_id, c.idx, sum((x.v - c.v) * (x.v - c.v)) AS d FROM x JOIN c{s} c USING (i)
+                WHERE part = {s} GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c.idx) = 1)""",
+            f"m{s} AS (SELECT a.idx, i, count(*) AS m, sum(v) AS s FROM a{s} a JOIN x USING (vec_id) GROUP BY 1, 2)",
+            f"""c{s + 1} AS MATERIALIZED (SELECT c.idx, c.i, CASE WHEN m IS NULL THEN c.v ELSE (c.v * 0.9::DOUBLE * n + s)
+                / (0.9::DOUBLE * n + m) END AS v, 0.9::DOUBLE * n + coalesce(m, 0) AS n FROM c{s} c LEFT JOIN m{s} USING (idx, i))""",
+            f"""d{s} AS (SELECT vec_id, min(d) AS d FROM (SELECT vec_id, c.idx, sum((x.v - c.v) * (x.v - c.v)) AS d
+                FROM x JOIN c{s + 1} c USING (i) WHERE part = {s} GROUP BY 1, 2) GROUP BY 1)""",
+        ]
+    return ", ".join(steps)
+
+
+def _sql_sgd() -> str:
+    """Weights w0 (zeros), w1, ... after every gradient step; SGD_STEPS of them per arrival."""
+    steps = [
+        f"""r AS (SELECT p_partkey, p_size / 50.0::DOUBLE AS x1, (p_partkey % 100) / 100.0::DOUBLE AS x2, p_retailprice / 1000.0::DOUBLE AS y,
+            row_number() OVER (ORDER BY p_partkey) AS seq, count(*) OVER () AS n FROM part)""",
+        f"""x AS MATERIALIZED (SELECT *, (SELECT max(k) FROM (SELECT unnest(range({ARRIVALS})) AS k)
+            WHERE k * n // {ARRIVALS} < seq) AS part FROM r)""",
+        "w0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2)",
+    ]
+    for s in range(ARRIVALS * SGD_STEPS):
+        error = "(a + b1 * x1 + b2 * x2 - y)"
+        rate = f"{SGD_RATE}::DOUBLE"
+        steps.append(
+            f"""w{s + 1} AS MATERIALIZED (SELECT any_value(a) - {rate} * avg{error} AS a, any_value(b1) - {rate} * avg({error} * x1) AS b1,
+                any_value(b2) - {rate} * avg({error} * x2) AS b2 FROM x, w{s} WHERE part = {s // SGD_STEPS})"""
+        )
+    rows = " UNION ALL ".join(
+        f"SELECT p_partkey, a + b1 * x1 + b2 * x2 AS p, y FROM x, w{k * SGD_STEPS} WHERE part = {k}" for k in range(ARRIVALS)
+    )
+    return f"WITH {', '.join(steps)} SELECT p_partkey, round(p, 6) AS prediction, round(abs(y - p), 6) AS stderr FROM ({rows})"
+
+
 def _oracles() -> dict[str, str]:
     from driftline.plans.query_metrics import ORACLES as METRIC_ORACLES
     from driftline.plans.query_metrics import _CLASS_SQL
@@ -268,6 +343,11 @@ def _oracles() -> dict[str, str]:
             SELECT seq, CAST(d.idx AS INTEGER) AS truth, CAST(coalesce(m.idx, 0) AS INTEGER) AS pred
             FROM e JOIN d USING (label) LEFT JOIN m ON m.k = (SELECT max(b.k) FROM b WHERE b.before < e.seq)""",
         "stream_linreg": KERNEL_ORACLES["linreg_fit"],
+        "stream_linreg_sgd": _sql_sgd(),
+        "stream_kmeans": f"""WITH {_sql_kmeans()} SELECT CAST(idx AS INTEGER) AS idx, CAST(i AS INTEGER) AS dim, round(n, 4) AS n,
+            round(v, 4) AS value FROM c{ARRIVALS}""",
+        "stream_kmeans_rows": f"""WITH {_sql_kmeans()} SELECT vec_id, round(sqrt(d), 4) AS stderr FROM
+            ({' UNION ALL '.join(f'SELECT vec_id, d FROM d{s}' for s in range(ARRIVALS))})""",
     }
 
 

@@ -35,7 +35,7 @@ from driftline.streaming.learners import _Learner
 
 @dataclasses.dataclass
 class _BatchLearner(_Learner):
-    features: Sequence[str] = ()
+    features: Sequence[str] | str = ()
     learn_type: int = INDEPENDENT
     window_shift: int = 0
     batch_size: int = 1000
@@ -57,7 +57,8 @@ class _BatchLearner(_Learner):
         raise NotImplementedError
 
     def _coded(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn("features", vectorize(self.features))
+        single = isinstance(self.features, str)
+        return rows.withColumn("features", F.col(self.features).cast("array<double>") if single else vectorize(self.features))
 
     def _write(self, scored: DataFrame, batch_id: int) -> None:
         write_batch(scored.drop("features"), f"{self.path}/rows", batch_id)
@@ -99,10 +100,12 @@ class _BatchLearner(_Learner):
 class KMeansStream(_BatchLearner):
     """Every row with all its inputs, ``stderr`` (distance to the nearest centre) and ``center0 .. center{k-1}``.
 
-    Type 2 starts with the k-means of the first ``batch_size`` rows and decays old rows by ``alpha`` per micro-batch.
+    Type 2 starts with ``centers`` or the k-means of the first ``batch_size`` rows and decays old rows by ``alpha`` per
+    micro-batch; a row is given the centres after its micro-batch.
     """
 
     k: int = 2
+    centers: Sequence[Sequence[float]] | None = None
 
     def _scored(self, rows: DataFrame, first: int, last: int) -> DataFrame:
         fits = batch_kmeans(
@@ -111,6 +114,8 @@ class KMeansStream(_BatchLearner):
         return batch_output(self._new_in(rows, first, last), cut_lineage(fits), self.k, self.batch_size, self.shift)
 
     def _moved(self, rows: DataFrame, batch_id: int, model: dict | None) -> tuple[DataFrame, dict]:
+        if model is None and self.centers is not None:
+            model = {"centers": self.centers, "counts": [0.0] * len(self.centers)}
         if model is None:
             start = batch_kmeans(rows.filter(F.col("seq") <= self.batch_size), self.k, INDEPENDENT, 0, self.batch_size, self.num_iterations)
             centers = [list(c) for c in start.first()["centers"]]
@@ -145,6 +150,7 @@ class LinearStream(_BatchLearner):
         return batch_predict(self._new_in(rows, first, last), cut_lineage(fits), self.batch_size, self.shift, target="__y")
 
     def _moved(self, rows: DataFrame, batch_id: int, model: dict | None) -> tuple[DataFrame, dict]:
+        """Weights with one entry per feature: ``features`` has to be a list of columns here."""
         before = weights = model["weights"] if model else [0.0] * (len(self.features) + 1)
         known = rows.filter("__y IS NOT NULL")
         for _ in range(self.num_iterations):
