@@ -51,6 +51,21 @@ def ht_majority_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, sf_dir, grace=NEVER).pairs.select("seq", "truth", "pred")
 
 
+FIRST, SIGNS = 400, 6
+
+
+def ht_first_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One growth step: learn FIRST rows, split the root on the sign that tells most, predict all other rows."""
+    signs = {f"sign{i}": F.when(F.get("embedding", F.lit(i)) > 0, "p").otherwise("n") for i in range(SIGNS)}
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", *[c.alias(n) for n, c in signs.items()], F.col("label").cast("string").alias("label")
+    )
+    learned = hoeffding_classifier(
+        rows, [], "label", 10, "vec_id", nominal=dict.fromkeys(signs, 2), first_batch=FIRST, growth=1e9, tie=1.0
+    )
+    return learned.pairs.select("seq", "truth", "pred")
+
+
 def ht_mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numeric and nominal attributes of documents against their quality label."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"))
@@ -113,6 +128,20 @@ def kmeans_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_ssq(embedding_rows(spark, sf_dir), model.centers()).select("idx", "n", F.round("ssq", 4).alias("ssq"))
 
 
+def mean_moments(kernels: DataFrame) -> DataFrame:
+    """Rows per dimension, mean and mean square over all kernels: what clustering must not change."""
+    flat = kernels.select("n", F.posexplode(F.arrays_zip("ls", "ss")).alias("dim", "v"))
+    sums = flat.groupBy("dim").agg(F.sum("n").alias("n"), F.sum("v.ls").alias("ls"), F.sum("v.ss").alias("ss"))
+    return sums.select(
+        "dim", F.round("n").cast("bigint").alias("n"), F.round(F.col("ls") / F.col("n"), 6).alias("mean"),
+        F.round(F.col("ss") / F.col("n"), 6).alias("mean_sq"),
+    )
+
+
+def cluster_mass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mean_moments(_clustered(spark, sf_dir).model.table(spark))
+
+
 def cluster_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", (F.col("l_extendedprice") / 1000.0).alias("price"), "l_discount", "l_tax"
@@ -160,7 +189,9 @@ QUERIES = {
     "amr_prequential": amr_prequential,
     "cluster_centers": cluster_centers,
     "kmeans_macro": kmeans_macro,
+    "cluster_mass": cluster_mass,
     "cluster_lineitem": cluster_lineitem,
+    "ht_first_split": ht_first_split,
 }
 # Micro-batch k starts after 1000 · (2^k − 1) rows.
 _DOUBLING = "b AS (SELECT k, 1000 * (CAST(pow(2, k) AS BIGINT) - 1) AS before FROM (SELECT unnest(range(0, 30)) AS k))"
@@ -178,7 +209,27 @@ p AS (SELECT row_number() OVER (ORDER BY p_partkey) AS seq, CAST(p_size AS DOUBL
 m AS (SELECT k, avg(y) AS mean FROM b JOIN p ON seq <= before WHERE NOT asked GROUP BY k)
 """
 
+SQL_MASS = """SELECT CAST(i - 1 AS INTEGER) AS dim, count(*) AS n, round(avg(v), 6) AS mean, round(avg(v * v), 6) AS mean_sq
+    FROM (SELECT CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY i"""
+_FIRST_SPLIT = f"""
+e AS (SELECT row_number() OVER (ORDER BY vec_id) AS seq, CAST(label AS VARCHAR) AS label, embedding FROM embeddings),
+d AS (SELECT label, row_number() OVER (ORDER BY min(seq)) - 1 AS idx FROM e GROUP BY label),
+v AS (SELECT seq, idx, unnest(range({SIGNS})) AS attr, unnest(embedding[1:{SIGNS}]) > 0 AS value
+      FROM e JOIN d USING (label)),
+c AS (SELECT attr, value, idx, CAST(count(*) AS DOUBLE) AS n FROM v WHERE seq <= {FIRST} GROUP BY ALL),
+hv AS (SELECT attr, value, sum(n) AS nv, log2(sum(n)) - sum(n * log2(n)) / sum(n) AS h FROM c GROUP BY 1, 2),
+root AS (SELECT attr, sum(n) AS n, log2(sum(n)) - sum(n * log2(n)) / sum(n) AS h
+         FROM (SELECT attr, idx, sum(n) AS n FROM c GROUP BY 1, 2) GROUP BY 1),
+best AS (SELECT attr FROM root JOIN (SELECT attr, sum(nv * h) AS s FROM hv GROUP BY 1) USING (attr)
+         WHERE h - s / n > 1e-12 ORDER BY h - s / n DESC, attr LIMIT 1),
+major AS (SELECT value, idx FROM c JOIN best USING (attr) QUALIFY row_number() OVER (PARTITION BY value ORDER BY n DESC, idx) = 1)
+"""
+
 ORACLES: dict[str, str] = {
+    "cluster_mass": SQL_MASS,
+    "ht_first_split": f"""WITH {_FIRST_SPLIT} SELECT seq, CAST(v.idx AS INTEGER) AS truth,
+        CAST(CASE WHEN seq <= {FIRST} THEN 0 ELSE major.idx END AS INTEGER) AS pred
+        FROM v JOIN best USING (attr) JOIN major USING (value)""",
     "ht_majority": f"""WITH {SQL_MARKED}, {_DOUBLING}, {MAJORITY}
         SELECT seq, value, d.label AS prediction FROM e LEFT JOIN m ON m.k = {_BATCH_OF}
         JOIN d ON d.idx = coalesce(m.idx, 0) WHERE e.label = '?'""",

@@ -14,7 +14,7 @@ from driftline.operators.linear import normal_stats, solve_normal
 from driftline.operators.order import number_rows, with_batch
 from driftline.operators.tree import numeric_stats
 from driftline.plans.query_kernels import ORACLES as KERNEL_ORACLES
-from driftline.plans.query_learners import MAJORITY, NEVER
+from driftline.plans.query_learners import MAJORITY, NEVER, SQL_MASS, mean_moments
 from driftline.plans.query_metrics import EVERY, no_nan
 from driftline.plans.tables import (
     EVENT_TYPES,
@@ -252,6 +252,13 @@ def stream_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learner.outputs("centers")
 
 
+def stream_cluster_mass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    learner = ClusterStream(spark, fresh_path(spark, "mass"), "vec_id", features="embedding", k=3)
+    arrive(rows, "vec_id", "embeddings", learner.start)
+    return mean_moments(learner.model().table(spark))
+
+
 QUERIES = {
     "stream_insert": stream_insert,
     "stream_csv_replay": stream_csv_replay,
@@ -269,6 +276,7 @@ QUERIES = {
     "stream_majority": stream_majority,
     "stream_regressor": stream_regressor,
     "stream_clusters": stream_clusters,
+    "stream_cluster_mass": stream_cluster_mass,
 }
 
 
@@ -343,6 +351,7 @@ def _oracles() -> dict[str, str]:
             SELECT seq, CAST(d.idx AS INTEGER) AS truth, CAST(coalesce(m.idx, 0) AS INTEGER) AS pred
             FROM e JOIN d USING (label) LEFT JOIN m ON m.k = (SELECT max(b.k) FROM b WHERE b.before < e.seq)""",
         "stream_linreg": KERNEL_ORACLES["linreg_fit"],
+        "stream_cluster_mass": SQL_MASS,
         "stream_linreg_sgd": _sql_sgd(),
         "stream_kmeans": f"""WITH {_sql_kmeans()} SELECT CAST(idx AS INTEGER) AS idx, CAST(i AS INTEGER) AS dim, round(n, 4) AS n,
             round(v, 4) AS value FROM c{ARRIVALS}""",
