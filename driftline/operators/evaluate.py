@@ -134,14 +134,19 @@ def no_change_flag(
 
 
 def temporal_kappa(
-    df: DataFrame, truth: str = "truth", pred: str = "pred", seq: str = "seq", bucket_rows: int = BUCKET_ROWS
+    df: DataFrame, truth: str = "truth", pred: str = "pred", seq: str = "seq", bucket_rows: int = BUCKET_ROWS,
+    weight: str | None = None,
 ) -> DataFrame:
-    """Kappa against the predictor that repeats the last truth."""
-    flagged = no_change_flag(df.select(seq, truth, pred), truth, seq, bucket_rows)
-    sums = flagged.agg(
-        F.count(F.lit(1)).alias("instances"),
-        F.sum((F.col(truth) == F.col(pred)).cast("int")).alias("hits"),
-        F.sum("no_change").alias("no_change"),
+    """Kappa against the predictor that repeats the last truth.
+
+    With ``weight`` the counts are sums of weights, where a weight that is not above 0 adds nothing.
+    """
+    w = F.col(weight).cast("double") if weight else F.lit(1)
+    rows = df.select(seq, truth, pred, F.when(w > 0, w).otherwise(F.lit(0.0 if weight else 0)).alias("__w"))
+    sums = no_change_flag(rows, truth, seq, bucket_rows).agg(
+        F.coalesce(F.sum("__w"), F.lit(0)).alias("instances"),
+        F.sum((F.col(truth) == F.col(pred)).cast("int") * F.col("__w")).alias("hits"),
+        F.sum(F.col("no_change") * F.col("__w")).alias("no_change"),
     )
     n = F.col("instances")
     value = kappa(F.col("hits") / n, F.col("no_change") / n) * 100.0

@@ -40,6 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, or a temporary one where that is unset (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir: required a folder that all executors share, but it is not set")
         base = tempfile.mkdtemp(prefix="driftline-")
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
