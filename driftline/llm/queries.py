@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from driftline.llm import ann, decontaminate, language_id, license_scan, mixing, near_dup, secret_scan, sharding, toxicity, warc
 from driftline.session import fresh_path
 
-# Production targets of the mix.  Languages and topics are given in full; of the sources only the ones that are to be
-# held down or lifted are named.
+# Production targets of the mix.  Topics are given in full; of the sources only the ones that are to be held down or
+# lifted are named.  Every margin has a share for ``other``, the values it does not name and nulls: without it they would
+# be dropped for certain.  Shares are relative: those of values that the corpus does not hold are spread over the rest.
 TOPIC_RULES = (
     ("legal", r"(?i)licen[cs]e|rights reserved"),
     ("secrets", r"(?i)token =|password|api_key"),
@@ -18,7 +19,7 @@ TOPIC_RULES = (
 )
 TARGETS = {
     "source": {"src0": 0.15, "src1": 0.06, "src2": 0.06, "src3": 0.06, "src4": 0.06, "other": 0.61},
-    "lang": {"en": 0.5, "de": 0.18, "fr": 0.18, "es": 0.14},
+    "lang": {"en": 0.5, "de": 0.18, "fr": 0.18, "es": 0.14, "other": 0.05},
     "topic": {"legal": 0.04, "secrets": 0.01, "contact": 0.05, "tabular": 0.1, "other": 0.8},
 }
 MIX_KEEP = 0.7

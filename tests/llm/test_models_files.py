@@ -112,6 +112,25 @@ def test_mix_draws_by_probability(spark, odd, nothing):
         mixing.mix(df, targets, 0.0)
 
 
+def test_production_mix_samples_unnamed_values(spark):
+    langs = ["en", "en", "en", "de", "fr", "es", None, "it", "", "zh"]
+    rows = [(i, "a b c d", langs[i % 10], f"src{i % 9}" if i % 11 else None) for i in range(3000)]
+    got = queries.mixed(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    for lang in set(langs):
+        own = [r for r in got if r.lang == lang]
+        assert min(r.prob for r in own) > 0 and any(r.sampled for r in own)
+    assert all(t["other"] > 0 for t in queries.TARGETS.values())
+
+
+def test_production_mix_without_unnamed_languages_keeps_its_targets(spark):
+    rows = [(i, "a b c d", ("en", "de", "fr", "es")[i % 4], f"src{i % 7}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    named = {**queries.TARGETS, "lang": {k: v for k, v in queries.TARGETS["lang"].items() if k != "other"}}
+    topics = df.withColumn("topic", mixing.topic_by_rules(df.text, queries.TOPIC_RULES))
+    expected = {r.doc_id: (r.weight, r.prob, r.sampled) for r in mixing.mix(topics, named, queries.MIX_KEEP).collect()}
+    assert {r.doc_id: (r.weight, r.prob, r.sampled) for r in queries.mixed(df).collect()} == expected
+
+
 def test_shards_hold_every_row_once(spark, odd, nothing):
     rows = [(i, "t" * (i % 50)) for i in range(3000)] + [(9, "same")] * 1500
     df = spark.createDataFrame(rows, "doc_id long, text string")
