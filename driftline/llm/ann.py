@@ -21,17 +21,20 @@ from pyspark.sql import types as T
 
 from driftline.session import stored
 
-# Bound of the sample on which centres are fitted and the number of probed lists is calibrated.
+# Bound of the sample on which centres are fitted, and the sample rows that a list has on average at least: the number of
+# lists is the square root of the rows, or less if the sample is too small for so many.
 SAMPLE_ROWS = 20_000
+LIST_SAMPLE = 16
+# The number of probed lists is calibrated on sample rows that took no part in fitting (at most a fifth of the sample).
 SAMPLE_QUERIES = 300
 TARGET_RECALL = 0.985
 LLOYD_ROUNDS = 8
-MAX_LISTS = 65_536
 BLOCK = 16  # columns read between two tests
 EPSILON = 2.1  # confidence of the test: larger drops fewer
 CHUNK_ROWS = 8_192
 SLAB = 1_024  # candidates between two updates of the best distances
 QUERY_BLOCK = 512
+ROW_BLOCK = 2_048  # rows measured against all centres or calibration queries at once
 SEED = 11
 
 RESULT = T.StructType(
@@ -41,7 +44,7 @@ RESULT = T.StructType(
 
 @dataclass
 class Index:
-    """What every task needs: rotation, centres and the number of lists to probe.  ``recall`` is that of the sample."""
+    """What every task needs: rotation, centres and the number of lists to probe.  ``recall`` is that of the held-out queries."""
 
     rotation: np.ndarray
     centers: np.ndarray
@@ -58,10 +61,11 @@ class Index:
 
     def lists(self, turned: np.ndarray, n: int) -> np.ndarray:
         """Numbers of the ``n`` nearest centres of each row, ties to the smaller number."""
-        d = (self.centers**2).sum(1)[None, :] - 2.0 * turned @ self.centers.T
-        if n == 1:
-            return d.argmin(1)[:, None]
-        return np.argsort(d, axis=1, kind="stable")[:, :n]
+        found = np.empty((len(turned), n), dtype=np.int64)
+        for begin in range(0, len(turned), ROW_BLOCK):
+            d = (self.centers**2).sum(1)[None, :] - 2.0 * turned[begin : begin + ROW_BLOCK] @ self.centers.T
+            found[begin : begin + ROW_BLOCK] = d.argmin(1)[:, None] if n == 1 else np.argsort(d, axis=1, kind="stable")[:, :n]
+        return found
 
 
 def usable(vector: Column) -> Column:
@@ -76,44 +80,83 @@ def usable_rows(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
     )
 
 
+def neighbour_lists(rows: DataFrame, index: Index, asked: np.ndarray, asked_id: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The lists of the true ``k`` nearest rows of some turned queries: numbers of queries and of lists, in pairs.
+
+    An exact pass over all rows, in blocks; each task keeps k rows a query.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((index, asked, asked_id))
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, asked, asked_id = shared.value
+        at = np.arange(len(asked))[:, None]
+        best, name = np.full((len(asked), k), -np.inf), np.zeros((len(asked), k), dtype=np.int64)
+        near = np.zeros((len(asked), k, index.dim))
+        for batch in stream:
+            if not batch.num_rows:
+                continue
+            ids = batch.column("vec_id").to_numpy()
+            turned = index.turn(batch.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1))
+            for begin in range(0, len(ids), ROW_BLOCK):
+                block, own = turned[begin : begin + ROW_BLOCK], ids[begin : begin + ROW_BLOCK]
+                score = np.concatenate((best, np.where(asked_id[:, None] == own[None, :], -np.inf, asked @ block.T)), axis=1)
+                top = np.argpartition(-score, k - 1, axis=1)[:, :k]
+                old, new = np.minimum(top, k - 1), np.maximum(top - k, 0)
+                near = np.where((top < k)[:, :, None], near[at, old], block[new])
+                name = np.where(top < k, name[at, old], own[new])
+                best = score[at, top]
+        q, c = np.nonzero(best > -np.inf)
+        if len(q):
+            columns = (q, name[q, c], best[q, c], index.lists(near[q, c], 1)[:, 0])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["q", "vec_id", "score", "list"])
+
+    found = rows.filter(F.size("vector") == index.dim).mapInArrow(run, "q bigint, vec_id bigint, score double, list bigint")
+    order = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
+    pairs = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("q", "list").collect()
+    return np.array([r["q"] for r in pairs], dtype=np.int64), np.array([r["list"] for r in pairs], dtype=np.int64)
+
+
 def fit(rows: DataFrame, k: int = 5, seed: int = SEED) -> Index | None:
-    """Centres and probes from a sample of about SAMPLE_ROWS rows chosen by a hash of the id; None without vectors.
+    """Centres from a sample of about SAMPLE_ROWS rows chosen by a hash of the id, probes from held-out rows of it; None
+    without vectors.
 
-    Vectors of another length than most of the sample take no part in the index.
+    The held-out rows are the calibration queries: neither they nor copies of them are fitted, and their true neighbours
+    are searched among all rows.  Vectors of another length than most of the sample take no part in the index.
     """
     total = rows.count()
     share = min(1.0, SAMPLE_ROWS / max(total, 1))
     pick = F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000) if share < 1 else 1_000_000)
-    sample = [r["vector"] for r in rows.filter(pick).select("vector").collect()] or [r["vector"] for r in rows.limit(1).collect()]
+    sample = rows.filter(pick).select("vec_id", "vector").collect() or rows.select("vec_id", "vector").limit(1).collect()
     if not sample:
         return None
-    sizes = [len(v) for v in sample]
+    sizes = [len(r["vector"]) for r in sample]
     dim = max(sorted(set(sizes)), key=sizes.count)
-    data = np.array([v for v in sample if len(v) == dim])
+    ids = np.array([r["vec_id"] for r in sample if len(r["vector"]) == dim], dtype=np.int64)
+    data = np.array([r["vector"] for r in sample if len(r["vector"]) == dim])
     rng = np.random.default_rng(seed)
     rotation = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
     index = Index(rotation, np.zeros((1, dim)), 1, 1.0)
     turned = index.turn(data)
-    distinct = np.unique(turned, axis=0)
-    n_lists = int(min(MAX_LISTS, len(distinct), max(1, round(total**0.5))))
-    index.centers = distinct[rng.permutation(len(distinct))[:n_lists]]
+    first = np.unique(np.round(turned, 9), axis=0, return_index=True)[1]
+    first = first[rng.permutation(len(first))]
+    held = min(SAMPLE_QUERIES, len(first) // 5)
+    asked, asked_id, fitted = turned[first[:held]], ids[first[:held]], turned[first[held:]]
+    n_lists = int(max(1, min(len(fitted) // LIST_SAMPLE, round(total**0.5))))
+    index.centers = fitted[:n_lists]
     for _ in range(LLOYD_ROUNDS):
-        own = index.lists(distinct, 1)[:, 0]
+        own = index.lists(fitted, 1)[:, 0]
         size = np.bincount(own, minlength=n_lists)
         sums = np.zeros_like(index.centers)
-        np.add.at(sums, own, distinct)
+        np.add.at(sums, own, fitted)
         index.centers = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], index.centers)
-    # In which probed list do the true neighbours of some sample rows lie?
-    own = index.lists(distinct, 1)[:, 0]
-    asked = distinct[rng.permutation(len(distinct))[:SAMPLE_QUERIES]]
-    close = np.argsort(-(asked @ distinct.T), axis=1)[:, 1 : k + 1]
-    if close.size:
-        place = np.empty((len(asked), n_lists), dtype=np.int64)
-        order = index.lists(asked, n_lists)
-        np.put_along_axis(place, order, np.arange(n_lists)[None, :].repeat(len(asked), 0), axis=1)
-        depth = np.sort(np.take_along_axis(place, own[close], axis=1).ravel())
-        index.probes = int(depth[min(len(depth) - 1, int(np.ceil(TARGET_RECALL * len(depth))) - 1)]) + 1
-        index.recall = float((depth < index.probes).mean())
+    # In which probed list do the true neighbours of the held-out rows lie?
+    if held and n_lists > 1:
+        query, own = neighbour_lists(rows, index, asked, asked_id, k)
+        place = np.argsort(index.lists(asked, n_lists), axis=1)
+        depth = np.sort(place[query, own])
+        if len(depth):
+            index.probes = int(depth[min(len(depth) - 1, int(np.ceil(TARGET_RECALL * len(depth))) - 1)]) + 1
+            index.recall = float((depth < index.probes).mean())
     return index
 
 
@@ -199,7 +242,7 @@ def search(
 
     kind = "vec_id bigint, vector array<double>, lists array<bigint>"
     placed = stored(base.filter(same).mapInArrow(assign(1), kind).select("vec_id", "vector", F.get("lists", F.lit(0)).alias("list")), "lists")
-    # Chunks of a list: at most one row per list in this table, and no more lists than MAX_LISTS.
+    # Chunks of a list: at most one row per list in this table, and no more lists than SAMPLE_ROWS / LIST_SAMPLE.
     chunks = placed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK_ROWS)).alias("chunks"))
     spread = placed.join(F.broadcast(chunks), "list").select(
         "list", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("chunks")).alias("chunk"), "vec_id", "vector"

@@ -171,6 +171,31 @@ def test_search_recall_and_ties(spark):
     assert found[150] == [100, 101, 102, 103, 104] and found[100] == [101, 102, 103, 104, 105]
 
 
+def test_probes_are_calibrated_on_rows_outside_the_fit(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SAMPLE_ROWS", 100)  # fewer than the square root of the rows, times a few
+    data = np.random.default_rng(6).normal(size=(10_000, 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<double>").repartition(4)
+    index = ann.fit(ann.usable_rows(df, "vec_id", "embedding"))
+    asked = [i for i in range(10_000) if i % 50 == 0]
+    found = {}
+    for r in ann.search(df, df.filter("vec_id % 50 = 0"), index=index).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    truth = nearest(dict(enumerate(data)), asked[:60], 5)
+    recall = sum(len(found.get(q, set()) & set(truth[q])) for q in truth) / (5 * len(truth))
+    assert recall >= 0.9 and abs(index.recall - recall) < 0.1, (recall, index.recall, index.probes, len(index.centers))
+
+
+def test_true_neighbours_of_the_calibration_match_brute_force(spark):
+    data = np.random.default_rng(7).normal(size=(700, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<double>").repartition(3)
+    index = ann.Index(np.eye(8), data[:20] / 3, 1, 1.0)
+    turned = index.turn(data)
+    query, lists = ann.neighbour_lists(ann.usable_rows(df, "vec_id", "embedding"), index, turned[40:60], np.arange(40, 60), 5)
+    truth = nearest(dict(enumerate(data)), range(40, 60), 5)
+    own = index.lists(turned, 1)[:, 0]
+    assert sorted(zip(query.tolist(), lists.tolist())) == sorted((q - 40, int(own[v])) for q in truth for v in truth[q])
+
+
 def test_search_takes_odd_vectors(spark):
     rows = [
         (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [float("nan"), 1.0]), (6, [None, 1.0]), (None, [1.0, 1.0]),
