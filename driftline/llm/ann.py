@@ -218,7 +218,8 @@ def search(
 
     ``queries`` has the columns of ``rows``; a row with the query's id is never its neighbour.  Rows that :func:`usable`
     refuses, with a null id or with another number of components than the index take no part.  Ties go to the smaller
-    vec_id.  Fewer rows than k are all returned as far as they lie in probed lists.
+    vec_id.  A query whose probed lists hold fewer than k other rows goes on to its next lists until they hold as many, so
+    fewer than k rows are returned only if there are no more.
     """
     spark = rows.sparkSession
     base = usable_rows(rows, vec_id, vector)
@@ -229,25 +230,41 @@ def search(
     shared = spark.sparkContext.broadcast(index)
     same = F.size("vector") == index.dim
 
-    def assign(n: int):
-        def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in stream:
-                if batch.num_rows:
-                    data = batch.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-                    near = shared.value.lists(shared.value.turn(data), n)
-                    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, near.size + 1, n), pa.int32()), pa.array(near.ravel(), pa.int64()))
-                    yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("vector"), lists], ["vec_id", "vector", "lists"])
+    def turned_rows(batch: pa.RecordBatch) -> np.ndarray:
+        return shared.value.turn(batch.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1))
 
-        return run
+    def assign(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            if batch.num_rows:
+                near = shared.value.lists(turned_rows(batch), 1)[:, 0]
+                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("vector"), pa.array(near)], ["vec_id", "vector", "list"])
 
-    kind = "vec_id bigint, vector array<double>, lists array<bigint>"
-    placed = stored(base.filter(same).mapInArrow(assign(1), kind).select("vec_id", "vector", F.get("lists", F.lit(0)).alias("list")), "lists")
+    placed = stored(base.filter(same).mapInArrow(assign, "vec_id bigint, vector array<double>, list bigint"), "lists")
     # Chunks of a list: at most one row per list in this table, and no more lists than SAMPLE_ROWS / LIST_SAMPLE.
-    chunks = placed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK_ROWS)).alias("chunks"))
+    sizes = {r["list"]: r["n"] for r in placed.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
+    held = spark.sparkContext.broadcast(np.array([sizes.get(i, 0) for i in range(len(index.centers))]))
+    chunks = spark.createDataFrame([(i, -(-n // CHUNK_ROWS)) for i, n in sizes.items()], "list bigint, chunks bigint")
     spread = placed.join(F.broadcast(chunks), "list").select(
         "list", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("chunks")).alias("chunk"), "vec_id", "vector"
     )
-    asked = usable_rows(queries, vec_id, vector).filter(same).mapInArrow(assign(min(index.probes, len(index.centers))), kind)
+    def probe(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, held_rows = shared.value, held.value
+        for batch in stream:
+            for begin in range(0, batch.num_rows, QUERY_BLOCK):
+                part = batch.slice(begin, QUERY_BLOCK)
+                order = index.lists(turned_rows(part), len(index.centers))
+                least = k + part.column("own").to_numpy()
+                # The first list at which those so far hold k rows beside the query's own.
+                enough = (np.cumsum(held_rows[order], axis=1) < least[:, None]).sum(1) + 1
+                n = np.minimum(np.maximum(enough, index.probes), len(index.centers))
+                lists = order[np.arange(order.shape[1])[None, :] < n[:, None]]
+                found = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(lists, pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column("vec_id"), part.column("vector"), found], ["vec_id", "vector", "lists"])
+
+    wanted = usable_rows(queries, vec_id, vector).filter(same)
+    own = placed.select("vec_id").join(wanted.select("vec_id"), "vec_id", "left_semi").groupBy("vec_id").agg(F.count(F.lit(1)).alias("own"))
+    asked = wanted.join(own, "vec_id", "left").select("vec_id", "vector", F.coalesce("own", F.lit(0).cast("bigint")).alias("own"))
+    asked = asked.mapInArrow(probe, "vec_id bigint, vector array<double>, lists array<bigint>")
     probes = asked.select("vec_id", "vector", F.explode("lists").alias("list")).join(F.broadcast(chunks), "list").select(
         "list", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk"), "vec_id", "vector"
     )

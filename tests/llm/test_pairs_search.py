@@ -196,6 +196,24 @@ def test_true_neighbours_of_the_calibration_match_brute_force(spark):
     assert sorted(zip(query.tolist(), lists.tolist())) == sorted((q - 40, int(own[v])) for q in truth for v in truth[q])
 
 
+def test_lonely_queries_get_all_their_neighbours(spark):
+    rng = np.random.default_rng(8)
+    # Wide lists with room, a list with one row, one with three, and one that holds copies of a single id only.
+    centers = np.eye(6)
+    data = [(i, centers[i % 2] + 0.01 * rng.normal(size=6)) for i in range(400)]
+    data += [(1000, centers[2]), (1001, centers[3]), (1002, centers[3]), (1003, centers[3])] + [(1004, centers[4])] * 7
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in data], "vec_id long, embedding array<double>")
+    index = ann.Index(np.eye(6), centers, 1, 1.0)
+    asked = df.filter("vec_id >= 1000 or vec_id < 4").dropDuplicates(["vec_id"])
+    found = {}
+    for r in ann.search(df, asked, index=index).collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    assert {q: len(v) for q, v in found.items()} == {q: 5 for q in (0, 1, 2, 3, 1000, 1001, 1002, 1003, 1004)}
+    assert {1002, 1003} < set(found[1001]) and all(q not in v for q, v in found.items())
+    few = df.filter("vec_id < 3 or vec_id = 1000")
+    assert ann.search(few, few.filter("vec_id = 1000"), index=index).count() == 3
+
+
 def test_search_takes_odd_vectors(spark):
     rows = [
         (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [float("nan"), 1.0]), (6, [None, 1.0]), (None, [1.0, 1.0]),
