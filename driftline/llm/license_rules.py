@@ -1,8 +1,10 @@
 """Signature rules for licences, as data.
 
 A pattern is a regular expression over lower-cased text in which a blank stands for any run of characters that are not
-word characters, and which must begin and end at word borders.  Each rule is gated by a keyword (one run of
-characters that every match needs): it only runs on texts that contain the keyword.  Priorities order the rules when detections overlap.
+word characters, and which must begin and end at word borders.  Each rule is gated by a keyword (one word or part of a
+word that every match needs, so never across a gap): it only runs on texts that contain the keyword.  Reference rules
+are the exception: "released under the" refers to a licence only in a text that mentions one, so theirs is a condition.
+Priorities order the rules when detections overlap.
 """
 
 from __future__ import annotations
@@ -73,15 +75,15 @@ mit | expat | expat licen[cs]e
 mit | style | mit style licen[cs]e
 x11 | x11 | x11 licen[cs]e
 isc | isc | isc licen[cs]e
-bsd-2-clause | 2-clause | (?:simplified |freebsd )?bsd 2 clause(?: licen[cs]e)?
+bsd-2-clause | clause | (?:simplified |freebsd )?bsd 2 clause(?: licen[cs]e)?
 bsd-2-clause | simplified | simplified bsd licen[cs]e
 bsd-2-clause | freebsd | freebsd licen[cs]e
-bsd-3-clause | 3-clause | bsd 3 clause(?: licen[cs]e)?
+bsd-3-clause | clause | bsd 3 clause(?: licen[cs]e)?
 bsd-3-clause | bsd | new bsd licen[cs]e
 bsd-3-clause | modified | modified bsd licen[cs]e
-bsd-4-clause | 4-clause | bsd 4 clause(?: licen[cs]e)?
+bsd-4-clause | clause | bsd 4 clause(?: licen[cs]e)?
 bsd | bsd | (?:berkeley )?bsd (?:style )?licen[cs]e
-0bsd | zero-clause | zero clause bsd(?: licen[cs]e)?
+0bsd | clause | zero clause bsd(?: licen[cs]e)?
 mpl-1.0 | mozilla | mozilla public licen[cs]e,? ?(?:version|v)? ?1\\.0
 mpl-1.1 | mozilla | mozilla public licen[cs]e,? ?(?:version|v)? ?1\\.1
 mpl-2.0 | mozilla | mozilla public licen[cs]e,? ?(?:version|v)? ?2(?:\\.0)?
@@ -170,7 +172,7 @@ wtfpl | want | do what the f\\S+ you want to public licen[cs]e
 zlib | zlib | zlib (?:libpng )?licen[cs]e
 zpl-2.1 | zope | zope public licen[cs]e(?: version)?(?: 2\\.1)?
 llama-2 | llama | llama 2 community licen[cs]e(?: agreement)?
-openrail | openrail | (?:creativeml )?open ?rail(?: m)?(?: licen[cs]e)?
+openrail | rail | (?:creativeml )?open ?rail(?: m)?(?: licen[cs]e)?
 proprietary | rights | all rights reserved
 proprietary | proprietary | proprietary(?: and confidential)? licen[cs]e
 public-domain | domain | (?:released|placed|dedicated|is) (?:into|in|to) the public domain
@@ -213,36 +215,36 @@ proprietary | confidential | proprietary and confidential
 
 # label | keyword | address.
 URLS = """
-apache-2.0 | apache.org | apache org licenses license 2\\.0(?: txt| html)?
-gpl-2.0 | gnu.org | gnu org licenses (?:old licenses )?gpl 2\\.0(?: txt| html)?
-gpl-3.0 | gnu.org | gnu org licenses gpl 3\\.0(?: txt| html)?
-lgpl-2.1 | gnu.org | gnu org licenses (?:old licenses )?lgpl 2\\.1(?: txt| html)?
-lgpl-3.0 | gnu.org | gnu org licenses lgpl 3\\.0(?: txt| html)?
-agpl-3.0 | gnu.org | gnu org licenses agpl 3\\.0(?: txt| html)?
-gfdl-1.3 | gnu.org | gnu org licenses fdl 1\\.3(?: txt| html)?
-gpl | gnu.org | gnu org licenses gpl
-mit | opensource.org | opensource org licenses mit(?: license)?(?: php)?
-bsd-2-clause | opensource.org | opensource org licenses bsd 2 clause
-bsd-3-clause | opensource.org | opensource org licenses bsd 3 clause
-isc | opensource.org | opensource org licenses isc
-artistic-2.0 | opensource.org | opensource org licenses artistic 2\\.0
-mpl-2.0 | mozilla.org | mozilla org mpl 2\\.0
-epl-1.0 | eclipse.org | eclipse org (?:legal|org documents) epl v ?10
-epl-2.0 | eclipse.org | eclipse org legal epl (?:v ?20|2\\.0)
-bsl-1.0 | boost.org | boost org license 1 0 txt
-cc-by-3.0 | creativecommons.org | creativecommons org licenses by 3\\.0
-cc-by-4.0 | creativecommons.org | creativecommons org licenses by 4\\.0
-cc-by-sa-3.0 | creativecommons.org | creativecommons org licenses by sa 3\\.0
-cc-by-sa-4.0 | creativecommons.org | creativecommons org licenses by sa 4\\.0
-cc-by-nc-4.0 | creativecommons.org | creativecommons org licenses by nc 4\\.0
-cc-by-nd-4.0 | creativecommons.org | creativecommons org licenses by nd 4\\.0
-cc-by-nc-sa-4.0 | creativecommons.org | creativecommons org licenses by nc sa 4\\.0
-cc-by-nc-nd-4.0 | creativecommons.org | creativecommons org licenses by nc nd 4\\.0
-cc0-1.0 | creativecommons.org | creativecommons org publicdomain zero 1\\.0
-ofl-1.1 | scripts.sil.org | scripts sil org ofl
-unlicense | unlicense.org | unlicense org
-wtfpl | wtfpl.net | wtfpl net
-odbl-1.0 | opendatacommons.org | opendatacommons org licenses odbl
+apache-2.0 | apache | apache org licenses license 2\\.0(?: txt| html)?
+gpl-2.0 | gnu | gnu org licenses (?:old licenses )?gpl 2\\.0(?: txt| html)?
+gpl-3.0 | gnu | gnu org licenses gpl 3\\.0(?: txt| html)?
+lgpl-2.1 | gnu | gnu org licenses (?:old licenses )?lgpl 2\\.1(?: txt| html)?
+lgpl-3.0 | gnu | gnu org licenses lgpl 3\\.0(?: txt| html)?
+agpl-3.0 | gnu | gnu org licenses agpl 3\\.0(?: txt| html)?
+gfdl-1.3 | gnu | gnu org licenses fdl 1\\.3(?: txt| html)?
+gpl | gnu | gnu org licenses gpl
+mit | opensource | opensource org licenses mit(?: license)?(?: php)?
+bsd-2-clause | opensource | opensource org licenses bsd 2 clause
+bsd-3-clause | opensource | opensource org licenses bsd 3 clause
+isc | opensource | opensource org licenses isc
+artistic-2.0 | opensource | opensource org licenses artistic 2\\.0
+mpl-2.0 | mozilla | mozilla org mpl 2\\.0
+epl-1.0 | eclipse | eclipse org (?:legal|org documents) epl v ?10
+epl-2.0 | eclipse | eclipse org legal epl (?:v ?20|2\\.0)
+bsl-1.0 | boost | boost org license 1 0 txt
+cc-by-3.0 | creativecommons | creativecommons org licenses by 3\\.0
+cc-by-4.0 | creativecommons | creativecommons org licenses by 4\\.0
+cc-by-sa-3.0 | creativecommons | creativecommons org licenses by sa 3\\.0
+cc-by-sa-4.0 | creativecommons | creativecommons org licenses by sa 4\\.0
+cc-by-nc-4.0 | creativecommons | creativecommons org licenses by nc 4\\.0
+cc-by-nd-4.0 | creativecommons | creativecommons org licenses by nd 4\\.0
+cc-by-nc-sa-4.0 | creativecommons | creativecommons org licenses by nc sa 4\\.0
+cc-by-nc-nd-4.0 | creativecommons | creativecommons org licenses by nc nd 4\\.0
+cc0-1.0 | creativecommons | creativecommons org publicdomain zero 1\\.0
+ofl-1.1 | scripts | scripts sil org ofl
+unlicense | unlicense | unlicense org
+wtfpl | wtfpl | wtfpl net
+odbl-1.0 | opendatacommons | opendatacommons org licenses odbl
 """
 
 REFERENCES = """
