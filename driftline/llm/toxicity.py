@@ -21,8 +21,8 @@ from driftline.llm.sampling import MAX_SAMPLE_BYTES, labelled_sample
 from driftline.llm.words import Words, batches, mix, slices, words_of
 
 # Bounds of the labelled sample used for fitting, in documents of each label.
-TOXIC_DOCS = 1_000
-CLEAN_DOCS = 3_000
+TOXIC_DOCS = 2_000
+CLEAN_DOCS = 6_000
 # Word beginnings used as features, in bytes; 0 is the whole word.
 BEGINNINGS = (0, 4, 5, 6, 7)
 # A feature marks toxic words from this likelihood-ratio statistic (chi-squared, 1 degree; 25 is p = 6e-7) and share on.

@@ -63,6 +63,19 @@ def test_toxicity_learns_words_and_marks_them(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_toxicity_marks_words_of_few_toxic_texts(spark):
+    rng = random.Random(12)
+    common = ["".join(rng.choice("aeioumnrst") for _ in range(6)) for _ in range(60)]
+    rows = []
+    for i in range(8000):
+        word = ("wretchling" if i % 500 == 0 else rng.choice(("vile", "rotten"))) if i % 4 == 0 else rng.choice(common)
+        rows.append((i, " ".join([rng.choice(common) for _ in range(8)] + [word, rng.choice(common)]), int(i % 4 == 0)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = toxicity.learn(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    rare = toxicity.score(docs.filter("doc_id % 500 = 0"), model).collect()  # 0.8 % of the toxic texts
+    assert all("wretchling" in "".join(r.text[s.start : s.end] for s in r.spans) for r in rare)
+
+
 def test_toxicity_takes_odd_rows(spark, odd, nothing):
     labels = spark.createDataFrame([(1, 0), (2, 0)], "doc_id long, toxic int")
     model = toxicity.learn(odd, labels)
