@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import ann, decontaminate, language_id, license_scan, mixing, near_dup, secret_scan, sharding, toxicity, warc
+from driftline.llm import (
+    ann, decontaminate, exact_dedup, hard_negatives, language_id, license_scan, mixing, near_dup, resampling, secret_scan,
+    sharding, toxicity, warc,
+)
 from driftline.session import fresh_path
 
 # Production targets of the mix.  Topics are given in full; of the sources only the ones that are to be held down or
@@ -112,11 +115,25 @@ def op10_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(rows, rows.filter(F.col("vec_id") % 50 == 0))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("id") % 100 == 0)
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), keep="largest", fold_case=True)
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("text")
+    return resampling.resample(docs, items)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_mix_sources, op3_secret_scan, op4_shard, op5_language_id, op6_warc_reader, op7_near_duplicates,
-        op8_decontaminate, op9_toxicity, op10_vector_search,
+        op8_decontaminate, op9_toxicity, op10_vector_search, op11_hard_negatives, op12_exact_dedup, op13_resample,
     )
 }
 
@@ -203,4 +220,55 @@ SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
 FROM q
 """
 
-ORACLES = {"op2_mix_sources": _sql_mix(), "op6_warc_reader": SQL_WARC, "op8_decontaminate": SQL_DECONTAMINATE}
+SQL_NEGATIVES = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+             list_sum(list_transform(list_zip(a.x, r.x), lambda p: p[1] * p[2])) AS score
+      FROM v a JOIN v r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id,
+       CAST(positive_score AS BIGINT) AS positive_score, CAST(score AS BIGINT) AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10
+"""
+
+SQL_EXACT = f"""
+WITH d AS (SELECT doc_id, sha256({_lower("text")}) AS text_sha256 FROM documents),
+e AS (SELECT *, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size FROM d WINDOW g AS (PARTITION BY text_sha256))
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM e
+"""
+
+# CRC-32 of the distinct words: a table of 256 remainders, then one step a byte.
+SQL_RESAMPLE = f"""
+WITH RECURSIVE bits(b, i, c) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL SELECT b, i + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE i < 8),
+lookup AS (SELECT list(c ORDER BY b) AS t FROM bits WHERE i = 8),
+d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({_lower("text")}, '{WORD}') AS w FROM documents),
+dw AS (SELECT r, unnest(w) AS word FROM d),
+bw AS (SELECT unnest(regexp_extract_all({_lower("text")}, '{WORD}')) AS word FROM benchmark),
+vocabulary AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+hashed AS (SELECT word, xor(list_reduce(list_prepend(4294967295,
+    list_transform(range(1, len(h), 2), lambda i: CAST('0x' || h[i:i + 1] AS BIGINT))),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket FROM vocabulary, lookup),
+src AS (SELECT bucket, count(*) AS s FROM dw JOIN hashed USING (word) GROUP BY 1),
+tgt AS (SELECT bucket, count(*) AS t FROM bw JOIN hashed USING (word) GROUP BY 1),
+sums AS (SELECT (SELECT coalesce(sum(s), 0) FROM src) AS s_all, (SELECT coalesce(sum(t), 0) FROM tgt) AS t_all),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * (s_all + 10000.0::DOUBLE)
+    / ((s + 1.0::DOUBLE) * (t_all + 10000.0::DOUBLE)))) AS BIGINT) AS g FROM src LEFT JOIN tgt USING (bucket), sums),
+weights AS (SELECT r, CAST(floor(CAST(sum(g) AS DOUBLE) / count(*)) AS BIGINT) AS weight FROM dw JOIN hashed USING (word) JOIN gain USING (bucket) GROUP BY r),
+scored AS (SELECT doc_id, r, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+    (CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+    FROM d LEFT JOIN weights USING (r)),
+places AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, r) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM scored LEFT JOIN places USING (r)
+"""
+
+ORACLES = {
+    "op11_hard_negatives": SQL_NEGATIVES, "op12_exact_dedup": SQL_EXACT, "op13_resample": SQL_RESAMPLE, "op2_mix_sources": _sql_mix(),
+    "op6_warc_reader": SQL_WARC, "op8_decontaminate": SQL_DECONTAMINATE,
+}
