@@ -57,6 +57,7 @@ class Node:
     n: int = 0
     ties: int = 0
     spilled: str | None = None  # the subtree was given away under this name
+    cut: bool = False  # something below was given away
 
     def add(self, sha: str, best: int | None, n: int, ties: int, largest: bool) -> None:
         if not self.n:
@@ -103,7 +104,7 @@ class Trie:
                 node, at = child, at + len(child.label)
                 continue
             shared = common(child.label, text, at)
-            upper = Node(child.label[:shared], {child.label[shared]: child})
+            upper = Node(child.label[:shared], {child.label[shared]: child}, cut=child.cut)
             child.label = child.label[shared:]
             node.children[text[at]] = upper
             self.size += NODE_BYTES
@@ -132,23 +133,31 @@ class Trie:
         return total
 
     def spill(self, name: str) -> tuple[str, list[tuple[bytes, Node]]] | None:
-        """Gives away the largest subtree of the first branching node: its name, which starts with ``name``, and its
-        strings.  None if there is no branch to give."""
-        node, prefix = self.root, b""
-        open_ = list(node.children.values())
-        while len(open_) == 1 and not node.n and open_[0].spilled is None and len(node.children) == 1:
-            node = open_[0]
-            prefix += node.label
-            open_ = [c for c in node.children.values() if c.spilled is None]
-        open_ = [c for c in open_ if c.spilled is None]
-        if not open_ or len(open_) + bool(node.n) < 2:
+        """Gives away the largest subtree out of which nothing has been given yet: its name, which starts with ``name``,
+        and its strings.  None if no string would stay."""
+        # Nodes to look at, with the nodes above them: the root and those above earlier cuts.
+        stack: list[tuple[Node, ...]] = [(self.root,)]
+        whole: list[tuple[Node, ...]] = []
+        kept = 0
+        while stack:
+            path = stack.pop()
+            kept += bool(path[-1].n)
+            for child in path[-1].children.values():
+                if child.spilled is None:
+                    (stack if child.cut else whole).append((*path, child))
+            if not stack and not kept and len(whole) == 1:
+                stack.append(whole.pop())  # the only one: its branches
+        if not whole or len(whole) + kept < 2:
             return None
-        branch = max(open_, key=lambda c: (self.weight(c), c.label[:1]))
+        *above, branch = max(whole, key=lambda p: (self.weight(p[-1]), p[-1].label))
+        prefix = b"".join(n.label for n in above)
         strings = list(self.walk(branch, prefix))
         self.size -= self.weight(branch)
-        path = f"{name}/{hashlib.sha1(prefix + branch.label[:1]).hexdigest()}"
-        node.children[branch.label[0]] = Node(branch.label[:1], spilled=path)
-        return path, strings
+        for node in above:
+            node.cut = True
+        path_name = f"{name}/{hashlib.sha1(prefix + branch.label[:1]).hexdigest()}"
+        above[-1].children[branch.label[0]] = Node(branch.label[:1], spilled=path_name)
+        return path_name, strings
 
 
 def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:

@@ -57,12 +57,14 @@ def whole_rows(rows: DataFrame, vec_id: str, vector: str, label: str) -> DataFra
 @dataclass
 class Segment:
     """An inverted index over some rows, dimensions in the common order.  ``lists[j]`` holds rows and values of dimension
-    j without the omitted ones; ``before[:, j]`` is a row's norm over the dimensions before j."""
+    j without the omitted ones; ``before[:, j]`` is a row's norm over the dimensions before j, ``omitted`` the number of its
+    leading dimensions that are in no list."""
 
     id: np.ndarray
     label: np.ndarray
     x: np.ndarray
     before: np.ndarray
+    omitted: np.ndarray
     lists: list[tuple[np.ndarray | slice, np.ndarray]]
 
     @classmethod
@@ -71,11 +73,12 @@ class Segment:
         values = x.astype(np.float64)
         before = np.zeros((len(x), x.shape[1] + 1))
         np.sqrt(np.cumsum(values**2, axis=1), out=before[:, 1:])
+        omitted = (before[:, 1:] * (1 + 1e-9) < least).sum(1)
         lists = []
         for j in range(x.shape[1]):
-            kept = np.flatnonzero(before[:, j + 1] * (1 + 1e-9) >= least)
+            kept = np.flatnonzero(omitted <= j)
             lists.append((slice(None), values[:, j]) if len(kept) == len(x) else (kept, values[kept, j]))
-        return cls(id, label, x, before, lists)
+        return cls(id, label, x, before, omitted, lists)
 
 
 def scores(a: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -104,15 +107,21 @@ def join(index: Segment, a: np.ndarray, allowed: np.ndarray, least: np.ndarray)
             j -= 1
             at, values = index.lists[j]
             part[:, at] += av[:, j, None] * values
-        alive &= part + rest[:, j, None] * index.before[:, j] >= goal[:, None]
+        # What is not in the sum of a row: its dimensions before j, or all that the index omits.
+        left = np.maximum(index.omitted, j)
+        alive &= part + rest[:, left] * index.before[np.arange(len(left)), left] >= goal[:, None]
     q, c = np.nonzero(alive)
     partial = part[q, c]
+    ended = index.omitted[c] > j  # nothing more of them in the lists: they are scored
+    out, (q, c, partial) = [(q[ended], c[ended])], (v[~ended] for v in (q, c, partial))
     while j and len(q):
         lower = max(0, j - CHECK)
         partial = partial + np.einsum("ij,ij->i", av[q, lower:j], index.x[c, lower:j])
         j = lower
         live = partial + rest[q, j] * index.before[c, j] >= goal[q]
         q, c, partial = q[live], c[live], partial[live]
+    out.append((q, c))
+    q, c = (np.concatenate(v) for v in zip(*out))
     s = scores(a[q], index.x[c])
     good = s >= least[q]
     return q[good], c[good], s[good]
