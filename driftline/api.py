@@ -36,7 +36,7 @@ from driftline.plans.prequential import (
     prepare_regression,
     test_then_train,
 )
-from driftline.schema import known_target, parse_cardinalities, require_columns, require_int, require_numeric
+from driftline.schema import TRAIN, known_target, parse_cardinalities, require_columns, require_int, require_numeric
 from driftline.session import cut_lineage, fresh_path, shuffle_partitions, stored
 
 INTERVAL = 1_000
@@ -155,7 +155,7 @@ def rules_regressor(
     params = RuleParams(attrs=len(features), **rule_options)
     with shuffle_partitions(df.sparkSession, parallelism):
         prepared = prepare_regression(df, features, target, order_by, max_instances, first_batch, growth)
-        outcome = test_then_train(prepared, RuleModel.empty(params), target, list(features), {"target": target})
+        outcome = test_then_train(prepared, RuleModel.empty(params), target, list(features), {"target": target, "where": F.col("role") == TRAIN})
     asked = outcome.predictions.select("seq", *features, F.col("pred").alias("prediction"))
     return Learned(asked, outcome.model, outcome.pairs, interval)
 

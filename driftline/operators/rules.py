@@ -1,28 +1,30 @@
 """Adaptive model rules for regression: coverage, target statistics, expansion, drift, and an incremental learner.
 
 A rule is a conjunction of literals ``x[attr] <= thr`` or ``x[attr] > thr`` with a head that predicts the target.  The
-rule set is a small list on the driver (bounded by what the tests let grow, or by ``max_rules``); rows meet it as a literal array inside JVM
-expressions; target statistics are a table keyed (rule, attr, bin) that merges across micro-batches.
+rule set is a small list on the driver (bounded by what the tests let grow, or by ``max_rules``).  Tasks match whole Arrow
+batches against it.  Target statistics are quantile observers: a table of cells (rule, attr, x, n, sy, syy) that merges
+across tasks and micro-batches.
 """
 
 from __future__ import annotations
 
 import dataclasses
-import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftline.functions.bounds import hoeffding_bound_sql
-from driftline.functions.vectors import dot, double_rows, doubles
-from driftline.operators.linear import normal_stats, solve_normal
+from driftline.functions.vectors import doubles
+from driftline.operators.linear import solve_normal
+from driftline.operators.observer import CELLS, Observer, counter_level, matrix, merge_cells, merged_levels
 from driftline.operators.order import BUCKET_ROWS, running, with_block
 from driftline.session import cut_lineage
 
-STATS_KEYS = ("rule", "attr", "bin")
-STATS_SCHEMA = "rule bigint, attr int, bin int, n bigint, sy double, syy double"
+CELL_KEYS, CELL_SUMS = ("rule", "attr"), ("n", "sy", "syy")
+STATS_SCHEMA = "rule bigint, attr int, x double, n double, sy double, syy double, level int"
 
 
 # ---------------------------------------------------------------- kernels
@@ -60,12 +62,12 @@ def _sd(n: str, s: str, ss: str) -> str:
     return f"CASE WHEN {n} > 0 THEN sqrt(greatest(0D, ({ss}) / ({n}) - pow(({s}) / ({n}), 2))) ELSE 0D END"
 
 
-def sdr_table(stats: DataFrame, keys: Sequence[str] = ("rule", "attr")) -> DataFrame:
-    """Standard-deviation reduction of splitting after each bin: prefix sums over the bins of one attribute."""
+def sdr_table(stats: DataFrame, keys: Sequence[str] = ("rule", "attr"), position: str = "bin") -> DataFrame:
+    """Standard-deviation reduction of splitting after each bin or cell: prefix sums along one attribute."""
     k = ", ".join(keys)
-    upto = f"(PARTITION BY {k} ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    upto = f"(PARTITION BY {k} ORDER BY {position} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     sums = stats.selectExpr(
-        *keys, "bin",
+        *keys, position,
         *[f"sum({c}) OVER {upto} AS {c}_left" for c in ("n", "sy", "syy")],
         *[f"sum({c}) OVER (PARTITION BY {k}) AS {c}" for c in ("n", "sy", "syy")],
     )
@@ -77,15 +79,19 @@ def sdr_table(stats: DataFrame, keys: Sequence[str] = ("rule", "attr")) -> DataF
 
 
 def best_splits(
-    sdr: DataFrame, keys: Sequence[str] = ("rule",), delta: float = 1e-7, tie: float = 0.05
+    sdr: DataFrame, keys: Sequence[str] = ("rule",), delta: float = 1e-7, tie: float = 0.05, position: str = "bin",
+    least_share: float = 0.0, least_reduction: float = 0.0,
 ) -> DataFrame:
     """Best attribute per rule with ratio second/best SDR; expand if ratio + ε < 1, or ε < tie.
 
     "No split" is a candidate too: before the tie, the relative reduction sdr / sd itself has to exceed ε, which keeps
-    rules over pure noise from growing.
+    rules over pure noise from growing.  Both sides have to hold ``least_share`` of the rows, and sdr / sd has to exceed
+    ``least_reduction`` also after the tie.
     """
     k = ", ".join(keys)
-    pick = f"row_number() OVER (PARTITION BY {k}, attr ORDER BY sdr DESC, bin)"
+    if least_share > 0:
+        sdr = sdr.filter(f"least(n_left, n - n_left) >= {least_share!r}D * n")
+    pick = f"row_number() OVER (PARTITION BY {k}, attr ORDER BY sdr DESC, {position})"
     w = f"(PARTITION BY {k} ORDER BY sdr DESC, attr)"
     return (
         sdr.selectExpr("*", f"{pick} AS pick")
@@ -95,10 +101,44 @@ def best_splits(
         .filter("pick = 1 AND sdr > 0")
         .drop("pick")
         .selectExpr("*", "greatest(0D, sdr2) / sdr AS ratio", f"{hoeffding_bound_sql(1.0, delta, 'n')} AS epsilon")
-        .selectExpr("*", f"((ratio + epsilon < 1 AND sdr / sd > epsilon) OR epsilon < {tie!r}D) AS expand")
+        .selectExpr("*", f"((ratio + epsilon < 1 AND sdr / sd > epsilon) OR epsilon < {tie!r}D) AND sdr / sd > {least_reduction!r}D AS expand")
     )
 
 
+def quantile_stats(
+    df: DataFrame, keys: Sequence[str] = ("rule",), features: str = "features", target: str = "target", cells: int = CELLS,
+    offset: float = 0.0,
+) -> DataFrame:
+    """Quantile observers (keys, attr, x, n, sy, syy) of a table: one pass with a table of cells per task, one merger.
+
+    Keys are integers.  Up to ``cells`` distinct values of an attribute the cells are its values and all sums are exact.
+    """
+    rows = df.select(*[F.col(k).cast("bigint").alias(k) for k in keys], F.col(features).alias("__x"), F.col(target).cast("double").alias("__y"))
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, Observer] = {}
+        names: dict[tuple, int] = {}
+        for batch in stream:
+            if not batch.num_rows:
+                continue
+            vectors = batch.column("__x")
+            x = matrix(vectors, len(vectors[0]))
+            y = batch.column("__y").to_numpy() - offset
+            held = np.stack([batch.column(k).to_numpy() for k in keys], axis=1)
+            distinct, place = np.unique(held, axis=0, return_inverse=True)
+            group = np.array([names.setdefault(tuple(d), len(names)) for d in distinct.tolist()])[place]
+            for a in range(x.shape[1]):
+                seen.setdefault(a, Observer(cells)).add(group, x[:, a] + 0.0, np.zeros(len(y), dtype=np.int64), np.stack((np.ones(len(y)), y, y * y), axis=1))
+        key_of = np.array(list(names), dtype=np.int64).reshape(len(names), len(keys))
+        for a, observer in seen.items():
+            group, x, _, sums = observer.cells()
+            columns = [*key_of[group].T, np.full(len(x), a, dtype=np.int32), x, *sums.T]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], [*keys, "attr", "x", *CELL_SUMS])
+
+    schema = ", ".join([*(f"{k} bigint" for k in keys), "attr int, x double, n double, sy double, syy double"])
+    return merge_cells(rows.mapInArrow(run, schema), (*keys, "attr"), CELL_SUMS, k=cells)
+
+
 def page_hinkley(
     df: DataFrame,
     value: str,
@@ -148,16 +188,22 @@ class Rule:
 
 @dataclasses.dataclass(frozen=True)
 class RuleParams:
+    """``levels``: how many times a rule may be extended by one micro-batch.  ``cells``: positions of a quantile observer.
+    Each side of a split holds ``least_share`` of the rows at least, and the deviation has to fall by more than the share
+    ``least_reduction``."""
+
     attrs: int
     ordered: bool = True
     head: str = "adaptive"
-    bins: int = 32
+    cells: int = CELLS
     grace: float = 200.0
     delta: float = 1e-7
     tie: float = 0.05
+    least_share: float = 0.01
+    least_reduction: float = 0.01
+    levels: int = 4
     ph_alpha: float = 0.005
     ph_lambda: float = 35.0
-    drift_blocks: int = 100
     max_rules: int | None = None  # no limit unless asked for
 
     def __post_init__(self):
@@ -165,19 +211,60 @@ class RuleParams:
             raise ValueError(f"head: required mean, linear or adaptive but found {self.head!r}")
 
 
+@dataclasses.dataclass(frozen=True)
+class FlatRules:
+    """A rule set as tasks use it: literals, means and weights in the order of the rules."""
+
+    ids: np.ndarray
+    conditions: list[list[tuple[int, bool, float]]]
+    means: np.ndarray
+    weights: np.ndarray
+    linear: np.ndarray
+    ordered: bool
+
+    def matches(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (row, position of a rule) that apply: the first match or all, the default rule if there is none."""
+        free = np.ones(len(x), dtype=bool)
+        rows, rules = [], []
+        for i, literals in enumerate(self.conditions[1:], 1):
+            hit = free.copy() if self.ordered else np.ones(len(x), dtype=bool)
+            for attr, le, threshold in literals:
+                low = x[:, attr] <= threshold
+                hit &= low if le else ~low  # NaN is above every threshold
+            at = np.flatnonzero(hit)
+            rows.append(at)
+            rules.append(np.full(len(at), i))
+            free[at] = False
+        rest = np.flatnonzero(free)
+        rows, rules = np.concatenate([*rows, rest]), np.concatenate([*rules, np.zeros(len(rest), dtype=np.int64)])
+        order = np.lexsort((rules, rows))
+        return rows[order], rules[order]
+
+    def heads(self, x: np.ndarray, rules: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Predictions of the mean and of the linear head, pair by pair."""
+        w = self.weights[rules]
+        return self.means[rules], w[:, 0] + np.einsum("ij,ij->i", w[:, 1:], x)
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        rows, rules = self.matches(x)
+        mean, linear = self.heads(x[rows], rules)
+        one = np.where(self.linear[rules], linear, mean)
+        return np.bincount(rows, weights=one, minlength=len(x)) / np.bincount(rows, minlength=len(x))
+
+
 @dataclasses.dataclass
 class RuleModel:
-    """``rules[0]`` is the default rule, which covers what no other rule does."""
+    """``rules[0]`` is the default rule, which covers what no other rule does.  ``stats`` is a Spark table; ``moments``
+    holds one matrix of Σ z_i z_j, z = [1, x.., y − offset], per rule."""
 
     params: RuleParams
     rules: list[Rule]
     next_id: int = 1
-    lows: list[float] | None = None
-    highs: list[float] | None = None
-    offset: float = 0.0
+    offset: float | None = None
     scale: float = 1.0
+    rounds: int = 0
     stats: DataFrame | None = None
-    moments: DataFrame | None = None
+    moments: dict[int, np.ndarray] = dataclasses.field(default_factory=dict)
 
     @staticmethod
     def empty(params: RuleParams) -> RuleModel:
@@ -223,206 +310,212 @@ class RuleModel:
             return "linear"
         return "linear" if rule.err_linear <= rule.err_mean else "mean"
 
-    def _means(self) -> Column:
-        return doubles([self.offset + (r.sy / r.n if r.n > 0 else 0.0) for r in self.rules])
+    def _flat(self) -> FlatRules:
+        means = [(self.offset or 0.0) + (r.sy / r.n if r.n > 0 else 0.0) for r in self.rules]
+        none = [0.0] * self.params.attrs
+        return FlatRules(
+            np.array([r.rule for r in self.rules]), [r.conditions for r in self.rules], np.array(means),
+            # A rule without a linear head gets its mean as intercept.
+            np.array([r.linear if r.linear is not None else [m, *none] for r, m in zip(self.rules, means)]),
+            np.array([self._head(r) == "linear" for r in self.rules]), self.params.ordered,
+        )
 
-    def _weights(self) -> Column:
-        """Intercept and slopes per rule; a rule without a linear head gets its mean as intercept."""
-        rows = []
-        for r in self.rules:
-            mean = self.offset + (r.sy / r.n if r.n > 0 else 0.0)
-            rows.append(r.linear if r.linear is not None else [mean] + [0.0] * self.params.attrs)
-        return double_rows(rows)
+    def score(self, df: DataFrame, features: str = "features", out: str = "pred") -> DataFrame:
+        """Prediction of the first covering rule (ordered) or the mean over covering rules (unordered).
 
-    def _linear(self, features: Column, i: Column) -> Column:
-        w = F.get(self._weights(), i)
-        return F.get(w, F.lit(0)) + dot(F.slice(w, 2, self.params.attrs), features)
+        Only the features of the rows go through Arrow.
+        """
+        flat = self._flat()
+        if len(self.rules) == 1 and not flat.linear[0]:
+            return df.withColumn(out, F.lit(float(flat.means[0])))
+        shared, width = df.sparkSession.sparkContext.broadcast(flat), self.params.attrs
 
-    def score(self, df: DataFrame, features: str = "features", out: str = "pred") -> DataFrame:
-        """Prediction of the first covering rule (ordered) or the mean over covering rules (unordered)."""
-        x = F.col(features)
-        linear = F.array(*[F.lit(self._head(r) == "linear") for r in self.rules])
-        one = lambda i: F.when(F.get(linear, i), self._linear(x, i)).otherwise(F.get(self._means(), i))
-        hits = F.col("__hits")
-        total = F.aggregate(hits, F.lit(0.0), lambda acc, i: acc + one(i))
-        return df.withColumn("__hits", self.coverage(x)).withColumn(out, total / F.size(hits)).drop("__hits")
+        @F.arrow_udf("double")
+        def predicted(x: pa.Array) -> pa.Array:
+            return pa.array(shared.value.predict(matrix(x, width)))
+
+        return df.withColumn(out, predicted(features))
 
     # ---- learning
 
     def learn(
-        self, df: DataFrame, features: str = "features", target: str = "target", seq: str = "seq", span: tuple[int, int] | None = None
+        self, df: DataFrame, features: str = "features", target: str = "target", seq: str = "seq",
+        span: tuple[int, int] | None = None, where: Column | None = None,
     ) -> RuleModel:
-        """Model after the training rows of one micro-batch; ``span`` is its range of ``seq``, if known."""
+        """Model after the rows of one micro-batch for which ``where`` holds (all without it).
+
+        One pass gives errors, moments and cells of all rules; a second one, once there are rules, tests them for drift
+        row by row.  After an expansion the batch is read again for the new rules alone; ``df`` should be stored.
+        """
         p = self.params
+        known = F.col(target).cast("double")
         rows = df.select(
-            F.col(seq).alias("seq"), F.col(features).alias("features"), F.col(target).cast("double").alias("target")
-        )
-        model = dataclasses.replace(self, rules=[dataclasses.replace(r) for r in self.rules])
-        if model.lows is None:
-            if not model._first_ranges(rows):
-                return self
-        else:
-            model._widen(rows)
-        ids = F.array(*[F.lit(r.rule).cast("bigint") for r in model.rules])
-        covered = rows.withColumn("pos", F.explode(model.coverage(F.col("features")))).withColumn(
-            "rule", F.get(ids, F.col("pos"))
+            F.col(seq).alias("seq"), F.col(features).alias("features"),
+            (known if where is None else F.when(where, known)).alias("target"),
         )
-        model._track_errors(covered, span)
-        fresh = target_stats(covered, model.lows, model.highs, p.bins, ("rule",), offset=model.offset)
-        alive = F.col("rule").isin([r.rule for r in model.rules])
-        parts = fresh if model.stats is None else fresh.unionByName(model.stats)
-        model.stats = cut_lineage(
-            parts.filter(alive).groupBy(*STATS_KEYS).agg(*[F.sum(c).alias(c) for c in ("n", "sy", "syy")])
+        model = dataclasses.replace(
+            self, rules=[dataclasses.replace(r) for r in self.rules], rounds=self.rounds + 1, moments=dict(self.moments)
         )
-        if p.head != "mean":
-            model._update_linear(covered, alive)
-        model._update_heads()
-        model._expand()
+        if model.offset is None:
+            first = rows.agg(F.avg("target"), F.stddev_pop("target")).first()
+            if first[0] is None:
+                return self
+            model.offset, model.scale = float(first[0]), float(first[1]) or 1.0
+        before = model._flat()
+        seen = cut_lineage(model._observe(rows, before))
+        totals = seen.filter("kind > 0").groupBy("kind", "rule", "a", "b").agg(
+            F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")
+        ).collect()
+        if not totals and self.stats is None:
+            return self
+        model._drop_drifting(rows, before)
+        by_id = {r.rule: r for r in model.rules}
+        for r in totals:
+            rule = by_id.get(r["rule"])
+            if rule is None:
+                continue
+            if r["kind"] == TOTALS:
+                rule.n, rule.sy = rule.n + r["n"], rule.sy + r["s"]
+            elif r["kind"] == ERRORS and any(old.n > 0 for old in self.rules):
+                rule.err_mean, rule.err_linear = rule.err_mean + r["s"], rule.err_linear + r["q"]
+            elif r["kind"] == MOMENTS:
+                m = model.moments[r["rule"]] = model.moments.get(r["rule"], np.zeros((p.attrs + 2, p.attrs + 2))).copy()
+                m[r["a"], r["b"]] += r["s"]
+        model.moments = {i: m for i, m in model.moments.items() if i in by_id}
+        model._update_linear()
+        level = counter_level(self.rounds)
+        alive = F.col("rule").isin(list(by_id))
+        held = None if self.stats is None else self.stats.filter(alive)
+        model.stats = cut_lineage(merged_levels(_cells(seen).filter(alive), held, level, model._merge))
+        new = model._expand(list(by_id))
+        for _ in range(p.levels - 1):
+            if not new:
+                break
+            fresh = cut_lineage(model._merge(_cells(model._observe(rows, model._flat(), new))).withColumn("level", F.lit(level)))
+            model.stats = model.stats.unionByName(fresh)
+            new = model._expand(new)
         return model
 
-    def _first_ranges(self, rows: DataFrame) -> bool:
-        """First bin edges, target offset and error scale; the edges grow with later batches (see :meth:`_widen`)."""
-        aggs = [F.avg("target").alias("y"), F.stddev_pop("target").alias("sd")]
-        for i in range(self.params.attrs):
-            x = F.get("features", F.lit(i))
-            aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-        r = rows.agg(*aggs).first()
-        if r["y"] is None:
-            return False
-        self.lows = [float(r[f"lo{i}"]) for i in range(self.params.attrs)]
-        self.highs = [float(r[f"hi{i}"]) for i in range(self.params.attrs)]
-        self.offset, self.scale = float(r["y"]), float(r["sd"]) or 1.0
-        return True
-
-    def _widen(self, rows: DataFrame) -> None:
-        """Stretch the bins of attributes whose values leave their range.
-
-        A range doubles, upwards or downwards, until it holds the batch; each doubling merges neighbouring bins in
-        pairs, so the statistics stay exact at the coarser width.
-        """
-        p = self.params
-        found = rows.agg(
-            *[f(F.get("features", F.lit(i))).alias(f"{n}{i}") for i in range(p.attrs) for n, f in (("lo", F.min), ("hi", F.max))]
-        ).first()
-        lows, highs = list(self.lows), list(self.highs)
-        merged = F.col("bin")
-        for i in range(p.attrs):
-            low, high = found[f"lo{i}"], found[f"hi{i}"]
-            if low is None or not (math.isfinite(low) and math.isfinite(high)):
-                continue
-            if highs[i] <= lows[i] and (low < lows[i] or high > lows[i]):
-                highs[i] = lows[i] + max(high - lows[i], lows[i] - low)  # one value so far, all of it in the first bin
-            bin_ = F.col("bin")
-            while high > highs[i]:
-                highs[i] = 2 * highs[i] - lows[i]
-                bin_ = F.floor(bin_ / 2)
-            while low < lows[i]:
-                lows[i] = 2 * lows[i] - highs[i]
-                bin_ = F.floor((bin_ + p.bins) / 2)
-            if (lows[i], highs[i]) != (self.lows[i], self.highs[i]):
-                merged = F.when(F.col("attr") == i, bin_.cast("int")).otherwise(merged)
-        if (lows, highs) != (list(self.lows), list(self.highs)):
-            self.lows, self.highs = lows, highs
-            if self.stats is not None:
-                self.stats = self.stats.withColumn("bin", merged)
-
-    def _track_errors(self, covered: DataFrame, span: tuple[int, int] | None) -> None:
-        """Prequential errors of both heads, and the drift test on block means of the scaled error.
-
-        The test runs on at most ``drift_blocks`` sums per rule; a rule whose error drifts up is dropped.
+    def _merge(self, cells: DataFrame) -> DataFrame:
+        return merge_cells(cells, CELL_KEYS, CELL_SUMS, k=self.params.cells)
+
+    def _observe(self, rows: DataFrame, flat: FlatRules, only: Sequence[int] | None = None) -> DataFrame:
+        """What the rows show about the rules they meet, of the rules ``only`` if given; columns by ``kind``:
+
+        cells (a = attr, x, n, s = Σy, q = Σy²), totals (n, s = Σy), errors (s mean head, q linear head) and moments
+        (a, b = place in the matrix, s).  With ``only`` just cells.  A task sends one row per cell or sum.
         """
-        p, x = self.params, F.col("features")
-        y, pos = F.col("target"), F.col("pos")
-        if all(r.n == 0 for r in self.rules):
-            return
-        first, last = span or covered.agg(F.min("seq"), F.max("seq")).first()
-        if first is None:
+        p, offset = self.params, self.offset
+        shared = rows.sparkSession.sparkContext.broadcast(flat)
+        upper = np.triu_indices(p.attrs + 2)
+
+        def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            flat = shared.value
+            size = len(flat.ids)
+            seen = [Observer(p.cells) for _ in range(p.attrs)]
+            totals, errors = np.zeros((size, 2)), np.zeros((size, 2))
+            moments = np.zeros((size, p.attrs + 2, p.attrs + 2))
+            for batch in stream:
+                known = batch.filter(batch.column("target").is_valid())
+                if not known.num_rows:
+                    continue
+                x, truth = matrix(known.column("features"), p.attrs), known.column("target").to_numpy()
+                at, rule = flat.matches(x)
+                if only is not None:
+                    kept = np.isin(flat.ids[rule], only)
+                    at, rule = at[kept], rule[kept]
+                x, y = x[at], truth[at] - offset
+                sums = np.stack((np.ones(len(y)), y, y * y), axis=1)
+                for a in range(p.attrs):
+                    # Zero and minus zero are one value.
+                    seen[a].add(rule, x[:, a] + 0.0, np.zeros(len(y), dtype=np.int64), sums)
+                if only is not None:
+                    continue
+                mean, linear = flat.heads(x, rule)
+                for i in np.unique(rule).tolist():
+                    own = rule == i
+                    totals[i] += sums[own, :2].sum(axis=0)
+                    errors[i] += np.abs(truth[at][own] - mean[own]).sum(), np.abs(truth[at][own] - linear[own]).sum()
+                    if p.head != "mean":
+                        z = np.column_stack((np.ones(own.sum()), x[own], y[own]))
+                        moments[i] += z.T @ z
+            for a, observer in enumerate(seen):
+                held = observer.cells()
+                if held is not None and len(held[0]):
+                    rule, x, _, sums = held
+                    yield _batch(CELLS_KIND, flat.ids[rule], a, 0, x, *sums.T)
+            met = np.flatnonzero(totals[:, 0])
+            if len(met):
+                yield _batch(TOTALS, flat.ids[met], 0, 0, 0.0, totals[met, 0], totals[met, 1], 0.0)
+                yield _batch(ERRORS, flat.ids[met], 0, 0, 0.0, 0.0, errors[met, 0], errors[met, 1])
+                if p.head != "mean":
+                    i, j = (np.tile(u, len(met)) for u in upper)
+                    v = moments[np.repeat(met, len(upper[0])), i, j]
+                    yield _batch(MOMENTS, np.repeat(flat.ids[met], len(upper[0])), i, j, 0.0, 0.0, v, 0.0)
+
+        return rows.mapInArrow(run, OBSERVED)
+
+    def _drop_drifting(self, rows: DataFrame, flat: FlatRules) -> None:
+        """Page-Hinkley test of every rule's scaled error, row by row in order of arrival; drifting rules go."""
+        if len(self.rules) == 1 or all(r.n == 0 for r in self.rules):
             return
-        width = max(1, math.ceil((last - first + 1) / p.drift_blocks))
-        errors = (
-            covered.select(
-                "rule",
-                F.floor((F.col("seq") - F.lit(first)) / width).alias("block"),
-                F.abs(y - F.get(self._means(), pos)).alias("em"),
-                F.abs(y - self._linear(x, pos)).alias("el"),
-            )
-            .groupBy("rule", "block")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("em").alias("em"), F.sum("el").alias("el"))
-        )
-        by_rule: dict[int, list] = {}
-        for r in errors.orderBy("rule", "block").collect():
-            by_rule.setdefault(r["rule"], []).append(r)
+        states = drift_states(rows, flat, {r.rule: r.ph for r in self.rules}, self.scale, self.params.ph_alpha)
         kept = []
         for rule in self.rules:
-            drift = False
-            use_linear = self._head(rule) == "linear"
-            for r in by_rule.get(rule.rule, []):
-                rule.err_mean += r["em"]
-                rule.err_linear += r["el"]
-                e = (r["el"] if use_linear else r["em"]) / r["n"] / self.scale
-                k, s, m, low = rule.ph
-                k, s = k + r["n"], s + e * r["n"]
-                m += r["n"] * (e - s / k - p.ph_alpha)
-                low = min(low, m)
-                rule.ph = (k, s, m, low)
-                drift = drift or m - low > p.ph_lambda
-            if rule.rule == self.rules[0].rule or not drift:
+            rise, rule.ph = states.get(rule.rule, (0.0, rule.ph))
+            if rule.rule == self.rules[0].rule or rise <= self.params.ph_lambda:
                 kept.append(rule)
         self.rules = kept
 
-    def _update_linear(self, covered: DataFrame, alive: Column) -> None:
-        """Least-squares head per rule from mergeable moments."""
-        fresh = normal_stats(
-            covered.filter(alive).withColumn("target", F.col("target") - F.lit(self.offset)), self.params.attrs,
-            keys=("rule",),
-        )
-        parts = fresh if self.moments is None else fresh.unionByName(self.moments.filter(alive))
-        self.moments = cut_lineage(parts.groupBy("rule", "i", "j").agg(F.sum("v").alias("v")))
-        cells: dict[int, list] = {}
-        for r in self.moments.collect():
-            cells.setdefault(r["rule"], []).append((r["i"], r["j"], r["v"]))
+    def _update_linear(self) -> None:
+        """Least-squares head per rule from its moments."""
         for rule in self.rules:
-            if rule.rule in cells:
-                w = solve_normal(cells[rule.rule], self.params.attrs)
+            m = self.moments.get(rule.rule)
+            if m is not None:
+                cells = [(i, j, m[i, j]) for i, j in zip(*np.triu_indices(len(m)))]
+                w = solve_normal(cells, self.params.attrs)
                 rule.linear = [w[0] + self.offset, *w[1:]] if w is not None and np.isfinite(w).all() else None
 
-    def _update_heads(self) -> None:
-        sums = self.stats.filter(F.col("attr") == 0).groupBy("rule").agg(F.sum("n").alias("n"), F.sum("sy").alias("sy"))
-        for r in sums.collect():
-            for rule in self.rules:
-                if rule.rule == r["rule"]:
-                    rule.n, rule.sy = float(r["n"]), float(r["sy"])
-
-    def _expand(self) -> None:
-        """Grow rules whose best split is clear; at most one row per rule reaches the driver."""
+    def _expand(self, among: Sequence[int]) -> list[int]:
+        """Grow rules whose best split is clear, and return the ids of the new ones; at most one row per rule reaches the
+        driver."""
         p = self.params
-        due = [r.rule for r in self.rules if r.n - r.tested_at >= p.grace]
+        due = [r.rule for r in self.rules if r.rule in among and r.n - r.tested_at >= p.grace]
         if not due:
-            return
+            return []
         for rule in self.rules:
             if rule.rule in due:
                 rule.tested_at = rule.n
-        table = best_splits(sdr_table(self.stats.filter(F.col("rule").isin(due))), ("rule",), p.delta, p.tie)
-        for r in table.filter("expand").orderBy("rule").collect():
+        cells = self.stats.filter(F.col("rule").isin(due)).repartition(*CELL_KEYS)
+        cells = cells.groupBy(*CELL_KEYS, "x").agg(*[F.sum(c).alias(c) for c in CELL_SUMS])  # levels put together
+        # Deviations that are rounding errors of the sums are none.
+        sdr = sdr_table(cells, position="x").filter(F.col("sd") > F.lit(1e-6 * self.scale))
+        table = best_splits(sdr, ("rule",), p.delta, p.tie, "x", p.least_share, p.least_reduction)
+        new, gone = [], []
+        for r in sorted(table.filter("expand").collect(), key=lambda r: r["rule"]):
             at = next(i for i, rule in enumerate(self.rules) if rule.rule == r["rule"])
-            width = (self.highs[r["attr"]] - self.lows[r["attr"]]) / p.bins
-            threshold = self.lows[r["attr"]] + width * (r["bin"] + 1)
             n_right = r["n"] - r["n_left"]
             le = r["n_left"] * r["sd_left"] ** 2 <= n_right * r["sd_right"] ** 2
             n, sy = (r["n_left"], r["sy_left"]) if le else (n_right, r["sy"] - r["sy_left"])
             old = self.rules[at]
             if at == 0 and p.max_rules is not None and len(self.rules) >= p.max_rules:
                 continue
-            grown = Rule(
-                self.next_id, [*old.conditions, (r["attr"], bool(le), threshold)], float(n), float(sy), old.linear
-            )
+            grown = Rule(self.next_id, [*old.conditions, (r["attr"], bool(le), r["x"])], float(n), float(sy), old.linear)
             self.next_id += 1
+            gone.append(old.rule)
+            new.append(grown.rule)
             if at == 0:
                 self.rules.append(grown)
-                self.rules[0] = Rule(self.next_id, n=old.n, sy=old.sy, linear=old.linear)
+                # What the new rule does not take stays with the default rule.
+                self.rules[0] = Rule(self.next_id, n=max(0.0, old.n - n), sy=old.sy - float(sy), linear=old.linear)
+                new.append(self.next_id)
                 self.next_id += 1
             else:
                 self.rules[at] = grown
+        if gone:
+            self.stats = self.stats.filter(~F.col("rule").isin(gone))
+            self.moments = {i: m for i, m in self.moments.items() if i not in gone}
+        return new
 
     # ---- state
 
@@ -449,3 +542,111 @@ RULE_SCHEMA = (
     "position int, rule bigint, conditions array<struct<attr:int,le:boolean,threshold:double>>, n double, sy double, "
     "linear array<double>, err_mean double, err_linear double, ph array<double>, tested_at double"
 )
+
+MOMENTS_SCHEMA = "rule bigint, place int, v array<double>"
+
+
+def moments_table(spark, moments: dict[int, np.ndarray]) -> DataFrame:
+    """Rows of the moment matrices, one per rule and line."""
+    return spark.createDataFrame([(i, n, line) for i, m in moments.items() for n, line in enumerate(m.tolist())], MOMENTS_SCHEMA)
+
+
+def moments_from(table: DataFrame) -> dict[int, np.ndarray]:
+    lines: dict[int, list] = {}
+    for r in sorted(table.collect(), key=lambda r: (r["rule"], r["place"])):
+        lines.setdefault(r["rule"], []).append(r["v"])
+    return {i: np.array(m) for i, m in lines.items()}
+
+
+# ---------------------------------------------------------------- what tasks send
+
+CELLS_KIND, TOTALS, ERRORS, MOMENTS = range(4)
+OBSERVED = "kind int, rule bigint, a int, b int, x double, n double, s double, q double"
+
+
+def _batch(kind: int, rule: np.ndarray, a, b, x, n, s, q) -> pa.RecordBatch:
+    wide = lambda v, kind: pa.array(np.ascontiguousarray(np.broadcast_to(v, len(rule))), kind)
+    columns = [wide(kind, pa.int32()), pa.array(rule, pa.int64()), wide(a, pa.int32()), wide(b, pa.int32())]
+    columns += [wide(v, pa.float64()) for v in (x, n, s, q)]
+    return pa.RecordBatch.from_arrays(columns, ["kind", "rule", "a", "b", "x", "n", "s", "q"])
+
+
+def _cells(observed: DataFrame) -> DataFrame:
+    return observed.filter(F.col("kind") == CELLS_KIND).select(
+        "rule", F.col("a").alias("attr"), "x", "n", F.col("s").alias("sy"), F.col("q").alias("syy")
+    )
+
+
+# ---------------------------------------------------------------- drift
+
+
+def _runs(seq: np.ndarray) -> list[tuple[int, int]]:
+    """Stretches of consecutive arrival numbers."""
+    cuts = np.flatnonzero(np.diff(seq) != 1) + 1
+    return list(zip(np.concatenate(([0], cuts)).tolist(), np.concatenate((cuts, [len(seq)])).tolist()))
+
+
+def drift_states(
+    rows: DataFrame, flat: FlatRules, states: dict[int, tuple], scale: float, alpha: float
+) -> dict[int, tuple[float, tuple]]:
+    """For each rule the largest rise m − min m of the batch's Page-Hinkley sums, and its state (n, Σe, m, min m) after it.
+
+    m adds e_i − mean_i − alpha over the rows the rule meets, in order of ``seq``, with e the scaled error of the head in
+    use.  Rows stay where they are: every stretch of consecutive numbers in a task gives (n, Σe), the driver adds those up
+    in order, and a second pass gives each stretch's sums from its own start.  A stored batch has a few stretches per
+    task; rows that lie scattered only make more of them.
+    """
+    if not states:
+        return {}
+    shared = rows.sparkSession.sparkContext.broadcast(flat)
+
+    def errors(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        flat = shared.value
+        seq = batch.column("seq").to_numpy()
+        x, y = matrix(batch.column("features"), flat.weights.shape[1] - 1), batch.column("target").to_numpy(zero_copy_only=False).astype(float)
+        at, rule = flat.matches(x)
+        mean, linear = flat.heads(x[at], rule)
+        e = np.abs(y[at] - np.where(flat.linear[rule], linear, mean)) / scale
+        known = ~np.isnan(e)
+        at, rule, e = at[known], rule[known], e[known]
+        for a, b in _runs(seq):
+            own = slice(*np.searchsorted(at, (a, b)))
+            yield int(seq[a]), flat.ids[rule[own]], e[own]
+
+    def sums(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for start, rule, e in errors(batch) if batch.num_rows else ():
+                ids, place = np.unique(rule, return_inverse=True)
+                n, total = np.bincount(place, minlength=len(ids)), np.bincount(place, weights=e, minlength=len(ids))
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.full(len(ids), start)), pa.array(n), pa.array(total)], ["rule", "start", "n", "s"])
+
+    parts = sorted(rows.mapInArrow(sums, "rule bigint, start bigint, n bigint, s double").collect(), key=lambda r: r["start"])
+    before: dict[tuple[int, int], tuple[float, float]] = {}
+    counts = {rule: state[:2] for rule, state in states.items()}
+    for r in parts:
+        k, s = counts.get(r["rule"], (0.0, 0.0))
+        before[(r["rule"], r["start"])] = (k, s)
+        counts[r["rule"]] = (k + r["n"], s + r["s"])
+    known = rows.sparkSession.sparkContext.broadcast(before)
+
+    def walks(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            out = []
+            for start, rule, e in errors(batch) if batch.num_rows else ():
+                for i in np.unique(rule).tolist():
+                    own = e[rule == i]
+                    k, s = known.value[(i, start)]
+                    steps = np.cumsum(own - (s + np.cumsum(own)) / (k + np.arange(1, len(own) + 1)) - alpha)
+                    low = np.minimum.accumulate(steps)
+                    out.append((i, start, steps[-1], low[-1], steps.max(), (steps - low).max()))
+            if out:
+                names = ["rule", "start", "step", "low", "high", "rise"]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names)
+
+    schema = "rule bigint, start bigint, step double, low double, high double, rise double"
+    found: dict[int, tuple[float, tuple]] = {}
+    for r in sorted(rows.mapInArrow(walks, schema).collect(), key=lambda r: r["start"]):
+        rise, (_, _, m, low) = found.get(r["rule"], (0.0, states.get(r["rule"], (0.0, 0.0, 0.0, 0.0))))
+        rise = max(rise, m + r["high"] - low, r["rise"])
+        found[r["rule"]] = (rise, (*counts[r["rule"]], m + r["step"], min(low, m + r["low"])))
+    return found

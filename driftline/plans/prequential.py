@@ -56,6 +56,7 @@ def prepare_classification(
     first_batch: int = FIRST_BATCH,
     growth: float = GROWTH,
 ) -> Prepared:
+    df = df.select(*dict.fromkeys([*order_keys(order_by), *numeric, *nominal, label]))
     numbered, total = _numbered(df, order_by, max_instances)
     # First appearance only needs the order keys, so without a limit the dictionaries come from one scan of the raw
     # table, with no row shuffle.
@@ -86,6 +87,7 @@ def prepare_regression(
     first_batch: int = FIRST_BATCH,
     growth: float = GROWTH,
 ) -> Prepared:
+    df = df.select(*dict.fromkeys([*order_keys(order_by), *features, target]))
     numbered, total = _numbered(df, order_by, max_instances)
     rows = numbered.withColumn("features", vectorize(features)).withColumn("role", role_of_target(target))
     starts = batch_starts(total, first_batch, growth)
@@ -118,11 +120,12 @@ class Outcome:
 
 
 def test_then_train(
-    prepared: Prepared, model, truth: str, inputs: Sequence[str], learn_args: Mapping[str, str]
+    prepared: Prepared, model, truth: str, inputs: Sequence[str], learn_args: Mapping[str, object]
 ) -> Outcome:
     """Batch b is scored with the model of batch b − 1, written once, and then learned from.
 
-    Every pass reads one folder of the prepared table.  The written rows are split by role, and only rows that ask for
+    ``learn_args`` tell the model its columns and, if needed, which rows train (``where``).  Every pass reads one folder
+    of the prepared table.  The written rows are split by role, and only rows that ask for
     a prediction carry their inputs.
     """
     spark = prepared.rows.sparkSession
@@ -136,7 +139,7 @@ def test_then_train(
         )
         schema = scored.schema
         scored.write.partitionBy("role").parquet(f"{out}/batch_id={b}")
-        model = model.learn(batch.filter(F.col("role") == TRAIN), span=(first, last), **learn_args)
+        model = model.learn(batch, span=(first, last), **learn_args)
     done = spark.read.schema(schema.add("batch_id", "integer")).parquet(out)
     asked = done.filter(is_predict).select("seq", *[F.col(f"in_{i}").alias(c) for i, c in enumerate(inputs)], "pred")
     return Outcome(model, asked, done.filter(F.col("role") == TRAIN).select("seq", "truth", "pred"))

@@ -19,6 +19,7 @@ from driftline.operators.rules import (
     RuleParams,
     best_splits,
     page_hinkley,
+    quantile_stats,
     sdr_table,
     target_stats,
 )
@@ -172,6 +173,20 @@ def amr_split_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def amr_quantile_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantile observers of three attributes with few values: every value is a cell."""
+    rows = lineitem_vectors(spark, sf_dir).select(
+        F.col("status").alias("rule"), vectorize(["l_quantity", "l_discount", "l_tax"]).alias("features"),
+        F.col("l_extendedprice").alias("target"),
+    )
+    cells = quantile_stats(rows, offset=OFFSET)
+    n = F.col("n")
+    return cells.select(
+        "rule", "attr", "x", n.cast("bigint").alias("n"), F.round(F.col("sy") / n, 4).alias("mean_y"),
+        F.round(F.col("syy") / n / 1e6, 6).alias("mean_yy"),
+    )
+
+
 def page_hinkley_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_type", F.col("event_id").alias("seq"), "value")
     rows = with_seq(events, "seq", "position")
@@ -312,6 +327,7 @@ QUERIES = {
     "bagging_vote": bagging_vote,
     "amr_coverage": amr_coverage,
     "amr_target_stats": amr_target_stats,
+    "amr_quantile_stats": amr_quantile_stats,
     "amr_sdr": amr_sdr,
     "amr_split_decision": amr_split_decision,
     "page_hinkley": page_hinkley_query,
@@ -431,6 +447,10 @@ ORACLES = {
             CASE WHEN c THEN '3' END) ELSE '0' END AS all_rules FROM c""",
     "amr_target_stats": f"""WITH {_BINS} SELECT rule, attr, bin, n, round(sy / n, 4) AS mean_y,
         round(syy / n / 1e6, 6) AS mean_yy FROM t""",
+    "amr_quantile_stats": f"""WITH {SQL_LINEITEM}, lp AS (SELECT l.*, f1 * 1000 - {OFFSET} AS y FROM l),
+        lq AS (SELECT status AS rule, y, unnest([0, 1, 2]) AS attr, unnest([f0, f2, f3]) AS x FROM lp)
+        SELECT CAST(rule AS BIGINT) AS rule, CAST(attr AS INTEGER) AS attr, x, count(*) AS n, round(avg(y), 4) AS mean_y,
+        round(avg(y * y) / 1e6, 6) AS mean_yy FROM lq GROUP BY rule, attr, x""",
     "amr_sdr": f"WITH {_SDR} SELECT rule, attr, bin, n_left, round(sdr, 4) AS sdr FROM sd",
     "amr_split_decision": f"""WITH {_SDR},
         best AS (SELECT * FROM sd QUALIFY row_number() OVER (PARTITION BY rule, attr ORDER BY sdr DESC, bin) = 1),

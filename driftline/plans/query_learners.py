@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from driftline.api import Learned, hoeffding_classifier, microcluster_kmeans, rules_regressor, streaming_kmeans
 from driftline.operators.cluster import centers_row, cluster_ssq
+from driftline.operators.tree import POISSON_LIMITS
 from driftline.plans.tables import SQL_MARKED, embedding_rows, marked_events, table
 from driftline.schema import predict_target
 
@@ -61,7 +62,41 @@ def ht_first_split(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", *[c.alias(n) for n, c in signs.items()], F.col("label").cast("string").alias("label")
     )
     learned = hoeffding_classifier(
-        rows, [], "label", 10, "vec_id", nominal=dict.fromkeys(signs, 2), first_batch=FIRST, growth=1e9, tie=1.0
+        rows, [], "label", 10, "vec_id", nominal=dict.fromkeys(signs, 2), first_batch=FIRST, growth=1e9, tie=1.0,
+        levels=1, least_gain=1e-12, branch_rows=0.0,
+    )
+    return learned.pairs.select("seq", "truth", "pred")
+
+
+GRID = 4
+
+
+def _grid(spark: SparkSession, sf_dir: str, **options) -> Learned:
+    """Coordinates of embeddings rounded to a grid: attributes with few values, whose observers are exact."""
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", *[F.floor(F.get("embedding", F.lit(i)).cast("double") * 16).cast("double").alias(f"g{i}") for i in range(GRID)],
+        F.col("label").cast("string").alias("label"),
+    )
+    return hoeffding_classifier(
+        rows, [f"g{i}" for i in range(GRID)], "label", 10, "vec_id", first_batch=FIRST, growth=1e9, tie=10.0, grace=2.0,
+        least_share=0.1, least_gain=1e-9, **options
+    )
+
+
+def ht_two_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two levels from one micro-batch of FIRST rows; all later rows are predicted by their leaf."""
+    return _grid(spark, sf_dir, levels=2).pairs.select("seq", "truth", "pred")
+
+
+def ht_bagged_stumps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three bagged trees of one split each: the largest sum of the members' class shares."""
+    signs = {f"sign{i}": F.when(F.get("embedding", F.lit(i)) > 0, "p").otherwise("n") for i in range(SIGNS)}
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", *[c.alias(n) for n, c in signs.items()], F.col("label").cast("string").alias("label")
+    )
+    learned = hoeffding_classifier(
+        rows, [], "label", 10, "vec_id", nominal=dict.fromkeys(signs, 2), first_batch=FIRST, growth=1e9, tie=1.0, bagging=3,
+        levels=1, least_gain=1e-12, branch_rows=0.0,
     )
     return learned.pairs.select("seq", "truth", "pred")
 
@@ -110,6 +145,26 @@ def amr_mean_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learned.pairs.select("seq", "truth", F.round("pred", 6).alias("pred"))
 
 
+PART_FIRST = 100
+
+
+def _first_rule(spark: SparkSession, sf_dir: str) -> Learned:
+    """One expansion after PART_FIRST parts, by attributes with few values, whose observers are exact."""
+    rows = table(spark, sf_dir, "part").select(
+        "p_partkey", F.col("p_size").cast("double").alias("size"), (F.col("p_partkey") % 25).cast("double").alias("rest"),
+        F.floor(F.col("p_partkey") / 10).cast("double").alias("tens"), F.col("p_retailprice").alias("price"),
+    )
+    return rules_regressor(
+        rows, ["size", "rest", "tens"], "price", "p_partkey", head="mean", first_batch=PART_FIRST, growth=1e9, grace=2.0,
+        tie=10.0, least_share=0.0, least_reduction=0.0, levels=1,
+    )
+
+
+def amr_first_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows after the first batch with the mean of the first rule or of the default rule, whichever they meet."""
+    return _first_rule(spark, sf_dir).pairs.select("seq", "truth", F.round("pred", 6).alias("pred"))
+
+
 def amr_prequential(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _regressed(spark, sf_dir).curve
 
@@ -192,6 +247,9 @@ QUERIES = {
     "cluster_mass": cluster_mass,
     "cluster_lineitem": cluster_lineitem,
     "ht_first_split": ht_first_split,
+    "ht_two_levels": ht_two_levels,
+    "ht_bagged_stumps": ht_bagged_stumps,
+    "amr_first_rule": amr_first_rule,
 }
 # Micro-batch k starts after 1000 · (2^k − 1) rows.
 _DOUBLING = "b AS (SELECT k, 1000 * (CAST(pow(2, k) AS BIGINT) - 1) AS before FROM (SELECT unnest(range(0, 30)) AS k))"
@@ -225,7 +283,78 @@ best AS (SELECT attr FROM root JOIN (SELECT attr, sum(nv * h) AS s FROM hv GROUP
 major AS (SELECT value, idx FROM c JOIN best USING (attr) QUALIFY row_number() OVER (PARTITION BY value ORDER BY n DESC, idx) = 1)
 """
 
+
+
+def _grid_split(name: str, rows: str) -> str:
+    """CTEs of the best threshold of each node: ``rows`` has seq, node, idx, attr, x of the rows learned from."""
+    return f"""
+{name}_c AS (SELECT node, attr, x, idx, count(*) AS n FROM {rows} WHERE seq <= {FIRST} GROUP BY ALL),
+{name}_t AS (SELECT DISTINCT node, attr, x AS thr FROM {name}_c),
+{name}_s AS (SELECT t.node, t.attr, thr, idx, sum(n) AS n, sum(CASE WHEN x <= thr THEN n ELSE 0 END) AS l
+    FROM {name}_t t JOIN {name}_c c ON c.node = t.node AND c.attr = t.attr GROUP BY 1, 2, 3, 4),
+{name}_m AS (SELECT node, attr, thr, CAST(sum(n) AS DOUBLE) AS n, CAST(sum(l) AS DOUBLE) AS nl, CAST(sum(n - l) AS DOUBLE) AS nr,
+    count(*) AS classes, sum(n * log2(n)) AS e, sum(CASE WHEN l > 0 THEN l * log2(l) ELSE 0 END) AS el,
+    sum(CASE WHEN n > l THEN (n - l) * log2(n - l) ELSE 0 END) AS er FROM {name}_s GROUP BY 1, 2, 3),
+{name}_g AS (SELECT *, round((n * log2(n) - e - (nl * log2(nl) - el) - (nr * log2(nr) - er)) / n, 11) AS gain FROM {name}_m
+    WHERE nr > 0 AND nl > 0 AND least(nl, nr) >= 0.1 * n AND classes > 1),
+{name}_b AS (SELECT node, attr, thr FROM {name}_g WHERE gain > 1e-9
+    QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, attr, thr) = 1)"""
+
+
+_TWO_LEVELS = f"""
+e AS (SELECT row_number() OVER (ORDER BY vec_id) AS seq, CAST(label AS VARCHAR) AS label, embedding FROM embeddings),
+d AS (SELECT label, row_number() OVER (ORDER BY min(seq)) - 1 AS idx FROM e GROUP BY label),
+v AS (SELECT seq, idx, unnest(range({GRID})) AS attr,
+      unnest(list_transform(embedding[1:{GRID}], lambda x: floor(CAST(x AS DOUBLE) * 16))) AS x FROM e JOIN d USING (label)),
+r AS (SELECT *, 0 AS node FROM v),
+{_grid_split("a", "r")},
+r2 AS (SELECT v.*, k.node FROM v JOIN (SELECT seq, CASE WHEN x <= thr THEN 1 ELSE 2 END AS node FROM v JOIN a_b USING (attr)) k USING (seq)),
+{_grid_split("b", "r2")},
+leaf AS (SELECT seq, idx, node, min(CASE WHEN b_b.attr = r2.attr THEN CASE WHEN x <= thr THEN 1 ELSE 2 END ELSE 3 END) AS side
+         FROM r2 LEFT JOIN b_b USING (node) GROUP BY 1, 2, 3),
+major AS (SELECT node, side, idx FROM (SELECT node, side, idx, count(*) AS n FROM leaf WHERE seq <= {FIRST} GROUP BY 1, 2, 3)
+          QUALIFY row_number() OVER (PARTITION BY node, side ORDER BY n DESC, idx) = 1)
+"""
+
+_STUMPS = f"""
+e AS (SELECT row_number() OVER (ORDER BY vec_id) AS seq, CAST(label AS VARCHAR) AS label, embedding FROM embeddings),
+d AS (SELECT label, row_number() OVER (ORDER BY min(seq)) - 1 AS idx FROM e GROUP BY label),
+v AS (SELECT seq, idx, unnest(range({SIGNS})) AS attr, unnest(embedding[1:{SIGNS}]) > 0 AS value FROM e JOIN d USING (label)),
+u AS (SELECT seq, member, CAST('0x' || substr(md5(concat_ws(':', seq, member, 1)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u
+      FROM e, range(3) AS m(member) WHERE seq <= {FIRST}),
+p AS (SELECT seq, member, {" + ".join(f"CAST(u >= {limit!r}::DOUBLE AS INTEGER)" for limit in POISSON_LIMITS)} AS w FROM u),
+c AS (SELECT member, attr, value, idx, CAST(sum(w) AS DOUBLE) AS n FROM v JOIN p USING (seq) WHERE w > 0 GROUP BY ALL),
+hv AS (SELECT member, attr, value, sum(n) AS nv, log2(sum(n)) - sum(n * log2(n)) / sum(n) AS h FROM c GROUP BY 1, 2, 3),
+root AS (SELECT member, attr, sum(n) AS n, log2(sum(n)) - sum(n * log2(n)) / sum(n) AS h
+         FROM (SELECT member, attr, idx, sum(n) AS n FROM c GROUP BY 1, 2, 3) GROUP BY 1, 2),
+best AS (SELECT member, attr FROM root JOIN (SELECT member, attr, sum(nv * h) AS s FROM hv GROUP BY 1, 2) USING (member, attr)
+         WHERE h - s / n > 1e-12 QUALIFY row_number() OVER (PARTITION BY member ORDER BY h - s / n DESC, attr) = 1),
+shares AS (SELECT member, attr, value, c.idx, n / nv AS share FROM c JOIN best USING (member, attr) JOIN hv USING (member, attr, value)),
+votes AS (SELECT seq, shares.idx, sum(share) AS vote FROM v JOIN shares USING (attr, value) GROUP BY 1, 2),
+won AS (SELECT seq, idx FROM votes QUALIFY row_number() OVER (PARTITION BY seq ORDER BY round(vote, 11) DESC, idx) = 1)
+"""
+
+_FIRST_RULE = f"""
+p AS (SELECT row_number() OVER (ORDER BY p_partkey) AS seq, p_retailprice AS y, CAST(p_size AS DOUBLE) AS a0,
+             CAST(p_partkey % 25 AS DOUBLE) AS a1, CAST(p_partkey // 10 AS DOUBLE) AS a2 FROM part),
+f AS (SELECT seq, y - (SELECT avg(y) FROM p WHERE seq <= {PART_FIRST}) AS y, unnest(range(3)) AS attr, unnest([a0, a1, a2]) AS x
+      FROM p WHERE seq <= {PART_FIRST}),
+t AS (SELECT DISTINCT attr, x AS thr FROM f),
+s AS (SELECT attr, thr, count(*) AS n, count(*) FILTER (x <= thr) AS nl, stddev_pop(y) AS sd,
+             stddev_pop(y) FILTER (x <= thr) AS sl, stddev_pop(y) FILTER (x > thr) AS sr FROM t JOIN f USING (attr) GROUP BY 1, 2),
+b AS (SELECT attr, thr, nl * sl * sl <= (n - nl) * sr * sr AS le FROM s WHERE n > nl
+      ORDER BY round(sd - nl / n * sl - (n - nl) / n * sr, 9) DESC, attr, thr LIMIT 1),
+q AS (SELECT seq, y, (CASE attr WHEN 0 THEN a0 WHEN 1 THEN a1 ELSE a2 END <= thr) = le AS hit FROM p, b),
+m AS (SELECT hit, avg(y) AS mean FROM q WHERE seq <= {PART_FIRST} GROUP BY 1)
+"""
+
 ORACLES: dict[str, str] = {
+    "ht_two_levels": f"""WITH {_TWO_LEVELS} SELECT seq, CAST(leaf.idx AS INTEGER) AS truth,
+        CAST(CASE WHEN seq <= {FIRST} THEN 0 ELSE major.idx END AS INTEGER) AS pred FROM leaf JOIN major USING (node, side)""",
+    "ht_bagged_stumps": f"""WITH {_STUMPS} SELECT seq, CAST(d.idx AS INTEGER) AS truth,
+        CAST(CASE WHEN seq <= {FIRST} THEN 0 ELSE won.idx END AS INTEGER) AS pred FROM e JOIN d USING (label) JOIN won USING (seq)""",
+    "amr_first_rule": f"""WITH {_FIRST_RULE} SELECT seq, y AS truth, round(CASE WHEN seq <= {PART_FIRST} THEN 0 ELSE mean END, 6) AS pred
+        FROM q JOIN m USING (hit)""",
     "cluster_mass": SQL_MASS,
     "ht_first_split": f"""WITH {_FIRST_SPLIT} SELECT seq, CAST(v.idx AS INTEGER) AS truth,
         CAST(CASE WHEN seq <= {FIRST} THEN 0 ELSE major.idx END AS INTEGER) AS pred

@@ -18,7 +18,7 @@ from driftline.operators.cluster import CF_SCHEMA, ClusterModel, ClusterParams,
 from driftline.operators.encode import decode, encode_label, encode_nominal, extend_dictionary, number_entries, value_counts
 from driftline.operators.evaluate import confusion
 from driftline.operators.order import limit_instances, with_seq
-from driftline.operators.rules import RULE_SCHEMA, RuleModel, RuleParams
+from driftline.operators.rules import MOMENTS_SCHEMA, RULE_SCHEMA, RuleModel, RuleParams, moments_from, moments_table
 from driftline.operators.rules import STATS_SCHEMA as RULE_STATS_SCHEMA
 from driftline.operators.tree import NODE_SCHEMA, STATS_SCHEMA, TreeModel, TreeParams
 from driftline.schema import PREDICT, PREDICT_LABEL, TRAIN, role_of_label, role_of_target
@@ -28,7 +28,6 @@ from driftline.streaming.curves import StreamCurve
 from driftline.streaming.store import ModelStore
 
 DICTIONARY_SCHEMA = "attr string, value string, first_seq bigint, n_rows bigint, idx int"
-MOMENTS_SCHEMA = "rule bigint, i int, j int, v double"
 
 
 @dataclasses.dataclass
@@ -118,7 +117,7 @@ class ClassifierStream(_Learner):
         if not meta["trained"]:
             return TreeModel.empty(self.params)
         return TreeModel.from_tables(
-            self.params, self.store.read("nodes", version, NODE_SCHEMA), meta["offsets"],
+            self.params, self.store.read("nodes", version, NODE_SCHEMA), meta["rounds"],
             self.store.read("stats", version, STATS_SCHEMA),
         )
 
@@ -153,7 +152,7 @@ class ClassifierStream(_Learner):
         if trained:
             self.store.write("nodes", batch_id, model.nodes(self.spark))
             self.store.write("stats", batch_id, model.stats)
-        return {"trained": trained, "offsets": model.offsets, "curve": curve}
+        return {"trained": trained, "rounds": model.rounds, "curve": curve}
 
 
 @dataclasses.dataclass
@@ -173,10 +172,10 @@ class RegressorStream(_Learner):
         if found is None or not found[1]["trained"]:
             return RuleModel.empty(self.params)
         version, m = found
-        moments = self.store.read("moments", version, MOMENTS_SCHEMA) if m["moments"] else None
         return RuleModel(
-            self.params, RuleModel.rules_from(self.store.read("rules", version, RULE_SCHEMA)), m["next_id"], m["lows"],
-            m["highs"], m["offset"], m["scale"], self.store.read("stats", version, RULE_STATS_SCHEMA), moments,
+            self.params, RuleModel.rules_from(self.store.read("rules", version, RULE_SCHEMA)), m["next_id"], m["offset"],
+            m["scale"], m["rounds"], self.store.read("stats", version, RULE_STATS_SCHEMA),
+            moments_from(self.store.read("moments", version, MOMENTS_SCHEMA)),
         )
 
     def _learn(self, rows: DataFrame, batch_id: int, prior) -> dict:
@@ -193,16 +192,15 @@ class RegressorStream(_Learner):
         write_batch(pairs, f"{self.path}/pairs", batch_id)
         written = self.spark.read.schema(pairs.schema).parquet(f"{self.path}/pairs/batch_id={batch_id}")
         curve = self.curve.add(written, batch_id, prior)
-        model = model.learn(scored.filter(train).drop("pred"), target=self.target)
+        model = model.learn(scored.drop("pred"), target=self.target, where=train)
         trained = model.stats is not None
         if trained:
             self.store.write("rules", batch_id, model.table(self.spark))
             self.store.write("stats", batch_id, model.stats)
-            if model.moments is not None:
-                self.store.write("moments", batch_id, model.moments)
+            self.store.write("moments", batch_id, moments_table(self.spark, model.moments))
         return {
-            "trained": trained, "moments": model.moments is not None, "next_id": model.next_id, "lows": model.lows,
-            "highs": model.highs, "offset": model.offset, "scale": model.scale, "curve": curve,
+            "trained": trained, "next_id": model.next_id, "offset": model.offset, "scale": model.scale,
+            "rounds": model.rounds, "curve": curve,
         }
 
 

@@ -95,8 +95,7 @@ def test_ordered_and_unordered_prediction(spark):
 def test_drifting_rule_is_dropped(spark):
     rows = [(i, [0.1], 100.0 if i > 200 else 10.0) for i in range(1, 401)]
     df = spark.createDataFrame(rows, "seq long, features array<double>, target double")
-    model = RuleModel(RuleParams(1, head="mean", ph_lambda=20.0), [Rule(0), Rule(1, [(0, True, 0.5)], 100.0, 1000.0)], 2,
-                      [0.0], [1.0], 0.0, 1.0)
+    model = RuleModel(RuleParams(1, head="mean", ph_lambda=20.0), [Rule(0), Rule(1, [(0, True, 0.5)], 100.0, 1000.0)], 2, 0.0)
     assert 1 not in [r.rule for r in model.learn(df).rules]
     assert 1 in [r.rule for r in model.learn(df.filter("seq <= 200")).rules]
 
@@ -133,8 +132,6 @@ def test_rules_learn_beyond_the_first_range(spark):
     model = RuleModel.empty(RuleParams(1, head="mean")).learn(frame_(early))
     for n in range(0, 8000, 2000):
         model = model.learn(frame_(late[n : n + 2000]))
-    assert model.lows[0] <= -200.0 and model.highs[0] >= 799.0
-    total = model.stats.groupBy().sum("n").first()[0]
-    assert total == sum(r.n for r in model.rules) or total > 0
+    assert sum(r.n for r in model.rules) == 9000
     conditions = [c for r in model.rules for c in r.conditions]
     assert any(abs(c[2] - 500.0) < 60 for c in conditions)
