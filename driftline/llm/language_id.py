@@ -7,7 +7,7 @@ its own content outweighs the dictionary.  The smallest sum of sizes wins; a nar
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,12 +24,14 @@ from driftline.llm.words import batches
 # Bounds of the sample: texts per language, and the bytes of a dictionary.
 TEXTS_PER_LANGUAGE = 400
 DICTIONARY_BYTES = 200_000
+# Characters of one text in the sample (from its middle), and languages that are learned.
+SAMPLE_TEXT_CHARS = 20_000
+LANGUAGES = 200
 PIECE_BYTES = 4_000
 LEVEL = 5
 # A margin (second best size over best size, less 1) below this is rejected: the prediction stays, marked.
 MARGIN = 0.01
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 
 RESULT = T.StructType(
     [
@@ -41,9 +43,16 @@ RESULT = T.StructType(
 )
 
 
-def learn(labelled: DataFrame, text: str, lang: str, key: str) -> dict[str, bytes]:
-    """A dictionary for each language, the most frequent first, from at most TEXTS_PER_LANGUAGE texts of it."""
-    known = labelled.filter(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("label")).count().collect()
+def learn(labelled: DataFrame, text: str, lang: str, key: str, languages: int = LANGUAGES) -> dict[str, bytes]:
+    """A dictionary for each language, the most frequent first, from at most TEXTS_PER_LANGUAGE texts of it.
+
+    Texts of any length take part, of each its middle SAMPLE_TEXT_CHARS characters.  At most ``languages`` labels are learned: those
+    with the most texts, ties by name; dirty labels beyond that have too few texts to tell anything.
+    """
+    counts = labelled.filter(F.col(lang).isNotNull() & (F.octet_length(text) > 0)).groupBy(F.col(lang).alias("label")).count()
+    known = counts.orderBy(F.desc("count"), "label").limit(languages).collect()
+    if not known:
+        return {}
     order = {r["label"]: (-r["count"], r["label"]) for r in known}
     # A cut by hash leaves about four times the sample of a language for the ranking, however many texts it has.
     share = F.lit(0)
@@ -51,7 +60,9 @@ def learn(labelled: DataFrame, text: str, lang: str, key: str) -> dict[str, byte
         most = min(1_000_000, 4_000_000 * TEXTS_PER_LANGUAGE // r["count"] + 1)
         share = F.when(F.col(lang) == r["label"], F.lit(most)).otherwise(share)
     near = labelled.filter(F.pmod(F.xxhash64(F.col(key), F.lit(29)), F.lit(1_000_000)) < share)
-    rows = labelled_sample(near, text, lang, key, TEXTS_PER_LANGUAGE).collect()
+    begin = F.greatest(F.lit(1), F.floor((F.char_length(text) - SAMPLE_TEXT_CHARS) / 2).cast("int"))
+    middle = near.select(key, lang, F.substring(F.col(text), begin, F.lit(SAMPLE_TEXT_CHARS)).alias("__text"))
+    rows = labelled_sample(middle, "__text", lang, key, TEXTS_PER_LANGUAGE).collect()
     by_lang: dict[str, set[bytes]] = {}
     for r in rows:
         by_lang.setdefault(r["label"], set()).add(letters(bytes(r["text"])))
@@ -82,6 +93,11 @@ def _compressors(dictionaries: tuple[tuple[str, bytes], ...]) -> list[zstandard.
 _NOT_LETTER = bytes(b if chr(b).isalpha() or b > 127 else 32 for b in range(256))
 
 
+def has_letter(text: str) -> bool:
+    """A character of the Unicode category L; superscripts, fractions and letter-like numerals are none."""
+    return any(c.isalpha() and unicodedata.category(c)[0] == "L" for c in text)
+
+
 def letters(text: bytes) -> bytes:
     """Lower-cased text with every run of ASCII characters that are not letters as one blank."""
     return b" ".join(text.decode("utf-8", "replace").lower().encode().translate(_NOT_LETTER).split())
@@ -119,7 +135,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
         for batch, texts in batches(stream, "__text"):
             out: list[list] = [[], [], [], []]
             for t in texts:
-                if t and names and _LETTER.search(t.decode("utf-8", "replace")):
+                if t and names and has_letter(t.decode("utf-8", "replace")):
                     row = decide(names, sizes(t, compressors))
                 else:
                     row = (UNKNOWN, 0.0, 0.0, True)

@@ -168,7 +168,7 @@ upl-1.0 | permissive | universal permissive licen[cs]e(?: version)?(?: 1\\.0)?
 vim | vim | vim licen[cs]e
 w3c | w3c | w3c software (?:notice and )?licen[cs]e
 wtfpl | wtfpl | wtfpl(?: version)?(?: 2)?
-wtfpl | want | do what the f\\S+ you want to public licen[cs]e
+wtfpl | want | do what the f\\S{1,12} you want to public licen[cs]e
 zlib | zlib | zlib (?:libpng )?licen[cs]e
 zpl-2.1 | zope | zope public licen[cs]e(?: version)?(?: 2\\.1)?
 llama-2 | llama | llama 2 community licen[cs]e(?: agreement)?

@@ -30,7 +30,7 @@ BASE = (
 )
 BASE_CONFIDENCE = 0.8
 
-_GAP = r"[\x00-/:-`{-\x7f]+"
+_GAP = r"[\x00-/:-`{-\x7f]++"
 _WORD_BYTE = re.compile(r"[0-9a-z\x80-\xff]")
 _LATIN_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -62,8 +62,12 @@ _DETECTION = pa.list_(pa.struct([("label", pa.string()), ("kind", pa.string()),
 
 
 def _pattern(text: str) -> re.Pattern:
-    """A blank is a gap between words; an optional blank allows one."""
-    return re.compile(text.replace(" ?", f"(?:{_GAP})?").replace(" ", _GAP))
+    """A blank is a gap between words; an optional blank allows one.
+
+    A gap takes a whole run of gap characters or nothing of it, so that a long run is not divided in many ways between
+    gaps that follow one another.
+    """
+    return re.compile(text.replace(" ?", f"(?:{_GAP})?+").replace(" ", _GAP))
 
 
 @lru_cache(maxsize=1)

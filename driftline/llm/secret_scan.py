@@ -6,9 +6,11 @@ The battery looks at every long token.  From its characters an encoding, and wit
 * a runs test looks at changes between the lower and the upper half of the alphabet,
 * a serial correlation tests whether neighbouring characters depend on each other.
 
-Fisher's method joins the three; a token that fails them is not random.  A second p-value says how likely ordinary text
-of this length has so few repeated letters.  It grows small with length only, so the false-discovery threshold
-(Benjamini-Hochberg over all tokens of the corpus) is set for each band of lengths.
+Fisher's method joins the three to the p-value of "random".  A model of neighbouring characters, counted over the distinct
+tokens of the corpus itself, tells how likely ordinary text is to write the token.  The statistic of a token is the
+likelihood ratio of random against ordinary in bits, lowered by the bits of its battery p-value: an ordinary token reaches
+t bits with a chance of 2^-t at most, and one that fails the battery loses what it gained by rare neighbours.
+Benjamini-Hochberg on these p-values, over the distinct tokens of each band of lengths, sets the threshold.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftline.functions.vectors import doubles
 from driftline.session import stored
 
 # The base patterns.
@@ -29,6 +32,8 @@ KINDS = ("assign", "access", "hex", "random")
 
 _RUN = "A-Za-z0-9+/_-"
 TOKEN = f"(?<![{_RUN}])[{_RUN}]{{20,}}={{0,2}}"
+# Shorter tokens count for the model of ordinary neighbours too.
+MODEL_TOKEN = f"[{_RUN}]{{10,}}"
 
 _DIGITS, _LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 _UPPER = _LOWER.upper()
@@ -44,11 +49,11 @@ ENCODINGS = (
     ("base64url", "^[A-Za-z0-9_-]+$", _UPPER + _LOWER + _DIGITS + "-_"),
     ("mixed", "", _UPPER + _LOWER + _DIGITS + "+/-_"),
 )
-# Chance that two letters of English text are equal, and the ratio of the chance for three to its square.
-COINCIDENCE, THIRD = 0.0655, 1.33
+ALL = ENCODINGS[-1][2]
+PRIOR = 8.0  # weight of single characters where a character has been seen with few neighbours
 BANDS = (20, 32, 48, 64, 128)  # lower bounds of the length bands
 FDR = 0.01
-UNIFORM_LEAST = 0.001
+SUSPECT = 0.01  # battery p-value from which a token with a positive gain is left out of the model of ordinary ones
 STEPS, STEP_LIMIT = 10, 400  # p-values are compared at 10 steps for each power of ten, down to 1e-40
 
 
@@ -67,18 +72,54 @@ def _spans(text: Column, pattern: str, group: int | None = None, least: int = 0)
             F.char_length(g).alias("size"), s["match"].alias("match"),
         ),
     )
-    empty = F.expr("cast(array() AS array<struct<start: int, end: int, match: string>>)")
+    # The last piece has no match: its length is null and it is left out.
+    closed = F.filter(steps, lambda s: s["length"].isNotNull())
+    placed = _let(closed, _offsets)
+    return F.transform(
+        F.filter(placed, lambda s: s["size"] >= least),
+        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["match"].alias("match")),
+    )
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _offsets(steps: Column) -> Column:
+    """Steps with their start and end.  Sums run inside blocks of about the square root of their number, then over the
+    blocks, since an array that grows step by step is copied at every step."""
+    fields = "start int, end int, size int, match string"
+    empty = F.expr(f"cast(array() AS array<struct<{fields.replace(' int', ': int').replace(' string', ': string')}>>)")
 
     def step(acc: Column, s: Column) -> Column:
         begin = acc["at"] + s["before"]
         end = begin + s["length"]
-        place = F.struct(begin.alias("start"), end.alias("end"), s["match"].alias("match"))
-        grown = F.when(s["size"] >= least, F.array_append(acc["found"], place)).otherwise(acc["found"])
-        return F.struct(end.alias("at"), grown.alias("found"))
+        place = F.struct(begin.alias("start"), end.alias("end"), s["size"].alias("size"), s["match"].alias("match"))
+        return F.struct(end.alias("at"), F.array_append(acc["found"], place).alias("found"))
+
+    def block(steps: Column) -> Column:
+        return F.aggregate(steps, F.struct(F.lit(0).alias("at"), empty.alias("found")), step)
+
+    def moved(pair: Column) -> Column:
+        return F.transform(
+            pair["b"]["found"],
+            lambda s: F.struct(
+                (s["start"] + pair["o"]).alias("start"), (s["end"] + pair["o"]).alias("end"), s["size"].alias("size"), s["match"].alias("match")
+            ),
+        )
 
-    # The last piece has no match: its length is null and it is left out.
-    closed = F.filter(steps, lambda s: s["length"].isNotNull())
-    return F.aggregate(closed, F.struct(F.lit(0).alias("at"), empty.alias("found")), step, lambda acc: acc["found"])
+    def joined(blocks: Column) -> Column:
+        none = F.struct(F.lit(0).alias("at"), F.expr("cast(array() AS array<int>)").alias("before"))
+        before = F.aggregate(
+            blocks, none, lambda acc, b: F.struct((acc["at"] + b["at"]).alias("at"), F.array_append(acc["before"], acc["at"]).alias("before")),
+            lambda acc: acc["before"],
+        )
+        return F.flatten(F.transform(F.zip_with(blocks, before, lambda b, o: F.struct(b.alias("b"), o.alias("o"))), moved))
+
+    width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(steps))).cast("int"))
+    blocks = F.transform(F.sequence(F.lit(1), F.size(steps), width), lambda i: block(F.slice(steps, i, width)))
+    return F.when(F.size(steps) > 0, _let(blocks, joined)).otherwise(empty)
 
 
 def _gated(gate: Column, spans: Column) -> Column:
@@ -103,11 +144,35 @@ def _two_sided(z: Column) -> Column:
     return F.least(F.lit(1.0), 2.0 * normal_tail(F.abs(z)))
 
 
-def battery(tokens: Column) -> Column:
-    """For each place of a token: start, end, encoding, band, p_uniform (joined tests) and p_text.
+def neighbour_bits(tokens: DataFrame) -> list[float]:
+    """Bits −log2 P(b | a) of every pair of characters in ordinary tokens, then those of single characters.
+
+    ``tokens`` has the distinct tokens (``match``); at most one row per pair reaches the driver.  Each pair and each
+    character counts once less, for the token that is judged; single characters fill in where that leaves little.
+    """
+    body = F.regexp_replace("match", "=+$", "")
+    pairs = tokens.select(F.explode(F.transform(F.sequence(F.lit(1), F.char_length(body) - 1), lambda i: F.substr(body, i, F.lit(2)))).alias("pair"))
+    size, place = len(ALL), {c: i for i, c in enumerate(ALL)}
+    counts = [0] * (size * size)
+    for r in pairs.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts[place[r["pair"][0]] * size + place[r["pair"][1]]] = r["n"]
+    single = [sum(counts[b::size]) + 1.0 for b in range(size)]
+    whole = sum(single)
+    bits = []
+    for a in range(size):
+        own = counts[a * size : (a + 1) * size]
+        total = max(sum(own) - 1, 0) + PRIOR
+        bits += [-math.log2((max(n - 1, 0) + PRIOR * s / whole) / total) for n, s in zip(own, single)]
+    return bits + [-math.log2(s / whole) for s in single]
+
+
+def battery(tokens: Column, bits: list[float]) -> Column:
+    """For each place of a token: start, end, encoding, band, p_uniform (joined tests), gain (bits of random over ordinary)
+    and step, the gain less the bits of p_uniform in STEPS for each power of ten.
 
     Steps are separate transforms, so that each value is worked out once.
     """
+    ordinary, size = doubles(bits), len(ALL)
 
     def inferred(c: Column) -> Column:
         body = F.regexp_replace(c["match"], "=+$", "")
@@ -128,6 +193,7 @@ def battery(tokens: Column) -> Column:
         return F.struct(
             c["start"].alias("start"), c["end"].alias("end"), c["encoding"].alias("encoding"), n.alias("n"), k.alias("k"),
             squares.alias("squares"), F.transform(chars, lambda x: (F.instr(letters, x) - 1).cast("double")).alias("codes"),
+            F.transform(chars, lambda x: F.instr(F.lit(ALL), x) - 1).alias("places"),
         )
 
     def moments(c: Column) -> Column:
@@ -139,7 +205,7 @@ def battery(tokens: Column) -> Column:
             F.lit(1.0), lambda a, x: a + x,
         )
         return F.struct(
-            *[c[f].alias(f) for f in ("start", "end", "encoding", "n", "k", "squares", "codes")], mean.alias("mean"),
+            *[c[f].alias(f) for f in ("start", "end", "encoding", "n", "k", "squares", "codes", "places")], mean.alias("mean"),
             F.size(F.filter(low, lambda x: x)).cast("double").alias("n_low"), changes.alias("runs"),
         )
 
@@ -156,15 +222,16 @@ def battery(tokens: Column) -> Column:
         var = (mu - 1.0) * (mu - 2.0) / (n - 1.0)
         z_runs = F.when(var > 0, (c["runs"] - mu) / F.sqrt(var)).otherwise(9.0)
         z_serial = F.when(spread > 0, (lagged / spread + 1.0 / n) * F.sqrt(n)).otherwise(9.0)
-        # Coincidences among the pairs of characters, against those of text.
-        same = F.greatest(F.lit(COINCIDENCE), 1.6 / k)
-        pairs, triples = n * (n - 1.0) / 2.0, n * (n - 1.0) * (n - 2.0) / 6.0
-        expected = pairs * same
-        deviation = F.sqrt(expected * (1.0 - same) + 6.0 * triples * (THIRD - 1.0) * same * same)
-        z_text = ((c["squares"] - n) / 2.0 - expected) / deviation
+        places = c["places"]
+        written = F.aggregate(
+            F.zip_with(
+                F.slice(places, 1, F.size(places) - 1), F.slice(places, 2, F.size(places) - 1), lambda a, b: F.get(ordinary, a * size + b)
+            ),
+            F.get(ordinary, F.get(places, F.lit(0)) + size * size), lambda a, x: a + x,
+        )
         return F.struct(
             *[c[f].alias(f) for f in ("start", "end", "encoding", "n")],
-            z_chi.alias("z_chi"), z_runs.alias("z_runs"), z_serial.alias("z_serial"), z_text.alias("z_text"),
+            z_chi.alias("z_chi"), z_runs.alias("z_runs"), z_serial.alias("z_serial"), (written - n * F.log2(k)).alias("gain"),
         )
 
     def judged(c: Column) -> Column:
@@ -175,25 +242,33 @@ def battery(tokens: Column) -> Column:
             band = F.when(c["n"] >= least, F.lit(i)).otherwise(band)
         return F.struct(
             c["start"].alias("start"), c["end"].alias("end"), c["encoding"].alias("encoding"), band.alias("band"),
-            x.alias("x"), normal_tail(-c["z_text"]).alias("p_text"),
+            x.alias("x"), c["gain"].alias("gain"),
         )
 
     def joined(c: Column) -> Column:
+        # Fisher's sum of three has a chi-squared distribution with six degrees of freedom.
         x = c["x"]
         return F.struct(
-            *[c[f].alias(f) for f in ("start", "end", "encoding", "band", "p_text")],
+            *[c[f].alias(f) for f in ("start", "end", "encoding", "band", "gain")],
             (F.exp(-x) * (1.0 + x + x * x / 2.0)).alias("p_uniform"),
-            F.least(F.lit(STEP_LIMIT), F.floor(-STEPS * F.log10(F.greatest(c["p_text"], F.lit(1e-300)))).cast("int")).alias("step"),
+        )
+
+    def stepped(c: Column) -> Column:
+        bits = c["gain"] + F.log2(F.greatest(c["p_uniform"], F.lit(1e-300)))
+        step = F.floor(bits * (STEPS * math.log10(2.0))).cast("int")
+        return F.struct(
+            *[c[f].alias(f) for f in ("start", "end", "encoding", "band", "gain", "p_uniform")],
+            F.greatest(F.lit(0), F.least(F.lit(STEP_LIMIT), step)).alias("step"),
         )
 
     found = tokens
-    for stage in (inferred, counted, moments, tested, judged, joined):
+    for stage in (inferred, counted, moments, tested, judged, joined, stepped):
         found = F.transform(found, stage)
     return found
 
 
 def thresholds(histogram: list[tuple[int, int, int]], fdr: float = FDR) -> dict[int, int]:
-    """For each length band the smallest step at which Benjamini-Hochberg still rejects "this is text"; bands in which
+    """For each length band the smallest step at which Benjamini-Hochberg still rejects "ordinary"; bands in which
     it never does are left out.  ``histogram`` has (band, step, tokens)."""
     found = {}
     for band in {b for b, _, _ in histogram}:
@@ -226,17 +301,26 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
         _gated(body.rlike(HEX), _spans(body, HEX)).alias("__hex"),
         _gated(body.rlike(TOKEN), _spans(body, TOKEN)).alias("__tokens"),
     )
-    number = F.filter("__tokens", lambda c: ~c["match"].rlike("^[0-9]+=*$"))
-    tried = stored(scanned.withColumn("__tried", battery(number)).drop("__tokens"), "secrets")
-
-    tries = tried.select(F.explode("__tried").alias("t")).groupBy("t.band", "t.step").agg(F.count(F.lit(1)).alias("n"))
+    plain = "^[0-9]+=*$"  # plain numbers are no candidates
+    tried = stored(scanned.withColumn("__tokens", F.filter("__tokens", lambda c: ~c["match"].rlike(plain))), "secrets")
+    # Distinct tokens: a key that stands in many documents counts once, for the model as for the control.
+    words = docs.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(MODEL_TOKEN), F.lit(0))).alias("match"))
+    words = stored(words.filter(~F.col("match").rlike(plain)).distinct(), "secret-words")
+    place = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), F.col("match").alias("match"))
+    judge = lambda bits: F.get(battery(F.array(place), bits), F.lit(0))
+    # Counted twice: what looks random to the first model is no ordinary token and leaves the second one.
+    looks = words.withColumn("t", judge(neighbour_bits(words)))
+    bits = neighbour_bits(looks.filter((F.col("t.gain") <= 0) | (F.col("t.p_uniform") < SUSPECT)).select("match"))
+    distinct = tried.select(F.explode("__tokens.match").alias("match")).distinct()
+    tries = distinct.select(judge(bits).alias("t")).groupBy("t.band", "t.step").agg(F.count(F.lit(1)).alias("n"))
     limits = thresholds([(r["band"], r["step"], r["n"]) for r in tries.collect()])  # at most bands x steps rows
+    tried = tried.withColumn("__tried", battery(F.col("__tokens"), bits)).drop("__tokens")
 
     def random_enough(c: Column) -> Column:
         least = F.lit(STEP_LIMIT + 1)
         for band, step in limits.items():
             least = F.when(c["band"] == band, F.lit(step)).otherwise(least)
-        return (c["step"] >= least) & (c["p_uniform"] >= UNIFORM_LEAST)
+        return c["step"] >= least
 
     def placed(column: Column, kind: int) -> Column:
         return F.transform(column, lambda c: F.struct(c["start"].alias("start"), F.lit(kind).alias("kind"), c["end"].alias("end")))

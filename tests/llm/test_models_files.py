@@ -83,6 +83,21 @@ def test_toxicity_takes_odd_rows(spark, odd, nothing):
     assert toxicity.score(nothing, toxicity.learn(nothing, labels)).count() == 0
 
 
+def test_letters_are_of_the_unicode_category():
+    assert not any(language_id.has_letter(t) for t in ("", "² ½ Ⅷ", "123 _!", "\u0301", "\U0001f600"))
+    assert all(language_id.has_letter(t) for t in ("a", "12é", "ª", "日", "ʰ"))
+
+
+def test_long_texts_and_many_labels_are_learned(spark):
+    rows = [(i, ("der hund und die katze laufen schnell " * 9_000 if i % 2 else "the dog and the cat run quickly "), "de" if i % 2 else "en") for i in range(40)]
+    rows += [(1000 + i, f"junk {i}", f"label{i}") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    known = language_id.learn(df, "text", "lang", "doc_id", languages=10)
+    assert len(known) == 10 and {"de", "en"} < set(known) and all(len(d) <= language_id.DICTIONARY_BYTES + 400 for d in known.values())
+    asked = spark.createDataFrame([(1, "die katze und der hund"), (2, "the cat and the dog"), (3, "² ½ Ⅷ")], "doc_id long, text string")
+    assert [r.lang_pred for r in language_id.identify(asked, known).orderBy("doc_id").collect()] == ["de", "en", "und"]
+
+
 def test_languages_by_compression(spark, odd, nothing):
     rng = random.Random(2)
     parts = {"xx": ("ba", "ke", "li", "mon"), "yy": ("thr", "ing", "osh", "we"), "zz": ("ñue", "cio", "dad", "lla")}

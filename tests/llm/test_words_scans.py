@@ -4,11 +4,13 @@ import hashlib
 import random
 import re
 import string
+import time
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from driftline.llm import license_scan, secret_scan, words
+from driftline.llm import license_rules, license_scan, secret_scan, words
 
 
 @settings(max_examples=60, deadline=None)
@@ -123,6 +125,23 @@ def test_suppression_against_all_pairs():
         assert license_scan.suppress(found) == sorted(kept)
 
 
+def test_a_long_run_between_words_is_read_once():
+    """A megabyte of gap characters after the first words of every rule."""
+    begun = time.monotonic()
+    for rule in license_rules.rules():
+        pattern = license_scan._pattern(rule.pattern)
+        heads = re.findall("[0-9a-z]+", re.sub(r"\(\?:|\[|\\.|\)|\]|[?+*{}|]", " ", rule.pattern))
+        for head in {" ".join(heads[:n]) for n in (1, 2, 3)}:
+            for _ in pattern.finditer(head + "-" * 1_000_000 + "!"):
+                pass
+    assert time.monotonic() - begun < 60
+
+
+def test_a_gap_takes_the_whole_run():
+    assert license_scan._pattern("apache licen[cs]e,? ?(?:version|v)? ?2").search("apache license, - version (2").span() == (0, 28)
+    assert license_scan._pattern("a b").search("a.  -b").span() == (0, 6)
+
+
 def test_scans_take_odd_rows(odd, nothing):
     assert license_scan.scan_licenses(odd).count() == 8 and license_scan.scan_licenses(nothing).count() == 0
     rows = license_scan.scan_licenses(odd).filter("doc_id = 6 or doc_id is null").orderBy("doc_id").collect()
@@ -167,6 +186,41 @@ def test_battery_finds_random_tokens_and_leaves_text(spark):
     assert not any(got[1000 + i] for i in range(200))
 
 
+ALPHABETS = {
+    "base62": string.ascii_letters + string.digits, "HEX": "0123456789ABCDEF", "base32": string.ascii_uppercase + "234567",
+    "base64url": string.ascii_letters + string.digits + "-_", "base36": string.ascii_lowercase + string.digits,
+}
+
+
+def ordinary_token(rng):
+    """Slugs, paths and identifiers."""
+    parts = ["tion", "ser", "ver", "con", "fig", "data", "log", "in", "user", "path", "mod", "ule", "test", "net", "work", "file", "re", "quest"]
+    w = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 3))) for _ in range(rng.randint(3, 6))]
+    token = rng.choice(("-".join(w), "/".join(w), "_".join(w), "".join(x.capitalize() for x in w))) + rng.choice(("", "", str(rng.randint(1, 9999))))
+    return token if len(token) >= 20 else ordinary_token(rng)
+
+
+@pytest.mark.parametrize("keys", [10, 60])
+def test_few_random_keys_among_ordinary_tokens_are_found(spark, keys):
+    rng = random.Random(keys)
+    rows = [(i, f"see {ordinary_token(rng)} and {ordinary_token(rng)}") for i in range(1500)]
+    cases = [(e, n) for e in ALPHABETS for n in (20, 24, 32, 40, 64)]
+    made = ["".join(rng.choice(ALPHABETS[e]) for _ in range(n)) for e, n in (cases[i % len(cases)] for i in range(keys))]
+    rows += [(5000 + i, f"key {k} end") for i, k in enumerate(made)] + [(9000 + i, f"key {made[0]} end") for i in range(400)]  # one is copied
+    got = {r.doc_id: r.spans for r in secret_scan.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = sum(f"random:4:{4 + len(k)}" in got[5000 + i] for i, k in enumerate(made))
+    assert found >= 0.9 * keys and all(got[9000 + i] == got[5000] for i in range(400))
+    assert sum("random" in got[i] for i in range(1500)) <= 0.02 * keys
+
+
+def test_many_matches_in_one_text(spark):
+    n = 60_000
+    text = 'k=v token = "abcdef12" ' * n
+    row = secret_scan.scan_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).select("n_assign", "places").first()
+    assert row.n_assign == n
+    assert [(p.start, p.end) for p in row.places[:: n // 5]] == [(4 + 23 * i, 21 + 23 * i) for i in range(0, n, n // 5)]
+
+
 def test_thresholds_are_those_of_the_step_up_rule():
     rng = random.Random(4)
     steps = [rng.choice((0, 1, 2, 30, 50)) for _ in range(200)]
