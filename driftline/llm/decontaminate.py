@@ -10,7 +10,7 @@ term's offset and intersecting them; most phrases are gone after the first two l
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +24,11 @@ from driftline.session import fresh_path
 WINDOW = 13
 # Bytes of document text in a segment (a longer text is a segment of its own).
 SEGMENT_BYTES = 16_000_000
-# Largest test set, in bytes of text, that tasks hold in memory.  A larger one is refused, never cut.
+# Largest test set, in bytes of text and in windows (13 term numbers each), that tasks hold in memory: about 100 MB.  A
+# larger one is refused, never cut.
 MAX_TEST_BYTES = 200_000_000
-# Proximity: this many of an item's rarest terms within PROXIMITY_SPAN words.
+MAX_WINDOWS = 2_000_000
+# Proximity: this many of an item's rarest terms (all of a shorter one) within PROXIMITY_SPAN words.
 PROXIMITY_TERMS, PROXIMITY_SPAN = 4, 24
 _SHIFT = 32
 
@@ -47,6 +49,9 @@ HITS = T.StructType(
         T.StructField("items_sha256", T.StringType()),
         T.StructField("contaminated", T.BooleanType()),
         T.StructField("n_near", T.LongType()),
+        T.StructField(
+            "near", T.ArrayType(T.StructType([T.StructField("item_id", T.StringType()), T.StructField("position", T.LongType())]))
+        ),
         T.StructField(
             "matches",
             T.ArrayType(
@@ -61,29 +66,37 @@ HITS = T.StructType(
         ),
     ]
 )
+_NEAR = pa.list_(pa.struct([("item_id", pa.string()), ("position", pa.int64())]))
 _MATCH = pa.list_(pa.struct([("item_id", pa.string()), ("start", pa.int64()), ("words", pa.int64())]))
 
 
 class TestSet:
-    """Terms and windows of the test items.
+    """Terms and windows of the test items, as arrays.
 
-    ``windows`` maps the tuple of term numbers of a window to the items that hold it.  Items without words have none.
+    Window w is the terms ``flat[off[w]:off[w + 1]]`` and belongs to the items ``held[held_off[w]:held_off[w + 1]]``.
+    Items without words have none.
     """
 
     def __init__(self, items: list[tuple[str | None, bytes | None]], window: int = WINDOW):
         w = words_of([text for _, text in items])
         self.terms, number = np.unique(w.hashes(), return_inverse=True)
         self.ids = [item for item, _ in items]
-        self.windows: dict[tuple[int, ...], list[int]] = {}
+        windows: dict[bytes, list[int]] = {}
         self.sets: list[np.ndarray] = []
         for i in range(len(items)):
-            own = number[w.first[i] : w.first[i + 1]].tolist()
-            self.sets.append(np.unique(own) if own else np.zeros(0, dtype=np.int64))
+            own = number[w.first[i] : w.first[i + 1]].astype(np.int32)
+            self.sets.append(np.unique(own))
             size = min(window, len(own))
-            for s in range(len(own) - size + 1) if own else ():
-                holders = self.windows.setdefault(tuple(own[s : s + size]), [])
+            for s in range(len(own) - size + 1) if size else ():
+                holders = windows.setdefault(own[s : s + size].tobytes(), [])
                 if not holders or holders[-1] != i:
                     holders.append(i)
+            if len(windows) > MAX_WINDOWS:
+                raise ValueError(f"the test set has more than {MAX_WINDOWS} windows")
+        self.flat = np.frombuffer(b"".join(windows), dtype=np.int32)
+        self.off = np.concatenate(([0], np.cumsum([len(k) // 4 for k in windows], dtype=np.int64)))
+        self.held = np.array([i for h in windows.values() for i in h], dtype=np.int32)
+        self.held_off = np.concatenate(([0], np.cumsum([len(h) for h in windows.values()], dtype=np.int64)))
 
     @classmethod
     def collect(cls, items: DataFrame, item_id: str, text: str, window: int = WINDOW) -> TestSet:
@@ -165,7 +178,30 @@ def term_counts(index: DataFrame, n_terms: int) -> np.ndarray:
     return counts
 
 
-def intersect(lists: dict[int, np.ndarray], window: tuple[int, ...], counts: np.ndarray) -> np.ndarray:
+class Plan:
+    """In which order to search: windows and items by their rarest term, so that a segment is only asked for those whose
+    rarest term it holds."""
+
+    def __init__(self, tests: TestSet, counts: np.ndarray):
+        self.counts = counts
+        size = np.diff(tests.off)
+        place = np.arange(len(tests.flat)) - np.repeat(tests.off[:-1], size)
+        # Ties of counts go to the earlier place, as in `intersect`.
+        first = np.minimum.reduceat(counts[tests.flat] * 1024 + place, tests.off[:-1]) % 1024 if len(size) else size
+        rarest = tests.flat[tests.off[:-1] + first]
+        self.windows = np.argsort(rarest, kind="stable")
+        self.window_terms = rarest[self.windows]
+        self.near: dict[int, list[tuple[int, list[int]]]] = {}
+        for item, terms in enumerate(tests.sets):
+            rare = sorted(terms.tolist(), key=lambda t: (counts[t], t))[:PROXIMITY_TERMS]
+            if rare:
+                self.near.setdefault(rare[0], []).append((item, rare))
+
+    def windows_of(self, term: int) -> list[int]:
+        return self.windows[slice(*np.searchsorted(self.window_terms, (term, term + 1)))].tolist()
+
+
+def intersect(lists: dict[int, np.ndarray], window: Sequence[int], counts: np.ndarray) -> np.ndarray:
     """Starts (document << 32 | position) at which the window's terms stand one after the other."""
     order = sorted(range(len(window)), key=lambda j: (counts[window[j]], j))
     starts = None
@@ -185,31 +221,33 @@ def intersect(lists: dict[int, np.ndarray], window: tuple[int, ...], counts: np.
     return starts
 
 
-def near(lists: dict[int, np.ndarray], terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Documents in which the rarest terms of an item all lie within PROXIMITY_SPAN words after or before the rarest."""
-    rare = sorted(terms.tolist(), key=lambda t: (counts[t], t))[:PROXIMITY_TERMS]
-    if len(rare) < PROXIMITY_TERMS or any(t not in lists for t in rare):
+def near(lists: dict[int, np.ndarray], rare: list[int]) -> np.ndarray:
+    """Places (document << 32 | position) of the rarest term of an item that have its other rare terms within
+    PROXIMITY_SPAN words before or after them."""
+    if any(t not in lists for t in rare):
         return np.zeros(0, dtype=np.int64)
     anchors = lists[rare[0]]
     for t in rare[1:]:
         other = lists[t]
-        at = np.searchsorted(other, anchors - PROXIMITY_SPAN)
+        # The span begins no earlier than the document.
+        at = np.searchsorted(other, np.maximum(anchors - PROXIMITY_SPAN, (anchors >> _SHIFT) << _SHIFT))
         found = other[np.minimum(at, len(other) - 1)]
         good = (at < len(other)) & (found <= anchors + PROXIMITY_SPAN) & (found >> _SHIFT == anchors >> _SHIFT)
         anchors = anchors[good]
-    return np.unique(anchors >> _SHIFT)
+    return anchors
 
 
 def search_index(index: DataFrame, tests: TestSet, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document of the index: the ``carry`` columns, exact matches and what follows from them.
 
     ``n_hit`` counts words inside any occurrence of a window; ``n_items`` and ``items_sha256`` (sorted ids,
-    comma-joined) the items with such windows; ``contaminated`` is n_hit > 0 and 20 n_hit >= n_words; ``n_near`` counts
-    items of which the rarest terms lie close together; ``matches`` lists the window places.  An item with a null id
+    comma-joined) the items with such windows; ``contaminated`` is n_hit > 0 and 20 n_hit >= n_words; ``near``
+    lists items of which the rarest terms lie close together, with the places of the rarest one, and ``n_near`` counts
+    them; ``matches`` lists the window places.  An item with a null id
     counts for the hits only.
     """
     spark = index.sparkSession
-    shared = spark.sparkContext.broadcast((tests.ids, tests.windows, tests.sets, term_counts(index, len(tests.terms))))
+    shared = spark.sparkContext.broadcast((tests, Plan(tests, term_counts(index, len(tests.terms)))))
     schema = T.StructType([*[T.StructField(c, index.schema[f"c_{c}"].dataType.elementType) for c in carry], *HITS.fields])
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +256,8 @@ def search_index(index: DataFrame, tests: TestSet, carry: tuple[str, ...] = ())
                 yield from search(batch.slice(i, 1))
 
     def search(row: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids, windows, sets, counts = shared.value
+        tests, plan = shared.value
+        ids = tests.ids
         column = lambda name: row.column(name).flatten().to_numpy(zero_copy_only=False)
         n_words = column("words")
         where = (column("doc").astype(np.int64) << _SHIFT) | column("position")
@@ -227,16 +266,19 @@ def search_index(index: DataFrame, tests: TestSet, carry: tuple[str, ...] = ())
         items: dict[int, set[int]] = {}
         matches: dict[int, list[dict]] = {}
         spans: dict[int, list[tuple[int, int]]] = {}
-        for window, holders in windows.items():
-            for at in intersect(lists, window, counts).tolist():
-                d, p = at >> _SHIFT, at & 0xFFFFFFFF
-                spans.setdefault(d, []).append((p, p + len(window)))
-                items.setdefault(d, set()).update(holders)
-                matches.setdefault(d, []).extend({"item_id": ids[h], "start": p, "words": len(window)} for h in holders)
-        close: dict[int, int] = {}
-        for terms in sets:
-            for d in near(lists, terms, counts).tolist():
-                close[d] = close.get(d, 0) + 1
+        close: dict[int, list[dict]] = {}
+        for term in lists:
+            for i in plan.windows_of(term):
+                window = tests.flat[tests.off[i] : tests.off[i + 1]].tolist()
+                for at in intersect(lists, window, plan.counts).tolist():
+                    d, p = at >> _SHIFT, at & 0xFFFFFFFF
+                    holders = tests.held[tests.held_off[i] : tests.held_off[i + 1]].tolist()
+                    spans.setdefault(d, []).append((p, p + len(window)))
+                    items.setdefault(d, set()).update(holders)
+                    matches.setdefault(d, []).extend({"item_id": ids[h], "start": p, "words": len(window)} for h in holders)
+            for item, rare in plan.near.get(term, ()):
+                for at in near(lists, rare).tolist():
+                    close.setdefault(at >> _SHIFT, []).append({"item_id": ids[item], "position": at & 0xFFFFFFFF, "item": item})
         out: list[list] = [[] for _ in HITS.fields]
         for d, n in enumerate(n_words.tolist()):
             hit, reach = 0, 0
@@ -245,10 +287,14 @@ def search_index(index: DataFrame, tests: TestSet, carry: tuple[str, ...] = ())
                 reach = max(reach, b)
             names = sorted({ids[h] for h in items.get(d, ()) if ids[h] is not None})
             digest = hashlib.sha256(",".join(names).encode()).hexdigest()
-            values = (n, hit, len(names), digest, hit > 0 and 20 * hit >= n, close.get(d, 0), matches.get(d, []))
+            by = sorted(close.get(d, ()), key=lambda x: (x["position"], x["item"]))
+            values = (
+                n, hit, len(names), digest, hit > 0 and 20 * hit >= n, len({x["item"] for x in by}),
+                [{"item_id": x["item_id"], "position": x["position"]} for x in by], matches.get(d, []),
+            )
             for c, v in zip(out, values):
                 c.append(v)
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), _MATCH]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), _NEAR, _MATCH]
         arrays = [row.column(f"c_{c}").flatten() for c in carry] + [pa.array(v, type=k) for v, k in zip(out, types)]
         yield pa.RecordBatch.from_arrays(arrays, schema.fieldNames())
 
@@ -262,10 +308,8 @@ def decontaminate(
     """Build the index of ``docs`` and search it for ``items``: see :func:`build_index` and :func:`search_index`.
 
     A null or empty document has no words and is not contaminated; repeated rows give repeated results; without items
-    nothing is.  ``carry`` names the document columns to return (names of result columns are refused).
+    nothing is.  ``carry`` names the document columns to return; results replace columns of their names.
     """
-    clash = set(carry) & set(HITS.fieldNames())
-    if clash:
-        raise ValueError(f"carry: {sorted(clash)} are names of results")
+    carry = tuple(c for c in carry if c not in HITS.fieldNames())
     tests = TestSet.collect(items, item_id, item_text, window)
     return search_index(build_index(docs, tests, text, carry), tests, carry)

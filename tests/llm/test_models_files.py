@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from driftline.llm import language_id, mixing, queries, sharding, toxicity, warc
@@ -229,6 +230,26 @@ def test_pipeline_stages(spark, tmp_path, words):
     assert set(current.columns) == {*docs.columns, "shard", "slot"}
 
 
+def test_stages_give_columns_back_whatever_their_names(spark, tmp_path):
+    results = ["score", "predicted", "toxic_words", "spans", "n_words", "n_hit", "n_items", "matches", "near", "contaminated", "topic", "tokens",
+               "weight", "prob", "sampled", "class_id", "class_size", "kept"]
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice(("red", "green", "blue", "grey", "pink", "teal")) + str(rng.randint(0, 99)) for _ in range(40)), "en", f"src{i % 3}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs = docs.select("*", *[F.concat(F.lit(f"{c} of "), "doc_id").alias(c) for c in results])
+    spark.createDataFrame([(i, 1, int(i % 10 == 0)) for i in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, rows[7][1])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        path = fresh_path(spark, "stage")
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns or name == "sharding"
+        out.write.parquet(path)
+        docs = spark.read.parquet(path)
+        kept = docs.collect()
+        assert kept and all(r[c] == f"{c} of {r.doc_id}" for r in kept for c in results), name
+        assert {(r.doc_id, r.text, r.source) for r in kept} <= {(i, t, s) for i, t, _, s in rows}
+
+
 def test_registered_queries_have_the_contract_columns():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLES) <= set(queries.QUERIES)

@@ -141,8 +141,32 @@ def test_proximity_and_odd_rows(spark, odd, nothing):
     assert decontaminate.decontaminate(nothing, items).count() == 0
     none = decontaminate.decontaminate(odd, items.limit(0)).collect()
     assert len(none) == 8 and not any(r.contaminated for r in none)
-    with pytest.raises(ValueError):
-        decontaminate.decontaminate(odd.withColumnRenamed("source", "n_hit"), items, carry=("n_hit",))
+    clash = decontaminate.decontaminate(odd.withColumnRenamed("source", "n_hit"), items, carry=("doc_id", "n_hit"))
+    assert clash.columns.count("n_hit") == 1 and {r.n_hit for r in clash.collect()} == {0}
+
+
+def test_proximity_matches_brute_force(spark, words, monkeypatch):
+    rng = random.Random(21)
+    monkeypatch.setattr(decontaminate, "PROXIMITY_SPAN", 3)
+    vocabulary = [f"t{i}" for i in range(12)]
+    docs = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 40)))) for i in range(60)]
+    items = [(i, " ".join(rng.sample(vocabulary, rng.randint(1, 5)))) for i in range(8)]
+    count = {t: sum(words(d).count(t) for _, d in docs) for t in vocabulary}
+    got = decontaminate.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    for r in got.collect():
+        own = words(dict(docs)[r.doc_id])
+        found = set()
+        for item, text in items:
+            order = sorted(set(words(text)), key=lambda t: count[t])
+            if len({count[t] for t in order}) < len(order):
+                found = None  # ties of counts have an order of their own
+                break
+            rare = order[:4]
+            for p, t in enumerate(own):
+                if t == rare[0] and all(o in own[max(0, p - 3) : p + 4] for o in rare[1:]):
+                    found.add((str(item), p))
+        if found is not None:
+            assert {(m.item_id, m.position) for m in r.near} == found and r.n_near == len({i for i, _ in found})
 
 
 def nearest(vectors, queries, k):
