@@ -14,11 +14,23 @@ from driftline.session import fresh_path, ship_package
 SHARDS = 16
 
 
+def _under_private_names(docs: DataFrame, results: list[str]) -> DataFrame:
+    """``docs`` with the columns renamed that a stage would overwrite with results of its own."""
+    return docs.withColumnsRenamed({c: f"__own_{i}" for i, c in enumerate(docs.columns) if c in results})
+
+
+def _own_columns(rows: DataFrame, docs: DataFrame, results: list[str]) -> DataFrame:
+    """The columns of ``docs`` as they were."""
+    return rows.select(*[F.col(f"__own_{i}" if c in results else c).alias(c) for i, c in enumerate(docs.columns)])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain, learned from the labelled ones outside the held-out fold, does not call toxic."""
     ship_package(spark)
     model = toxicity.learn(docs, queries.toxic_labels(spark, sf_dir))
-    return toxicity.score(docs, model).filter("predicted = 0").select(*docs.columns)
+    names = toxicity.SCORES.fieldNames()
+    kept = toxicity.score(_under_private_names(docs, names), model).filter("predicted = 0")
+    return _own_columns(kept, docs, names)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,14 +42,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words lies in passages of the benchmark."""
     ship_package(spark)
-    kept = decontaminate.decontaminate(docs, queries.table(spark, sf_dir, "benchmark"), carry=tuple(docs.columns))
-    return kept.filter(~F.col("contaminated")).select(*docs.columns)
+    names = decontaminate.HITS.fieldNames()
+    held = _under_private_names(docs, names)
+    found = decontaminate.decontaminate(held, queries.table(spark, sf_dir, "benchmark"), carry=tuple(held.columns))
+    return _own_columns(found.filter(~F.col("contaminated")), docs, names)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled towards the target weights of sources, languages and topics."""
     ship_package(spark)
-    return queries.mixed(docs).filter("sampled").select(*docs.columns)
+    names = ["topic", "tokens", "weight", "prob", "sampled"]
+    return _own_columns(queries.mixed(_under_private_names(docs, names)).filter("sampled"), docs, names)
 
 
 def shard_corpus(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
