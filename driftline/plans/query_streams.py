@@ -28,9 +28,10 @@ from driftline.plans.tables import (
     table,
 )
 from driftline.schema import predict_target
-from driftline.session import fresh_path, stored
+from driftline.session import fresh_folder, fresh_path, stored
 from driftline.sources.replay import stream_csv, stream_parquet
-from driftline.sources.sinks import insert_into, read_curve_csv
+from driftline.sources.rows import stream_rows
+from driftline.sources.sinks import callback, insert_into, read_curve_csv, write_batch
 from driftline.streaming.batch_learners import KMeansStream, LinearStream
 from driftline.streaming.curves import StreamCurve, evaluation_stream
 from driftline.streaming.incremental import (
@@ -83,6 +84,33 @@ def stream_csv_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(f"{out}/rows")
 
 
+TICK = 2_500
+
+
+def stream_replay_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events released TICK rows per trigger; each trigger's rows, by its number."""
+    rows = table(spark, sf_dir, "events").select("event_id", "value")
+    out = fresh_path(spark, "replay")
+    path = f"{sf_dir}/events.parquet"
+    fresh_folder(spark, out)
+
+    def run() -> None:
+        stream = stream_rows(spark, path, rows.schema, TICK, f"{out}/position")
+        query = callback(stream, lambda b, part: write_batch(part, f"{out}/rows", b), f"{out}/checkpoint", {"processingTime": "0 seconds"})
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+
+    run()
+    run()  # a restart repeats no row
+    ticks = spark.read.schema("event_id bigint, value double, batch_id int").parquet(f"{out}/rows").groupBy("batch_id")
+    return ticks.agg(
+        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"),
+        F.round(F.sum("value"), 4).alias("value"),
+    )
+
+
 def _event_pairs_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id", index_in("event_type", EVENT_TYPES).alias("truth"), (F.col("user_id") % 5).cast("int").alias("pred")
@@ -262,6 +290,7 @@ def stream_cluster_mass(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "stream_insert": stream_insert,
     "stream_csv_replay": stream_csv_replay,
+    "stream_replay_rows": stream_replay_rows,
     "stream_confusion": stream_confusion,
     "stream_curve_csv": stream_curve_csv,
     "stream_learning_curve": stream_learning_curve,
@@ -330,6 +359,9 @@ def _oracles() -> dict[str, str]:
 
     return {
         "stream_insert": "SELECT event_id, event_type AS kind, value FROM events WHERE value > 10",
+        "stream_replay_rows": f"""SELECT CAST((seq - 1) // {TICK} AS INTEGER) AS batch_id, count(*) AS n, min(event_id) AS first_id,
+            max(event_id) AS last_id, round(sum(value), 4) AS value
+            FROM (SELECT *, row_number() OVER (ORDER BY event_id) AS seq FROM events) GROUP BY 1""",
         "stream_csv_replay": "SELECT event_id, value, event_type FROM events",
         "stream_confusion": f"""WITH {SQL_EVENT_PAIRS}, {_CLASS_SQL.format(pairs='q')},
             f AS (SELECT *, CAST(tp AS DOUBLE) / nullif(tp + fp, 0) AS p, CAST(tp AS DOUBLE) / nullif(tp + fn, 0) AS r FROM k)

@@ -53,6 +53,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def fresh_folder(spark: SparkSession, path: str) -> str:
+    """Make a folder on the file system that ``path`` belongs to."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(at)
+    return path
+
+
 def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once as a parquet table in the shared folder and return a scan of it.
 

@@ -41,7 +41,8 @@ def write_curve_csv(measurements: DataFrame, path: str, batch_id: int, completed
     """
     spark = measurements.sparkSession
     rows = measurements.withColumn("completed", F.lit(completed))
-    rows.write.mode("overwrite").csv(f"{path}/curve_csv/batch_id={batch_id}")
+    ordered = rows.orderBy(*[c for c in ("point", "ordinal") if c in rows.columns])
+    ordered.write.mode("overwrite").csv(f"{path}/curve_csv/batch_id={batch_id}")
     header = spark.range(1).select(F.lit(",".join(rows.columns)).alias("value"))
     header.write.mode("ignore").text(f"{path}/curve_header")
     if completed:
@@ -51,3 +52,39 @@ def write_curve_csv(measurements: DataFrame, path: str, batch_id: int, completed
 def read_curve_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All lines that :func:`write_curve_csv` has written under ``path``; ``schema`` is that of the measurements."""
     return spark.read.schema(f"{schema}, completed boolean, batch_id int").csv(f"{path}/curve_csv")
+
+
+def write_curve_file(spark: SparkSession, path: str) -> str:
+    """One file ``path``/curve.csv of all that :func:`write_curve_csv` has written there: the header line, the lines of all
+    micro-batches in order, and ``# COMPLETED`` once the run has ended.  Returns its path.
+
+    The lines are copied as bytes into a new file that then takes the place of the old one, so a reader never sees half
+    a line and a repeated micro-batch stands there once.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = lambda name: jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+    files = at("curve_csv").getFileSystem(conf)
+
+    def parts(folder) -> list:
+        listed = [f.getPath() for f in files.listStatus(folder)] if files.exists(folder) else []
+        return sorted((p for p in listed if p.getName().startswith("part-")), key=lambda p: p.getName())
+
+    batches = files.listStatus(at("curve_csv")) if files.exists(at("curve_csv")) else []
+    folders = [f.getPath() for f in batches if f.isDirectory()]
+    folders.sort(key=lambda p: int(p.getName().split("=")[1]))
+    temporary = at("curve.csv.tmp")
+    out = files.create(temporary, True)
+    try:
+        for part in [*parts(at("curve_header")), *(p for folder in folders for p in parts(folder))]:
+            lines = files.open(part)
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(lines, out, conf, False)
+            finally:
+                lines.close()
+        if files.exists(at("curve_completed")):
+            out.write(bytearray(b"# COMPLETED\n"))
+    finally:
+        out.close()
+    files.delete(at("curve.csv"), False)
+    files.rename(temporary, at("curve.csv"))
+    return f"{path}/curve.csv"

@@ -5,7 +5,9 @@ Outputs of batch b are folders that a replay of b replaces:
 
 ``curve``        one row per point
 ``curve_csv``    one line per measurement, without header; the header is the file in ``curve_header`` (written once)
-``curve_log``    one line of text per point; the newest one also goes to the log
+``curve_log``    one line of text per point; each of them also goes to the log
+
+``curve.csv`` is one file with the header, all lines and, after :meth:`StreamCurve.finish`, ``# COMPLETED``.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from driftline.operators.evaluate import (
 )
 from driftline.operators.order import with_seq
 from driftline.session import cut_lineage
-from driftline.sources.sinks import callback, write_batch, write_curve_csv
+from driftline.sources.sinks import callback, write_batch, write_curve_csv, write_curve_file
 from driftline.streaming.store import ModelStore
 
 log = logging.getLogger(__name__)
@@ -106,15 +108,20 @@ class StreamCurve:
         plain = written.drop("classes")
         line = F.concat_ws(", ", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in plain.columns])
         plain.select(line.alias("value")).write.mode("overwrite").text(f"{self.path}/curve_log/batch_id={batch_id}")
-        newest = plain.orderBy(F.col("point").desc()).first()
-        if newest:
-            log.info("measurement: %s", newest.asDict())
+        # Every point is one line of the log; they pass one partition at a time.
+        for point in plain.orderBy("point").toLocalIterator():
+            log.info("measurement: %s", point.asDict())
 
     def finish(self) -> None:
         """Write the final partial point, if rows follow the last complete one, and mark the CSV as completed."""
         found = self.store.latest_before()
         if found is not None:
             self._write(self._points(self.store.read(TABLE, found[0], self._schema), F.lit(True)), LAST, True)
+            write_curve_file(self.spark, self.path)
+
+    def file(self) -> str:
+        """Path of one CSV file with the header and all lines so far, brought up to date."""
+        return write_curve_file(self.spark, self.path)
 
     def points(self) -> DataFrame:
         """All points written so far."""
