@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.functions.vectors import vectorize
-from driftline.operators.cluster import ClusterModel, ClusterParams, centers_row, centers_table
+from driftline.operators.cluster import centers_row, centers_table
 from driftline.operators.encode import OVERFLOW_MODES, decode
 from driftline.operators.evaluate import learning_curve, learning_curve_regression, measurements_long
 from driftline.operators.kmeans_stream import (
@@ -26,6 +26,8 @@ from driftline.operators.kmeans_stream import (
 from driftline.operators.kmeans_stream import output as kmeans_output
 from driftline.operators.linear import batch_fits, batch_predict, confidence_interval, predict, sgd_step
 from driftline.operators.order import batch_starts, number_rows, order_keys, with_batch, with_seq
+from driftline.operators.kernels import PyramidalFrame
+from driftline.operators.microclusters import ClusterModel, ClusterParams
 from driftline.operators.rules import RuleModel, RuleParams
 from driftline.operators.tree import TreeModel, TreeParams
 from driftline.plans.prequential import (
@@ -169,12 +171,13 @@ def microcluster_kmeans(
     first_batch: int = FIRST_BATCH,
     growth: float = GROWTH,
     emit_every: int = 0,
+    frame: PyramidalFrame | None = None,
     **cluster_options,
 ) -> Learned:
     """Micro-clusters with a k-means macro step.  ``predictions`` is one row ``center0 .. center{k-1}``.
 
     With ``emit_every`` rows are learned in batches of that size, and ``predictions`` holds a row of centres for each of
-    them, with the rows learned so far as ``point``.
+    them, with the rows learned so far as ``point``.  ``frame`` gets a snapshot of the kernels after every batch.
     """
     require_int("k", k, 2)
     require_int("emit_every", emit_every, 0)
@@ -191,8 +194,10 @@ def microcluster_kmeans(
     prepared = prepare_clustering(rows, features, order_by, max_instances, first_batch, growth)
     model = ClusterModel(ClusterParams(k=k, **cluster_options))
     emitted = []
-    for span, batch in prepared.batches():
+    for tick, (span, batch) in enumerate(prepared.batches(), 1):
         model = model.learn(batch, span=span)
+        if frame is not None:
+            frame.add(tick, span[1], model.table(df.sparkSession))
         if emit_every:
             emitted.append((span[1], model.centers()))
     if emitted:

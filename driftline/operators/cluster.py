@@ -6,7 +6,6 @@ time.  CFs add up, so local clusters per task merge into global ones with ordina
 
 from __future__ import annotations
 
-import dataclasses
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -15,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftline.functions.vectors import center_format, doubles
-from driftline.session import cut_lineage
 
 CF_SCHEMA = "n double, ls array<double>, ss array<double>, st double, stt double"
 
@@ -271,84 +269,6 @@ def reduce_kernels(kernels: DataFrame, m: int, parts: int, fan_in: int = 32, see
         parts = -(-parts // fan_in)
 
 
-@dataclasses.dataclass(frozen=True)
-class ClusterParams:
-    """``horizon``: kernels whose mean arrival time is further back than this many rows are deleted (None keeps all)."""
-
-    k: int
-    m: int = 100
-    radius_factor: float = 2.0
-    horizon: int | None = None
-    seed: int = 1
-
-
-@dataclasses.dataclass
-class ClusterModel:
-    """At most m kernels; the only state of the clusterer."""
-
-    params: ClusterParams
-    kernels: list[tuple] = dataclasses.field(default_factory=list)
-
-    def _arrays(self) -> tuple:
-        n, ls, ss, st, stt = zip(*self.kernels)
-        return tuple(np.asarray(v, dtype=np.float64) for v in (n, ls, ss, st, stt))
-
-    def radii(self) -> np.ndarray:
-        """factor x RMS deviation; a kernel without spread takes the distance to its nearest neighbour."""
-        n, ls, ss, _, _ = self._arrays()
-        centers = ls / n[:, None]
-        rms = np.sqrt(np.maximum(ss / n[:, None] - centers**2, 0.0).sum(axis=1))
-        out = self.params.radius_factor * rms
-        single = out <= 1e-12 * (1.0 + np.abs(centers).sum(axis=1))
-        if single.any() and len(n) > 1:
-            d2 = _distances(centers[single], centers)
-            d2[d2 <= 0] = np.inf
-            nearest_other = np.sqrt(d2.min(axis=1))
-            out[single] = np.where(np.isfinite(nearest_other), nearest_other, 0.0)
-        return out
-
-    def learn(
-        self, df: DataFrame, features: str = "features", seq: str = "seq", span: tuple[int, int] | None = None
-    ) -> ClusterModel:
-        """Kernels after one micro-batch: one pass over the rows, then merges of bounded groups."""
-        p = self.params
-        centers = radii = None
-        if self.kernels:
-            n, ls, *_ = self._arrays()
-            centers, radii = ls / n[:, None], self.radii()
-        local = cut_lineage(local_kernels(df, p.m, features, seq, centers, radii, p.seed))
-        last_part = local.agg(F.max("part")).first()[0]
-        if last_part is None:
-            return self
-        fresh = reduce_kernels(local.filter(F.col("idx") == NEW).drop("idx"), p.m, last_part + 1, seed=p.seed)
-        new = [(r["n"], r["ls"], r["ss"], r["st"], r["stt"]) for r in fresh.collect()]
-        have = self._arrays() if self.kernels else None
-        if have is not None:
-            hit = merge_cf(local.filter(F.col("idx") != NEW), "idx").collect()
-            for r in hit:
-                for total, name in zip(have, ("n", "ls", "ss", "st", "stt")):
-                    total[r["idx"]] += np.asarray(r[name])
-        if new:
-            have = _stack(have, tuple(np.asarray(v, dtype=np.float64) for v in zip(*new)))
-        if p.horizon is not None:
-            age = have[3] / have[0]
-            fresh_enough = age >= age.max() - p.horizon
-            have = tuple(v[fresh_enough] for v in have)
-        have = _shrink(have, p.m, p.seed)
-        return ClusterModel(p, [tuple(v.tolist() if hasattr(v, "tolist") else v for v in row) for row in zip(*have)])
-
-    def centers(self) -> list[list[float]]:
-        return macro_kmeans(self.kernels, self.params.k, self.params.seed) if self.kernels else []
-
-    def table(self, spark) -> DataFrame:
-        rows = [(float(n), list(ls), list(ss), float(st), float(stt)) for n, ls, ss, st, stt in self.kernels]
-        return spark.createDataFrame(rows, CF_SCHEMA)
-
-    @staticmethod
-    def from_table(params: ClusterParams, table: DataFrame) -> ClusterModel:
-        return ClusterModel(params, [tuple(r) for r in table.select("n", "ls", "ss", "st", "stt").collect()])
-
-
 def macro_kmeans(kernels: Sequence[tuple], k: int, seed: int = 1, iterations: int = 50) -> list[list[float]]:
     """k centres from at most m micro-clusters (the macro step works on the bounded model, not on rows).
 

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.api import Learned, hoeffding_classifier, microcluster_kmeans, rules_regressor, streaming_kmeans
-from driftline.operators.cluster import centers_row, cluster_ssq
+from driftline.operators.cluster import centers_row, cf_vectors, cluster_ssq
+from driftline.operators.kernels import QUANTILE_C, QUANTILE_D, PyramidalFrame, relevance, silhouette
+from driftline.operators.order import with_seq
 from driftline.operators.tree import POISSON_LIMITS
-from driftline.plans.tables import SQL_MARKED, embedding_rows, marked_events, table
+from driftline.plans.tables import SQL_MARKED, SQL_MEANS, class_centers, embedding_rows, marked_events, table
 from driftline.schema import predict_target
+from driftline.session import fresh_path
 
 
 def _classified(spark: SparkSession, sf_dir: str, **options) -> Learned:
@@ -197,6 +200,30 @@ def cluster_mass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mean_moments(_clustered(spark, sf_dir).model.table(spark))
 
 
+HORIZON, CLUSTER_EVERY = 200, 100
+
+
+def cluster_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moments of the newest HORIZON rows, from the kernels less a snapshot of them."""
+    frame = PyramidalFrame(spark, fresh_path(spark, "frame"))
+    microcluster_kmeans(
+        table(spark, sf_dir, "embeddings"), "embedding", 3, "vec_id", first_batch=CLUSTER_EVERY, growth=1.0, frame=frame, m=40
+    )
+    return mean_moments(frame.horizon(HORIZON)[0])
+
+
+def kernel_relevance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Relevance stamps of the micro-clusters that the classes of the embeddings form."""
+    cfs = cf_vectors(with_seq(embedding_rows(spark, sf_dir), "vec_id"), "label", seq="seq")
+    stamp = relevance(F.col("n"), F.col("st"), F.col("stt"), 10)
+    return cfs.select(F.col("key").alias("label"), F.col("n").cast("bigint").alias("n"), F.round(stamp, 4).alias("stamp"))
+
+
+def cluster_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = embedding_rows(spark, sf_dir)
+    return silhouette(rows, class_centers(rows)).select("idx", "n", F.round("silhouette", 6).alias("silhouette"))
+
+
 def cluster_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", (F.col("l_extendedprice") / 1000.0).alias("price"), "l_discount", "l_tax"
@@ -246,6 +273,9 @@ QUERIES = {
     "kmeans_macro": kmeans_macro,
     "cluster_mass": cluster_mass,
     "cluster_lineitem": cluster_lineitem,
+    "cluster_horizon": cluster_horizon,
+    "kernel_relevance": kernel_relevance,
+    "cluster_silhouette": cluster_silhouette,
     "ht_first_split": ht_first_split,
     "ht_two_levels": ht_two_levels,
     "ht_bagged_stumps": ht_bagged_stumps,
@@ -356,6 +386,23 @@ ORACLES: dict[str, str] = {
     "amr_first_rule": f"""WITH {_FIRST_RULE} SELECT seq, y AS truth, round(CASE WHEN seq <= {PART_FIRST} THEN 0 ELSE mean END, 6) AS pred
         FROM q JOIN m USING (hit)""",
     "cluster_mass": SQL_MASS,
+    "cluster_horizon": SQL_MASS.replace(
+        "FROM embeddings)", f"FROM (SELECT * FROM embeddings ORDER BY vec_id DESC LIMIT {HORIZON} + (SELECT count(*) FROM embeddings) % {CLUSTER_EVERY}))"
+    ),
+    "kernel_relevance": f"""WITH s AS (SELECT label, row_number() OVER (ORDER BY vec_id) AS t FROM embeddings),
+        m AS (SELECT label, CAST(count(*) AS DOUBLE) AS n, avg(t) AS mu, stddev_pop(t) AS sd FROM s GROUP BY 1),
+        q AS (SELECT *, sqrt(-2 * ln(least(0.5, 10 / (2 * n)))) AS z FROM m)
+        SELECT label, CAST(n AS BIGINT) AS n, round(CASE WHEN n < 20 THEN mu ELSE mu + sd * (z
+        - ({QUANTILE_C[0]}::DOUBLE + z * ({QUANTILE_C[1]}::DOUBLE + z * {QUANTILE_C[2]}::DOUBLE))
+        / (1 + z * ({QUANTILE_D[0]}::DOUBLE + z * ({QUANTILE_D[1]}::DOUBLE + z * {QUANTILE_D[2]}::DOUBLE)))) END, 4) AS stamp FROM q""",
+    "cluster_silhouette": f"""WITH {SQL_MEANS}, e AS (SELECT vec_id, pred, embedding AS v FROM p JOIN embeddings USING (vec_id)),
+        pairs AS (SELECT a.vec_id, a.pred AS own, b.pred AS other, sum(d2) AS s, count(*) AS n FROM
+            (SELECT x.vec_id AS i, y.vec_id AS j, sum((x.v - y.v) * (x.v - y.v)) AS d2 FROM x JOIN x y USING (i) GROUP BY 1, 2) t
+            JOIN e a ON a.vec_id = t.i JOIN e b ON b.vec_id = t.j GROUP BY 1, 2, 3),
+        means AS (SELECT vec_id, own, max(CASE WHEN own = other THEN s / greatest(n - 1, 1) END) AS a, max(CASE WHEN own = other THEN n END) AS n,
+            min(CASE WHEN own <> other THEN s / n END) AS b FROM pairs GROUP BY 1, 2)
+        SELECT CAST(own AS INTEGER) AS idx, count(*) AS n, round(avg(CASE WHEN n > 1 AND b IS NOT NULL AND greatest(a, b) > 0
+        THEN (b - a) / greatest(a, b) ELSE 0 END), 6) AS silhouette FROM means GROUP BY 1""",
     "ht_first_split": f"""WITH {_FIRST_SPLIT} SELECT seq, CAST(v.idx AS INTEGER) AS truth,
         CAST(CASE WHEN seq <= {FIRST} THEN 0 ELSE major.idx END AS INTEGER) AS pred
         FROM v JOIN best USING (attr) JOIN major USING (value)""",

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from driftline.functions.vectors import vectorize
-from driftline.operators.cluster import CF_SCHEMA, ClusterModel, ClusterParams, centers_row, centers_table
+from driftline.operators.cluster import centers_row, centers_table
 from driftline.operators.encode import decode, encode_label, encode_nominal, extend_dictionary, number_entries, value_counts
 from driftline.operators.evaluate import confusion
+from driftline.operators.kernels import KERNEL_SCHEMA
+from driftline.operators.microclusters import ClusterModel, ClusterParams
 from driftline.operators.order import limit_instances, with_seq
 from driftline.operators.rules import MOMENTS_SCHEMA, RULE_SCHEMA, RuleModel, RuleParams, moments_from, moments_table
 from driftline.operators.rules import STATS_SCHEMA as RULE_STATS_SCHEMA
@@ -221,7 +223,7 @@ class ClusterStream(_Learner):
         found = self.store.latest_before(before)
         if found is None:
             return ClusterModel(params)
-        return ClusterModel.from_table(params, self.store.read("kernels", found[0], CF_SCHEMA))
+        return ClusterModel.from_table(params, self.store.read("kernels", found[0], KERNEL_SCHEMA))
 
     def _learn(self, rows: DataFrame, batch_id: int, prior) -> dict:
         single = isinstance(self.features, str)

@@ -6,8 +6,6 @@ from pyspark.sql import functions as F
 
 import driftline
 from driftline.operators.cluster import (
-    ClusterModel,
-    ClusterParams,
     cf_vectors,
     cluster_ssq,
     local_kernels,
@@ -16,6 +14,7 @@ from driftline.operators.cluster import (
     nearest_center,
     reduce_kernels,
 )
+from driftline.operators.microclusters import ClusterModel, ClusterParams
 from driftline.operators.kmeans_stream import learn_batches, output, update
 
 
