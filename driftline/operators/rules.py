@@ -13,15 +13,15 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.bounds import hoeffding_bound_sql
 from driftline.functions.vectors import doubles
 from driftline.operators.linear import solve_normal
 from driftline.operators.observer import CELLS, Observer, counter_level, matrix, merge_cells, merged_levels
-from driftline.operators.order import BUCKET_ROWS, running, with_block
-from driftline.session import cut_lineage
+from driftline.operators.order import BUCKET_ROWS, with_block
+from driftline.session import cut_lineage, stored
 
 CELL_KEYS, CELL_SUMS = ("rule", "attr"), ("n", "sy", "syy")
 STATS_SCHEMA = "rule bigint, attr int, x double, n double, sy double, syy double, level int"
@@ -151,20 +151,30 @@ def page_hinkley(
 ) -> DataFrame:
     """Page–Hinkley test per key along ``position``: adds ``m``, ``m_min`` and ``alarm`` to every row.
 
-    m_t sums e_i − mean_i − α with the mean of the first i values.  The rows are dealt by (key, block) once and
-    checkpointed in that layout; the three running passes read them there and exchange only one total per block, so a
-    key of any size is spread over tasks.  ``position`` has to be dense (see :func:`with_seq`) for blocks to fill.
+    m_t sums e_i − mean_i − α with the mean of the first i values.  Blocks of ``span`` positions are added up first (no row
+    moves for that); with the count and sum before its block a row's terms follow from one shuffle by (key, block), whose
+    result is stored.  What the blocks end with then lifts the sums of the blocks after them.  A key of any size is spread
+    over tasks.  ``position`` has to be dense (see :func:`with_seq`) for blocks to fill.
     """
+    keys, blocks = list(keys), [*keys, "__block"]
     base = with_block(df.select(*keys, position, *carry, F.col(value).cast("double").alias("__e")), position, span)
-    base = cut_lineage(base.repartition(*keys, "__block"))
-    share = {"position": position, "keys": keys, "block": "__block", "settle": True}
-    first = running(base, {"__s": ("sum", "__e"), "__k": ("count", "__e")}, **share)
-    terms = first.withColumn("__term", F.col("__e") - F.col("__s") / F.col("__k") - alpha).drop("__s", "__k")
-    sums = running(terms, {"m": ("sum", "__term")}, **share)
-    least = running(sums, {"m_min": ("min", "m")}, **share)
-    return least.select(
-        *keys, position, *carry, F.col("__e").alias(value), "m", "m_min",
-        (F.col("m") - F.col("m_min") > threshold).alias("alarm"),
+    across = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(*blocks).orderBy(position).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = base.groupBy(*blocks).agg(F.count("__e").alias("__n"), F.sum("__e").alias("__s"))
+    before = totals.select(
+        *blocks, F.coalesce(F.sum("__n").over(across), F.lit(0)).alias("__n0"), F.coalesce(F.sum("__s").over(across), F.lit(0.0)).alias("__s0")
+    )
+    mean = (F.col("__s0") + F.sum("__e").over(upto)) / (F.col("__n0") + F.count("__e").over(upto))
+    terms = base.join(before, blocks).withColumn("__term", F.col("__e") - mean - alpha)
+    summed = terms.withColumn("__m", F.sum("__term").over(upto)).withColumn("__low", F.min("__m").over(upto))
+    local = stored(summed.select(*blocks, position, *carry, "__e", "__m", "__low"), "page-hinkley")
+    ends = local.groupBy(*blocks).agg(F.max_by("__m", position).alias("__step"), F.min("__low").alias("__least"))
+    begun = ends.withColumn("__m0", F.coalesce(F.sum("__step").over(across), F.lit(0.0)))
+    carried = begun.select(*blocks, "__m0", F.min(F.col("__m0") + F.col("__least")).over(across).alias("__low0"))
+    m = F.col("__m0") + F.col("__m")
+    least = F.least(F.col("__low0"), F.col("__m0") + F.col("__low"))
+    return local.join(carried, blocks).select(
+        *keys, position, *carry, F.col("__e").alias(value), m.alias("m"), least.alias("m_min"), (m - least > threshold).alias("alarm")
     )
 
 

@@ -411,6 +411,10 @@ class TreeModel:
             model, new = model._grow(again)
         return model
 
+    def cells(self, rows: DataFrame) -> DataFrame:
+        """Observer cells of rows (member, features, label, weight) in the leaves they reach."""
+        return self._merge(self._observe(rows))
+
     def _observe(self, rows: DataFrame, only: Sequence[tuple[int, int]] | None = None) -> DataFrame:
         """Cells (member, leaf, attr, x, label, n) of the rows, of the leaves ``only`` if given: one pass, one table of
         cells per task."""

@@ -83,6 +83,18 @@ def ht_nominal_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.select("leaf", "label", "attr", "value", F.col("n").cast("bigint").alias("n"))
 
 
+def ht_quantile_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree's observers of three attributes with few values, for the rows of both leaves of a split by line status."""
+    root = Node([0.0] * 3, kind=NUMERIC, attr=3, threshold=0.5, first_child=1, n_children=2)
+    model = TreeModel(TreeParams(4, (), 3), [[root, Node([0.0] * 3, depth=1), Node([0.0] * 3, depth=1)]])
+    features = F.array("l_quantity", "l_discount", "l_tax", F.col("status").cast("double"))
+    rows = lineitem_vectors(spark, sf_dir).select(
+        F.lit(0).alias("member"), features.alias("features"), "label", F.lit(1.0).alias("weight")
+    )
+    cells = model.cells(rows)
+    return cells.filter("attr < 3").select("leaf", "attr", "x", "label", F.col("n").cast("bigint").alias("n"))
+
+
 def ht_info_gain(spark: SparkSession, sf_dir: str) -> DataFrame:
     gains = nominal_gain(nominal_stats(_nominal_rows(spark, sf_dir), 0, 2))
     return gains.select("leaf", "attr", F.col("n").cast("bigint").alias("n"), F.round("gain", 9).alias("gain"))
@@ -320,6 +332,7 @@ QUERIES = {
     "ht_route_depth1": ht_route_depth1,
     "ht_numeric_stats": ht_numeric_stats,
     "ht_nominal_stats": ht_nominal_stats,
+    "ht_quantile_stats": ht_quantile_stats,
     "ht_info_gain": ht_info_gain,
     "ht_numeric_gain": ht_numeric_gain,
     "ht_split_decision": ht_split_decision,
@@ -413,6 +426,9 @@ ORACLES = {
         FROM lx GROUP BY status, label, attr""",
     "ht_nominal_stats": f"""WITH {_NOMINAL} SELECT CAST(0 AS INTEGER) AS leaf, CAST(label AS INTEGER) AS label, attr,
         CAST(value AS INTEGER) AS value, count(*) AS n FROM v GROUP BY label, attr, value""",
+    "ht_quantile_stats": f"""WITH {SQL_LINEITEM}, lq AS (SELECT CAST(status + 1 AS INTEGER) AS leaf, CAST(label AS INTEGER) AS label,
+        unnest([0, 1, 2]) AS attr, unnest([f0, f2, f3]) AS x FROM l)
+        SELECT leaf, CAST(attr AS INTEGER) AS attr, x, label, count(*) AS n FROM lq GROUP BY ALL""",
     "ht_info_gain": f"""WITH {_NOMINAL},
         c AS (SELECT attr, value, label, CAST(count(*) AS DOUBLE) AS n FROM v GROUP BY 1, 2, 3),
         hv AS (SELECT attr, value, sum(n) AS nv, log2(sum(n)) - sum(n * log2(n)) / sum(n) AS h FROM c GROUP BY 1, 2),

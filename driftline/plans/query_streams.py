@@ -42,6 +42,7 @@ from driftline.streaming.incremental import (
     latest_dictionary,
     total,
 )
+from driftline.streaming.keyed import dictionary_entries, dictionary_state
 from driftline.streaming.learners import ClassifierStream, ClusterStream, RegressorStream
 from driftline.streaming.store import ModelStore
 
@@ -188,6 +189,14 @@ def stream_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_dictionary(spark, out).select("attr", "value", "idx", "first_seq", "n_rows")
 
 
+def stream_dictionary_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same dictionaries kept as keyed state; every arrival is a restart of the query."""
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", F.col("user_id").cast("string").alias("user"))
+    out = fresh_path(spark, "dictionary")
+    arrive(rows, "event_id", "events", lambda s: dictionary_state(s, ["event_type", "user"], "event_id", out))
+    return dictionary_entries(spark, out).select("attr", "value", "idx", "first_seq", "n_rows")
+
+
 def stream_linreg(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_discount", "l_extendedprice")
     out = fresh_path(spark, "linreg")
@@ -297,6 +306,7 @@ QUERIES = {
     "stream_learning_curve_reg": stream_learning_curve_reg,
     "stream_numeric_stats": stream_numeric_stats,
     "stream_dictionary": stream_dictionary,
+    "stream_dictionary_state": stream_dictionary_state,
     "stream_linreg": stream_linreg,
     "stream_kmeans": stream_kmeans,
     "stream_kmeans_rows": stream_kmeans_rows,
@@ -377,6 +387,12 @@ def _oracles() -> dict[str, str]:
             g AS (SELECT attr, value, min(seq) AS first_seq, count(*) AS n_rows FROM s GROUP BY 1, 2)
             SELECT attr, value, CAST(row_number() OVER (PARTITION BY attr ORDER BY first_seq) - 1 AS INTEGER) AS idx,
             first_seq, n_rows FROM g""",
+        "stream_dictionary_state": f"""WITH {SQL_MARKED},
+            s AS (SELECT unnest(['event_type', 'user']) AS attr, unnest([event_type, CAST(user_id AS VARCHAR)]) AS value,
+                         event_id AS seq FROM e),
+            g AS (SELECT attr, value, min(seq) AS first_seq, count(*) AS n_rows FROM s GROUP BY 1, 2)
+            SELECT attr, value, CAST(row_number() OVER (PARTITION BY attr ORDER BY first_seq) - 1 AS INTEGER) AS idx,
+            first_seq, n_rows FROM g""",
         "stream_majority": f"""WITH {SQL_MARKED},
             n AS (SELECT count(*) AS n FROM events),
             b AS (SELECT k, k * n // {ARRIVALS} AS before FROM n, (SELECT unnest(range(0, {ARRIVALS})) AS k)), {MAJORITY}

@@ -6,6 +6,7 @@ from driftline.operators.tree import numeric_stats
 from driftline.session import fresh_path
 from driftline.sources.replay import import_stream, replay_csv, stream_csv, stream_parquet
 from driftline.sources.sinks import callback, export_stream, insert_into
+from driftline.streaming.keyed import dictionary_entries, dictionary_state
 from driftline.streaming.incremental import accumulate, dictionary_stream, latest_dictionary, total
 from driftline.streaming.learners import ClassifierStream, ClusterStream, RegressorStream
 from driftline.streaming.store import ModelStore
@@ -166,3 +167,26 @@ def test_summary_and_processing_time_trigger(spark):
     got = summary(query)
     query.stop()
     assert (got["instances"], got["batches"]) == (2, 1) and got["seconds"] > 0
+
+
+def test_keyed_state_holds_dictionaries_over_restarts(spark):
+    rng = random.Random(11)
+    rows = [(i, rng.choice("abcdefg") if i % 3 else "hot", None if i % 7 == 0 else f"n{rng.randint(0, 40)}") for i in range(1, 601)]
+    path, out = fresh_path(spark, "in"), fresh_path(spark, "out")
+    schema = spark.createDataFrame([], "k long, kind string, name string").schema
+    want = {}
+    for part in range(3):  # each part is a new query on the same checkpoint
+        own = rows[part * 200 : (part + 1) * 200]
+        rng.shuffle(own)
+        add_file(spark, path, own, schema)
+        dictionary_state(stream_parquet(spark, path, schema), ["kind", "name"], "k", out).awaitTermination()
+        for i, *values in own:
+            for attr, value in zip(("kind", "name"), values):
+                if value is not None:
+                    first, n = want.get((attr, value), (i, 0))
+                    want[(attr, value)] = (min(first, i), n + 1)
+        found = dictionary_entries(spark, out).collect()
+        assert {(r.attr, r.value): (r.first_seq, r.n_rows) for r in found} == want
+    for attr in ("kind", "name"):
+        order = [r.value for r in sorted(found, key=lambda r: r.idx) if r.attr == attr]
+        assert order == [v for _, v in sorted((f, v) for (a, v), (f, _) in want.items() if a == attr)]
