@@ -216,13 +216,15 @@ def streaming_kmeans(
     num_iterations: int = 10,
     alpha: float = 1.0,
     ci: float = 0.95,
-    growth: float = GROWTH,
+    growth: float = 1.0,
+    centers: Sequence[Sequence[float]] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Streaming k-means over a table: all inputs + ``stderr`` + ``center0 .. center{k-1}``, and the error interval.
 
     ``learn_type`` 0 clusters each batch of ``batch_size`` rows on its own, 1 does so for batches that advance by
     ``window_shift``, 2 keeps one model that starts with the first batch and decays old rows by ``alpha`` per batch
-    (batches then grow by ``growth``).  ``stderr`` is the distance to the nearest centre.
+    (``growth`` above 1 makes every batch that much longer than the one before, for fewer rounds).  ``centers`` are the
+    start of every batch, or of the one model.  ``stderr`` is the distance to the nearest centre.
     """
     require_int("k", k, 2)
     require_int("batch_size", batch_size, 1)
@@ -238,11 +240,11 @@ def streaming_kmeans(
     numbered, total = number_rows(df, order_by)
     rows = numbered.withColumn("features", vectorize(features))
     if learn_type == INCREMENTAL:
-        rows = _incremental_kmeans(rows, total, k, batch_size, num_iterations, alpha, growth)
+        rows = _incremental_kmeans(rows, total, k, batch_size, num_iterations, alpha, growth, centers)
     else:
         rows = stored(rows, "kmeans")
         shift = window_shift if learn_type == SLIDING else batch_size
-        fits = cut_lineage(batch_kmeans(rows, k, learn_type, window_shift, batch_size, num_iterations))
+        fits = cut_lineage(batch_kmeans(rows, k, learn_type, window_shift, batch_size, num_iterations, centers=centers))
         rows = batch_output(rows, fits, k, batch_size, shift)
     result = rows.drop("features", "batch_id")
     return result, confidence_interval(result, "stderr", ci)
@@ -259,13 +261,13 @@ def streaming_linear(
     num_iterations: int = 10,
     alpha: float = 0.1,
     ci: float = 0.95,
-    growth: float = GROWTH,
+    growth: float = 1.0,
 ) -> tuple[DataFrame, DataFrame]:
     """Streaming linear regression over a table: all inputs + ``prediction`` + ``stderr``, and the error interval.
 
     ``learn_type`` 0 fits least squares on each batch of ``batch_size`` rows, 1 on batches that advance by
     ``window_shift``; a row is predicted by the batch it is new in.  2 keeps one model: a batch is predicted with the
-    weights before it, followed by ``num_iterations`` gradient steps of rate ``alpha`` (batches then grow by ``growth``;
+    weights before it, followed by ``num_iterations`` gradient steps of rate ``alpha`` (``growth`` as for k-means;
     features should be of a similar scale).  ``stderr`` is |target − prediction|.  Rows whose target is null, NaN or
     the mark for prediction are predicted only.
     """
@@ -310,7 +312,8 @@ def _gradient_batches(
 
 
 def _incremental_kmeans(
-    rows: DataFrame, total: int, k: int, batch_size: int, iterations: int, alpha: float, growth: float
+    rows: DataFrame, total: int, k: int, batch_size: int, iterations: int, alpha: float, growth: float,
+    centers: Sequence[Sequence[float]] | None = None,
 ) -> DataFrame:
     """One decayed model: batch b is scored with the centres after batch b; every batch is read from its own folder."""
     spark = rows.sparkSession
@@ -318,7 +321,7 @@ def _incremental_kmeans(
     table = stored(with_batch(rows, starts), "kmeans", "batch_id")
     out = fresh_path(spark, "kmeans-output")
     schema = None
-    centers = counts = None
+    counts = None if centers is None else [0.0] * len(centers)
     for b in range(len(starts)):
         batch = table.filter(F.col("batch_id") == b)
         if centers is None:

@@ -144,19 +144,13 @@ def cluster_ssq(
 # ---------------------------------------------------------------- micro-clusters
 
 
-def weighted_kmeans(points: np.ndarray, weights: np.ndarray, k: int, seed: int, iterations: int) -> np.ndarray:
-    """Weighted k-means labels for a small set of points, with k-means++ style seeding."""
-    rng = np.random.default_rng(seed)
-    k = min(k, len(points))
-    chosen = [int(rng.choice(len(points), p=weights / weights.sum()))]
-    d2 = ((points - points[chosen[0]]) ** 2).sum(axis=1)
-    while len(chosen) < k:
-        mass = d2 * weights
-        if mass.sum() <= 0:
-            break
-        chosen.append(int(rng.choice(len(points), p=mass / mass.sum())))
-        d2 = np.minimum(d2, ((points - points[chosen[-1]]) ** 2).sum(axis=1))
-    centers = points[chosen].copy()
+def weighted_kmeans(
+    points: np.ndarray, weights: np.ndarray, k: int, seed: int, iterations: int, centers: np.ndarray | None = None
+) -> np.ndarray:
+    """Weighted k-means labels for a small set of points, from given centres or with k-means++ style seeding."""
+    if centers is None:
+        centers = _seeded(points, weights, k, seed)
+    centers = np.array(centers, dtype=np.float64)
     labels = nearest(points, centers)[0]
     for _ in range(iterations):
         for c in range(len(centers)):
@@ -170,6 +164,20 @@ def weighted_kmeans(points: np.ndarray, weights: np.ndarray, k: int, seed: int,
     return labels
 
 
+def _seeded(points: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
+    rng = np.random.default_rng(seed)
+    k = min(k, len(points))
+    chosen = [int(rng.choice(len(points), p=weights / weights.sum()))]
+    d2 = ((points - points[chosen[0]]) ** 2).sum(axis=1)
+    while len(chosen) < k:
+        mass = d2 * weights
+        if mass.sum() <= 0:
+            break
+        chosen.append(int(rng.choice(len(points), p=mass / mass.sum())))
+        d2 = np.minimum(d2, ((points - points[chosen[-1]]) ** 2).sum(axis=1))
+    return points[chosen]
+
+
 def _shrink(cf: tuple, m: int, seed: int) -> tuple:
     """At most ``m`` CFs with the same total mass: group the centres with a short weighted k-means, add the CFs up."""
     n, ls, ss, st, stt = cf

@@ -50,17 +50,19 @@ def batch_kmeans(
     seq: str = "seq",
     seed: int = 1,
     batches: tuple[int, int] | None = None,
+    centers: Sequence[Sequence[float]] | None = None,
 ) -> DataFrame:
     """k-means on every independent or sliding batch: (batch, n, centers).
 
     A batch never holds more than ``batch_size`` rows, so one task per batch is bounded and all batches run in parallel.
-    ``batches`` (first, last) leaves out the batches outside that range.
+    ``batches`` (first, last) leaves out the batches outside that range.  Every batch starts from ``centers``, if given.
     """
+    start = None if centers is None else np.asarray(centers, dtype=np.float64)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("seq")
         x = np.stack(pdf["features"].to_numpy()).astype(np.float64)
-        labels = weighted_kmeans(x, np.ones(len(x)), k, seed, iterations)
+        labels = weighted_kmeans(x, np.ones(len(x)), k, seed, iterations, start)
         centers = sorted(x[labels == c].mean(axis=0).tolist() for c in np.unique(labels))
         return pd.DataFrame({"batch": [pdf["batch"].iloc[0]], "n": [len(x)], "centers": [centers]})
 

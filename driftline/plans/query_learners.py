@@ -252,7 +252,34 @@ def kmeans_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streaming_kmeans(_kmeans_rows(spark, sf_dir), ["value", "hour", "user"], 2, "event_id", 2, alpha=0.9)[0]
 
 
+GIVEN = ((20.0, 6.0, 100.0), (60.0, 18.0, 400.0))
+GIVEN_BATCH, GIVEN_SHIFT, GIVEN_ALPHA = 1000, 500, 0.9
+
+
+def _given(spark: SparkSession, sf_dir: str, learn_type: int, shift: int = 0, **options) -> DataFrame:
+    """Streaming k-means from given centres: every event with its distance to the nearest centre."""
+    rows, _ = streaming_kmeans(
+        _kmeans_rows(spark, sf_dir), ["value", "hour", "user"], 2, "event_id", learn_type, shift, GIVEN_BATCH, 1, centers=GIVEN, **options
+    )
+    return rows.select("event_id", F.round("stderr", 5).alias("stderr"))
+
+
+def kmeans_batches_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _given(spark, sf_dir, 0)
+
+
+def kmeans_sliding_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _given(spark, sf_dir, 1, GIVEN_SHIFT)
+
+
+def kmeans_incremental_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _given(spark, sf_dir, 2, alpha=GIVEN_ALPHA)
+
+
 QUERIES = {
+    "kmeans_batches_given": kmeans_batches_given,
+    "kmeans_sliding_given": kmeans_sliding_given,
+    "kmeans_incremental_given": kmeans_incremental_given,
     "kmeans_batches": kmeans_batches,
     "kmeans_sliding": kmeans_sliding,
     "kmeans_incremental": kmeans_incremental,
@@ -378,7 +405,55 @@ q AS (SELECT seq, y, (CASE attr WHEN 0 THEN a0 WHEN 1 THEN a1 ELSE a2 END <= thr
 m AS (SELECT hit, avg(y) AS mean FROM q WHERE seq <= {PART_FIRST} GROUP BY 1)
 """
 
+
+
+def _given_batches(shift: int) -> str:
+    """One k-means iteration on every batch, then the means of its clusters, as CTEs ending in the distance of every row."""
+    near = lambda c: (
+        f"CASE WHEN (x0 - {c}a0) ** 2 + (x1 - {c}a1) ** 2 + (x2 - {c}a2) ** 2 <= (x0 - {c}z0) ** 2 + (x1 - {c}z1) ** 2 + (x2 - {c}z2) ** 2 THEN 0 ELSE 1 END"
+    )
+    means = lambda own, rows: ", ".join(
+        f"coalesce(avg(x{d}) FILTER ({own} = {i}), {'NULL' if rows else GIVEN[i][d]}) AS {n}{d}" for i, n in enumerate("az") for d in range(3)
+    )
+    first = "CASE WHEN " + " + ".join(f"(x{d} - {GIVEN[0][d]}) ** 2" for d in range(3)) + " <= " + " + ".join(
+        f"(x{d} - {GIVEN[1][d]}) ** 2" for d in range(3)
+    ) + " THEN 0 ELSE 1 END"
+    return f"""
+e AS (SELECT event_id, row_number() OVER (ORDER BY event_id) AS seq, value AS x0, CAST(hour(ts) AS DOUBLE) AS x1, CAST(user_id AS DOUBLE) AS x2 FROM events),
+b AS (SELECT *, unnest(range(CAST(greatest(0, ceil((seq - {GIVEN_BATCH}) / {shift}.0)) AS BIGINT), CAST((seq - 1) // {shift} AS BIGINT) + 1)) AS batch FROM e),
+l0 AS (SELECT *, {first} AS own FROM b),
+c1 AS (SELECT batch, {means("own", False)} FROM l0 GROUP BY 1),
+l1 AS (SELECT b.*, {near("")} AS own FROM b JOIN c1 USING (batch)),
+c2 AS (SELECT batch, {means("own", True)} FROM l1 GROUP BY 1),
+d AS (SELECT event_id, least(sqrt((x0 - a0) ** 2 + (x1 - a1) ** 2 + (x2 - a2) ** 2), sqrt((x0 - z0) ** 2 + (x1 - z1) ** 2 + (x2 - z2) ** 2)) AS stderr
+      FROM e JOIN c2 ON batch = CAST(greatest(0, ceil((seq - {GIVEN_BATCH}) / {shift}.0)) AS BIGINT))
+"""
+
+
+def _given_incremental() -> str:
+    old = [f"{n}{d}" for n in "az" for d in range(3)]
+    moved = ", ".join(
+        f"CASE WHEN n{i} * {GIVEN_ALPHA} + count(*) FILTER (own = {i}) > 0 AND count(*) FILTER (own = {i}) > 0 THEN (n{i} * {GIVEN_ALPHA} * {n}{d} + "
+        f"coalesce(sum(x{d}) FILTER (own = {i}), 0)) / (n{i} * {GIVEN_ALPHA} + count(*) FILTER (own = {i})) ELSE {n}{d} END"
+        for i, n in enumerate("az") for d in range(3)
+    )
+    return f"""RECURSIVE
+f AS (SELECT event_id, (row_number() OVER (ORDER BY event_id) - 1) // {GIVEN_BATCH} AS batch, value AS x0, CAST(hour(ts) AS DOUBLE) AS x1,
+      CAST(user_id AS DOUBLE) AS x2 FROM events),
+st(batch, {", ".join(old)}, n0, n1) AS (
+  SELECT CAST(-1 AS BIGINT), {", ".join(f"CAST({GIVEN[i][d]} AS DOUBLE)" for i in range(2) for d in range(3))}, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)
+  UNION ALL SELECT batch + 1, {moved}, n0 * {GIVEN_ALPHA} + count(*) FILTER (own = 0), n1 * {GIVEN_ALPHA} + count(*) FILTER (own = 1)
+  FROM (SELECT st.*, x0, x1, x2, CASE WHEN (x0 - a0) ** 2 + (x1 - a1) ** 2 + (x2 - a2) ** 2 <= (x0 - z0) ** 2 + (x1 - z1) ** 2 + (x2 - z2) ** 2
+        THEN 0 ELSE 1 END AS own FROM st JOIN f ON f.batch = st.batch + 1) GROUP BY batch, {", ".join(old)}, n0, n1),
+d AS (SELECT event_id, least(sqrt((x0 - a0) ** 2 + (x1 - a1) ** 2 + (x2 - a2) ** 2), sqrt((x0 - z0) ** 2 + (x1 - z1) ** 2 + (x2 - z2) ** 2)) AS stderr
+      FROM f JOIN st USING (batch))
+"""
+
+
 ORACLES: dict[str, str] = {
+    "kmeans_batches_given": f"WITH {_given_batches(GIVEN_BATCH)} SELECT event_id, round(stderr, 5) AS stderr FROM d",
+    "kmeans_sliding_given": f"WITH {_given_batches(GIVEN_SHIFT)} SELECT event_id, round(stderr, 5) AS stderr FROM d",
+    "kmeans_incremental_given": f"WITH {_given_incremental()} SELECT event_id, round(stderr, 5) AS stderr FROM d",
     "ht_two_levels": f"""WITH {_TWO_LEVELS} SELECT seq, CAST(leaf.idx AS INTEGER) AS truth,
         CAST(CASE WHEN seq <= {FIRST} THEN 0 ELSE major.idx END AS INTEGER) AS pred FROM leaf JOIN major USING (node, side)""",
     "ht_bagged_stumps": f"""WITH {_STUMPS} SELECT seq, CAST(d.idx AS INTEGER) AS truth,
