@@ -23,6 +23,7 @@ from driftline.llm.words import Words, batches, mix, slices, words_of
 # Bounds of the labelled sample used for fitting, in documents of each label.
 TOXIC_DOCS = 2_000
 CLEAN_DOCS = 6_000
+TOXIC_BYTES, CLEAN_BYTES = 16_000_000, 32_000_000
 # Word beginnings used as features, in bytes; 0 is the whole word.
 BEGINNINGS = (0, 4, 5, 6, 7)
 # A feature marks toxic words from this likelihood-ratio statistic (chi-squared, 1 degree; 25 is p = 6e-7) and share on.
@@ -350,7 +351,8 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 60, se
 
 
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id") -> Model:
-    """Fit on a bounded sample: at most TOXIC_DOCS and CLEAN_DOCS rows reach the driver.
+    """Fit on a bounded sample: at most TOXIC_DOCS and CLEAN_DOCS rows, of TOXIC_BYTES and CLEAN_BYTES of text, reach the
+    driver.
 
     ``labels`` holds ``key`` and ``label`` (1 or 0; other values and nulls are no labels).  The share of toxic documents
     is counted over all labelled rows.  The sample is drawn by the hash of the key from keys alone, so the texts of the
@@ -365,13 +367,17 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
         return fit([], np.zeros(0, bool), 0.0)
     usable = keys.filter((F.col("__size") > 0) & (F.col("__size") <= MAX_SAMPLE_BYTES))
     by_text: dict[bytes, int] = {}
-    for value, most in ((1, TOXIC_DOCS), (0, CLEAN_DOCS)):
+    for value, most, bytes_ in ((1, TOXIC_DOCS, TOXIC_BYTES), (0, CLEAN_DOCS, CLEAN_BYTES)):
         first = Window.orderBy("h", "__key")
-        own = usable.filter(F.col("__label") == value).select("__key", "__label", F.xxhash64("__key", F.lit(17)).alias("h")).distinct()
+        own = usable.filter(F.col("__label") == value).groupBy("__key", "__label", F.xxhash64("__key", F.lit(17)).alias("h")).agg(
+            F.max("__size").alias("__size")
+        )
         # A cut by hash leaves about four times the sample for the ranking, however many labels there are.
         held = share["t"] if value else share["n"] - share["t"]
         own = own.filter(F.pmod("h", F.lit(1_000_000)) < F.lit(min(1_000_000, 4_000_000 * most // max(held, 1) + 1)))
-        chosen = own.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= most).select(F.col("__key").alias(key), "__label")
+        ranked = own.withColumns({"r": F.row_number().over(first), "upto": F.sum("__size").over(first)})
+        within = (F.col("r") <= most) & ((F.col("upto") <= bytes_) | (F.col("r") == 1))
+        chosen = ranked.filter(within).select(F.col("__key").alias(key), "__label")
         # At most ``most`` keys; keys that repeat are ranked again with their texts.
         rows = labelled_sample(docs.select(key, text).join(F.broadcast(chosen), key), text, "__label", key, most)
         for r in rows.toLocalIterator():

@@ -84,6 +84,18 @@ def test_toxicity_takes_odd_rows(spark, odd, nothing):
     assert toxicity.score(nothing, toxicity.learn(nothing, labels)).count() == 0
 
 
+def test_the_sample_is_bounded_in_bytes(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(toxicity, "TOXIC_BYTES", 3_000)
+    monkeypatch.setattr(toxicity, "CLEAN_BYTES", 5_000)
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic, prior: held.append((texts, toxic, prior)))
+    docs = spark.createDataFrame([(i, f"{i:04} " + "x" * 495) for i in range(100)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, toxic int")
+    toxicity.learn(docs, labels)
+    texts, toxic, prior = held[0]
+    assert (int(toxic.sum()), len(texts) - int(toxic.sum()), prior) == (6, 10, 0.5)
+
+
 def test_letters_are_of_the_unicode_category():
     assert not any(language_id.has_letter(t) for t in ("", "² ½ Ⅷ", "123 _!", "\u0301", "\U0001f600"))
     assert all(language_id.has_letter(t) for t in ("a", "12é", "ª", "日", "ʰ"))
