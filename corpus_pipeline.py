@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.llm import decontaminate, near_dup, queries, sharding, toxicity
-from driftline.session import fresh_path, ship_package
+from driftline.session import fresh_path, scratch, ship_package
 
 SHARDS = 16
 
@@ -71,11 +71,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``, each stage's result written and read again."""
+    """The stages applied to ``documents``, each stage's result written and read again; what a stage stored on its way
+    is removed with it."""
     docs = queries.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = fresh_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
 

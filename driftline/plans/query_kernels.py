@@ -12,12 +12,13 @@ from driftline.functions.vectors import argmax_votes, vectorize
 from driftline.operators.cluster import cf_vectors, cluster_ssq, lloyd_step, merge_cf, nearest_center, radius
 from driftline.operators.kmeans_stream import INCREMENTAL, SLIDING, output, update
 from driftline.operators.linear import batch_fits, fit, normal_stats, sgd_step
-from driftline.operators.order import with_seq
+from driftline.operators.order import number_rows, with_seq
 from driftline.operators.rules import (
     Rule,
     RuleModel,
     RuleParams,
     best_splits,
+    drift_states,
     page_hinkley,
     quantile_stats,
     sdr_table,
@@ -45,6 +46,7 @@ from driftline.plans.tables import (
     lineitem_vectors,
     table,
 )
+from driftline.session import stored
 
 # ---------------------------------------------------------------- tree
 
@@ -206,6 +208,22 @@ def page_hinkley_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ph.select("event_type", "seq", F.round("m", 4).alias("m"), F.round("m_min", 4).alias("m_min"), "alarm")
 
 
+DRIFT_ALPHA, DRIFT_SHIFT = 0.005, 30.0
+
+
+def amr_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The learner's drift test of two rules over all events, whose values rise by DRIFT_SHIFT after the first half."""
+    rows, total = number_rows(table(spark, sf_dir, "events").select("event_id", "user_id", "value"), "event_id")
+    rows = rows.select(
+        "seq", F.array(F.col("user_id").cast("double")).alias("features"),
+        (F.col("value") + F.when(F.col("seq") > total // 2, DRIFT_SHIFT).otherwise(0.0)).alias("target"),
+    )
+    model = RuleModel(RuleParams(1, head="mean"), [Rule(0, n=1.0, sy=50.0), Rule(1, [(0, True, 50.0)], 1.0, 40.0)], 2, 0.0, 10.0)
+    states = drift_states(stored(rows, "drift"), model._flat(), {0: (0.0,) * 4, 1: (0.0,) * 4}, model.scale, DRIFT_ALPHA)
+    found = [(i, int(n), round(rise, 4), round(m, 4), rise > 35.0) for i, (rise, (n, _, m, _)) in sorted(states.items())]
+    return spark.createDataFrame(found, "rule bigint, n bigint, rise double, m double, drifted boolean")
+
+
 # ---------------------------------------------------------------- clustering
 
 
@@ -343,6 +361,7 @@ QUERIES = {
     "amr_quantile_stats": amr_quantile_stats,
     "amr_sdr": amr_sdr,
     "amr_split_decision": amr_split_decision,
+    "amr_drift": amr_drift,
     "page_hinkley": page_hinkley_query,
     "nearest_center": nearest_center_query,
     "cf_vectors": cf_vectors_query,
@@ -468,6 +487,14 @@ ORACLES = {
         SELECT CAST(rule AS BIGINT) AS rule, CAST(attr AS INTEGER) AS attr, x, count(*) AS n, round(avg(y), 4) AS mean_y,
         round(avg(y * y) / 1e6, 6) AS mean_yy FROM lq GROUP BY rule, attr, x""",
     "amr_sdr": f"WITH {_SDR} SELECT rule, attr, bin, n_left, round(sdr, 4) AS sdr FROM sd",
+    "amr_drift": f"""WITH s AS (SELECT row_number() OVER (ORDER BY event_id) AS seq, user_id, value, count(*) OVER () AS total FROM events),
+        e AS (SELECT seq, CASE WHEN user_id <= 50 THEN 1 ELSE 0 END AS rule, abs(value + CASE WHEN seq > total // 2 THEN {DRIFT_SHIFT} ELSE 0 END
+              - CASE WHEN user_id <= 50 THEN 40 ELSE 50 END) / 10.0 AS e FROM s),
+        t AS (SELECT *, e - avg(e) OVER w - {DRIFT_ALPHA} AS term FROM e WINDOW w AS (PARTITION BY rule ORDER BY seq)),
+        m AS (SELECT *, sum(term) OVER w AS m FROM t WINDOW w AS (PARTITION BY rule ORDER BY seq)),
+        r AS (SELECT *, m - least(0, min(m) OVER w) AS rise FROM m WINDOW w AS (PARTITION BY rule ORDER BY seq))
+        SELECT CAST(rule AS BIGINT) AS rule, count(*) AS n, round(max(rise), 4) AS rise, round(max_by(m, seq), 4) AS m, max(rise) > 35 AS drifted
+        FROM r GROUP BY 1""",
     "amr_split_decision": f"""WITH {_SDR},
         best AS (SELECT * FROM sd QUALIFY row_number() OVER (PARTITION BY rule, attr ORDER BY sdr DESC, bin) = 1),
         two AS (SELECT *, coalesce(lead(sdr) OVER o, 0) AS sdr2, row_number() OVER o AS rn,

@@ -49,8 +49,32 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+# Paths handed out inside the open `scratch` blocks, the innermost last.
+_open: list[list[str]] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Tables that are stored inside the block are removed when it ends.
+
+    What the block computes has to be written, to a path from outside of it, before it ends.
+    """
+    made: list[str] = []
+    _open.append(made)
+    try:
+        yield
+    finally:
+        _open.pop()
+        for name in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_folder(spark: SparkSession, path: str) -> str:
