@@ -29,6 +29,7 @@ BEGINNINGS = (0, 4, 5, 6, 7)
 # A feature marks toxic words from this likelihood-ratio statistic (chi-squared, 1 degree; 25 is p = 6e-7) and share on.
 MARK_G2, MARK_SHARE = 25.0, 0.7
 KNOWN_G2 = 8.0
+FEATURE_PARTS = 8  # of the features of one kind, told apart one after the other on the driver
 BLOCK = 64  # words of a block in the two-level forward-backward pass, and of a training sequence
 TRAIN_BLOCKS = 3_000
 SPAN_FLOOR = 0.5
@@ -229,6 +230,19 @@ def _telling(texts: list[bytes], toxic: np.ndarray, k: int) -> tuple[np.ndarray,
         base += len(w.start)
     key, doc, around, at = (np.concatenate(x) for x in (keys, docs, contexts, at))
     del keys, docs, contexts
+    found, before = [], 0
+    for part in range(FEATURE_PARTS):  # features are independent: one part after the other takes less memory
+        own = np.flatnonzero(key % np.uint64(FEATURE_PARTS) == part)
+        names, mark, places, which = _telling_part(key[own], doc[own], around[own], at[own], toxic)
+        found.append((names, mark, places, which + before))
+        before += len(names)
+    names, mark, places, which = zip(*found)
+    return np.concatenate(names), np.concatenate(mark), np.concatenate(places), np.concatenate(which)
+
+
+def _telling_part(
+    key: np.ndarray, doc: np.ndarray, around: np.ndarray, at: np.ndarray, toxic: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     names, which = np.unique(key, return_inverse=True)
     # Rarer features cannot reach KNOWN_G2.
     common = np.bincount(which, minlength=len(names)) >= 4
