@@ -211,7 +211,7 @@ class RuleParams:
     tie: float = 0.05
     least_share: float = 0.01
     least_reduction: float = 0.01
-    levels: int = 4
+    levels: int = 2
     ph_alpha: float = 0.005
     ph_lambda: float = 35.0
     max_rules: int | None = None  # no limit unless asked for
@@ -372,48 +372,45 @@ class RuleModel:
                 return self
             model.offset, model.scale = float(first[0]), float(first[1]) or 1.0
         before = model._flat()
-        seen = cut_lineage(model._observe(rows, before))
-        totals = seen.filter("kind > 0").groupBy("kind", "rule", "a", "b").agg(
-            F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")
-        ).collect()
-        if not totals and self.stats is None:
-            return self
         model._drop_drifting(rows, before)
         by_id = {r.rule: r for r in model.rules}
-        for r in totals:
-            rule = by_id.get(r["rule"])
-            if rule is None:
-                continue
-            if r["kind"] == TOTALS:
-                rule.n, rule.sy = rule.n + r["n"], rule.sy + r["s"]
-            elif r["kind"] == ERRORS and any(old.n > 0 for old in self.rules):
-                rule.err_mean, rule.err_linear = rule.err_mean + r["s"], rule.err_linear + r["q"]
-            elif r["kind"] == MOMENTS:
-                m = model.moments[r["rule"]] = model.moments.get(r["rule"], np.zeros((p.attrs + 2, p.attrs + 2))).copy()
-                m[r["a"], r["b"]] += r["s"]
-        model.moments = {i: m for i, m in model.moments.items() if i in by_id}
-        model._update_linear()
         level = counter_level(self.rounds)
         alive = F.col("rule").isin(list(by_id))
         held = None if self.stats is None else self.stats.filter(alive)
-        model.stats = cut_lineage(merged_levels(_cells(seen).filter(alive), held, level, model._merge))
+        merged = cut_lineage(merged_levels(model._observe(rows, before).filter(alive), held, level, model._merge))
+        sums = merged.filter("attr < 0").collect()  # a few rows a rule
+        if not sums and self.stats is None and len(by_id) == len(self.rules):
+            return self
+        model.stats = merged.filter("attr >= 0")
+        size = p.attrs + 2
+        for r in sums:
+            rule = by_id[r["rule"]]
+            if r["attr"] == TOTALS:
+                rule.n, rule.sy = rule.n + r["n"], rule.sy + r["sy"]
+            elif r["attr"] == ERRORS and any(old.n > 0 for old in self.rules):
+                rule.err_mean, rule.err_linear = rule.err_mean + r["sy"], rule.err_linear + r["syy"]
+            elif r["attr"] == MOMENTS:
+                m = model.moments[r["rule"]] = model.moments.get(r["rule"], np.zeros((size, size))).copy()
+                m[int(r["x"]) // size, int(r["x"]) % size] += r["sy"]
+        model.moments = {i: m for i, m in model.moments.items() if i in by_id}
+        model._update_linear()
         new = model._expand(list(by_id))
         for _ in range(p.levels - 1):
             if not new:
                 break
-            fresh = cut_lineage(model._merge(_cells(model._observe(rows, model._flat(), new))).withColumn("level", F.lit(level)))
+            fresh = cut_lineage(model._merge(model._observe(rows, model._flat(), new)).withColumn("level", F.lit(level)))
             model.stats = model.stats.unionByName(fresh)
             new = model._expand(new)
         return model
 
     def _merge(self, cells: DataFrame) -> DataFrame:
-        return merge_cells(cells, CELL_KEYS, CELL_SUMS, k=self.params.cells)
+        return merge_cells(cells, CELL_KEYS, CELL_SUMS, k=self.params.cells, whole="attr < 0")
 
     def _observe(self, rows: DataFrame, flat: FlatRules, only: Sequence[int] | None = None) -> DataFrame:
-        """What the rows show about the rules they meet, of the rules ``only`` if given; columns by ``kind``:
+        """What the rows show about the rules they meet, of the rules ``only`` if given, as cells (rule, attr, x, n, sy, syy).
 
-        cells (a = attr, x, n, s = Σy, q = Σy²), totals (n, s = Σy), errors (s mean head, q linear head) and moments
-        (a, b = place in the matrix, s).  With ``only`` just cells.  A task sends one row per cell or sum.
+        Sums that belong to no attribute are cells of attributes below 0: TOTALS (n, Σy), ERRORS (of the mean and of the
+        linear head) and MOMENTS (x numbers the place in the matrix).  With ``only`` there are none.
         """
         p, offset = self.params, self.offset
         shared = rows.sparkSession.sparkContext.broadcast(flat)
@@ -453,15 +450,15 @@ class RuleModel:
                 held = observer.cells()
                 if held is not None and len(held[0]):
                     rule, x, _, sums = held
-                    yield _batch(CELLS_KIND, flat.ids[rule], a, 0, x, *sums.T)
+                    yield _batch(flat.ids[rule], a, x, *sums.T)
             met = np.flatnonzero(totals[:, 0])
             if len(met):
-                yield _batch(TOTALS, flat.ids[met], 0, 0, 0.0, totals[met, 0], totals[met, 1], 0.0)
-                yield _batch(ERRORS, flat.ids[met], 0, 0, 0.0, 0.0, errors[met, 0], errors[met, 1])
+                yield _batch(flat.ids[met], TOTALS, 0.0, totals[met, 0], totals[met, 1], 0.0)
+                yield _batch(flat.ids[met], ERRORS, 0.0, 0.0, errors[met, 0], errors[met, 1])
                 if p.head != "mean":
                     i, j = (np.tile(u, len(met)) for u in upper)
                     v = moments[np.repeat(met, len(upper[0])), i, j]
-                    yield _batch(MOMENTS, np.repeat(flat.ids[met], len(upper[0])), i, j, 0.0, 0.0, v, 0.0)
+                    yield _batch(np.repeat(flat.ids[met], len(upper[0])), MOMENTS, i * (p.attrs + 2.0) + j, 0.0, v, 0.0)
 
         return rows.mapInArrow(run, OBSERVED)
 
@@ -570,21 +567,15 @@ def moments_from(table: DataFrame) -> dict[int, np.ndarray]:
 
 # ---------------------------------------------------------------- what tasks send
 
-CELLS_KIND, TOTALS, ERRORS, MOMENTS = range(4)
-OBSERVED = "kind int, rule bigint, a int, b int, x double, n double, s double, q double"
+# Sums that belong to no attribute.
+TOTALS, ERRORS, MOMENTS = -1, -2, -3
+OBSERVED = "rule bigint, attr int, x double, n double, sy double, syy double"
 
 
-def _batch(kind: int, rule: np.ndarray, a, b, x, n, s, q) -> pa.RecordBatch:
+def _batch(rule: np.ndarray, attr: int, x, n, sy, syy) -> pa.RecordBatch:
     wide = lambda v, kind: pa.array(np.ascontiguousarray(np.broadcast_to(v, len(rule))), kind)
-    columns = [wide(kind, pa.int32()), pa.array(rule, pa.int64()), wide(a, pa.int32()), wide(b, pa.int32())]
-    columns += [wide(v, pa.float64()) for v in (x, n, s, q)]
-    return pa.RecordBatch.from_arrays(columns, ["kind", "rule", "a", "b", "x", "n", "s", "q"])
-
-
-def _cells(observed: DataFrame) -> DataFrame:
-    return observed.filter(F.col("kind") == CELLS_KIND).select(
-        "rule", F.col("a").alias("attr"), "x", "n", F.col("s").alias("sy"), F.col("q").alias("syy")
-    )
+    columns = [pa.array(rule, pa.int64()), wide(attr, pa.int32()), *(wide(v, pa.float64()) for v in (x, n, sy, syy))]
+    return pa.RecordBatch.from_arrays(columns, ["rule", "attr", "x", *CELL_SUMS])
 
 
 # ---------------------------------------------------------------- drift

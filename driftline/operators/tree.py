@@ -172,32 +172,40 @@ def cell_gains(
     A candidate is every cell but the last: rows up to its x go left.  Both sides have to hold ``least_share`` of the
     rows.  ``sides`` lists (label, left, n).  Ties go to the smaller threshold.
     """
-    fields = ", ".join(f"{k} int" for k in keys)
-    schema = f"{fields}, n double, gain double, threshold double, sides {_SIDES}"
-
-    def best(key: tuple, table: pa.Table) -> pa.Table:
-        x, label, n = (table.column(c).to_numpy() for c in ("x", "label", "n"))
-        at, place = np.unique(x, return_inverse=True)
-        counts = np.zeros((len(at), n_classes))
-        np.add.at(counts, (place, label), n)
-        left, whole = np.cumsum(counts, axis=0)[:-1], counts.sum(axis=0)
-        total = whole.sum()
-        rows: dict[str, list] = {k: [v.as_py()] for k, v in zip(keys, key)} | {"n": [total], "gain": [-1.0], "threshold": [0.0], "sides": [[]]}
-        if len(left):
-            gain = (_entropy_mass(whole) - _entropy_mass(left) - _entropy_mass(whole - left)) / total
-            mass = left.sum(axis=1)
-            gain = np.where(np.minimum(mass, total - mass) >= least_share * total, gain, -1.0)
-            # Sums in another order differ in the last digits: such gains tie.
-            i = int(np.flatnonzero(gain >= gain.max() - 1e-12)[0])
-            sides = [{"label": c, "left": float(left[i, c]), "n": float(whole[c])} for c in np.flatnonzero(whole).tolist()]
-            rows |= {"gain": [float(gain[i])], "threshold": [float(at[i])], "sides": [sides]}
-        return pa.Table.from_pydict(rows, schema=arrow)
-
+    leaf, attr = list(keys[:-1]), keys[-1]
+    schema = f"{', '.join(f'{k} int' for k in keys)}, n double, gain double, threshold double, sides {_SIDES}"
+    side = pa.list_(pa.struct([("label", pa.int32()), ("left", pa.float64()), ("n", pa.float64())]))
     arrow = pa.schema(
-        [(k, pa.int32()) for k in keys] + [("n", pa.float64()), ("gain", pa.float64()), ("threshold", pa.float64())]
-        + [("sides", pa.list_(pa.struct([("label", pa.int32()), ("left", pa.float64()), ("n", pa.float64())])))]
+        [(k, pa.int32()) for k in keys] + [(c, pa.float64()) for c in ("n", "gain", "threshold")] + [("sides", side)]
     )
-    return cells.groupBy(*keys).applyInArrow(best, schema).filter("gain >= 0")
+
+    def best(at: np.ndarray, counts: np.ndarray) -> tuple | None:
+        left, whole = np.cumsum(counts, axis=0)[:-1], counts.sum(axis=0)
+        total, mass = whole.sum(), left.sum(axis=1)
+        able = np.minimum(mass, total - mass) >= least_share * total
+        if not able.any():
+            return None
+        gain = np.where(able, (_entropy_mass(whole) - _entropy_mass(left) - _entropy_mass(whole - left)) / total, -1.0)
+        # Sums in another order differ in the last digits: such gains tie.
+        i = int(np.flatnonzero(gain >= gain.max() - 1e-12)[0])
+        sides = [{"label": c, "left": float(left[i, c]), "n": float(whole[c])} for c in np.flatnonzero(whole).tolist()]
+        return float(total), float(gain[i]), float(at[i]), sides
+
+    def of_leaf(key: tuple, table: pa.Table) -> pa.Table:
+        own, x, label, n = (table.column(c).to_numpy() for c in (attr, "x", "label", "n"))
+        rows = []
+        for a in np.unique(own).tolist():
+            mine = own == a
+            at, place = np.unique(x[mine], return_inverse=True)
+            counts = np.zeros((len(at), n_classes))
+            np.add.at(counts, (place, label[mine]), n[mine])
+            if len(at) > 1 and (found := best(at, counts)) is not None:
+                rows.append((*(k.as_py() for k in key), a, *found))
+        columns = list(zip(*rows)) if rows else [[] for _ in arrow]
+        return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    # One call for all attributes of a leaf: attributes x cells x classes rows.
+    return cells.groupBy(*leaf).applyInArrow(of_leaf, schema).filter("gain >= 0")
 
 
 def split_decision(
@@ -313,7 +321,7 @@ class TreeParams:
     delta: float = 1e-7
     tie: float = 0.05
     cells: int = CELLS
-    levels: int = 4
+    levels: int = 2
     least_share: float = 0.01
     least_gain: float = 1e-3
     branch_rows: float = 10.0

@@ -119,7 +119,7 @@ def test_one_batch_grows_several_levels(spark):
         x = [rng.random() for _ in range(3)]
         rows.append((i, x, next((n for n, v in enumerate(x) if v <= 0.5), 3)))
     df = spark.createDataFrame(rows, "seq long, features array<double>, label int")
-    model = TreeModel.empty(TreeParams(3, (), 4)).learn(df)
+    model = TreeModel.empty(TreeParams(3, (), 4, levels=4)).learn(df)
     assert max(n.depth for n in model.trees[0]) >= 3
     assert sum(sum(n.counts) for n in model.trees[0] if n.kind == LEAF) == pytest.approx(6000, abs=1)
     assert model.score(df).filter("pred = label").count() >= 0.95 * 6000
