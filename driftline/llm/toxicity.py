@@ -8,6 +8,8 @@ and feeds the expected number and the largest marginal of toxic words to a logis
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -217,23 +219,24 @@ def _segment(counts: np.ndarray) -> np.ndarray:
 def _telling(texts: list[bytes], toxic: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Features of one kind that tell toxic from clean texts: their hashes, which of them mark toxic words, and where
     they occur (word number in all texts, position among the hashes)."""
-    keys, docs, contexts, at = [], [], [], []
+    # Features are independent: held and told apart in parts, one after the other, they take less memory.
+    held: list[list] = [[] for _ in range(FEATURE_PARTS)]
     base = 0
     for a, b in slices(texts):
         w = words_of(texts[a:b])
         whole = w.hashes()
         longer = np.flatnonzero(w.end - w.start > k)  # a short word is its own beginning
-        keys.append(feature(w, k)[longer])
-        docs.append((w.docs()[longer] + a).astype(np.int32))
-        contexts.append(mix(whole + np.roll(whole, 1) * np.uint64(3) + np.roll(whole, -1) * np.uint64(5))[longer])
-        at.append((longer + base).astype(np.int32))
+        key, doc = feature(w, k)[longer], (w.docs()[longer] + a).astype(np.int32)
+        around = mix(whole + np.roll(whole, 1) * np.uint64(3) + np.roll(whole, -1) * np.uint64(5))[longer]
+        at = (longer + base).astype(np.int32)
         base += len(w.start)
-    key, doc, around, at = (np.concatenate(x) for x in (keys, docs, contexts, at))
-    del keys, docs, contexts
+        part = (key % np.uint64(FEATURE_PARTS)).astype(np.int8)
+        for p in range(FEATURE_PARTS):
+            own = part == p
+            held[p].append((key[own], doc[own], around[own], at[own]))
     found, before = [], 0
-    for part in range(FEATURE_PARTS):  # features are independent: one part after the other takes less memory
-        own = np.flatnonzero(key % np.uint64(FEATURE_PARTS) == part)
-        names, mark, places, which = _telling_part(key[own], doc[own], around[own], at[own], toxic)
+    while held:
+        names, mark, places, which = _telling_part(*(np.concatenate(x) for x in zip(*held.pop(0))), toxic)
         found.append((names, mark, places, which + before))
         before += len(names)
     names, mark, places, which = zip(*found)
@@ -296,7 +299,7 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 60, se
     big_t, big_c = float(toxic.sum()), float((~toxic).sum())
     tag = np.zeros(done_words, dtype=bool)
     tag[at[mark[which]]] = True
-    word_doc = np.repeat(np.arange(len(texts)), counts)
+    word_doc = np.repeat(np.arange(len(texts), dtype=np.int32), counts)
     tag &= toxic[word_doc]
 
     # Training sequences: those with tags, and as many others drawn evenly from the rest.
@@ -311,7 +314,7 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 60, se
     chosen = np.repeat(start[picked] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
     slot = np.arange(len(chosen)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     row = np.repeat(np.arange(len(picked)), lengths)
-    place = np.full(done_words, -1)
+    place = np.full(done_words, -1, dtype=np.int32)
     place[chosen] = np.arange(len(chosen))
     trained = place[at] >= 0
     token, feat = place[at[trained]], which[trained]
@@ -397,7 +400,16 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
         for r in rows.toLocalIterator():
             by_text[bytes(r["text"])] = value
     texts = sorted(by_text)
-    return fit(texts, np.array([by_text[t] for t in texts], dtype=bool), float(share["t"]) / share["n"])
+    model = fit(texts, np.array([by_text[t] for t in texts], dtype=bool), float(share["t"]) / share["n"])
+    del texts, by_text
+    _give_back()
+    return model
+
+
+def _give_back() -> None:
+    """Returns the memory that the fit has freed to the system, where the C library can: later work on the driver needs it."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
