@@ -216,63 +216,66 @@ def _segment(counts: np.ndarray) -> np.ndarray:
     return np.repeat(base, n_blocks) + inside * BLOCK
 
 
-def _telling(texts: list[bytes], toxic: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Features of one kind that tell toxic from clean texts: their hashes, which of them mark toxic words, and where
-    they occur (word number in all texts, position among the hashes)."""
-    # Features are independent: held and told apart in parts, one after the other, they take less memory.
+def _telling(texts: list[bytes], toxic: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the features of one kind that tell toxic from clean texts, and which of them mark toxic words."""
+    # A text lies in one slice, so its features are counted there and only counts are held; contexts are held for toxic
+    # texts alone.  Features are independent: the counts are added up in parts, one after the other.
     held: list[list] = [[] for _ in range(FEATURE_PARTS)]
-    base = 0
+    seen: list[list] = [[] for _ in range(FEATURE_PARTS)]
     for a, b in slices(texts):
         w = words_of(texts[a:b])
-        whole = w.hashes()
         longer = np.flatnonzero(w.end - w.start > k)  # a short word is its own beginning
-        key, doc = feature(w, k)[longer], (w.docs()[longer] + a).astype(np.int32)
-        around = mix(whole + np.roll(whole, 1) * np.uint64(3) + np.roll(whole, -1) * np.uint64(5))[longer]
-        at = (longer + base).astype(np.int32)
-        base += len(w.start)
-        part = (key % np.uint64(FEATURE_PARTS)).astype(np.int8)
+        key, doc = feature(w, k)[longer], w.docs()[longer]
+        names, which, n = np.unique(key, return_inverse=True, return_counts=True)
+        of, own = np.divmod(np.unique(which * (b - a) + doc), b - a)
+        bad = toxic[a:b][own]
+        n_t, n_c = (np.bincount(of[x], minlength=len(names)) for x in (bad, ~bad))
+        part = names % np.uint64(FEATURE_PARTS)
         for p in range(FEATURE_PARTS):
-            own = part == p
-            held[p].append((key[own], doc[own], around[own], at[own]))
-    found, before = [], 0
+            held[p].append((names[part == p], *(x[part == p].astype(np.int32) for x in (n, n_t, n_c))))
+        bad = np.flatnonzero(toxic[a:b][doc])
+        if len(bad):
+            whole, key = w.hashes(), key[bad]
+            around = mix(whole + np.roll(whole, 1) * np.uint64(3) + np.roll(whole, -1) * np.uint64(5))[longer[bad]]
+            part = key % np.uint64(FEATURE_PARTS)
+            for p in range(FEATURE_PARTS):
+                seen[p].append((key[part == p], around[part == p]))
+    found = []
     while held:
-        names, mark, places, which = _telling_part(*(np.concatenate(x) for x in zip(*held.pop(0))), toxic)
-        found.append((names, mark, places, which + before))
-        before += len(names)
-    names, mark, places, which = zip(*found)
-    return np.concatenate(names), np.concatenate(mark), np.concatenate(places), np.concatenate(which)
+        found.append(_telling_part(*(np.concatenate(x) for x in (*zip(*held.pop()), *zip(*seen.pop()))), toxic.mean()))
+    names, mark = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(names)
+    return names[order], mark[order]
 
 
 def _telling_part(
-    key: np.ndarray, doc: np.ndarray, around: np.ndarray, at: np.ndarray, toxic: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    key: np.ndarray, n: np.ndarray, n_t: np.ndarray, n_c: np.ndarray, bad_key: np.ndarray, around: np.ndarray, share: float
+) -> tuple[np.ndarray, np.ndarray]:
     names, which = np.unique(key, return_inverse=True)
-    # Rarer features cannot reach KNOWN_G2.
-    common = np.bincount(which, minlength=len(names)) >= 4
-    held = common[which]
-    doc, around, at = doc[held], around[held], at[held]
-    names, which = names[common], (np.cumsum(common) - 1)[which[held]]
-
-    def distinct(what: np.ndarray, of: np.ndarray) -> np.ndarray:
-        pairs = np.unique(mix(which[of].astype(np.uint64)) ^ what[of], return_index=True)[1]
-        return np.bincount(which[of][pairs], minlength=len(names)).astype(float)
-
+    n, n_t, n_c = (np.bincount(which, weights=x, minlength=len(names)) for x in (n, n_t, n_c))
     # Copies of one text would count as many documents: on the toxic side a feature counts once for each context too.
-    bad = np.flatnonzero(toxic[doc])
-    doc_hash = mix(doc.astype(np.uint64) + np.uint64(1))
-    n_t = np.minimum(distinct(doc_hash, bad), distinct(around, bad))
-    n_c = distinct(doc_hash, np.flatnonzero(~toxic[doc]))
+    contexts = np.unique(mix(bad_key) ^ around, return_index=True)[1]
+    n_t = np.minimum(n_t, np.bincount(np.searchsorted(names, bad_key[contexts]), minlength=len(names)))
+    common = n >= 4  # rarer features cannot reach KNOWN_G2
+    names, n_t, n_c = names[common], n_t[common], n_c[common]
     # Likelihood ratio of "the feature's documents are toxic as often as all".
-    share = toxic.mean()
     n = n_t + n_c
     with np.errstate(divide="ignore", invalid="ignore"):
         g2 = 2 * (np.where(n_t > 0, n_t * np.log(n_t / (n * share)), 0.0) + np.where(n_c > 0, n_c * np.log(n_c / (n * (1 - share))), 0.0))
     mark = (g2 >= MARK_G2) & (n_t / np.maximum(n, 1.0) >= MARK_SHARE)
     used = np.flatnonzero(mark | (g2 >= KNOWN_G2))
-    column = np.full(len(names), -1)
-    column[used] = np.arange(len(used))
-    told = column[which] >= 0
-    return names[used], mark[used], at[told], column[which[told]]
+    return names[used], mark[used]
+
+
+def _occurrences(w: Words, k: int, names: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the words ``among`` have a feature of one kind that is among ``names`` (ascending), and its position there."""
+    own = np.flatnonzero((w.end - w.start)[among] > k)
+    if not len(names) or not len(own):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    key = feature(w, k)[among[own]]
+    at = np.minimum(np.searchsorted(names, key), len(names) - 1)
+    hit = names[at] == key
+    return own[hit], at[hit]
 
 
 def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 60, seed: int = 5) -> Model:
@@ -281,30 +284,28 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 60, se
     empty = Model(np.zeros(0, np.uint64), np.zeros(0), -4.0, np.zeros((2, 2)), np.array([np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)), 0.0, 0.0]))
     if not toxic.any() or toxic.all():
         return empty
-    counts = np.concatenate([words_of(texts[a:b]).counts for a, b in slices(texts)])
-    done_words = int(counts.sum())
-    names, marks, uses_word, uses_name = [], [], [], []
-    for k in BEGINNINGS:  # one kind after the other: the driver holds the features of one kind at a time
-        own, marked, at, which = _telling(texts, toxic, k)
-        uses_name.append(which + sum(len(x) for x in names))
-        names.append(own)
-        marks.append(marked)
-        uses_word.append(at)
-    names, mark, at, which = (np.concatenate(x) for x in (names, marks, uses_word, uses_name))
+    kinds = [_telling(texts, toxic, k) for k in BEGINNINGS]  # one after the other: the driver holds the counts of one kind
+    names, mark = (np.concatenate(x) for x in zip(*kinds))
     if not mark.any():
         return empty
-    # Keys in ascending order, for Model.index.
+    # Keys in ascending order, for Model.index; column: position among them by kind.
     order = np.argsort(names)
-    names, mark, which = names[order], mark[order], np.argsort(order)[which]
+    column = np.split(np.argsort(order), np.cumsum([len(own) for own, _ in kinds])[:-1])
+    names = names[order]
     big_t, big_c = float(toxic.sum()), float((~toxic).sum())
-    tag = np.zeros(done_words, dtype=bool)
-    tag[at[mark[which]]] = True
-    word_doc = np.repeat(np.arange(len(texts), dtype=np.int32), counts)
-    tag &= toxic[word_doc]
+    counts, tag = [], []
+    for a, b in slices(texts):
+        w = words_of(texts[a:b])
+        hit = np.zeros(len(w.start), dtype=bool)
+        for k, (own, marked) in zip(BEGINNINGS, kinds):
+            hit[_occurrences(w, k, own[marked], np.arange(len(hit)))[0]] = True
+        counts.append(w.counts)
+        tag.append(hit & np.repeat(toxic[a:b], w.counts))
+    counts, tag = np.concatenate(counts), np.concatenate(tag)
 
     # Training sequences: those with tags, and as many others drawn evenly from the rest.
     start = _segment(counts)
-    stop = np.minimum(start + BLOCK, np.concatenate(([0], np.cumsum(counts)))[1:][word_doc[start]])
+    stop = np.minimum(start + BLOCK, np.repeat(np.cumsum(counts), -(-counts // BLOCK)))
     tagged = np.add.reduceat(tag, start) > 0
     rng = np.random.default_rng(seed)
     plain = np.flatnonzero(~tagged)
@@ -314,10 +315,16 @@ def fit(texts: list[bytes], toxic: np.ndarray, prior: float, steps: int = 60, se
     chosen = np.repeat(start[picked] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
     slot = np.arange(len(chosen)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     row = np.repeat(np.arange(len(picked)), lengths)
-    place = np.full(done_words, -1, dtype=np.int32)
-    place[chosen] = np.arange(len(chosen))
-    trained = place[at] >= 0
-    token, feat = place[at[trained]], which[trained]
+    token, feat, base = [], [], 0
+    for a, b in slices(texts):
+        w = words_of(texts[a:b])
+        low, high = np.searchsorted(chosen, (base, base + len(w.start)))
+        for k, (own, _), at_key in zip(BEGINNINGS, kinds, column):
+            at, which = _occurrences(w, k, own, chosen[low:high] - base)
+            token.append(at + low)
+            feat.append(at_key[which])
+        base += len(w.start)
+    token, feat = np.concatenate(token), np.concatenate(feat)
     y = tag[chosen]
 
     theta = np.concatenate((np.zeros(len(names)), [-4.0], np.zeros(4)))
@@ -397,7 +404,8 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
         chosen = ranked.filter(within).select(F.col("__key").alias(key), "__label")
         # At most ``most`` keys; keys that repeat are ranked again with their texts.
         rows = labelled_sample(docs.select(key, text).join(F.broadcast(chosen), key), text, "__label", key, most)
-        for r in rows.toLocalIterator():
+        # In parts of about 1 MB: the driver's JVM holds one at a time.
+        for r in rows.repartition(1 + bytes_ // 1_000_000).toLocalIterator():
             by_text[bytes(r["text"])] = value
     texts = sorted(by_text)
     model = fit(texts, np.array([by_text[t] for t in texts], dtype=bool), float(share["t"]) / share["n"])

@@ -3,6 +3,7 @@
 import gzip
 import random
 import string
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from driftline.llm import language_id, mixing, queries, sharding, toxicity, warc
+from driftline.llm.words import mix, words_of
 from driftline.session import fresh_path
 
 
@@ -96,6 +98,51 @@ def test_the_sample_is_bounded_in_bytes(spark, monkeypatch):
     assert (int(toxic.sum()), len(texts) - int(toxic.sum()), prior) == (6, 10, 0.5)
 
 
+def feature_of(word, k):
+    return int(mix(words_of([word]).hashes() + np.uint64(k + 1))[0])
+
+
+def test_the_fit_holds_counts_and_not_words():
+    rng = random.Random(3)
+    names = ["".join(rng.choice(string.ascii_lowercase) for _ in range(rng.randint(3, 10))) for _ in range(5_000)]
+    texts = [" ".join(rng.choices(names, k=600) + ["vile"] * (i % 4 == 0)).encode() for i in range(2_000)]
+    toxic = np.arange(len(texts)) % 4 == 0
+    toxicity.fit(texts[:8], toxic[:8], 0.2)  # tables that are made once
+    tracemalloc.start()
+    try:
+        model = toxicity.fit(texts, toxic, 0.2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert feature_of(b"vile", 0) in model.keys.tolist()
+    assert peak < 5 * sum(map(len, texts))
+
+
+def test_features_of_the_fit_are_those_of_brute_force():
+    rows = toxic_rows(3000, 8)
+    texts, toxic = [t.encode() for _, t, _ in rows], np.array([y == 1 for _, _, y in rows])
+    words = [(w, i) for i, (_, t, _) in enumerate(rows) for w in t.split()]
+    share, known = toxic.mean(), set()
+    for k in toxicity.BEGINNINGS:
+        bad, good, around, times = {}, {}, {}, Counter()
+        for j, (w, i) in enumerate(words):
+            if len(w) > k:
+                f = w[: k or None]
+                times[f] += 1
+                (bad if toxic[i] else good).setdefault(f, set()).add(i)
+                if toxic[i]:
+                    around.setdefault(f, set()).add((words[j - 1][0], w, words[(j + 1) % len(words)][0]))
+        for f in times:
+            n_t, n_c = min(len(bad.get(f, ())), len(around.get(f, ()))), len(good.get(f, ()))
+            n = n_t + n_c
+            g2 = 2 * ((n_t and n_t * np.log(n_t / (n * share))) + (n_c and n_c * np.log(n_c / (n * (1 - share)))))
+            mark = g2 >= toxicity.MARK_G2 and n_t / n >= toxicity.MARK_SHARE
+            if times[f] >= 4 and (mark or g2 >= toxicity.KNOWN_G2):
+                known.add(feature_of(f.encode(), k))
+    assert sum(map(len, texts)) < 1_000_000  # one slice: contexts go around its ends
+    assert set(toxicity.fit(texts, toxic, 0.2).keys.tolist()) == known
+
+
 def test_letters_are_of_the_unicode_category():
     assert not any(language_id.has_letter(t) for t in ("", "² ½ Ⅷ", "123 _!", "\u0301", "\U0001f600"))
     assert all(language_id.has_letter(t) for t in ("a", "12é", "ª", "日", "ʰ"))
