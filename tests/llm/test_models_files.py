@@ -143,6 +143,12 @@ def test_features_of_the_fit_are_those_of_brute_force():
     assert set(toxicity.fit(texts, toxic, 0.2).keys.tolist()) == known
 
 
+@pytest.mark.parametrize("texts", [[b"!", b"plain words"], [b"no longer", b"..."], [b"-", b"-- "]])
+def test_the_fit_takes_texts_without_words(texts):
+    model = toxicity.fit(texts, np.array([True, False]), 0.5)
+    assert len(model.keys) == 0 and np.isfinite(model.link).all()
+
+
 def test_letters_are_of_the_unicode_category():
     assert not any(language_id.has_letter(t) for t in ("", "² ½ Ⅷ", "123 _!", "\u0301", "\U0001f600"))
     assert all(language_id.has_letter(t) for t in ("a", "12é", "ª", "日", "ʰ"))
