@@ -18,14 +18,16 @@ from driftline.operators.kmeans_stream import (
     INCREMENTAL,
     INDEPENDENT,
     SLIDING,
+    STATE_SCHEMA,
     batch_kmeans,
     batch_output,
     batch_shift,
+    chained_updates,
+    joined_output,
     update,
 )
-from driftline.operators.kmeans_stream import output as kmeans_output
 from driftline.operators.linear import batch_fits, batch_predict, confidence_interval, predict, sgd_step
-from driftline.operators.order import batch_starts, number_rows, order_keys, with_batch, with_seq
+from driftline.operators.order import batch_starts, number_rows, order_keys, runs_of, with_batch, with_seq
 from driftline.operators.kernels import PyramidalFrame
 from driftline.operators.microclusters import ClusterModel, ClusterParams
 from driftline.operators.rules import RuleModel, RuleParams
@@ -39,9 +41,11 @@ from driftline.plans.prequential import (
     test_then_train,
 )
 from driftline.schema import TRAIN, known_target, parse_cardinalities, require_columns, require_int, require_numeric
-from driftline.session import cut_lineage, fresh_path, shuffle_partitions, stored
+from driftline.session import BROADCAST_ROWS, cut_lineage, fresh_path, shuffle_partitions, stored
 
 INTERVAL = 1_000
+# Values (rows x features) that one task takes through a run of short batches, and of centres that are broadcast.
+CHAIN_VALUES = 3_000_000
 
 
 @dataclasses.dataclass
@@ -240,7 +244,7 @@ def streaming_kmeans(
     numbered, total = number_rows(df, order_by)
     rows = numbered.withColumn("features", vectorize(features))
     if learn_type == INCREMENTAL:
-        rows = _incremental_kmeans(rows, total, k, batch_size, num_iterations, alpha, growth, centers)
+        rows = _incremental_kmeans(rows, total, k, len(features), batch_size, num_iterations, alpha, growth, centers)
     else:
         rows = stored(rows, "kmeans")
         shift = window_shift if learn_type == SLIDING else batch_size
@@ -312,24 +316,36 @@ def _gradient_batches(
 
 
 def _incremental_kmeans(
-    rows: DataFrame, total: int, k: int, batch_size: int, iterations: int, alpha: float, growth: float,
+    rows: DataFrame, total: int, k: int, width: int, batch_size: int, iterations: int, alpha: float, growth: float,
     centers: Sequence[Sequence[float]] | None = None,
 ) -> DataFrame:
-    """One decayed model: batch b is scored with the centres after batch b; every batch is read from its own folder."""
+    """One decayed model: batch b is scored with the centres after batch b.
+
+    The model goes through runs of short batches in one task each, a folder of the table at a time; a batch longer than
+    such a run is one round of distributed sums.  Then all rows meet the centres of their batch at once.
+    """
     spark = rows.sparkSession
     starts = batch_starts(total, batch_size, growth)
-    table = stored(with_batch(rows, starts), "kmeans", "batch_id")
-    out = fresh_path(spark, "kmeans-output")
-    schema = None
+    runs = runs_of(starts, total, max(1, CHAIN_VALUES // width))
+    table = stored(with_batch(rows, [starts[a] for a, _ in runs] or starts, name="__run"), "kmeans", "__run")
+    out = fresh_path(spark, "kmeans-states")
     counts = None if centers is None else [0.0] * len(centers)
-    for b in range(len(starts)):
-        batch = table.filter(F.col("batch_id") == b)
+    for i, (a, b) in enumerate(runs):
+        part = table.filter(F.col("__run") == i)
         if centers is None:
-            first = batch_kmeans(batch, k, INDEPENDENT, 0, batch_size, iterations).first()
+            first = batch_kmeans(part.filter(F.col("seq") <= batch_size), k, INDEPENDENT, 0, batch_size, iterations).first()
             centers, counts = [list(c) for c in first["centers"]], [0.0] * len(first["centers"])
-        state = sorted(update(batch, centers, counts, alpha).collect(), key=lambda r: r["idx"])
-        centers, counts = [list(r["center"]) for r in state], [r["n"] for r in state]
-        scored = kmeans_output(batch.drop("batch_id"), centers)
-        schema = scored.schema
-        scored.write.parquet(f"{out}/batch_id={b}")
-    return spark.read.schema(schema.add("batch_id", "integer")).parquet(out)
+        if a == b:
+            moved = sorted(update(part, centers, counts, alpha).collect(), key=lambda r: r["idx"])
+            state = (a, [r["n"] for r in moved], [list(r["center"]) for r in moved])
+            states = spark.createDataFrame([state], STATE_SCHEMA)
+        else:
+            states = chained_updates(part, centers, counts, alpha, starts[a : b + 1], a)
+        states.write.parquet(f"{out}/run={i}")
+        last = spark.read.schema(STATE_SCHEMA).parquet(f"{out}/run={i}").filter(F.col("batch") == b).first()
+        centers, counts = last["centers"], last["counts"]
+    found = spark.read.schema(STATE_SCHEMA).parquet(*[f"{out}/run={i}" for i in range(len(runs))]) if runs else spark.createDataFrame([], STATE_SCHEMA)
+    states = found.withColumnRenamed("batch", "__batch")
+    if len(starts) <= min(BROADCAST_ROWS, CHAIN_VALUES // (k * width)):
+        states = F.broadcast(states)
+    return joined_output(with_batch(table.drop("__run"), starts, name="__batch"), states, max(k, len(centers or ())), "__batch")

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftline.functions.vectors import center_format, double_rows, doubles
-from driftline.operators.cluster import cf_vectors, nearest_center, weighted_kmeans
+from driftline.operators.cluster import cf_vectors, nearest, nearest_center, weighted_kmeans
+from driftline.operators.observer import matrix
 from driftline.operators.order import sliding_batches
 
 # Learn types: each batch on its own, overlapping batches, or one model with decay.
@@ -88,10 +90,18 @@ def batch_output(
     Rows join their batch on a key that holds at most ``size`` rows, so no key can be hot.
     """
     keyed = df.withColumn("__batch", first_batch_of(F.col(seq), size, shift))
-    joined = keyed.join(fits.select(F.col("batch").alias("__batch"), "centers"), "__batch")
-    nearest_sq = f"array_min(transform(centers, c -> aggregate(zip_with(c, {features}, (a, b) -> (a - b) * (a - b)), 0D, (s, v) -> s + v)))"
-    texts = {f"center{i}": center_format(F.get("centers", F.lit(i))) for i in range(k)}
-    return joined.withColumn(error, F.sqrt(F.expr(nearest_sq))).withColumns(texts).drop("__batch", "centers")
+    return joined_output(keyed, fits.withColumnRenamed("batch", "__batch"), k, "__batch", features, error)
+
+
+def joined_output(
+    df: DataFrame, fits: DataFrame, k: int, batch: str, features: str = "features", error: str = "stderr"
+) -> DataFrame:
+    """Rows with the ``centers`` of their ``batch`` as texts, formatted once a batch, and their distance to the nearest."""
+    texts = {f"center{i}": center_format(F.get("centers", F.lit(i))).alias(f"__center{i}") for i in range(k)}
+    joined = df.join(fits.select(batch, F.col("centers").alias("__centers"), *texts.values()), batch)
+    nearest_sq = f"array_min(transform(__centers, c -> aggregate(zip_with(c, {features}, (a, b) -> (a - b) * (a - b)), 0D, (s, v) -> s + v)))"
+    kept = [c for c in df.columns if c not in (batch, error, *texts)]
+    return joined.select(*kept, F.sqrt(F.expr(nearest_sq)).alias(error), *[F.col(f"__{t}").alias(t) for t in texts])
 
 
 def batch_totals(
@@ -137,6 +147,72 @@ def update(
     return F.broadcast(old).join(sums, "idx", "left").select("idx", n.alias("n"), center.alias("center"))
 
 
+STATE_SCHEMA = "batch bigint, counts array<double>, centers array<array<double>>"
+
+
+def chained_updates(
+    df: DataFrame,
+    centers: Sequence[Sequence[float]],
+    counts: Sequence[float],
+    alpha: float,
+    starts: Sequence[int],
+    first: int = 0,
+    features: str = "features",
+    seq: str = "seq",
+) -> DataFrame:
+    """What :func:`update` makes of consecutive batches, one row for each: (batch, counts, centers).
+
+    Which centre is nearest depends on the batch before, so one task takes the rows in order; it holds an Arrow batch of
+    them.  ``starts`` are the first sequence numbers of the batches, which are numbered from ``first`` on.
+    """
+    begin = np.asarray(starts, dtype=np.int64)
+    at, weight = np.asarray(centers, dtype=np.float64), np.asarray(counts, dtype=np.float64)
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centers, n = at.copy(), weight.copy()
+        k, dims = centers.shape
+        open_batch, m, sums = None, np.zeros(k), np.zeros((k, dims))
+        done: list[tuple] = []
+
+        def close() -> None:
+            nonlocal n, m, sums
+            decayed = n * alpha
+            n = decayed + m
+            hit = (m > 0) & (n > 0)
+            centers[hit] = (centers[hit] * decayed[hit, None] + sums[hit]) / n[hit, None]
+            done.append((open_batch, n.tolist(), centers.tolist()))
+            m, sums = np.zeros(k), np.zeros((k, dims))
+
+        def states() -> pa.RecordBatch:
+            numbers, *lists = zip(*done)
+            done.clear()
+            types = (pa.list_(pa.float64()), pa.list_(pa.list_(pa.float64())))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(numbers, pa.int64()), *[pa.array(v, t) for v, t in zip(lists, types)]], ["batch", "counts", "centers"]
+            )
+
+        for frame in frames:
+            x = matrix(frame.column("features"), dims)
+            batch = np.searchsorted(begin, frame.column("seq").to_numpy(), side="right") - 1
+            for part in np.split(np.arange(len(x)), np.flatnonzero(np.diff(batch)) + 1) if len(x) else []:
+                if open_batch not in (None, first + int(batch[part[0]])):
+                    close()
+                open_batch = first + int(batch[part[0]])
+                rows = x[part[0] : part[-1] + 1]
+                own = nearest(rows, centers)[0]
+                m += np.bincount(own, minlength=k)
+                for d in range(dims):
+                    sums[:, d] += np.bincount(own, weights=rows[:, d], minlength=k)
+            if done:
+                yield states()
+        if open_batch is not None:
+            close()
+            yield states()
+
+    rows = df.select(F.col(seq).cast("bigint").alias("seq"), F.col(features).cast("array<double>").alias("features"))
+    return rows.coalesce(1).sortWithinPartitions("seq").mapInArrow(run, STATE_SCHEMA)
+
+
 def output(
     df: DataFrame, centers: Sequence[Sequence[float]], features: str = "features", error: str = "stderr"
 ) -> DataFrame:

@@ -6,6 +6,7 @@ handled by its own task, and only one small row per bucket crosses bucket border
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Mapping, Sequence
 
@@ -237,7 +238,23 @@ def batch_starts(total: int, first: int, growth: float) -> list[int]:
     return starts
 
 
+def runs_of(starts: Sequence[int], total: int, rows: int) -> list[tuple[int, int]]:
+    """First and last of the batches that one task takes in order: as many as hold ``rows`` rows together, or one longer."""
+    runs, first = [], 0
+    for b in range(len(starts) if total else 0):
+        end = starts[b + 1] if b + 1 < len(starts) else total + 1
+        if b > first and end - starts[first] > rows:
+            runs.append((first, b - 1))
+            first = b
+    return [*runs, (first, len(starts) - 1)] if total else []
+
+
 def with_batch(df: DataFrame, starts: Sequence[int], seq: str = "seq", name: str = "batch_id") -> DataFrame:
+    """Number of the micro-batch of a row.  Batches of one size are counted off, so that there may be any number of them."""
+    steps = {b - a for a, b in itertools.pairwise(starts)}
+    if len(steps) == 1:
+        place = F.floor((F.col(seq) - starts[0]) / F.lit(steps.pop()))
+        return df.withColumn(name, F.greatest(F.lit(0), F.least(F.lit(len(starts) - 1), place)).cast("int"))
     return df.withColumn(name, bucket_of([F.col(seq).cast("bigint")], [(int(s),) for s in starts[1:]]).cast("int"))
 
 
