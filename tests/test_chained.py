@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import driftline
 from driftline import api
+from driftline.operators.cluster import weighted_kmeans
 from driftline.operators.order import batch_starts, runs_of, with_batch
 
 
@@ -88,3 +89,15 @@ def test_columns_named_like_the_states_come_back(spark):
     assert {(r.batch, r.centers, r.counts == r.k) for r in rows} == {(5, "mine", True)} and len(rows) == 60
     empty = driftline.streaming_kmeans(df.limit(0), ["x", "y"], 2, "k", 2, 0, 10, 1, 0.8, centers=GIVEN[:2])[0]
     assert empty.collect() == [] and empty.columns[-1] == "center1"
+
+
+def test_centers_of_the_first_batch_move_on_with_few_jobs(spark):
+    df = points(spark, 600)
+    first = np.array([(r.x, r.y) for r in df.orderBy("k").limit(10).collect()])
+    labels = weighted_kmeans(first, np.ones(10), 2, 1, 10)
+    start = sorted(first[labels == c].mean(axis=0).tolist() for c in np.unique(labels))
+    with at_most_jobs(spark, 24):
+        rows = driftline.streaming_kmeans(df, ["x", "y"], 2, "k", 2, 0, 10, alpha=0.9)[0].collect()
+    assert {r.k: r.stderr for r in rows} == pytest.approx(after_each_batch(df, start, 0.9, 10, 1.0))
+    # Rows of one batch have the same centres, those of two batches other ones.
+    assert len({(r.center0, r.center1) for r in rows}) == 60
