@@ -46,6 +46,8 @@ from driftline.session import BROADCAST_ROWS, cut_lineage, fresh_path, shuffle_p
 INTERVAL = 1_000
 # Values (rows x features) that one task takes through a run of short batches, and of centres that are broadcast.
 CHAIN_VALUES = 3_000_000
+# Rows of a micro-batch that one task clusters as fast as a distributed round does.
+SHORT_BATCH = 10_000
 
 
 @dataclasses.dataclass
@@ -195,15 +197,28 @@ def microcluster_kmeans(
     require_columns(df, order_keys(order_by), (), "order")
     columns = [features] if isinstance(features, str) else list(features)
     rows = df.select(*dict.fromkeys([*order_keys(order_by), *columns]))
-    prepared = prepare_clustering(rows, features, order_by, max_instances, first_batch, growth)
+    prepared = prepare_clustering(rows, features, order_by, max_instances, first_batch, growth, CHAIN_VALUES, SHORT_BATCH)
     model = ClusterModel(ClusterParams(k=k, **cluster_options))
     emitted = []
-    for tick, (span, batch) in enumerate(prepared.batches(), 1):
-        model = model.learn(batch, span=span)
-        if frame is not None:
-            frame.add(tick, span[1], model.table(df.sparkSession))
+    kept = set() if frame is None else frame.kept(len(prepared.starts))
+    for (a, b), part in prepared.parts():
+        if a == b:
+            model = model.learn(part, span=prepared.span(a))
+            if a + 1 in kept:
+                frame.add(a + 1, prepared.span(a)[1], model.table(df.sparkSession))
+            if emit_every:
+                emitted.append((prepared.span(a)[1], model.centers()))
+            continue
+        # Tick b + 1 is the state after micro-batch b.
+        wanted = {t for t in kept if a < t <= b + 1} | {b + 1}
+        spans = [prepared.span(i) for i in range(a, b + 1)]
+        states = stored(model.learn_run(part, spans, a + 1, wanted, bool(emit_every)), "kernels")
+        after = lambda tick: states.filter(F.col("tick") == tick).select(F.inline("kernels"))  # noqa: B023, E731
+        for t in sorted(wanted & kept):
+            frame.add(t, prepared.span(t - 1)[1], after(t))
         if emit_every:
-            emitted.append((span[1], model.centers()))
+            emitted += [(r["clock"], r["centers"]) for r in states.select("clock", "centers").orderBy("clock").collect()]
+        model = ClusterModel.from_table(model.params, after(b + 1))
     if emitted:
         return Learned(centers_table(df.sparkSession, emitted, k), model)
     return Learned(centers_row(df.sparkSession, model.centers(), k), model)

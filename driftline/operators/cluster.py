@@ -213,6 +213,23 @@ def _cf_frame(cf: tuple) -> pd.DataFrame:
     return pd.DataFrame({"n": n, "ls": ls.tolist(), "ss": ss.tolist(), "st": st, "stt": stt})
 
 
+def absorb(
+    known: tuple | None, new: tuple | None, x: np.ndarray, t: np.ndarray, centers: np.ndarray | None, radii: np.ndarray | None,
+    m: int, seed: int,
+) -> tuple[tuple | None, tuple | None]:
+    """Some rows: those within the radius of their nearest kernel add to ``known``, all others to at most ``m`` ``new`` CFs."""
+    if centers is not None:
+        best, d2 = nearest(x, centers)
+        inside = d2 <= radii[best] ** 2
+        if known is None:
+            known = _zero_cf(len(centers), x.shape[1])
+        _add_rows(known, best[inside], x[inside], t[inside])
+        x, t = x[~inside], t[~inside]
+    if len(x):
+        new = _shrink(_stack(new, (np.ones(len(x)), x, x * x, t, t * t)), m, seed)
+    return known, new
+
+
 NEW = -1
 
 
@@ -237,15 +254,7 @@ def local_kernels(
             if not len(pdf):
                 continue
             x, t = _matrix(pdf["features"]), pdf["seq"].to_numpy(np.float64)
-            if centers is not None:
-                best, d2 = nearest(x, centers)
-                inside = d2 <= radii[best] ** 2
-                if known is None:
-                    known = _zero_cf(len(centers), x.shape[1])
-                _add_rows(known, best[inside], x[inside], t[inside])
-                x, t = x[~inside], t[~inside]
-            if len(x):
-                new = _shrink(_stack(new, (np.ones(len(x)), x, x * x, t, t * t)), m, seed)
+            known, new = absorb(known, new, x, t, centers, radii, m, seed)
         if known is not None:
             hit = np.flatnonzero(known[0] > 0)
             if len(hit):

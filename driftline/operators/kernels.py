@@ -175,6 +175,10 @@ class PyramidalFrame:
             if t <= tick and t not in wanted:
                 folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
+    def kept(self, tick: int) -> set[int]:
+        """Ticks whose snapshots are still held after ``tick``; those of all others need not be added."""
+        return retained(tick, self.alpha, self.keep)
+
     def horizon(self, rows: int) -> tuple[DataFrame, int]:
         """Kernels of the newest ``rows`` rows, or of up to the next longer stretch a snapshot is held for, and how many rows
         that is."""

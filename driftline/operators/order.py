@@ -238,14 +238,19 @@ def batch_starts(total: int, first: int, growth: float) -> list[int]:
     return starts
 
 
-def runs_of(starts: Sequence[int], total: int, rows: int) -> list[tuple[int, int]]:
-    """First and last of the batches that one task takes in order: as many as hold ``rows`` rows together, or one longer."""
-    runs, first = [], 0
+def runs_of(starts: Sequence[int], total: int, rows: int, longest: int | None = None) -> list[tuple[int, int]]:
+    """First and last of the batches that one task takes in order: as many as hold ``rows`` rows together, or one longer.
+
+    A batch of more than ``longest`` rows is a run of its own as well.
+    """
+    runs, first, alone = [], 0, False
     for b in range(len(starts) if total else 0):
         end = starts[b + 1] if b + 1 < len(starts) else total + 1
-        if b > first and end - starts[first] > rows:
+        long = longest is not None and end - starts[b] > longest
+        if b > first and (alone or long or end - starts[first] > rows):
             runs.append((first, b - 1))
             first = b
+        alone = long
     return [*runs, (first, len(starts) - 1)] if total else []
 
 

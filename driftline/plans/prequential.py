@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions.vectors import vectorize
 from driftline.operators.encode import encode_label, encode_nominal, first_seen_dictionary
-from driftline.operators.order import batch_starts, limit_instances, number_rows, order_keys, with_batch
+from driftline.operators.order import batch_starts, limit_instances, number_rows, order_keys, runs_of, with_batch
 from driftline.schema import PREDICT, PREDICT_LABEL, TRAIN, role_of_label, role_of_target
 from driftline.session import fresh_path, stored
 
@@ -30,6 +30,16 @@ class Prepared:
     starts: list[int]
     total: int
     labels: DataFrame | None = None
+    runs: list[tuple[int, int]] = dataclasses.field(default_factory=list)
+
+    def span(self, b: int) -> tuple[int, int]:
+        """First and last sequence number of a micro-batch."""
+        return self.starts[b], self.starts[b + 1] - 1 if b + 1 < len(self.starts) else self.total
+
+    def parts(self) -> Iterator[tuple[tuple[int, int], DataFrame]]:
+        """First and last micro-batch of every run, with the rows of all of them."""
+        for i, run in enumerate(self.runs):
+            yield run, self.rows.filter(F.col("run") == i)
 
     def batches(self) -> Iterator[tuple[tuple[int, int], DataFrame]]:
         """First and last sequence number of every micro-batch, with its rows."""
@@ -101,13 +111,22 @@ def prepare_clustering(
     max_instances: int = -1,
     first_batch: int = FIRST_BATCH,
     growth: float = GROWTH,
+    run_values: int = 1,
+    longest: int = 1,
 ) -> Prepared:
-    """``features``: names of numeric columns, or the name of one array column."""
+    """``features``: names of numeric columns, or the name of one array column.
+
+    Rows are stored in folders by run: consecutive micro-batches of up to ``longest`` rows, ``run_values`` values together.
+    """
     numbered, total = _numbered(df, order_by, max_instances)
     vector = F.col(features).cast("array<double>") if isinstance(features, str) else vectorize(features)
     starts = batch_starts(total, first_batch, growth)
     rows = numbered.select("seq", vector.alias("features"))
-    return Prepared(stored(with_batch(rows, starts), "prepared", "batch_id"), starts, total)
+    one = df.select(F.size(features).alias("d")).first() if isinstance(features, str) else {"d": len(features)}
+    width = max(1, one["d"] or 1) if one else 1
+    runs = runs_of(starts, total, run_values // width, longest) or [(0, 0)]
+    table = stored(with_batch(rows, [starts[a] for a, _ in runs], name="run"), "prepared", "run")
+    return Prepared(table, starts, total, runs=runs)
 
 
 @dataclasses.dataclass

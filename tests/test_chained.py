@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 import driftline
 from driftline import api
 from driftline.operators.cluster import weighted_kmeans
+from driftline.operators.kernels import PyramidalFrame, retained
+from driftline.operators.microclusters import ClusterModel, ClusterParams
 from driftline.operators.order import batch_starts, runs_of, with_batch
+from driftline.session import fresh_path
 
 
 def points(spark, n, seed=1):
@@ -36,6 +39,7 @@ def test_runs_hold_every_batch_once():
     assert runs_of([1], 0, 10) == [] and runs_of([1, 11, 21], 25, 1) == [(0, 0), (1, 1), (2, 2)]
     assert runs_of([1, 11, 21, 31], 35, 20) == [(0, 1), (2, 3)]
     assert runs_of(batch_starts(700, 10, 2.0), 700, 100) == [(0, 2), (3, 3), (4, 4), (5, 5), (6, 6)]
+    assert runs_of([1, 5, 25, 29, 33], 35, 100, longest=10) == [(0, 0), (1, 1), (2, 4)]
 
 
 def test_batches_of_one_size_are_counted_off(spark):
@@ -101,3 +105,58 @@ def test_centers_of_the_first_batch_move_on_with_few_jobs(spark):
     assert {r.k: r.stderr for r in rows} == pytest.approx(after_each_batch(df, start, 0.9, 10, 1.0))
     # Rows of one batch have the same centres, those of two batches other ones.
     assert len({(r.center0, r.center1) for r in rows}) == 60
+
+
+def same(model, other):
+    assert model.ids == other.ids
+    for mine, its in zip(model.kernels, other.kernels):
+        assert all(np.allclose(a, b, rtol=1e-9) for a, b in zip(mine, its))
+
+
+@pytest.mark.parametrize("options", [{}, {"horizon": 90}])
+def test_a_run_learns_what_batch_after_batch_learns(spark, options):
+    df = points(spark, 300).selectExpr("k div 7 AS seq", "array(x, y) AS features")
+    spans = [(a, min(a + 39, 300)) for a in range(1, 301, 40)]
+    models = [ClusterModel(ClusterParams(k=2, m=12, **options))]
+    for a, b in spans:
+        batch = df.filter(F.col("seq").between(a, b)).coalesce(1).sortWithinPartitions("seq")
+        models.append(models[-1].learn(batch, span=(a, b)))
+    rows = models[2].learn_run(df.filter("seq > 80"), spans[2:], 3, {5, 8}, centers=True).collect()
+    assert [(r.tick, r.clock, r.kernels is not None) for r in rows] == [(t, spans[t - 1][1], t in (5, 8)) for t in range(3, 9)]
+    for r in rows:
+        assert np.allclose(r.centers, models[r.tick].centers())
+        if r.kernels is not None:
+            table = spark.createDataFrame([tuple(k) for k in r.kernels], models[1].table(spark).schema)
+            same(ClusterModel.from_table(models[0].params, table), models[r.tick])
+    assert len(models[2].learn_run(df.filter("seq > 80"), spans[2:], 3, {8}).collect()) == 1
+
+
+@pytest.mark.parametrize("short", [10_000, 39])
+def test_short_and_long_batches_give_one_frame(spark, monkeypatch, short):
+    monkeypatch.setattr(api, "SHORT_BATCH", short)
+    monkeypatch.setattr(api, "CHAIN_VALUES", 400)
+    df = points(spark, 300)
+    frame = PyramidalFrame(spark, fresh_path(spark, "frame"))
+    learned = driftline.microcluster_kmeans(df, ["x", "y"], 2, "k", emit_every=40, frame=frame, m=12)
+    assert [r.point for r in learned.predictions.orderBy("point").collect()] == [40, 80, 120, 160, 200, 240, 280, 300]
+    assert sorted(frame._held()) == sorted(retained(8)) and sum(n for n, *_ in learned.model.kernels) == pytest.approx(300)
+    newest = np.array([(r.x, r.y) for r in df.orderBy("k").collect()][-100:])
+    found, n = frame.horizon(90)
+    sums = found.select(F.sum("n"), *[F.sum(F.get("ls", F.lit(i))) for i in range(2)]).first()
+    assert n == 100 and tuple(sums) == pytest.approx((100, *newest.sum(axis=0)))
+
+
+def test_jobs_of_clusters_grow_with_the_snapshots_only(spark):
+    df = points(spark, 900).selectExpr("k", "array(x, y) AS v")
+    frame = PyramidalFrame(spark, fresh_path(spark, "frame"))
+    with at_most_jobs(spark, 60):
+        driftline.microcluster_kmeans(df, "v", 2, "k", first_batch=10, growth=1.0, frame=frame, m=12)
+    assert sorted(frame._held()) == sorted(retained(90)) and len(retained(90)) < 30
+
+
+def test_clusters_of_no_rows(spark):
+    frame = PyramidalFrame(spark, fresh_path(spark, "frame"))
+    learned = driftline.microcluster_kmeans(points(spark, 30).limit(0), ["x", "y"], 2, "k", frame=frame)
+    assert tuple(learned.predictions.first()) == (None, None) and frame.horizon(5)[0].count() == 0
+    part = driftline.microcluster_kmeans(points(spark, 30), ["x", "y"], 2, "k", 25, first_batch=10, growth=1.0)
+    assert sum(n for n, *_ in part.model.kernels) == pytest.approx(25)
