@@ -1,9 +1,13 @@
 """Runs of short batches that one task learns in order: the results of batch after batch, with few jobs."""
 
 import contextlib
+import os
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +17,10 @@ from driftline.operators.cluster import weighted_kmeans
 from driftline.operators.kernels import PyramidalFrame, retained
 from driftline.operators.microclusters import ClusterModel, ClusterParams
 from driftline.operators.order import batch_starts, runs_of, with_batch
+from driftline.plans.query_streams import TICK, stream_replay_rows
 from driftline.session import fresh_path
+from driftline.sources import rows as rows_source
+from driftline.sources.sinks import insert_by_batch
 
 
 def points(spark, n, seed=1):
@@ -160,3 +167,47 @@ def test_clusters_of_no_rows(spark):
     assert tuple(learned.predictions.first()) == (None, None) and frame.horizon(5)[0].count() == 0
     part = driftline.microcluster_kmeans(points(spark, 30), ["x", "y"], 2, "k", 25, first_batch=10, growth=1.0)
     assert sum(n for n, *_ in part.model.kernels) == pytest.approx(25)
+
+
+def test_a_trigger_is_one_job_and_a_replayed_one_overwrites_its_files(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    pq.write_table(pa.table({"k": range(45), "text": [f"t{i}" for i in range(45)]}), f"{tmp_path}/in/part-0.parquet")
+    monkeypatch.setattr(rows_source, "RANGE_ROWS", 5)
+    killed = str(tmp_path / "killed")
+
+    @F.udf("string")
+    def once(k, text):  # fails in the third trigger, after another task of it has written its rows
+        if k == 21 and not os.path.exists(killed):
+            time.sleep(1)
+            open(killed, "w").close()
+            raise RuntimeError("killed")
+        return text
+
+    schema = spark.createDataFrame([], "k long, text string").schema
+    key = "spark.sql.streaming.checkpointFileManagerClass"
+
+    def run():
+        stream = rows_source.stream_rows(spark, str(tmp_path / "in"), schema, 8, str(tmp_path / "position"))
+        query = insert_by_batch(stream.withColumn("text", once("k", "text")), f"{tmp_path}/rows", f"{tmp_path}/checkpoint", {"processingTime": "0 seconds"})
+        assert spark.conf.get(key, None) is None
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+
+    with pytest.raises(Exception, match="killed"):
+        run()
+    run()
+    run()
+    rows = spark.read.parquet(f"{tmp_path}/rows").orderBy("k").collect()
+    assert [(r.k, r.text, r.batch_id) for r in rows] == [(i, f"t{i}", i // 8) for i in range(45)]
+    assert not [n for n in os.listdir(tmp_path / "rows") if os.path.isdir(tmp_path / "rows" / n)]
+
+
+def test_replayed_events_by_trigger(spark, tmp_path):
+    n = 3 * TICK + 7
+    events = spark.range(n).select(F.col("id").alias("event_id"), (F.col("id") % 10).cast("double").alias("value"), F.lit("x").alias("more"))
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    got = [tuple(r) for r in stream_replay_rows(spark, str(tmp_path)).orderBy("batch_id").collect()]
+    spans = [(a, min(a + TICK, n)) for a in range(0, n, TICK)]
+    assert got == [(i, b - a, a, b - 1, float(sum(k % 10 for k in range(a, b)))) for i, (a, b) in enumerate(spans)]
